@@ -47,3 +47,151 @@ def churn_by_contract(spark, sf_dir):
     ft = churn.feature_table(spark, sf_dir)
     return EX.rate_by_group(ft.withColumn("contract_label", map_with_default("contract", labels, "Unknown")),
                             "contract_label")
+
+
+# --- S10/S11, P2, P4-P10: seeding and cleaning -------------------------------------------
+
+@register
+def build_customers(spark, sf_dir):
+    from ebbflow.operators.cleaning import build_customers as op
+    from ebbflow.sources.fixtures import raw_flat
+    return op(raw_flat(spark, sf_dir))
+
+
+@register
+def build_payments(spark, sf_dir):
+    from ebbflow.operators.cleaning import build_payments as op
+    from ebbflow.sources.fixtures import raw_flat
+    return op(raw_flat(spark, sf_dir))
+
+
+@register
+def drop_columns(spark, sf_dir):
+    from ebbflow.operators.features import drop_columns as op
+    return op(churn.features_base(spark, sf_dir))
+
+
+@register
+def coerce_numeric(spark, sf_dir):
+    """P4 + P6 on text charges (blank strings) and on JSON-extracted event properties."""
+    from ebbflow.functions.scalar import coerce_int, coerce_numeric as num
+    from ebbflow.sources import fixtures as FX
+    from ebbflow.sources.tables import read_table
+    pay = FX.payments(spark, sf_dir).select(
+        F.lit("payments").alias("source"), F.col("customer_id").alias("row_id"),
+        F.col("total_charges").alias("raw"))
+    ev = read_table(spark, sf_dir, "events").select(
+        F.lit("events").alias("source"), F.col("event_id").alias("row_id"),
+        F.get_json_object("props", "$.k").alias("raw"))
+    both = pay.unionByName(ev)
+    return both.select("source", "row_id", "raw", num("raw").alias("value"), coerce_int("raw").alias("value_int"))
+
+
+@register
+def clean_strings(spark, sf_dir):
+    from ebbflow.operators.cleaning import clean_strings as op
+    from ebbflow.sources.fixtures import raw_flat
+    cols = ["customer_id", "gender", "contract", "payment_method", "partner"]
+    return op(raw_flat(spark, sf_dir).select(*cols), cols)
+
+
+@register
+def average_charges(spark, sf_dir):
+    """P7 + P8 on the coerced, not yet imputed rows (missing total stays missing)."""
+    from ebbflow.operators.features import engineer, FeatureParams
+    x = churn.cleaned(spark, sf_dir)
+    return engineer(x, FeatureParams()).select(S.KEY, "tenure_months", "average_charges")
+
+
+@register
+def avg_charges_unguarded(spark, sf_dir):
+    """P9 + A6: total / tenure with x/0 -> NULL, then median fill."""
+    from ebbflow.functions.scalar import safe_ratio
+    from ebbflow.operators.stats import percentiles
+    x = churn.cleaned(spark, sf_dir).select(S.KEY, safe_ratio("total_charges", "tenure_months").alias("avg_charges"))
+    med = percentiles(x, ["avg_charges"], [0.5])[((), "avg_charges")][0]
+    return x.select(S.KEY, F.round(F.coalesce("avg_charges", F.lit(med)), 6).alias("avg_charges"))
+
+
+@register
+def high_value_flag(spark, sf_dir):
+    """A7 + P10: flag above the 75th percentile of the imputed monthly charges."""
+    p = churn.feature_params(spark, sf_dir)
+    ft = churn.feature_table(spark, sf_dir)
+    return ft.select(S.KEY, "monthly_charges", "high_value_customer",
+                     F.round(F.lit(p.high_value_threshold), 6).alias("threshold"))
+
+
+@register
+def encode_binary(spark, sf_dir):
+    """F1 + F2 on the cleaned rows (before imputation): unmapped or missing -> NULL."""
+    from ebbflow.functions.scalar import map_values
+    from ebbflow.operators.features import BINARY_MAP, GENDER_MAP
+    x = churn.cleaned(spark, sf_dir)
+    return x.select(S.KEY, map_values("gender", GENDER_MAP, "int").alias("gender"),
+                    *[map_values(c, BINARY_MAP, "int").alias(c) for c in S.BINARY_COLUMNS])
+
+
+@register
+def encode_categories(spark, sf_dir):
+    """F3 apply on the cleaned rows: a missing value gets -1."""
+    from ebbflow.operators.features import encode, FeatureParams
+    p = churn.feature_params(spark, sf_dir)
+    only_codes = FeatureParams(categories=p.categories, category_tables=p.category_tables)
+    x = churn.cleaned(spark, sf_dir).select(S.KEY, *S.CATEGORICAL_COLUMNS)
+    return encode(x, only_codes)
+
+
+@register
+def category_map(spark, sf_dir):
+    from ebbflow.operators.features import category_map as op
+    return op(churn.feature_params(spark, sf_dir), spark)
+
+
+@register
+def feature_metadata(spark, sf_dir):
+    """F4, flattened: list columns joined with ',' (the nested form is ``features.feature_metadata``)."""
+    from ebbflow.operators.features import feature_metadata as op
+    m = op(churn.feature_params(spark, sf_dir), spark)
+    return m.select(
+        F.array_join("feature_columns", ",").alias("feature_columns"), "target_column",
+        F.array_join("numerical_cols", ",").alias("numerical_cols"),
+        F.array_join("engineered_cols", ",").alias("engineered_cols"),
+        "n_rows", "n_features",
+        F.size(F.map_keys("encoding_map")).alias("n_encoded_columns"),
+    )
+
+
+@register
+def impute_median(spark, sf_dir):
+    from ebbflow.operators.features import impute, FeatureParams
+    p = churn.feature_params(spark, sf_dir)
+    x = impute(churn.cleaned(spark, sf_dir), FeatureParams(medians=p.medians))
+    return x.select(S.KEY, *[F.round(c, 6).alias(c) for c in S.NUMERICAL_COLUMNS])
+
+
+@register
+def impute_mode(spark, sf_dir):
+    from ebbflow.operators.features import impute, FeatureParams
+    p = churn.feature_params(spark, sf_dir)
+    x = impute(churn.cleaned(spark, sf_dir), FeatureParams(modes=p.modes))
+    return x.select(S.KEY, *S.BINARY_COLUMNS, *S.CATEGORICAL_COLUMNS)
+
+
+@register
+def encode_for_scoring(spark, sf_dir):
+    """raw labelled rows (flat text export, no ticket history -> 0 tickets)
+    encoded with the parameters fitted on the training tables."""
+    from ebbflow.operators.cleaning import build_customers as bc
+    from ebbflow.operators.features import encode_raw
+    from ebbflow.functions.scalar import clean_string
+    from ebbflow.sources.fixtures import raw_flat
+    flat = raw_flat(spark, sf_dir)
+    cust = bc(flat).withColumn(S.KEY, F.col(S.KEY).cast("long"))
+    bill = flat.select(clean_string(S.KEY).cast("long").alias(S.KEY), clean_string("paperless_billing").alias("paperless_billing"),
+                       clean_string("payment_method").alias("payment_method"),
+                       F.col("monthly_charges").try_cast("double").alias("monthly_charges"), "total_charges")
+    rows = cust.join(bill, S.KEY).withColumn("support_ticket_count", F.lit(0).cast("long"))
+    out = encode_raw(rows, churn.feature_params(spark, sf_dir))
+    return out.select(*[F.round(c, 6).alias(c) if c in ("monthly_charges", "total_charges", "tenure_months") else c
+                        for c in out.columns])

@@ -27,3 +27,145 @@ labelled AS (
 SELECT contract_label, count(*) AS n_customers, avg(CAST(churn_value AS DOUBLE)) AS churn_rate,
        round_even(avg(CAST(churn_value AS DOUBLE)) * 100 * 10, 0) / 10 AS churn_rate_pct
 FROM labelled GROUP BY contract_label"""
+
+# --- seeding and cleaning ----------------------------------------------------------------
+
+_TEXT = ["city", "partner", "dependents", "phone_service", "multiple_lines", "internet_service", "online_security",
+         "online_backup", "device_protection", "tech_support", "streaming_tv", "streaming_movies"]
+RAW_FLAT = """
+raw_flat AS (
+  SELECT ' ' || CAST(c.customer_id AS VARCHAR) || ' ' AS customer_id,
+    CAST(c.zip_code AS VARCHAR) AS zip_code, CAST(c.latitude AS VARCHAR) AS latitude,
+    CAST(c.longitude AS VARCHAR) AS longitude, ' ' || c.gender || ' ' AS gender,
+    CAST(c.senior_citizen AS VARCHAR) AS senior_citizen, CAST(c.tenure_months AS VARCHAR) AS tenure_months,
+    ' ' || c.contract || ' ' AS contract, CAST(c.churn_value AS VARCHAR) AS churn_value,
+    """ + ", ".join(f"c.{t}" for t in _TEXT) + """,
+    p.paperless_billing, ' ' || p.payment_method || ' ' AS payment_method,
+    CAST(p.monthly_charges AS VARCHAR) AS monthly_charges, p.total_charges
+  FROM fx_customers c LEFT JOIN fx_payments p ON c.customer_id = p.customer_id
+)"""
+
+
+def _int0(c):
+    return f"CAST(trunc(coalesce(TRY_CAST({c} AS DOUBLE), 0)) AS INTEGER)"
+
+
+BUILD_CUSTOMERS = """
+built_customers AS (
+  SELECT trim(customer_id) AS customer_id, trim(city) AS city,
+    CAST(trunc(TRY_CAST(trim(zip_code) AS DOUBLE)) AS INTEGER) AS zip_code,
+    TRY_CAST(latitude AS DOUBLE) AS latitude, TRY_CAST(longitude AS DOUBLE) AS longitude,
+    trim(gender) AS gender, """ + _int0("senior_citizen") + """ AS senior_citizen,
+    trim(partner) AS partner, trim(dependents) AS dependents, """ + _int0("tenure_months") + """ AS tenure_months,
+    """ + ", ".join(f"trim({t}) AS {t}" for t in _TEXT[3:]) + """,
+    trim(contract) AS contract, """ + _int0("churn_value") + """ AS churn_value
+  FROM raw_flat
+)"""
+
+ORACLE["build_customers"] = with_("fx", RAW_FLAT, BUILD_CUSTOMERS) + "SELECT * FROM built_customers"
+
+ORACLE["build_payments"] = with_("fx", RAW_FLAT, """
+typed AS (
+  SELECT trim(customer_id) AS customer_id, trim(paperless_billing) AS paperless_billing,
+    trim(payment_method) AS payment_method, TRY_CAST(monthly_charges AS DOUBLE) AS monthly_charges,
+    TRY_CAST(total_charges AS DOUBLE) AS total_charges FROM raw_flat)""") + """
+SELECT customer_id, paperless_billing, payment_method,
+  coalesce(monthly_charges, (SELECT quantile_cont(monthly_charges, 0.5) FROM typed)) AS monthly_charges,
+  coalesce(total_charges, (SELECT quantile_cont(total_charges, 0.5) FROM typed)) AS total_charges
+FROM typed"""
+
+ORACLE["drop_columns"] = with_("features_base") + \
+    "SELECT * EXCLUDE (city, zip_code, latitude, longitude) FROM features_base"
+
+ORACLE["coerce_numeric"] = with_("fx") + """
+SELECT source, row_id, raw, TRY_CAST(raw AS DOUBLE) AS value,
+       CAST(trunc(coalesce(TRY_CAST(raw AS DOUBLE), 0)) AS INTEGER) AS value_int
+FROM (SELECT 'payments' AS source, customer_id AS row_id, total_charges AS raw FROM fx_payments
+      UNION ALL
+      SELECT 'events', event_id, json_extract_string(props, '$.k') FROM events)"""
+
+ORACLE["clean_strings"] = with_("fx", RAW_FLAT) + """
+SELECT trim(customer_id) AS customer_id, trim(gender) AS gender, trim(contract) AS contract,
+       trim(payment_method) AS payment_method, trim(partner) AS partner FROM raw_flat"""
+
+_AVG = ("round_even((CASE WHEN tenure_months > 0 THEN total_charges / tenure_months "
+        "ELSE monthly_charges END) * 100, 0) / 100")
+ORACLE["average_charges"] = with_("cleaned") + f"SELECT customer_id, tenure_months, {_AVG} AS average_charges FROM cleaned"
+
+ORACLE["avg_charges_unguarded"] = with_("cleaned", """
+r AS (SELECT customer_id, CASE WHEN tenure_months = 0 THEN NULL ELSE total_charges / tenure_months END AS a
+      FROM cleaned)""") + """
+SELECT customer_id, round(coalesce(a, (SELECT quantile_cont(a, 0.5) FROM r)), 6) AS avg_charges FROM r"""
+
+ORACLE["high_value_flag"] = with_("feature_table") + """
+SELECT customer_id, monthly_charges, high_value_customer, round((SELECT thr FROM threshold), 6) AS threshold
+FROM feature_table"""
+
+
+def _bin(c):
+    return (f"CASE {c} WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 WHEN 'No phone service' THEN 0 "
+            f"WHEN 'No internet service' THEN 0 END AS {c}")
+
+
+ORACLE["encode_binary"] = with_("cleaned") + "SELECT customer_id, CASE gender WHEN 'Female' THEN 0 WHEN 'Male' THEN 1 END AS gender, " + \
+    ", ".join(_bin(c) for c in S.BINARY_COLUMNS) + " FROM cleaned"
+
+ORACLE["encode_categories"] = with_("fit") + "SELECT x.customer_id, " + ", ".join(
+    f"coalesce((SELECT k.code FROM cats k WHERE k.column_name = '{c}' AND k.val = x.{c}), -1) AS {c}"
+    for c in S.CATEGORICAL_COLUMNS) + " FROM cleaned x"
+
+ORACLE["category_map"] = with_("fit") + 'SELECT column_name AS "column", code, val AS value FROM cats'
+
+ORACLE["feature_metadata"] = with_("feature_table") + f"""
+SELECT '{",".join(S.FEATURE_COLUMNS)}' AS feature_columns, '{S.TARGET}' AS target_column,
+  '{",".join(S.NUMERICAL_COLUMNS + ["average_charges"])}' AS numerical_cols,
+  'average_charges,high_value_customer' AS engineered_cols,
+  (SELECT count(*) FROM feature_table) AS n_rows, {len(S.FEATURE_COLUMNS)} AS n_features,
+  CAST((SELECT count(DISTINCT column_name) FROM cats) AS INTEGER) AS n_encoded_columns"""
+
+ORACLE["impute_median"] = with_("fit") + """
+SELECT x.customer_id,
+  round(coalesce(CAST(x.tenure_months AS DOUBLE), m.tenure_months), 6) AS tenure_months,
+  round(coalesce(x.monthly_charges, m.monthly_charges), 6) AS monthly_charges,
+  round(coalesce(x.total_charges, m.total_charges), 6) AS total_charges
+FROM cleaned x, medians m"""
+
+ORACLE["impute_mode"] = with_("fit") + "SELECT x.customer_id, " + ", ".join(
+    f"coalesce(x.{c}, m.{c}) AS {c}" for c in S.BINARY_COLUMNS + S.CATEGORICAL_COLUMNS) + " FROM cleaned x, modes m"
+
+
+def _encode_scoring() -> str:
+    code = {c: f"coalesce((SELECT k.code FROM cats k WHERE k.column_name = '{c}' AND k.val = r.{c}), -1)"
+            for c in S.CATEGORICAL_COLUMNS}
+    expr = {
+        "gender": "CASE r.gender WHEN 'Female' THEN 0 WHEN 'Male' THEN 1 END",
+        "senior_citizen": "r.senior_citizen",
+        "tenure_months": "round(r.tenure_months, 6)",
+        "monthly_charges": "round(r.monthly_charges, 6)",
+        "total_charges": "round(r.total_charges, 6)",
+        "support_ticket_count": "CAST(0 AS BIGINT)",
+        "average_charges": ("round_even((CASE WHEN r.tenure_months > 0 THEN r.total_charges / r.tenure_months "
+                            "ELSE r.monthly_charges END) * 100, 0) / 100"),
+        "high_value_customer": "CASE WHEN r.monthly_charges > (SELECT thr FROM threshold) THEN 1 ELSE 0 END",
+    }
+    for c in S.BINARY_COLUMNS:
+        expr[c] = f"CASE r.{c} WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 WHEN 'No phone service' THEN 0 WHEN 'No internet service' THEN 0 END"
+    expr.update(code)
+    fills = ", ".join(f"coalesce(b.{c}, m.{c}) AS {c}" for c in S.BINARY_COLUMNS + S.CATEGORICAL_COLUMNS
+                      if c not in ("paperless_billing", "payment_method"))
+    return with_("feature_table", RAW_FLAT, BUILD_CUSTOMERS, f"""
+scoring_rows AS (
+  SELECT CAST(b.customer_id AS BIGINT) AS customer_id, b.gender, b.senior_citizen,
+    coalesce(CAST(b.tenure_months AS DOUBLE), md.tenure_months) AS tenure_months,
+    coalesce(TRY_CAST(f.monthly_charges AS DOUBLE), md.monthly_charges) AS monthly_charges,
+    coalesce(TRY_CAST(f.total_charges AS DOUBLE), md.total_charges) AS total_charges,
+    coalesce(trim(f.paperless_billing), m.paperless_billing) AS paperless_billing,
+    coalesce(trim(f.payment_method), m.payment_method) AS payment_method,
+    coalesce(b.churn_value, 0) AS churn_value,
+    {fills}
+  FROM built_customers b JOIN raw_flat f ON b.customer_id = trim(f.customer_id), medians md, modes m
+)""") + "SELECT r.customer_id, " + ", ".join(f"{expr[c]} AS {c}" for c in S.FEATURE_COLUMNS) + \
+        ", r.churn_value FROM scoring_rows r"
+
+
+ORACLE["encode_for_scoring"] = _encode_scoring()

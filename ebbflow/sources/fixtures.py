@@ -116,9 +116,10 @@ def raw_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = customers(spark, sf_dir)
     p = payments(spark, sf_dir)
     flat = c.join(p, "customer_id", "left")
+    padded = ("gender", "contract", "payment_method", "customer_id")
     return flat.select(
         *[
-            (F.concat(F.lit(" "), F.col(f).cast("string")) if f in ("gender", "contract") else F.col(f).cast("string"))
+            (F.concat(F.lit(" "), F.col(f).cast("string"), F.lit(" ")) if f in padded else F.col(f).cast("string"))
             .alias(f)
             for f in flat.columns
         ]
