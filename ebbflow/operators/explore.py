@@ -19,3 +19,149 @@ def rate_by_group(df: DataFrame, key: str, target: str = S.TARGET) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_customers"), F.avg(F.col(target).cast("double")).alias("churn_rate"))
         .select(key, "n_customers", "churn_rate", round_half_even(F.col("churn_rate") * 100, 1).alias("churn_rate_pct"))
     )
+
+
+def kpis(df: DataFrame, target: str = S.TARGET) -> DataFrame:
+    """A3/A5: total, churned, retained, churn rate (fraction and %); zero rows -> NULL rates."""
+    y = F.col(target).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(y), F.lit(0)).alias("churned")).select(
+        "total", "churned", (F.col("total") - F.col("churned")).alias("retained"),
+        F.try_divide(F.col("churned").cast("double"), F.col("total")).alias("churn_rate"),
+        F.try_divide(F.col("churned") * 100.0, F.col("total")).alias("churn_rate_pct"),
+    )
+
+
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, n, share) per column, missing excluded, shares of the column's total."""
+    from ebbflow.operators.stats import value_count_table
+    vc = value_count_table(df, cols)
+    return vc.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("column")))
+
+
+def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
+    """Pairwise Pearson (pairwise-complete rows), rounded half-even; a constant
+    column gives NULL instead of a divide-by-zero. All pairs in one aggregation."""
+    cols = list(cols)
+    aggs = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            xa, xb = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
+            aggs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"c_{i}_{j}"))
+    row = df.agg(*aggs)
+    stacked = row.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c_{i}_{j}").alias("r"))
+        for i, a in enumerate(cols) for j, b in enumerate(cols)])).alias("e"))
+    return stacked.select("e.col_a", "e.col_b", round_half_even(F.col("e.r"), digits).alias("corr"))
+
+
+def histogram(df: DataFrame, col: str, by: str = S.TARGET, bins: int = 30) -> DataFrame:
+    """``bins`` equal-width bins between each group's own min and max; empty
+    bins are reported with 0; a constant group gives a single bin."""
+    rng = df.where(F.col(col).isNotNull()).groupBy(by).agg(F.min(col).alias("mn"), F.max(col).alias("mx"))
+    width = F.col("mx") - F.col("mn")
+    nb = F.when(width == 0, F.lit(1)).otherwise(F.lit(bins))
+    # one row per (group, bin): groups are few, bins fixed -> a bounded frame
+    grid = rng.select(by, "mn", "mx", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
+    x = df.where(F.col(col).isNotNull()).join(F.broadcast(rng), by)
+    binned = x.select(by, F.when(width == 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col(col) - F.col("mn")) / width * bins), F.lit(bins - 1))).cast("int").alias("bin"))
+    counts = binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    step = F.when(width == 0, F.lit(0.0)).otherwise(width / bins)
+    return grid.join(counts, [by, "bin"], "left").select(
+        by, "bin", (F.col("mn") + F.col("bin") * step).alias("bin_start"),
+        F.when(width == 0, F.col("mx")).otherwise(F.col("mn") + (F.col("bin") + 1) * step).alias("bin_end"),
+        F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def box_stats(df: DataFrame, col: str, by: str = S.TARGET) -> DataFrame:
+    """Per group Q1, median, Q3 (exact, interpolated), 1.5*IQR fences, whisker
+    ends (most extreme points inside the fences) and the number of outliers."""
+    from ebbflow.operators.stats import percentiles
+    q = percentiles(df, [col], [0.25, 0.5, 0.75], by=[by])
+    rows = [(g[0], *v) for (g, _), v in q.items() if v[0] is not None]
+    spark = df.sparkSession
+    dtype = df.schema[by].dataType.simpleString()
+    qs = spark.createDataFrame(rows, f"{by} {dtype}, q1 double, median double, q3 double")
+    qs = qs.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn(
+        "lower_fence", F.col("q1") - 1.5 * F.col("iqr")).withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
+    x = F.col(col)
+    inside = (x >= F.col("lower_fence")) & (x <= F.col("upper_fence"))
+    agg = (df.where(x.isNotNull()).join(F.broadcast(qs), by)  # one stats row per group
+           .groupBy(by).agg(F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
+                            F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n")))
+    return qs.join(agg, by)
+
+
+def mean_ci(df: DataFrame, col: str, by: str = S.TARGET, z: float = 1.96) -> DataFrame:
+    """Mean and a closed-form 95 % interval per group (the reference's plot
+    default bootstraps; documented difference)."""
+    g = df.groupBy(by).agg(F.count(col).alias("n"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("sd"))
+    se = F.col("sd") / F.sqrt("n")
+    return g.select(by, "n", "mean", "sd", (F.col("mean") - z * se).alias("ci_low"), (F.col("mean") + z * se).alias("ci_high"))
+
+
+def density_curve(df: DataFrame, col: str, by: str = S.TARGET, bins: int = 512, grid: int = 200, cut: float = 3.0) -> DataFrame:
+    """Gaussian kernel density per group (and overall, group -1), Scott's
+    bandwidth ``sd * n^(-1/5)``, on ``grid`` points from min - cut*h to max + cut*h.
+
+    The data are binned first (``bins`` per group, a bounded table); each bin
+    then contributes to the fixed grid through an array transform, so the work
+    after binning is bins x grid per group regardless of the row count.
+    ``density_scaled`` is density x (max - min), dimensionless."""
+    base = df.where(F.col(col).isNotNull()).select(F.col(by).cast("int").alias("grp"), F.col(col).cast("double").alias("v"))
+    both = base.unionByName(base.select(F.lit(-1).alias("grp"), "v"))
+    st = both.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
+                                 F.stddev_samp("v").alias("sd"))
+    st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).where(F.col("h") > 0)
+    width = F.col("mx") - F.col("mn")
+    binned = (both.join(F.broadcast(st), "grp")
+              .select("grp", F.least(F.floor((F.col("v") - F.col("mn")) / width * bins), F.lit(bins - 1)).cast("int").alias("b"))
+              .groupBy("grp", "b").agg(F.count(F.lit(1)).alias("c")))
+    lo, hi = F.col("mn") - cut * F.col("h"), F.col("mx") + cut * F.col("h")
+    step = (hi - lo) / (grid - 1)
+    center = F.col("mn") + (F.col("b") + 0.5) * width / bins
+    contrib = (binned.join(F.broadcast(st), "grp")
+               .select("grp", "n", "h", "mn", "mx", F.posexplode(F.transform(
+                   F.sequence(F.lit(0), F.lit(grid - 1)),
+                   lambda k: F.col("c") * F.exp(-0.5 * F.pow(((lo + k * step) - center) / F.col("h"), 2)))).alias("k", "w")))
+    sqrt2pi = 2.5066282746310002
+    dens = contrib.groupBy("grp", "k", "n", "h", "mn", "mx").agg(F.sum("w").alias("s"))
+    x = F.col("mn") - cut * F.col("h") + F.col("k") * ((F.col("mx") + cut * F.col("h")) - (F.col("mn") - cut * F.col("h"))) / (grid - 1)
+    d = F.col("s") / (F.col("n") * F.col("h") * sqrt2pi)
+    return dens.select(F.col("grp").alias(by), "k", x.alias("x"), d.alias("density"),
+                       (d * (F.col("mx") - F.col("mn"))).alias("density_scaled"))
+
+
+def pair_bins(df: DataFrame, x: str, y: str, by: str = S.TARGET, bins: int = 20) -> DataFrame:
+    """2-D binned counts per class (the scatter / pair-grid numbers), bins
+    between the global min and max of each axis."""
+    r = df.agg(F.min(x).alias("xmn"), F.max(x).alias("xmx"), F.min(y).alias("ymn"), F.max(y).alias("ymx")).first()
+
+    def b(c, mn, mx):
+        if mn is None or mx == mn:
+            return F.lit(0)
+        return F.least(F.floor((F.col(c) - F.lit(mn)) / F.lit(mx - mn) * bins), F.lit(bins - 1)).cast("int")
+
+    j = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return (j.select(by, b(x, r["xmn"], r["xmx"]).alias("bin_x"), b(y, r["ymn"], r["ymx"]).alias("bin_y"))
+            .groupBy(by, "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n")))
+
+
+def share_of_total(df: DataFrame, key: str) -> DataFrame:
+    """Count per category and its share of the total."""
+    g = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+
+
+def preview(df: DataFrame, key: str, n: int = 20) -> DataFrame:
+    """The first ``n`` rows in key order (a top-n report; the limit is the feature)."""
+    return df.orderBy(key).limit(n)
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """(position, column, type, n_rows)."""
+    n = df.count()
+    spark = df.sparkSession
+    return spark.createDataFrame([(i, f.name, f.dataType.simpleString(), n) for i, f in enumerate(df.schema.fields)],
+                                 "position int, column string, type string, n_rows bigint")

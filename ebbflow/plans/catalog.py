@@ -195,3 +195,154 @@ def encode_for_scoring(spark, sf_dir):
     out = encode_raw(rows, churn.feature_params(spark, sf_dir))
     return out.select(*[F.round(c, 6).alias(c) if c in ("monthly_charges", "total_charges", "tenure_months") else c
                         for c in out.columns])
+
+
+# --- A2, Q1-Q7, A10: data quality --------------------------------------------------------
+
+MIN_ROWS = {"customers": 1000, "payments": 1000, "support_tickets": 1000}
+
+
+def _tables(spark, sf_dir):
+    c, p, t = churn.source_tables(spark, sf_dir)
+    return {"customers": c, "payments": p, "support_tickets": t}
+
+
+@register
+def table_counts(spark, sf_dir):
+    from ebbflow.operators.quality import table_counts as op
+    return op(_tables(spark, sf_dir))
+
+
+@register
+def min_row_gate(spark, sf_dir):
+    from ebbflow.operators.quality import min_row_gate as op
+    return op(_tables(spark, sf_dir), MIN_ROWS)
+
+
+@register
+def pk_duplicates(spark, sf_dir):
+    """Q4 over the three tables; customers is unioned with its tenure-0 rows so
+    the check has duplicates to find."""
+    from ebbflow.operators.quality import pk_duplicates as op
+    t = _tables(spark, sf_dir)
+    cust = t["customers"].unionByName(t["customers"].where(F.col("tenure_months") == 0))
+    return op({"customers": (cust, "customer_id"), "payments": (t["payments"], "customer_id"),
+               "support_tickets": (t["support_tickets"], "ticket_id")})
+
+
+@register
+def fk_orphans(spark, sf_dir):
+    """Q5/J3 against a parent restricted to customers with a known contract."""
+    from ebbflow.operators.quality import fk_orphans as op
+    t = _tables(spark, sf_dir)
+    parent = t["customers"].where(F.col("contract").isNotNull())
+    return op(parent, {"payments": (t["payments"], "customer_id"), "support_tickets": (t["support_tickets"], "ticket_id")})
+
+
+@register
+def null_counts(spark, sf_dir):
+    from ebbflow.operators.quality import null_counts as op
+    return op(churn.cleaned(spark, sf_dir))
+
+
+@register
+def validate_inputs(spark, sf_dir):
+    """Q3 on un-imputed scoring rows (missing and -1 codes break rules)."""
+    from ebbflow.operators.features import encode, engineer
+    from ebbflow.operators.quality import scoring_rules, validate
+    p = churn.feature_params(spark, sf_dir)
+    rows = encode(engineer(churn.cleaned(spark, sf_dir), p), p)
+    v = validate(rows.select(S.KEY, *S.FEATURE_COLUMNS), scoring_rules(S.FEATURE_COLUMNS))
+    return v.select(S.KEY, "is_valid", F.size("violations").alias("n_violations"),
+                    F.array_join("violations", ";").alias("violations"))
+
+
+@register
+def dominant_columns(spark, sf_dir):
+    from ebbflow.operators.quality import dominant_columns as op
+    return op(EX.value_counts(churn.cleaned(spark, sf_dir), S.BINARY_COLUMNS + S.CATEGORICAL_COLUMNS + ["gender"]))
+
+
+# --- A3-A17, P18, P19: KPIs and exploration ----------------------------------------------
+
+NUMERIC_FOR_CORR = ["tenure_months", "monthly_charges", "total_charges", "average_charges", "churn_value"]
+
+
+def _r6(df, skip=()):
+    return df.select(*[F.round(f.name, 6).alias(f.name) if f.dataType.simpleString() == "double" and f.name not in skip
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+@register
+def churn_kpis(spark, sf_dir):
+    return EX.kpis(churn.feature_table(spark, sf_dir))
+
+
+@register
+def churn_by_value_tier(spark, sf_dir):
+    ft = churn.feature_table(spark, sf_dir)
+    lab = map_with_default("high_value_customer", {0: "Standard", 1: "High Value"}, "Unknown")
+    return EX.rate_by_group(ft.withColumn("tier", lab), "tier")
+
+
+@register
+def value_counts(spark, sf_dir):
+    return EX.value_counts(churn.cleaned(spark, sf_dir), ["gender"] + S.BINARY_COLUMNS + S.CATEGORICAL_COLUMNS)
+
+
+@register
+def correlation_matrix(spark, sf_dir):
+    return EX.correlation_matrix(churn.feature_table(spark, sf_dir), NUMERIC_FOR_CORR)
+
+
+@register
+def hist_tenure(spark, sf_dir):
+    return _r6(EX.histogram(churn.feature_table(spark, sf_dir), "tenure_months"))
+
+
+@register
+def hist_monthly(spark, sf_dir):
+    return _r6(EX.histogram(churn.feature_table(spark, sf_dir), "monthly_charges"))
+
+
+@register
+def box_tenure(spark, sf_dir):
+    return _r6(EX.box_stats(churn.feature_table(spark, sf_dir), "tenure_months"))
+
+
+@register
+def box_average_charges(spark, sf_dir):
+    return _r6(EX.box_stats(churn.feature_table(spark, sf_dir), "average_charges"))
+
+
+@register
+def mean_ci_by_class(spark, sf_dir):
+    return _r6(EX.mean_ci(churn.feature_table(spark, sf_dir), "monthly_charges"))
+
+
+@register
+def density_curve(spark, sf_dir):
+    d = EX.density_curve(churn.feature_table(spark, sf_dir), "average_charges")
+    return _r6(d.drop("density"))
+
+
+@register
+def pair_bins(spark, sf_dir):
+    return EX.pair_bins(churn.feature_table(spark, sf_dir), "tenure_months", "monthly_charges")
+
+
+@register
+def churn_share(spark, sf_dir):
+    ft = churn.feature_table(spark, sf_dir)
+    lab = map_with_default(S.TARGET, {0: "Retained", 1: "Churned"}, "Unknown")
+    return EX.share_of_total(ft.withColumn("churn_label", lab), "churn_label")
+
+
+@register
+def preview_rows(spark, sf_dir):
+    return EX.preview(churn.feature_table(spark, sf_dir), S.KEY, 20)
+
+
+@register
+def profile_columns(spark, sf_dir):
+    return EX.profile(churn.feature_table(spark, sf_dir))

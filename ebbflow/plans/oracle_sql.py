@@ -169,3 +169,200 @@ scoring_rows AS (
 
 
 ORACLE["encode_for_scoring"] = _encode_scoring()
+
+# --- data quality ------------------------------------------------------------------------
+
+ORACLE["table_counts"] = with_("fx") + """
+SELECT 'customers' AS table_name, count(*) AS n_rows FROM fx_customers
+UNION ALL SELECT 'payments', count(*) FROM fx_payments
+UNION ALL SELECT 'support_tickets', count(*) FROM fx_tickets"""
+
+ORACLE["min_row_gate"] = with_("fx") + """
+SELECT table_name, n_rows, CAST(1000 AS BIGINT) AS min_rows, n_rows >= 1000 AS ok FROM (
+SELECT 'customers' AS table_name, count(*) AS n_rows FROM fx_customers
+UNION ALL SELECT 'payments', count(*) FROM fx_payments
+UNION ALL SELECT 'support_tickets', count(*) FROM fx_tickets)"""
+
+ORACLE["pk_duplicates"] = with_("fx") + """
+SELECT 'customers' AS table_name, CAST(customer_id AS VARCHAR) AS key_value, count(*) AS n_rows
+FROM (SELECT customer_id FROM fx_customers UNION ALL SELECT customer_id FROM fx_customers WHERE tenure_months = 0)
+GROUP BY customer_id HAVING count(*) > 1
+UNION ALL
+SELECT 'payments', CAST(customer_id AS VARCHAR), count(*) FROM fx_payments GROUP BY customer_id HAVING count(*) > 1
+UNION ALL
+SELECT 'support_tickets', CAST(ticket_id AS VARCHAR), count(*) FROM fx_tickets GROUP BY ticket_id HAVING count(*) > 1"""
+
+ORACLE["fk_orphans"] = with_("fx") + """
+SELECT 'payments' AS table_name, customer_id AS row_id, customer_id FROM fx_payments p
+WHERE NOT EXISTS (SELECT 1 FROM fx_customers c WHERE c.contract IS NOT NULL AND c.customer_id = p.customer_id)
+UNION ALL
+SELECT 'support_tickets', ticket_id, customer_id FROM fx_tickets t
+WHERE NOT EXISTS (SELECT 1 FROM fx_customers c WHERE c.contract IS NOT NULL AND c.customer_id = t.customer_id)"""
+
+_CLEANED_COLS = ["customer_id", "gender", "senior_citizen", "partner", "dependents", "tenure_months", "phone_service",
+                 "multiple_lines", "internet_service", "online_security", "online_backup", "device_protection",
+                 "tech_support", "streaming_tv", "streaming_movies", "contract", "churn_value", "monthly_charges",
+                 "payment_method", "paperless_billing", "support_ticket_count", "total_charges"]
+ORACLE["null_counts"] = with_("cleaned") + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_missing FROM cleaned" for c in _CLEANED_COLS)
+
+
+def _validate_sql() -> str:
+    from ebbflow.operators.quality import scoring_rules
+    checks = []
+    for c, lo, hi, required in scoring_rules(S.FEATURE_COLUMNS):
+        x = "coalesce(support_ticket_count, 0)" if c == "support_ticket_count" else c
+        if required:
+            checks.append(f"CASE WHEN {x} IS NULL THEN '{c}: missing' END")
+        if lo is not None:
+            checks.append(f"CASE WHEN {x} < {lo} THEN '{c}: below {lo}' END")
+        if hi is not None:
+            checks.append(f"CASE WHEN {x} > {hi} THEN '{c}: above {hi}' END")
+    arr = "list_filter([" + ", ".join(checks) + "], lambda v: v IS NOT NULL)"
+    code = {c: f"coalesce((SELECT k.code FROM cats k WHERE k.column_name = '{c}' AND k.val = x.{c}), -1)"
+            for c in S.CATEGORICAL_COLUMNS}
+    expr = {"gender": "CASE x.gender WHEN 'Female' THEN 0 WHEN 'Male' THEN 1 END", "senior_citizen": "x.senior_citizen",
+            "tenure_months": "x.tenure_months", "monthly_charges": "x.monthly_charges", "total_charges": "x.total_charges",
+            "support_ticket_count": "x.support_ticket_count",
+            "average_charges": ("round_even((CASE WHEN x.tenure_months > 0 THEN x.total_charges / x.tenure_months "
+                                "ELSE x.monthly_charges END) * 100, 0) / 100"),
+            "high_value_customer": "CASE WHEN x.monthly_charges > (SELECT thr FROM threshold) THEN 1 ELSE 0 END"}
+    for c in S.BINARY_COLUMNS:
+        expr[c] = f"CASE x.{c} WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 WHEN 'No phone service' THEN 0 WHEN 'No internet service' THEN 0 END"
+    expr.update(code)
+    sel = ", ".join(f"{expr[c]} AS {c}" for c in S.FEATURE_COLUMNS)
+    return with_("imputed", f"raw_rows AS (SELECT x.customer_id, {sel} FROM cleaned x)",
+                 f"checked AS (SELECT customer_id, {arr} AS v FROM raw_rows)") + """
+SELECT customer_id, len(v) = 0 AS is_valid, CAST(len(v) AS INTEGER) AS n_violations, array_to_string(v, ';') AS violations
+FROM checked"""
+
+
+ORACLE["validate_inputs"] = _validate_sql()
+
+_VC_COLS = ["gender"] + S.BINARY_COLUMNS + S.CATEGORICAL_COLUMNS
+_VC = f"""
+vc AS (
+  SELECT column_name, val AS value, count(*) AS n
+  FROM (UNPIVOT (SELECT {", ".join(_VC_COLS)} FROM cleaned) ON {", ".join(_VC_COLS)} INTO NAME column_name VALUE val)
+  GROUP BY ALL),
+vcs AS (SELECT column_name, value, n, n / sum(n) OVER (PARTITION BY column_name) AS share FROM vc)"""
+
+ORACLE["dominant_columns"] = with_("cleaned", _VC) + """
+SELECT column_name AS "column", value AS top_value, share AS top_share, share >= 0.9 AS dominant
+FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY share DESC, value) AS rn FROM vcs) WHERE rn = 1"""
+
+# --- KPIs and exploration ----------------------------------------------------------------
+
+ORACLE["churn_kpis"] = with_("feature_table") + """
+SELECT count(*) AS total, CAST(coalesce(sum(churn_value), 0) AS BIGINT) AS churned,
+  count(*) - CAST(coalesce(sum(churn_value), 0) AS BIGINT) AS retained,
+  CAST(sum(churn_value) AS DOUBLE) / count(*) AS churn_rate,
+  sum(churn_value) * 100.0 / count(*) AS churn_rate_pct
+FROM feature_table"""
+
+ORACLE["churn_by_value_tier"] = with_("feature_table") + """
+SELECT tier, count(*) AS n_customers, avg(CAST(churn_value AS DOUBLE)) AS churn_rate,
+  round_even(avg(CAST(churn_value AS DOUBLE)) * 100 * 10, 0) / 10 AS churn_rate_pct
+FROM (SELECT CASE high_value_customer WHEN 0 THEN 'Standard' WHEN 1 THEN 'High Value' ELSE 'Unknown' END AS tier,
+             churn_value FROM feature_table)
+GROUP BY tier"""
+
+ORACLE["value_counts"] = with_("cleaned", _VC) + 'SELECT column_name AS "column", value, n, share FROM vcs'
+
+_CORR = ["tenure_months", "monthly_charges", "total_charges", "average_charges", "churn_value"]
+ORACLE["correlation_matrix"] = with_("feature_table") + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round_even(covar_pop({a}, {b}) / nullif(stddev_pop({a}) * stddev_pop({b}), 0) "
+    f"* 100, 0) / 100 AS corr FROM feature_table" for a in _CORR for b in _CORR)
+
+
+def _hist(col: str) -> str:
+    return with_("feature_table", f"""
+rng AS (SELECT churn_value, min({col}) AS mn, max({col}) AS mx FROM feature_table WHERE {col} IS NOT NULL GROUP BY churn_value),
+grid AS (SELECT r.churn_value, r.mn, r.mx, CAST(b.bin AS INTEGER) AS bin
+         FROM rng r, LATERAL (SELECT unnest(range(0, CASE WHEN r.mx = r.mn THEN 1 ELSE 30 END)) AS bin) b),
+binned AS (
+  SELECT f.churn_value, CAST(CASE WHEN r.mx = r.mn THEN 0 ELSE least(floor((f.{col} - r.mn) / (r.mx - r.mn) * 30), 29) END
+         AS INTEGER) AS bin, count(*) AS n
+  FROM feature_table f JOIN rng r ON f.churn_value = r.churn_value WHERE f.{col} IS NOT NULL GROUP BY ALL)""") + """
+SELECT g.churn_value, g.bin,
+  round(g.mn + g.bin * (CASE WHEN g.mx = g.mn THEN 0.0 ELSE (g.mx - g.mn) / 30 END), 6) AS bin_start,
+  round(CASE WHEN g.mx = g.mn THEN g.mx ELSE g.mn + (g.bin + 1) * ((g.mx - g.mn) / 30) END, 6) AS bin_end,
+  coalesce(b.n, 0) AS n
+FROM grid g LEFT JOIN binned b ON g.churn_value = b.churn_value AND g.bin = b.bin"""
+
+
+ORACLE["hist_tenure"] = _hist("tenure_months")
+ORACLE["hist_monthly"] = _hist("monthly_charges")
+
+
+def _box(col: str) -> str:
+    return with_("feature_table", f"""
+q AS (SELECT churn_value, quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.5) AS median,
+             quantile_cont({col}, 0.75) AS q3 FROM feature_table WHERE {col} IS NOT NULL GROUP BY churn_value),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)""") + f"""
+SELECT f.churn_value, round(f.q1, 6) AS q1, round(f.median, 6) AS median, round(f.q3, 6) AS q3, round(f.iqr, 6) AS iqr,
+  round(f.lower_fence, 6) AS lower_fence, round(f.upper_fence, 6) AS upper_fence,
+  round(min(CASE WHEN x.{col} BETWEEN f.lower_fence AND f.upper_fence THEN x.{col} END), 6) AS whisker_low,
+  round(max(CASE WHEN x.{col} BETWEEN f.lower_fence AND f.upper_fence THEN x.{col} END), 6) AS whisker_high,
+  count(*) FILTER (WHERE NOT (x.{col} BETWEEN f.lower_fence AND f.upper_fence)) AS n_outliers, count(*) AS n
+FROM feature_table x JOIN f ON x.churn_value = f.churn_value WHERE x.{col} IS NOT NULL
+GROUP BY f.churn_value, f.q1, f.median, f.q3, f.iqr, f.lower_fence, f.upper_fence"""
+
+
+ORACLE["box_tenure"] = _box("tenure_months")
+ORACLE["box_average_charges"] = _box("average_charges")
+
+ORACLE["mean_ci_by_class"] = with_("feature_table") + """
+SELECT churn_value, count(monthly_charges) AS n, round(avg(monthly_charges), 6) AS mean,
+  round(stddev_samp(monthly_charges), 6) AS sd,
+  round(avg(monthly_charges) - 1.96 * stddev_samp(monthly_charges) / sqrt(count(monthly_charges)), 6) AS ci_low,
+  round(avg(monthly_charges) + 1.96 * stddev_samp(monthly_charges) / sqrt(count(monthly_charges)), 6) AS ci_high
+FROM feature_table GROUP BY churn_value"""
+
+ORACLE["density_curve"] = with_("feature_table", """
+base AS (SELECT CAST(churn_value AS INTEGER) AS grp, average_charges AS v FROM feature_table WHERE average_charges IS NOT NULL
+         UNION ALL SELECT -1, average_charges FROM feature_table WHERE average_charges IS NOT NULL),
+st AS (SELECT grp, count(*) AS n, min(v) AS mn, max(v) AS mx, stddev_samp(v) AS sd,
+              stddev_samp(v) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM base GROUP BY grp),
+st2 AS (SELECT * FROM st WHERE h > 0),
+binned AS (SELECT b.grp, CAST(least(floor((b.v - s.mn) / (s.mx - s.mn) * 512), 511) AS INTEGER) AS bk, count(*) AS c
+           FROM base b JOIN st2 s ON b.grp = s.grp GROUP BY ALL),
+contrib AS (
+  SELECT s.grp, k.k, s.n, s.h, s.mn, s.mx,
+    b.c * exp(-0.5 * pow((((s.mn - 3.0 * s.h) + k.k * (((s.mx + 3.0 * s.h) - (s.mn - 3.0 * s.h)) / 199))
+                          - (s.mn + (b.bk + 0.5) * (s.mx - s.mn) / 512)) / s.h, 2)) AS w
+  FROM binned b JOIN st2 s ON b.grp = s.grp, (SELECT unnest(range(0, 200)) AS k) k)""") + """
+SELECT grp AS churn_value, CAST(k AS INTEGER) AS k,
+  round(mn - 3.0 * h + k * ((mx + 3.0 * h) - (mn - 3.0 * h)) / 199, 6) AS x,
+  round(sum(w) / (n * h * 2.5066282746310002) * (mx - mn), 6) AS density_scaled
+FROM contrib GROUP BY grp, k, n, h, mn, mx"""
+
+ORACLE["pair_bins"] = with_("feature_table", """
+r AS (SELECT min(tenure_months) AS xmn, max(tenure_months) AS xmx, min(monthly_charges) AS ymn,
+             max(monthly_charges) AS ymx FROM feature_table)""") + """
+SELECT churn_value,
+  CAST(least(floor((tenure_months - xmn) / (xmx - xmn) * 20), 19) AS INTEGER) AS bin_x,
+  CAST(least(floor((monthly_charges - ymn) / (ymx - ymn) * 20), 19) AS INTEGER) AS bin_y,
+  count(*) AS n
+FROM feature_table, r WHERE tenure_months IS NOT NULL AND monthly_charges IS NOT NULL GROUP BY ALL"""
+
+ORACLE["churn_share"] = with_("feature_table") + """
+SELECT churn_label, count(*) AS n, count(*) / sum(count(*)) OVER () AS share
+FROM (SELECT CASE churn_value WHEN 0 THEN 'Retained' WHEN 1 THEN 'Churned' ELSE 'Unknown' END AS churn_label
+      FROM feature_table) GROUP BY churn_label"""
+
+ORACLE["preview_rows"] = with_("feature_table") + "SELECT * FROM feature_table ORDER BY customer_id LIMIT 20"
+
+
+def _profile_sql() -> str:
+    types = {"customer_id": "bigint", "tenure_months": "double", "monthly_charges": "double", "total_charges": "double",
+             "average_charges": "double", "support_ticket_count": "bigint"}
+    cols = ["customer_id"] + S.FEATURE_COLUMNS + [S.TARGET]
+    vals = ", ".join(f"({i}, '{c}', '{types.get(c, 'int')}')" for i, c in enumerate(cols))
+    return with_("feature_table") + f"""
+SELECT CAST(v.position AS INTEGER) AS position, v.column_name AS "column", v.type_name AS type,
+       (SELECT count(*) FROM feature_table) AS n_rows
+FROM (VALUES {vals}) v(position, column_name, type_name)"""
+
+
+ORACLE["profile_columns"] = _profile_sql()
