@@ -346,3 +346,135 @@ def preview_rows(spark, sf_dir):
 @register
 def profile_columns(spark, sf_dir):
     return EX.profile(churn.feature_table(spark, sf_dir))
+
+
+# --- M1-M4: split, folds, scaling, weights -----------------------------------------------
+
+@register
+def stratified_split(spark, sf_dir):
+    return churn.split_table(spark, sf_dir).select(S.KEY, S.TARGET, "split")
+
+
+@register
+def fold_assign(spark, sf_dir):
+    return churn.split_table(spark, sf_dir).where(F.col("split") == "train").select(S.KEY, S.TARGET, "fold")
+
+
+@register
+def standardize(spark, sf_dir):
+    from ebbflow.operators.split import standardize as op
+    st = churn.split_table(spark, sf_dir)
+    z = op(st, S.FEATURE_COLUMNS, fit_on=F.col("split") == "train")
+    return z.select(S.KEY, *[F.round(F.col(c).cast("double"), 6).alias(c) for c in S.FEATURE_COLUMNS])
+
+
+@register
+def class_weights(spark, sf_dir):
+    from ebbflow.operators.split import class_weights as op
+    return _r6(op(churn.split_table(spark, sf_dir).where(F.col("split") == "train")))
+
+
+# --- E1-E10, M13: evaluation -------------------------------------------------------------
+
+def _test_preds(spark, sf_dir):
+    return churn.predictions(spark, sf_dir)
+
+
+@register
+def roc_auc(spark, sf_dir):
+    from ebbflow.operators.evaluate import roc_auc as op
+    return _r6(op(_test_preds(spark, sf_dir)))
+
+
+@register
+def classification_metrics(spark, sf_dir):
+    from ebbflow.operators.evaluate import classification_metrics as op
+    return _r6(op(_test_preds(spark, sf_dir)))
+
+
+@register
+def confusion_matrix(spark, sf_dir):
+    from ebbflow.operators.evaluate import confusion_counts as op
+    return op(_test_preds(spark, sf_dir))
+
+
+@register
+def classification_report(spark, sf_dir):
+    from ebbflow.operators.evaluate import classification_report as op
+    return _r6(op(_test_preds(spark, sf_dir)))
+
+
+@register
+def pr_curve(spark, sf_dir):
+    from ebbflow.operators.evaluate import pr_curve as op
+    return _r6(op(_test_preds(spark, sf_dir)).select("threshold", "tp", "fp", "precision", "recall", "f1"))
+
+
+@register
+def average_precision(spark, sf_dir):
+    from ebbflow.operators.evaluate import average_precision as op
+    return _r6(op(_test_preds(spark, sf_dir)))
+
+
+@register
+def best_threshold(spark, sf_dir):
+    from ebbflow.operators.evaluate import best_threshold as op
+    return _r6(op(_test_preds(spark, sf_dir)))
+
+
+@register
+def threshold_sweep(spark, sf_dir):
+    from ebbflow.operators.evaluate import threshold_sweep as op
+    return _r6(op(_test_preds(spark, sf_dir)))
+
+
+@register
+def evaluation_report(spark, sf_dir):
+    from ebbflow.operators.evaluate import evaluation_report as op
+    return op(_test_preds(spark, sf_dir))
+
+
+@register
+def cv_scores(spark, sf_dir):
+    """M13 for the fixed scorer: per-fold AUC on the training folds, mean and std."""
+    from ebbflow.operators.evaluate import cv_summary
+    return _r6(cv_summary(churn.predictions(spark, sf_dir, split="train")))
+
+
+# --- M15, P13-P15, P20, U1, A19: scoring -------------------------------------------------
+
+def _scored(spark, sf_dir):
+    from ebbflow.operators.scoring import row_index, score_records
+    preds = churn.predictions(spark, sf_dir)
+    return score_records(row_index(preds, "id"))
+
+
+@register
+def score_batch(spark, sf_dir):
+    return _scored(spark, sf_dir).select(F.col("id").alias(S.KEY), "customer_index", "churn_prediction",
+                                         "churn_probability", "churn_risk_level", "message")
+
+
+@register
+def risk_bands(spark, sf_dir):
+    from ebbflow.functions.scalar import risk_level, risk_message
+    preds = churn.predictions(spark, sf_dir)
+    return preds.select(F.col("id").alias(S.KEY), "probability", risk_level("probability").alias("churn_risk_level"),
+                        risk_message("prediction", batch=False).alias("message"))
+
+
+@register
+def batch_summary(spark, sf_dir):
+    from ebbflow.operators.scoring import batch_summary as op
+    return op(churn.predictions(spark, sf_dir))
+
+
+@register
+def concat_batches(spark, sf_dir):
+    """The month's arrivals come as one batch per contract code; concatenated by name."""
+    from ebbflow.operators.scoring import concat_batches as op
+    ft = churn.feature_table(spark, sf_dir)
+    codes = list(range(len(churn.feature_params(spark, sf_dir).categories.get("contract") or [])))
+    batches = [ft.where(F.col("contract") == c).withColumn("batch", F.lit(c)) for c in codes]
+    batches.append(ft.where(~F.col("contract").isin(codes)).withColumn("batch", F.lit(-1)))
+    return op(batches).select(S.KEY, "batch", "contract", S.TARGET)

@@ -54,3 +54,29 @@ def feature_params(spark: SparkSession, sf_dir: str) -> FE.FeatureParams:
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one encoded feature row per (customer, billing tuple), model column order."""
     return FE.transform(cleaned(spark, sf_dir), feature_params(spark, sf_dir))
+
+
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature table + ``split`` / ``fold`` columns (M1, M2)."""
+    from ebbflow.operators.split import split_assign
+    return split_assign(feature_table(spark, sf_dir))
+
+
+def predictions(spark: SparkSession, sf_dir: str, scorer=None, split: str = "test") -> DataFrame:
+    """Scored rows of one split with a (fixed or fitted) linear scorer."""
+    from ebbflow.operators.scoring import BASELINE_SCORER, score
+    rows = split_table(spark, sf_dir).where(F.col("split") == split)
+    return score(rows, scorer or BASELINE_SCORER)
+
+
+def all_model_predictions(spark: SparkSession, sf_dir: str, split: str = "test", scorers=None) -> DataFrame:
+    """Predictions of several scorers, tagged by ``model``, from one scan of the split rows."""
+    from ebbflow.operators.scoring import SCORERS
+    rows = split_table(spark, sf_dir).where(F.col("split") == split)
+    scorers = scorers or SCORERS
+    tagged = rows.select("*", F.explode(F.array(*[F.lit(s.name) for s in scorers])).alias("model"))
+    prob = None
+    for s in scorers:
+        prob = F.when(F.col("model") == s.name, s.probability()) if prob is None else prob.when(F.col("model") == s.name, s.probability())
+    return tagged.select("model", F.col(S.KEY).alias("id"), F.col(S.TARGET).cast("int").alias("label"),
+                         prob.alias("probability"), (prob >= 0.5).cast("int").alias("prediction"), "fold")

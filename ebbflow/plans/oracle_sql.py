@@ -366,3 +366,169 @@ FROM (VALUES {vals}) v(position, column_name, type_name)"""
 
 
 ORACLE["profile_columns"] = _profile_sql()
+
+# --- split, folds, scaling, weights ------------------------------------------------------
+
+SPLIT = """
+ranked AS (
+  SELECT f.*, row_number() OVER (PARTITION BY churn_value
+           ORDER BY md5(CAST(customer_id AS VARCHAR) || '-42') || ':' || CAST(customer_id AS VARCHAR)) - 1 AS rk
+  FROM feature_table f),
+cnt AS (SELECT churn_value, count(*) AS n_c FROM feature_table GROUP BY churn_value),
+tot AS (SELECT sum(n_c) AS n, CAST(ceil(CAST(0.2 AS DOUBLE) * sum(n_c)) AS BIGINT) AS n_test FROM cnt),
+tr AS (SELECT c.churn_value, c.n_c, CAST(c.n_c * (t.n - t.n_test) AS DOUBLE) / t.n AS cont, t.n - t.n_test AS draws
+       FROM cnt c, tot t),
+tr2 AS (SELECT *, floor(cont) AS fl, cont - floor(cont) AS rem FROM tr),
+tr3 AS (SELECT churn_value, n_c, CAST(fl AS BIGINT) + CASE WHEN row_number() OVER (ORDER BY rem DESC, churn_value)
+               <= draws - sum(fl) OVER () THEN 1 ELSE 0 END AS n_train FROM tr2),
+te AS (SELECT r.churn_value, r.n_train, r.n_c - r.n_train AS left_c, t.n_test,
+              CAST((r.n_c - r.n_train) * t.n_test AS DOUBLE) / sum(r.n_c - r.n_train) OVER () AS cont
+       FROM tr3 r, tot t),
+te2 AS (SELECT *, floor(cont) AS fl, cont - floor(cont) AS rem FROM te),
+alloc AS (SELECT churn_value, n_train, CAST(fl AS BIGINT) + CASE WHEN row_number() OVER (ORDER BY rem DESC, churn_value)
+                 <= n_test - sum(fl) OVER () THEN 1 ELSE 0 END AS n_test_c FROM te2),
+split_table AS (
+  SELECT r.*, CASE WHEN r.rk < a.n_test_c THEN 'test' ELSE 'train' END AS split,
+         CASE WHEN r.rk >= a.n_test_c THEN CAST(floor((r.rk - a.n_test_c) * 5 / a.n_train) AS INTEGER) END AS fold
+  FROM ranked r JOIN alloc a ON r.churn_value = a.churn_value)"""
+
+
+def _scorer_sql():
+    from ebbflow.operators.scoring import BASELINE_SCORER
+    return BASELINE_SCORER.sql()
+
+
+def _preds(split: str = "test") -> str:
+    p = _scorer_sql()
+    return f"""
+preds AS (
+  SELECT customer_id AS id, churn_value AS label, {p} AS probability, CAST({p} >= 0.5 AS INTEGER) AS prediction, fold
+  FROM split_table WHERE split = '{split}')"""
+
+
+ORACLE["stratified_split"] = with_("feature_table", SPLIT) + "SELECT customer_id, churn_value, split FROM split_table"
+ORACLE["fold_assign"] = with_("feature_table", SPLIT) + \
+    "SELECT customer_id, churn_value, fold FROM split_table WHERE split = 'train'"
+
+
+def _standardize_sql():
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in S.FEATURE_COLUMNS)
+    sel = ", ".join(f"round((x.{c} - s.m_{c}) / (CASE WHEN s.s_{c} = 0 OR s.s_{c} IS NULL THEN 1.0 ELSE s.s_{c} END), 6) AS {c}"
+                    for c in S.FEATURE_COLUMNS)
+    return with_("feature_table", SPLIT, f"st AS (SELECT {stats} FROM split_table WHERE split = 'train')") + \
+        f"SELECT x.customer_id, {sel} FROM split_table x, st s"
+
+
+ORACLE["standardize"] = _standardize_sql()
+
+ORACLE["class_weights"] = with_("feature_table", SPLIT) + """
+SELECT churn_value, count(*) AS n_class, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
+FROM split_table WHERE split = 'train' GROUP BY churn_value"""
+
+# --- evaluation --------------------------------------------------------------------------
+
+CURVE = """
+st AS (SELECT probability, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg FROM preds GROUP BY probability),
+asc_c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY probability ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before FROM st),
+curve AS (
+  SELECT probability AS threshold,
+    CAST(sum(pos) OVER (ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS tp,
+    CAST(sum(neg) OVER (ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fp,
+    pos, sum(pos) OVER () AS n_pos FROM st),
+curve2 AS (
+  SELECT threshold, tp, fp, pos, n_pos, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
+         CASE WHEN n_pos = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / n_pos END AS recall FROM curve),
+curve3 AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-8) AS f1 FROM curve2)"""
+
+_EVAL = lambda *extra: with_("feature_table", SPLIT, _preds(), CURVE, *extra)
+
+_AUC = "(SELECT sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) FROM asc_c)"
+ORACLE["roc_auc"] = _EVAL() + f"SELECT round({_AUC}, 6) AS roc_auc"
+
+CM = """
+cm AS (SELECT count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn, count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+              count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp
+       FROM preds),
+met AS (SELECT *, CAST(tp + tn AS DOUBLE) / nullif(tp + tn + fp + fn, 0) AS accuracy,
+               coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) AS precision,
+               coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) AS recall,
+               coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0) AS f1_score FROM cm)"""
+
+ORACLE["classification_metrics"] = _EVAL(CM) + """
+SELECT tn, fp, fn, tp, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1_score, 6) AS f1_score FROM met"""
+ORACLE["confusion_matrix"] = _EVAL(CM) + "SELECT tn, fp, fn, tp FROM cm"
+
+ORACLE["classification_report"] = _EVAL(CM, """
+pc AS (SELECT coalesce(CAST(tn AS DOUBLE) / nullif(tn + fn, 0), 0.0) AS p0, coalesce(CAST(tn AS DOUBLE) / nullif(tn + fp, 0), 0.0) AS r0,
+              coalesce(CAST(2 * tn AS DOUBLE) / nullif(2 * tn + fn + fp, 0), 0.0) AS f0, CAST(tn + fp AS DOUBLE) AS s0,
+              precision AS p1, recall AS r1, f1_score AS f1, CAST(tp + fn AS DOUBLE) AS s1,
+              CAST(tn + fp + tp + fn AS DOUBLE) AS n, accuracy AS acc FROM met)""") + """
+SELECT 'Not Churned' AS class_name, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1_score, round(s0, 6) AS support FROM pc
+UNION ALL SELECT 'Churned', round(p1, 6), round(r1, 6), round(f1, 6), round(s1, 6) FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, round(acc, 6), round(n, 6) FROM pc
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), round(n, 6) FROM pc
+UNION ALL SELECT 'weighted avg', round((p0 * s0 + p1 * s1) / n, 6), round((r0 * s0 + r1 * s1) / n, 6),
+                 round((f0 * s0 + f1 * s1) / n, 6), round(n, 6) FROM pc"""
+
+ORACLE["pr_curve"] = _EVAL() + """
+SELECT round(threshold, 6) AS threshold, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1
+FROM curve3
+UNION ALL SELECT NULL, NULL, NULL, 1.0, 0.0, 0.0"""
+
+ORACLE["threshold_sweep"] = _EVAL() + """
+SELECT round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1
+FROM curve3"""
+
+_AP = "(SELECT sum(pos * precision) / nullif(max(n_pos), 0) FROM curve3)"
+ORACLE["average_precision"] = _EVAL() + f"SELECT round({_AP}, 6) AS avg_precision"
+
+BEST = """
+allpts AS (SELECT threshold, precision, recall, f1, 0 AS is_end FROM curve3
+           UNION ALL SELECT NULL, 1.0, 0.0, 0.0, 1),
+best AS (SELECT * FROM allpts ORDER BY f1 DESC, is_end, threshold LIMIT 1)"""
+ORACLE["best_threshold"] = _EVAL(BEST) + """
+SELECT round(coalesce(threshold, 0.5), 6) AS best_threshold, round(f1, 6) AS best_f1,
+       round(precision, 6) AS best_precision, round(recall, 6) AS best_recall FROM best"""
+
+ORACLE["evaluation_report"] = _EVAL(CM, BEST) + f"""
+SELECT (SELECT count(*) FROM preds) AS test_set_size, tn, fp, fn, tp,
+  round((SELECT avg(CAST(label AS DOUBLE)) FROM preds), 4) AS churn_rate, round({_AUC}, 4) AS roc_auc,
+  round(accuracy, 4) AS accuracy, round(f1_score, 4) AS f1_score, round(precision, 4) AS precision,
+  round(recall, 4) AS recall, round({_AP}, 4) AS avg_precision,
+  round((SELECT coalesce(threshold, 0.5) FROM best), 4) AS best_threshold,
+  round((SELECT f1 FROM best), 4) AS best_f1_threshold
+FROM met"""
+
+ORACLE["cv_scores"] = with_("feature_table", SPLIT, _preds("train"), """
+fst AS (SELECT fold, probability, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+        FROM preds GROUP BY fold, probability),
+fc AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY fold ORDER BY probability
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before FROM fst),
+fa AS (SELECT fold, sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS auc
+       FROM fc GROUP BY fold)""") + """
+SELECT count(*) AS n_folds, round(avg(auc), 6) AS cv_roc_auc_mean, round(stddev_pop(auc), 6) AS cv_roc_auc_std FROM fa"""
+
+# --- scoring -----------------------------------------------------------------------------
+
+_RISK = ("CASE WHEN probability >= 0.75 THEN 'High' WHEN probability >= 0.45 THEN 'Medium' ELSE 'Low' END")
+ORACLE["score_batch"] = _EVAL() + f"""
+SELECT id AS customer_id, row_number() OVER (ORDER BY id) - 1 AS customer_index, prediction AS churn_prediction,
+  round(probability, 4) AS churn_probability, {_RISK} AS churn_risk_level,
+  CASE WHEN prediction = 1 THEN 'Likely to churn.' ELSE 'Likely to stay.' END AS message
+FROM preds"""
+
+ORACLE["risk_bands"] = _EVAL() + f"""
+SELECT id AS customer_id, probability, {_RISK} AS churn_risk_level,
+  CASE WHEN prediction = 1 THEN 'Customer is likely to churn.' ELSE 'Customer is likely to stay.' END AS message
+FROM preds"""
+
+ORACLE["batch_summary"] = _EVAL() + """
+SELECT count(*) AS total_customers, CAST(coalesce(sum(prediction), 0) AS BIGINT) AS churned_count,
+  count(*) - CAST(coalesce(sum(prediction), 0) AS BIGINT) AS not_churned_count,
+  round(CAST(sum(prediction) AS DOUBLE) / nullif(count(*), 0), 4) AS churn_rate
+FROM preds"""
+
+ORACLE["concat_batches"] = with_("feature_table") + """
+SELECT customer_id, CASE WHEN contract IN (SELECT code FROM cats WHERE column_name = 'contract') THEN contract ELSE -1 END AS batch,
+       contract, churn_value FROM feature_table"""
