@@ -478,3 +478,59 @@ def concat_batches(spark, sf_dir):
     batches = [ft.where(F.col("contract") == c).withColumn("batch", F.lit(c)) for c in codes]
     batches.append(ft.where(~F.col("contract").isin(codes)).withColumn("batch", F.lit(-1)))
     return op(batches).select(S.KEY, "batch", "contract", S.TARGET)
+
+
+# --- M11, M13-M14, O1-O3, A18, A20, T1: models, ranking, run summary, stream ------------
+
+@register
+def knn_vote(spark, sf_dir):
+    """M11 (k=11, 1/distance weights, euclidean) on the embeddings' test split."""
+    return _r6(churn.knn_predictions(spark, sf_dir, k=11, weights="distance", metric="euclidean"))
+
+
+def _comparison(spark, sf_dir):
+    from ebbflow.operators.models import comparison_table, rank_models as rank
+    test = churn.all_model_predictions(spark, sf_dir, "test")
+    cv = churn.all_model_predictions(spark, sf_dir, "train")
+    return rank(comparison_table(test, cv))
+
+
+@register
+def rank_models(spark, sf_dir):
+    """M14 + O1 over the fixed scorers: test metrics, 5-fold CV mean/std, ranked."""
+    return _comparison(spark, sf_dir)
+
+
+@register
+def best_model(spark, sf_dir):
+    from ebbflow.operators.models import best_model as op
+    return op(_comparison(spark, sf_dir).drop("rank"))
+
+
+@register
+def best_marks(spark, sf_dir):
+    from ebbflow.operators.models import best_marks as op
+    return op(_comparison(spark, sf_dir))
+
+
+@register
+def run_summary(spark, sf_dir):
+    """Per-step statuses of one monthly run, derived from the step outputs."""
+    from ebbflow.plans.run import run_summary as op
+    return op(spark, sf_dir)
+
+
+@register
+def stream_score(spark, sf_dir):
+    """The test customers' un-encoded rows land as files; a Structured
+    Streaming query encodes, validates and scores them (equal to score_batch)."""
+    from ebbflow.plans.run import stream_score as op
+    return op(spark, sf_dir)
+
+
+@register
+def train_models(spark, sf_dir):
+    """M5/M12-M14 with MLlib (logistic regression family; rows-only check)."""
+    from ebbflow.operators.models import train_and_compare
+    table, _ = train_and_compare(churn.split_table(spark, sf_dir), which=["Logistic Regression"])
+    return table

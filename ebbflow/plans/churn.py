@@ -80,3 +80,19 @@ def all_model_predictions(spark: SparkSession, sf_dir: str, split: str = "test",
         prob = F.when(F.col("model") == s.name, s.probability()) if prob is None else prob.when(F.col("model") == s.name, s.probability())
     return tagged.select("model", F.col(S.KEY).alias("id"), F.col(S.TARGET).cast("int").alias("label"),
                          prob.alias("probability"), (prob >= 0.5).cast("int").alias("prediction"), "fold")
+
+
+def embedding_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings table with a stratified (by label) hash split."""
+    from ebbflow.operators.split import split_assign
+    from ebbflow.sources.tables import read_table
+    return split_assign(read_table(spark, sf_dir, "embeddings"), key="vec_id", label="label")
+
+
+def knn_predictions(spark: SparkSession, sf_dir: str, k: int = 11, weights: str = "distance",
+                    metric: str = "euclidean") -> DataFrame:
+    from ebbflow.operators.knn import knn_classify
+    e = embedding_split(spark, sf_dir)
+    test = e.where(F.col("split") == "test")
+    pred = knn_classify(e.where(F.col("split") == "train"), test, k=k, weights=weights, metric=metric)
+    return test.select(F.col("vec_id"), F.col("label")).join(pred.withColumnRenamed("qid", "vec_id"), "vec_id")

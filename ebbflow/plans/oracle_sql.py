@@ -369,28 +369,34 @@ ORACLE["profile_columns"] = _profile_sql()
 
 # --- split, folds, scaling, weights ------------------------------------------------------
 
-SPLIT = """
-ranked AS (
-  SELECT f.*, row_number() OVER (PARTITION BY churn_value
-           ORDER BY md5(CAST(customer_id AS VARCHAR) || '-42') || ':' || CAST(customer_id AS VARCHAR)) - 1 AS rk
-  FROM feature_table f),
-cnt AS (SELECT churn_value, count(*) AS n_c FROM feature_table GROUP BY churn_value),
-tot AS (SELECT sum(n_c) AS n, CAST(ceil(CAST(0.2 AS DOUBLE) * sum(n_c)) AS BIGINT) AS n_test FROM cnt),
-tr AS (SELECT c.churn_value, c.n_c, CAST(c.n_c * (t.n - t.n_test) AS DOUBLE) / t.n AS cont, t.n - t.n_test AS draws
-       FROM cnt c, tot t),
-tr2 AS (SELECT *, floor(cont) AS fl, cont - floor(cont) AS rem FROM tr),
-tr3 AS (SELECT churn_value, n_c, CAST(fl AS BIGINT) + CASE WHEN row_number() OVER (ORDER BY rem DESC, churn_value)
-               <= draws - sum(fl) OVER () THEN 1 ELSE 0 END AS n_train FROM tr2),
-te AS (SELECT r.churn_value, r.n_train, r.n_c - r.n_train AS left_c, t.n_test,
+def split_sql(source: str = "feature_table", key: str = "customer_id", label: str = "churn_value",
+              out: str = "split_table", p: str = "") -> str:
+    """Stratified hash split (M1) and folds (M2) of ``source`` as CTEs; ``p`` prefixes helper names."""
+    return f"""
+{p}ranked AS (
+  SELECT f.*, row_number() OVER (PARTITION BY {label}
+           ORDER BY md5(CAST({key} AS VARCHAR) || '-42') || ':' || CAST({key} AS VARCHAR)) - 1 AS rk
+  FROM {source} f),
+{p}cnt AS (SELECT {label} AS lab, count(*) AS n_c FROM {source} GROUP BY {label}),
+{p}tot AS (SELECT sum(n_c) AS n, CAST(ceil(CAST(0.2 AS DOUBLE) * sum(n_c)) AS BIGINT) AS n_test FROM {p}cnt),
+{p}tr AS (SELECT c.lab, c.n_c, CAST(c.n_c * (t.n - t.n_test) AS DOUBLE) / t.n AS cont, t.n - t.n_test AS draws
+       FROM {p}cnt c, {p}tot t),
+{p}tr2 AS (SELECT *, floor(cont) AS fl, cont - floor(cont) AS rem FROM {p}tr),
+{p}tr3 AS (SELECT lab, n_c, CAST(fl AS BIGINT) + CASE WHEN row_number() OVER (ORDER BY rem DESC, lab)
+               <= draws - sum(fl) OVER () THEN 1 ELSE 0 END AS n_train FROM {p}tr2),
+{p}te AS (SELECT r.lab, r.n_train, t.n_test,
               CAST((r.n_c - r.n_train) * t.n_test AS DOUBLE) / sum(r.n_c - r.n_train) OVER () AS cont
-       FROM tr3 r, tot t),
-te2 AS (SELECT *, floor(cont) AS fl, cont - floor(cont) AS rem FROM te),
-alloc AS (SELECT churn_value, n_train, CAST(fl AS BIGINT) + CASE WHEN row_number() OVER (ORDER BY rem DESC, churn_value)
-                 <= n_test - sum(fl) OVER () THEN 1 ELSE 0 END AS n_test_c FROM te2),
-split_table AS (
+       FROM {p}tr3 r, {p}tot t),
+{p}te2 AS (SELECT *, floor(cont) AS fl, cont - floor(cont) AS rem FROM {p}te),
+{p}alloc AS (SELECT lab, n_train, CAST(fl AS BIGINT) + CASE WHEN row_number() OVER (ORDER BY rem DESC, lab)
+                 <= n_test - sum(fl) OVER () THEN 1 ELSE 0 END AS n_test_c FROM {p}te2),
+{out} AS (
   SELECT r.*, CASE WHEN r.rk < a.n_test_c THEN 'test' ELSE 'train' END AS split,
          CASE WHEN r.rk >= a.n_test_c THEN CAST(floor((r.rk - a.n_test_c) * 5 / a.n_train) AS INTEGER) END AS fold
-  FROM ranked r JOIN alloc a ON r.churn_value = a.churn_value)"""
+  FROM {p}ranked r JOIN {p}alloc a ON r.{label} = a.lab)"""
+
+
+SPLIT = split_sql()
 
 
 def _scorer_sql():
@@ -532,3 +538,98 @@ FROM preds"""
 ORACLE["concat_batches"] = with_("feature_table") + """
 SELECT customer_id, CASE WHEN contract IN (SELECT code FROM cats WHERE column_name = 'contract') THEN contract ELSE -1 END AS batch,
        contract, churn_value FROM feature_table"""
+
+# --- KNN, model ranking, run summary, stream --------------------------------------------
+
+ORACLE["knn_vote"] = "WITH " + split_sql("embeddings", "vec_id", "label", "emb_split", "e_")[1:] + """,
+q AS (SELECT vec_id, embedding, label FROM emb_split WHERE split = 'test'),
+t AS (SELECT vec_id, embedding, label FROM emb_split WHERE split = 'train'),
+pairs AS (
+  SELECT q.vec_id AS qid, t.vec_id AS nid, t.label AS nlabel,
+    sqrt(list_sum(list_transform(range(1, len(q.embedding) + 1),
+         lambda i: (CAST(q.embedding[i] AS DOUBLE) - CAST(t.embedding[i] AS DOUBLE)) ** 2))) AS dist
+  FROM q, t),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, nid) AS rn FROM pairs) WHERE rn <= 11),
+wz AS (SELECT *, max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY qid) AS has_zero FROM nn),
+per AS (SELECT qid, nlabel, sum(CASE WHEN has_zero = 1 THEN CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / dist END) AS score,
+               count(*) AS votes FROM wz GROUP BY qid, nlabel),
+tot AS (SELECT qid, sum(score) AS total FROM per GROUP BY qid),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, nlabel) AS r FROM per) WHERE r = 1)
+SELECT q.vec_id, q.label, b.nlabel AS predicted, b.votes, round(b.score / t.total, 6) AS vote_share
+FROM q JOIN best b ON q.vec_id = b.qid JOIN tot t ON t.qid = q.vec_id"""
+
+
+def _all_preds() -> str:
+    from ebbflow.operators.scoring import SCORERS
+    parts = []
+    for s in SCORERS:
+        p = s.sql()
+        parts.append(f"SELECT '{s.name}' AS model, customer_id AS id, churn_value AS label, {p} AS probability, "
+                     f"CAST({p} >= 0.5 AS INTEGER) AS prediction, fold, split FROM split_table")
+    return "allp AS (" + "\nUNION ALL ".join(parts) + ")"
+
+
+COMPARISON = """
+mst AS (SELECT model, probability, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+        FROM allp WHERE split = 'test' GROUP BY model, probability),
+mc AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY probability
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before FROM mst),
+mauc AS (SELECT model, sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS roc_auc
+         FROM mc GROUP BY model),
+mcm AS (SELECT model, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+               count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+               count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+               count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp
+        FROM allp WHERE split = 'test' GROUP BY model),
+mmet AS (SELECT model, CAST(tp + tn AS DOUBLE) / nullif(tp + tn + fp + fn, 0) AS accuracy,
+                coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) AS precision,
+                coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) AS recall,
+                coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0) AS f1_score FROM mcm),
+fst AS (SELECT model, fold, probability, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+        FROM allp WHERE split = 'train' GROUP BY model, fold, probability),
+fc AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model, fold ORDER BY probability
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before FROM fst),
+fa AS (SELECT model, fold, sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS auc
+       FROM fc GROUP BY model, fold),
+cvs AS (SELECT model, avg(auc) AS m, stddev_pop(auc) AS s FROM fa GROUP BY model),
+comparison AS (
+  SELECT a.model, round(a.roc_auc, 4) AS roc_auc, round(m.accuracy, 4) AS accuracy, round(m.f1_score, 4) AS f1_score,
+         round(m.precision, 4) AS precision, round(m.recall, 4) AS recall,
+         round(c.m, 4) AS cv_roc_auc_mean, round(c.s, 4) AS cv_roc_auc_std
+  FROM mauc a JOIN mmet m ON a.model = m.model LEFT JOIN cvs c ON a.model = c.model),
+ranked_models AS (SELECT *, row_number() OVER (ORDER BY roc_auc DESC, accuracy DESC, model) - 1 AS rank FROM comparison)"""
+
+_RANK = lambda *extra: with_("feature_table", SPLIT, _all_preds(), COMPARISON, *extra)
+ORACLE["rank_models"] = _RANK() + "SELECT * FROM ranked_models"
+ORACLE["best_model"] = _RANK() + "SELECT * EXCLUDE (rank) FROM ranked_models WHERE rank = 0"
+ORACLE["best_marks"] = _RANK() + """
+SELECT model, roc_auc = max(roc_auc) OVER () AS roc_auc_is_best, accuracy = max(accuracy) OVER () AS accuracy_is_best,
+       f1_score = max(f1_score) OVER () AS f1_score_is_best FROM ranked_models"""
+
+
+def _run_summary_sql() -> str:
+    cols = ["customer_id"] + S.FEATURE_COLUMNS + [S.TARGET]
+    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    return with_("feature_table", SPLIT, _preds(), _all_preds(), COMPARISON, f"""
+gate AS (SELECT CASE WHEN (SELECT count(*) FROM fx_customers) >= 1000 AND (SELECT count(*) FROM fx_payments) >= 1000
+                      AND (SELECT count(*) FROM fx_tickets) >= 1000 THEN 'passed' ELSE 'failed' END AS validation),
+fe AS (SELECT CASE WHEN count(*) > 0 AND ({nulls}) = 0 THEN 'success' ELSE 'failed' END AS feature_engineering
+       FROM feature_table),
+trn AS (SELECT CASE WHEN count(roc_auc) > 0 THEN 'success' ELSE 'failed' END AS model_training,
+              first(model) AS best_model, first(roc_auc) AS roc_auc, first(accuracy) AS accuracy
+       FROM ranked_models WHERE rank = 0),
+ev AS (SELECT CASE WHEN count(*) > 0 THEN 'success' ELSE 'failed' END AS model_evaluation FROM preds)""") + """
+SELECT (SELECT CAST(max(ts) AS DATE) FROM events) AS run_date, validation, feature_engineering, model_training,
+  model_evaluation, best_model, roc_auc, accuracy,
+  CASE WHEN validation IN ('success', 'passed') AND feature_engineering IN ('success', 'passed')
+        AND model_training IN ('success', 'passed') AND model_evaluation IN ('success', 'passed')
+       THEN 'SUCCESS' ELSE 'PARTIAL FAILURE' END AS overall_status
+FROM gate, fe, trn, ev"""
+
+
+ORACLE["run_summary"] = _run_summary_sql()
+
+ORACLE["stream_score"] = _EVAL() + f"""
+SELECT id AS customer_id, prediction AS churn_prediction, round(probability, 4) AS churn_probability,
+  {_RISK} AS churn_risk_level, CASE WHEN prediction = 1 THEN 'Likely to churn.' ELSE 'Likely to stay.' END AS message
+FROM preds"""
