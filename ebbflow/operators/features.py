@@ -82,46 +82,64 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 
 def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT) -> FeatureParams:
-    """Fit on a coerced frame (``coerce(drop_columns(features_base))``)."""
+    """Fit on a coerced frame (``coerce(drop_columns(features_base))``).
+
+    Four jobs over the (persisted) input: a sizing pass (row count, non-null
+    and approximate distinct counts), one exact percentile pass for every
+    median and the high-value threshold, a per-column summary of the
+    value-count table (distinct count and mode) and one read of the category
+    lists of the low-cardinality columns. The threshold needs its own pass only
+    when monthly charges have gaps (it is taken on the imputed column)."""
     numerical = _present(df, S.NUMERICAL_COLUMNS)
     categorical = _present(df, S.BINARY_COLUMNS + S.CATEGORICAL_COLUMNS)
-    encode = _present(df, S.CATEGORICAL_COLUMNS)
+    encode_cols = _present(df, S.CATEGORICAL_COLUMNS)
+    med_cols = numerical + ([S.TARGET] if S.TARGET in df.columns else [])
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        med_cols = numerical + ([S.TARGET] if S.TARGET in df.columns else [])
-        meds = stats.percentiles(cached, med_cols, [0.5], distinct_limit=distinct_limit) if med_cols else {}
-        medians = {c: meds[((), c)][0] for c in numerical}
-        target_median = meds[((), S.TARGET)][0] if S.TARGET in df.columns else None
+        size_row = cached.agg(F.count(F.lit(1)).alias("n_rows"),
+                              *[F.count(c).alias(f"n_{i}") for i, c in enumerate(med_cols)],
+                              *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(med_cols)]).first()
+        n_rows = size_row["n_rows"]
+        sizes = {c: (size_row[f"n_{i}"], size_row[f"d_{i}"]) for i, c in enumerate(med_cols)}
+        monthly_full = "monthly_charges" in df.columns and sizes["monthly_charges"][0] == n_rows
+        probs = [0.5, HIGH_VALUE_PERCENTILE] if monthly_full else [0.5]
+        q = stats.percentiles(cached, med_cols, probs, distinct_limit=distinct_limit, sizes=sizes) if med_cols else {}
+        medians = {c: q[((), c)][0] for c in numerical}
+        target_median = q[((), S.TARGET)][0] if S.TARGET in df.columns else None
 
         counts = stats.value_count_table(cached, categorical).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            mode_rows = stats.modes_from_counts(counts).collect()
+            summary = counts.groupBy("column").agg(
+                F.count(F.lit(1)).alias("k"),
+                F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value"))).alias("b")).collect()
             modes = {c: None for c in categorical}
-            modes.update({r["column"]: r["mode"] for r in mode_rows})
-            sizes = {r["column"]: r["k"] for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
-            categories, tables = {}, {}
-            for c in encode:
-                if sizes.get(c, 0) <= CATEGORY_LITERAL_LIMIT:
-                    vals = counts.where(F.col("column") == c).select("value").collect()
-                    categories[c] = sorted(r["value"] for r in vals)
-                else:
+            modes.update({r["column"]: r["b"]["value"] for r in summary})
+            k = {r["column"]: r["k"] for r in summary}
+            low = [c for c in encode_cols if k.get(c, 0) <= CATEGORY_LITERAL_LIMIT]
+            categories, tables = {c: [] for c in low}, {}
+            if low:
+                for r in counts.where(F.col("column").isin(low)).select("column", "value").collect():
+                    categories[r["column"]].append(r["value"])
+            categories = {c: sorted(v) for c, v in categories.items()}
+            for c in encode_cols:
+                if c not in low:
                     categories[c] = None
                     tables[c] = _write_code_table(counts, c)
         finally:
             counts.unpersist()
 
         threshold = None
-        n_rows = None
-        if "monthly_charges" in df.columns:
+        if monthly_full:
+            threshold = q[((), "monthly_charges")][1]
+        elif "monthly_charges" in df.columns:
             filled = cached.select(F.coalesce(F.col("monthly_charges"), F.lit(medians.get("monthly_charges")))
                                    .alias("monthly_charges"))
             threshold = stats.percentiles(filled, ["monthly_charges"], [HIGH_VALUE_PERCENTILE],
                                           distinct_limit=distinct_limit)[((), "monthly_charges")][0]
-        n_rows = cached.count()
     finally:
         cached.unpersist()
     return FeatureParams(medians=medians, modes=modes, target_median=target_median,
-                         high_value_threshold=threshold, categories=categories,
+                         high_value_threshold=threshold, categories={c: categories[c] for c in encode_cols},
                          category_tables=tables, n_rows=n_rows)
 
 

@@ -55,18 +55,26 @@ def percentiles(
     by: Sequence[str] = (),
     distinct_limit: int = DISTINCT_LIMIT,
     final_limit: int = FINAL_LIMIT,
+    sizes: dict | None = None,
 ) -> dict:
     """Exact percentiles of each column (NULLs ignored), optionally per group.
 
+    ``sizes`` ({column: (non-null count, approx distinct)}) lets a caller that
+    already sized the columns in its own pass skip the sizing job.
+
     Returns ``{(group_tuple, column): [value per prob]}``; a group with no
     non-null value gets ``None`` entries. The result is small (groups x columns
     x probs) and is meant to feed literals into a transform.
     """
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
-    sizing = df.groupBy(*by).agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-        *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)],
-    ).collect()
+    if sizes is not None and not by:
+        sizing = [{**{f"n_{i}": sizes[c][0] for i, c in enumerate(cols)},
+                   **{f"d_{i}": sizes[c][1] for i, c in enumerate(cols)}}]
+    else:
+        sizing = df.groupBy(*by).agg(
+            *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
+            *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)],
+        ).collect()
     out: dict = {}
     direct, hard = [], []
     for row in sizing:

@@ -63,3 +63,14 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and
+    return a scan of it: cuts the lineage (a lost executor re-reads files
+    instead of recomputing the joins) and keeps pushdown / pruning on reads."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/ebbflow-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

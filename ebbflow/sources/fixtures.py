@@ -20,14 +20,20 @@ def _internet_addon(nation: Column, cond: Column) -> Column:
     return F.when(nation % 3 == 0, F.lit("No internet service")).when(cond, "Yes").otherwise("No")
 
 
+def _orders_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One aggregation over orders per customer: the last order date (target) and
+    the fields of the first order (smallest key, the billing row). Both mapped
+    tables use this same plan, so Spark computes its shuffle once and reuses it."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.groupBy("o_custkey").agg(
+        F.max("o_orderdate").alias("last_order"),
+        F.min_by(F.struct("o_orderstatus", "o_orderpriority", "o_totalprice"), F.col("o_orderkey")).alias("first"),
+    )
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    # Last order per customer decides the target; aggregated before the join.
-    last = (
-        read_table(spark, sf_dir, "orders")
-        .groupBy("o_custkey")
-        .agg(F.max("o_orderdate").alias("last_order"))
-    )
+    last = _orders_by_customer(spark, sf_dir).select("o_custkey", "last_order")
     key, nat, bal, seg = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal"), F.col("c_mktsegment")
     no_phone = key % 10 == 7
     return (
@@ -67,9 +73,13 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _billing(o: DataFrame) -> DataFrame:
+def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payment row per customer: the customer's first order (smallest key)."""
+    f = _orders_by_customer(spark, sf_dir).select(
+        "o_custkey", F.col("first.o_orderstatus").alias("o_orderstatus"),
+        F.col("first.o_orderpriority").alias("o_orderpriority"), F.col("first.o_totalprice").alias("o_totalprice"))
     tenure = F.col("o_custkey") % 73
-    return o.select(
+    return f.select(
         F.col("o_custkey").alias("customer_id"),
         F.when(F.col("o_orderstatus") == "P", "Yes").otherwise("No").alias("paperless_billing"),
         F.col("o_orderpriority").alias("payment_method"),
@@ -80,15 +90,6 @@ def _billing(o: DataFrame) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payment row per customer: the customer's first order (smallest key)."""
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
-    )
-    first = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
-    return _billing(o.join(first.select("o_orderkey"), "o_orderkey", "left_semi"))
-
-
 def payments_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order is a payment row; the order status is the only billing column."""
     return read_table(spark, sf_dir, "orders").select(
