@@ -63,7 +63,7 @@ def histogram(df: DataFrame, col: str, by: str = S.TARGET, bins: int = 30) -> Da
     nb = F.when(width == 0, F.lit(1)).otherwise(F.lit(bins))
     # one row per (group, bin): groups are few, bins fixed -> a bounded frame
     grid = rng.select(by, "mn", "mx", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
-    x = df.where(F.col(col).isNotNull()).join(F.broadcast(rng), by)
+    x = df.where(F.col(col).isNotNull()).join(rng, by)  # one row per group; AQE broadcasts it when small
     binned = x.select(by, F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(col) - F.col("mn")) / width * bins), F.lit(bins - 1))).cast("int").alias("bin"))
     counts = binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
@@ -115,13 +115,13 @@ def density_curve(df: DataFrame, col: str, by: str = S.TARGET, bins: int = 512,
                                  F.stddev_samp("v").alias("sd"))
     st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).where(F.col("h") > 0)
     width = F.col("mx") - F.col("mn")
-    binned = (both.join(F.broadcast(st), "grp")
+    binned = (both.join(st, "grp")
               .select("grp", F.least(F.floor((F.col("v") - F.col("mn")) / width * bins), F.lit(bins - 1)).cast("int").alias("b"))
               .groupBy("grp", "b").agg(F.count(F.lit(1)).alias("c")))
     lo, hi = F.col("mn") - cut * F.col("h"), F.col("mx") + cut * F.col("h")
     step = (hi - lo) / (grid - 1)
     center = F.col("mn") + (F.col("b") + 0.5) * width / bins
-    contrib = (binned.join(F.broadcast(st), "grp")
+    contrib = (binned.join(st, "grp")
                .select("grp", "n", "h", "mn", "mx", F.posexplode(F.transform(
                    F.sequence(F.lit(0), F.lit(grid - 1)),
                    lambda k: F.col("c") * F.exp(-0.5 * F.pow(((lo + k * step) - center) / F.col("h"), 2)))).alias("k", "w")))

@@ -16,11 +16,11 @@ a third of all tickets is reduced to one row per task before any shuffle):
     support_ticket_count = coalesce(n_pay, 1) * coalesce(n_tick, 0)
 
 Skew: a customer may own very many *distinct* billing rows. The customer x
-n_pay side is therefore an INNER join of two shuffle stages (AQE can split a
-skewed partition of either side) plus an anti join against the distinct
-payment keys for customers without payments; the per-customer ticket count is
-joined last, with the (possibly skewed) union on the left of a left-outer join,
-the side AQE may split.
+n_pay part is an INNER join (AQE may split a skewed partition when both inputs
+are shuffle stages) with customers -- one row per key -- on the buffered side,
+so a hot key's rows are streamed, never buffered; customers without payments
+come from an anti join against the *distinct* payment keys. The per-customer
+ticket count (one row per key) is joined last, again on the buffered side.
 """
 
 from __future__ import annotations
@@ -45,7 +45,8 @@ def features_base(
     n_tick = tickets.groupBy(key).agg(F.count("ticket_id").alias("_n_tick"))
     pay_keys = n_pay.select(key).distinct()
 
-    matched = customers.join(n_pay, key, "inner")
+    # customers (one row per key) on the buffered side: a hot key's payment rows stream through
+    matched = n_pay.join(customers, key, "inner").select(*customers.columns, *billing, "_n_pay")
     unmatched = customers.join(pay_keys, key, "left_anti").select(
         "*",
         *[F.lit(None).cast(payments.schema[b].dataType).alias(b) for b in billing],

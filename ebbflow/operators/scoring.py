@@ -134,3 +134,20 @@ def scorer_from_lr(model, feature_cols: Sequence[str], name: str = "logistic_reg
 
 def weights_of(mapping: Mapping[str, float]) -> tuple[tuple[str, float], ...]:
     return tuple(mapping.items())
+
+
+def from_api_fields(df: DataFrame, feature_cols: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
+    """Rows named like the scoring API's fields (``Senior_Citizen``,
+    ``Support_Ticket_Count``, ...) renamed to the feature names and put in the
+    training order; an absent ticket count defaults to 0."""
+    by_lower = {c.lower(): c for c in df.columns}
+    cols = []
+    for c in feature_cols:
+        if c in by_lower:
+            cols.append(F.col(by_lower[c]).alias(c))
+        elif c == "support_ticket_count":
+            cols.append(F.lit(0).cast("long").alias(c))
+        else:
+            raise ValueError(f"missing scoring field: {c}")
+    keep = [F.col(by_lower[k]).alias(k) for k in (S.KEY.lower(),) if k in by_lower]
+    return df.select(*keep, *cols)

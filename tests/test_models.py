@@ -22,6 +22,7 @@ def test_rank_and_best_on_reference_table(spark):
     ranked = [r["model"] for r in M.rank_models(t).orderBy("rank").collect()]
     assert ranked == [r[0] for r in rows]
     assert M.best_model(t).first()["model"] == "Logistic Regression"
+    assert [r["model"] for r in M.sort_by_metric(t, "f1_score").collect()][:2] == ["KNN", "SVM"]
     marks = {r["model"]: r for r in M.best_marks(t).collect()}
     assert marks["Logistic Regression"]["roc_auc_is_best"] and marks["Random Forest"]["f1_score_is_best"]
     assert marks["Gradient Boosting"]["accuracy_is_best"] and marks["Random Forest"]["accuracy_is_best"]

@@ -51,3 +51,31 @@ def test_csv_and_params_roundtrip(spark):
     p = churn.feature_params(spark, SF_SMALL)
     io.save_params(spark, p, f"{root}/params")
     assert io.load_params(spark, f"{root}/params") == p
+
+
+def test_append_and_empty_batch_gate(spark):
+    from ebbflow.operators.quality import assert_not_empty
+    root = f"{ensure_checkpoint_dir(spark)}/io-{uuid.uuid4().hex}"
+    b = spark.createDataFrame([(1, 0.2)], "customer_id long, probability double")
+    io.append_table(b, f"{root}/scored")
+    io.append_table(b, f"{root}/scored")
+    assert spark.read.parquet(f"{root}/scored").count() == 2
+    import pytest
+    with pytest.raises(ValueError):
+        assert_not_empty(b.where("false"))
+    assert_not_empty(b)
+
+
+def test_api_fields_to_features(spark):
+    from ebbflow import schemas as S
+    from ebbflow.operators.scoring import from_api_fields
+    api = {"Gender": 1, "Senior_Citizen": 0, "Partner": 1, "Dependents": 0, "Tenure_Months": 24, "Phone_Service": 1,
+           "Multiple_Lines": 1, "Internet_Service": 1, "Online_Security": 0, "Online_Backup": 1, "Device_Protection": 0,
+           "Tech_Support": 0, "Streaming_Tv": 1, "Streaming_Movies": 1, "Contract": 0, "Paperless_Billing": 1,
+           "Payment_Method": 2, "Monthly_Charges": 85.5, "Total_Charges": 2052.0, "average_charges": 85.5,
+           "high_value_customer": 1}
+    df = spark.createDataFrame([tuple(api.values())], list(api))
+    out = from_api_fields(df)
+    assert out.columns == list(S.FEATURE_COLUMNS)
+    r = out.first()
+    assert r["support_ticket_count"] == 0 and r["tenure_months"] == 24 and r["payment_method"] == 2
