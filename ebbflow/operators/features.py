@@ -81,7 +81,7 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if c in have]
 
 
-def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT) -> FeatureParams:
+def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT, persist: bool = True) -> FeatureParams:
     """Fit on a coerced frame (``coerce(drop_columns(features_base))``).
 
     Four jobs over the (persisted) input: a sizing pass (row count, non-null
@@ -94,7 +94,7 @@ def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT) -> FeaturePar
     categorical = _present(df, S.BINARY_COLUMNS + S.CATEGORICAL_COLUMNS)
     encode_cols = _present(df, S.CATEGORICAL_COLUMNS)
     med_cols = numerical + ([S.TARGET] if S.TARGET in df.columns else [])
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     try:
         size_row = cached.agg(F.count(F.lit(1)).alias("n_rows"),
                               *[F.count(c).alias(f"n_{i}") for i, c in enumerate(med_cols)],
@@ -137,7 +137,8 @@ def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT) -> FeaturePar
             threshold = stats.percentiles(filled, ["monthly_charges"], [HIGH_VALUE_PERCENTILE],
                                           distinct_limit=distinct_limit)[((), "monthly_charges")][0]
     finally:
-        cached.unpersist()
+        if persist:
+            cached.unpersist()
     return FeatureParams(medians=medians, modes=modes, target_median=target_median,
                          high_value_threshold=threshold, categories={c: categories[c] for c in encode_cols},
                          category_tables=tables, n_rows=n_rows)

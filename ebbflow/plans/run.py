@@ -56,7 +56,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.when(ok, "SUCCESS").otherwise("PARTIAL FAILURE").alias("overall_status"))
 
 
-def stream_score(spark: SparkSession, sf_dir: str, n_files: int = 4) -> DataFrame:
+def stream_score(spark: SparkSession, sf_dir: str, n_files: int = 2) -> DataFrame:
     from ebbflow.operators.scoring import BASELINE_SCORER
     from ebbflow.streaming.score_stream import start_scoring_stream
     root = f"{ensure_checkpoint_dir(spark)}/ebbflow-stream-{uuid.uuid4().hex}"

@@ -67,7 +67,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(seg == "FURNITURE", "One year")
             .when(seg == "HOUSEHOLD", "Two year")
             .otherwise(F.lit(None).cast("string")).alias("contract"),
-            F.when(F.col("last_order") >= F.lit(CHURN_CUTOFF).cast("timestamp"), 0)
+            F.when(F.col("last_order") >= F.lit(CHURN_CUTOFF).cast("timestamp_ntz"), 0)
             .otherwise(1).cast("int").alias("churn_value"),
         )
     )
