@@ -106,10 +106,13 @@ def pr_curve(preds: DataFrame, by: Sequence[str] = (), score: str = "probability
     by = list(by)
     t = _score_table(preds, by, score, label)
     c = prefix_sums(t, score, ["pos", "neg"], score_bucket(score), partition_cols=by, descending=True)
-    w = Window.partitionBy(*by)
+    # positives per group: a small aggregate joined back (a window over all
+    # distinct scores of a group would run in one task)
+    totals = t.groupBy(*by).agg(F.sum("pos").alias("_n_pos"))
+    c = c.join(totals, by) if by else c.withColumn("_n_pos", F.lit(totals.first()["_n_pos"] or 0).cast("long"))
     tp = F.col("pos_before") + F.col("pos")
     fp = F.col("neg_before") + F.col("neg")
-    total_pos = F.sum("pos").over(w)
+    total_pos = F.col("_n_pos")
     prec = tp.cast("double") / (tp + fp)
     rec = F.when(total_pos == 0, F.lit(1.0)).otherwise(tp.cast("double") / total_pos)
     curve = c.select(*by, F.col(score).alias("threshold"), tp.alias("tp"), fp.alias("fp"), prec.alias("precision"),

@@ -35,7 +35,10 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, value, n, share) per column, missing excluded, shares of the column's total."""
     from ebbflow.operators.stats import value_count_table
     vc = value_count_table(df, cols)
-    return vc.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("column")))
+    # per-column totals as a small aggregate joined back (not a window: a column
+    # with many distinct values would land in one task)
+    totals = vc.groupBy("column").agg(F.sum("n").alias("_total"))
+    return vc.join(totals, "column").select("column", "value", "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
@@ -151,7 +154,8 @@ def pair_bins(df: DataFrame, x: str, y: str, by: str = S.TARGET, bins: int = 20)
 def share_of_total(df: DataFrame, key: str) -> DataFrame:
     """Count per category and its share of the total."""
     g = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    total = df.count()
+    return g.withColumn("share", F.col("n") / F.lit(total) if total else F.lit(None).cast("double"))
 
 
 def preview(df: DataFrame, key: str, n: int = 20) -> DataFrame:
