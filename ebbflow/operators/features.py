@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ebbflow import schemas as S
 from ebbflow.functions.scalar import coerce_numeric, flag_above, map_values, round_half_even
@@ -202,11 +202,12 @@ def _write_code_table(counts: DataFrame, c: str) -> str:
     """High-cardinality code map, written once to the shared checkpoint folder so
     that every later transform (batch or stream) reads the same fitted codes."""
     path = f"{ensure_checkpoint_dir(counts.sparkSession)}/ebbflow-codes-{c}-{uuid.uuid4().hex}"
-    (
-        counts.where(F.col("column") == c)
-        .select("value", (F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1).cast("int").alias("code"))
-        .write.mode("overwrite").parquet(path)
-    )
+    vals = counts.where(F.col("column") == c).select("value", F.lit(1).alias("_one"))
+    # code = number of smaller distinct values; strings order by their UTF-8 bytes,
+    # so the first two bytes are an order-preserving bucket for the parallel count
+    prefix = F.rpad(F.hex(F.substring(F.col("value").cast("binary"), 1, 2)), 4, "0")
+    coded = stats.prefix_sums(vals, "value", ["_one"], F.conv(prefix, 16, 10).cast("int"))
+    coded.select("value", F.col("_one_before").cast("int").alias("code")).write.mode("overwrite").parquet(path)
     return path
 
 

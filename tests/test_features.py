@@ -92,3 +92,14 @@ def test_high_cardinality_codes_by_join(spark, monkeypatch):
     assert p.categories["payment_method"] is None and "payment_method" in p.category_tables
     out = {r["customer_id"]: r["payment_method"] for r in FE.encode(df, p).collect()}
     assert out == {1: 2, 2: 1, 3: 2, 4: 0}
+
+
+def test_code_table_order_matches_sorted(spark):
+    from ebbflow.operators import stats
+    vals = ["b", "a", "ab", "Ä", "é", "", "a b", "zz", "Z", "ä", "aa", "a"]
+    df = spark.createDataFrame([(v,) for v in vals], "contract string")
+    counts = stats.value_count_table(df, ["contract"])
+    path = FE._write_code_table(counts, "contract")
+    got = {r["value"]: r["code"] for r in spark.read.parquet(path).collect()}
+    want = {v: i for i, v in enumerate(sorted(set(vals)))}
+    assert got == want
