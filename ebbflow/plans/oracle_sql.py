@@ -633,3 +633,20 @@ ORACLE["stream_score"] = _EVAL() + f"""
 SELECT id AS customer_id, prediction AS churn_prediction, round(probability, 4) AS churn_probability,
   {_RISK} AS churn_risk_level, CASE WHEN prediction = 1 THEN 'Likely to churn.' ELSE 'Likely to stay.' END AS message
 FROM preds"""
+
+ORACLE["label_evaluation"] = """
+WITH lab AS (SELECT doc_id, 'quality' AS target, quality AS label FROM labels
+             UNION ALL SELECT doc_id, 'toxic', toxic FROM labels),
+preds AS (SELECT l.target, d.lang, l.label, round(least(d.n_chars / 20000.0, 1.0), 6) AS probability
+          FROM lab l JOIN documents d ON l.doc_id = d.doc_id),
+st AS (SELECT target, lang, probability, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+       FROM preds GROUP BY ALL),
+c AS (SELECT *,
+        coalesce(sum(neg) OVER (PARTITION BY target, lang ORDER BY probability ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before,
+        sum(pos) OVER (PARTITION BY target, lang ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+        sum(neg) OVER (PARTITION BY target, lang ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp
+      FROM st)
+SELECT target, lang, CAST(sum(pos + neg) AS BIGINT) AS n, CAST(sum(pos) AS BIGINT) AS n_pos,
+  round(sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0), 6) AS roc_auc,
+  round(sum(pos * (CAST(tp AS DOUBLE) / (tp + fp))) / nullif(sum(pos), 0), 6) AS avg_precision
+FROM c GROUP BY target, lang"""
