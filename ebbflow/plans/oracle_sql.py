@@ -597,7 +597,7 @@ comparison AS (
          round(m.precision, 4) AS precision, round(m.recall, 4) AS recall,
          round(c.m, 4) AS cv_roc_auc_mean, round(c.s, 4) AS cv_roc_auc_std
   FROM mauc a JOIN mmet m ON a.model = m.model LEFT JOIN cvs c ON a.model = c.model),
-ranked_models AS (SELECT *, row_number() OVER (ORDER BY roc_auc DESC, accuracy DESC, model) - 1 AS rank FROM comparison)"""
+ranked_models AS (SELECT *, CAST(row_number() OVER (ORDER BY roc_auc DESC, accuracy DESC, model) - 1 AS INTEGER) AS rank FROM comparison)"""
 
 _RANK = lambda *extra: with_("feature_table", SPLIT, _all_preds(), COMPARISON, *extra)
 ORACLE["rank_models"] = _RANK() + "SELECT * FROM ranked_models"
