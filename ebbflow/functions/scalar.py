@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 __all__ = [
     "col_of", "coerce_numeric", "coerce_int", "clean_string", "round_half_even", "safe_ratio",
     "flag_above", "map_values", "map_with_default", "risk_level", "risk_message",
-    "title_name", "title_names", "snake_names",
+    "title_name", "title_names", "snake_names", "round_half_up",
 ]
 
 
@@ -43,6 +43,13 @@ def round_half_even(c: str | Column, digits: int = 2) -> Column:
     return F.rint(col_of(c) * scale) / scale
 
 
+def round_half_up(c: str | Column, digits: int) -> Column:
+    """Decimal rounding, half away from zero, on the value's decimal expansion to
+    12 places: ties (0.20425 -> 0.2043) come out the same in every engine, unlike
+    rounding the scaled binary value."""
+    return F.round(col_of(c).cast("decimal(38,12)"), digits).cast("double")
+
+
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
     """x/0 -> NULL instead of inf or an ANSI error."""
     return F.try_divide(col_of(num), col_of(den))

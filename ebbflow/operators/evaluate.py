@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ebbflow.functions.scalar import round_half_up
 from ebbflow.operators.stats import prefix_sums, score_bucket
 
 # Fixed values that must equal the reference: the F1 epsilon of the best-threshold
@@ -172,7 +173,7 @@ def evaluation_report(preds: DataFrame, digits: int = 4, label: str = "label") -
                "best_threshold", "best_f1_threshold"]
     row = long.groupBy().pivot("metric", counts + rounded).agg(F.first("value"))
     return row.select(*[F.col(c).cast("long").alias(c) for c in counts],
-                      *[F.round(c, digits).alias(c) for c in rounded])
+                      *[round_half_up(c, digits).alias(c) for c in rounded])
 
 
 def cv_summary(preds: DataFrame, fold: str = "fold", by: Sequence[str] = (), label: str = "label") -> DataFrame:

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ebbflow import schemas as S
+from ebbflow.functions.scalar import round_half_up
 from ebbflow.operators import evaluate as EV
 
 # Fixed values that must equal the reference: the grids of the seven model
@@ -155,12 +156,12 @@ def comparison_table(test_preds: DataFrame, cv_preds: DataFrame | None = None, p
     auc = EV.roc_auc(test_preds, by=["model"])
     met = EV.classification_metrics(test_preds, by=["model"])
     t = met.join(auc, "model")
-    cols = [F.col("model"), *[F.round(m, digits).alias(m) for m in METRICS]]
+    cols = [F.col("model"), *[round_half_up(m, digits).alias(m) for m in METRICS]]
     if cv_preds is not None:
         cv = EV.cv_summary(cv_preds, by=["model"])
         t = t.join(cv, "model", "left")
-        cols += [F.round("cv_roc_auc_mean", digits).alias("cv_roc_auc_mean"),
-                 F.round("cv_roc_auc_std", digits).alias("cv_roc_auc_std")]
+        cols += [round_half_up("cv_roc_auc_mean", digits).alias("cv_roc_auc_mean"),
+                 round_half_up("cv_roc_auc_std", digits).alias("cv_roc_auc_std")]
     if params is not None:
         t = t.join(params, "model", "left")
         cols.append(F.col("best_params"))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbflow import schemas as S
-from ebbflow.functions.scalar import risk_level, risk_message
+from ebbflow.functions.scalar import risk_level, risk_message, round_half_up
 from ebbflow.operators.stats import prefix_sums
 
 THRESHOLD = 0.5
@@ -37,7 +37,7 @@ class LinearScorer:
 
     def probability(self) -> Column:
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin()))
-        return F.round(p, self.digits) if self.digits is not None else p
+        return round_half_up(p, self.digits) if self.digits is not None else p
 
     def sql(self) -> str:
         z = f"CAST({float(self.intercept)!r} AS DOUBLE)"
@@ -105,7 +105,7 @@ def score_records(preds: DataFrame, digits: int = 4, batch: bool = True) -> Data
     return preds.select(
         "*",
         F.col("prediction").alias("churn_prediction"),
-        F.round("probability", digits).alias("churn_probability"),
+        round_half_up("probability", digits).alias("churn_probability"),
         risk_level("probability").alias("churn_risk_level"),
         risk_message("prediction", batch=batch).alias("message"),
     )
@@ -116,7 +116,7 @@ def batch_summary(preds: DataFrame, digits: int = 4) -> DataFrame:
     return preds.agg(F.count(F.lit(1)).alias("total_customers"),
                      F.coalesce(F.sum("prediction"), F.lit(0)).cast("long").alias("churned_count")).select(
         "total_customers", "churned_count", (F.col("total_customers") - F.col("churned_count")).alias("not_churned_count"),
-        F.round(F.try_divide(F.col("churned_count").cast("double"), F.col("total_customers")), digits).alias("churn_rate"))
+        round_half_up(F.try_divide(F.col("churned_count").cast("double"), F.col("total_customers")), digits).alias("churn_rate"))
 
 
 def concat_batches(batches: Sequence[DataFrame]) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbflow import schemas as S
-from ebbflow.functions.scalar import map_with_default, round_half_even
+from ebbflow.functions.scalar import map_with_default, round_half_even, round_half_up
 from ebbflow.operators import explore as EX
 from ebbflow.plans import churn
 
@@ -110,7 +110,7 @@ def avg_charges_unguarded(spark, sf_dir):
     from ebbflow.operators.stats import percentiles
     x = churn.cleaned(spark, sf_dir).select(S.KEY, safe_ratio("total_charges", "tenure_months").alias("avg_charges"))
     med = percentiles(x, ["avg_charges"], [0.5])[((), "avg_charges")][0]
-    return x.select(S.KEY, F.round(F.coalesce("avg_charges", F.lit(med)), 6).alias("avg_charges"))
+    return x.select(S.KEY, round_half_up(F.coalesce("avg_charges", F.lit(med)), 6).alias("avg_charges"))
 
 
 @register
@@ -119,7 +119,7 @@ def high_value_flag(spark, sf_dir):
     p = churn.feature_params(spark, sf_dir)
     ft = churn.feature_table(spark, sf_dir)
     return ft.select(S.KEY, "monthly_charges", "high_value_customer",
-                     F.round(F.lit(p.high_value_threshold), 6).alias("threshold"))
+                     round_half_up(F.lit(p.high_value_threshold), 6).alias("threshold"))
 
 
 @register
@@ -167,7 +167,7 @@ def impute_median(spark, sf_dir):
     from ebbflow.operators.features import impute, FeatureParams
     p = churn.feature_params(spark, sf_dir)
     x = impute(churn.cleaned(spark, sf_dir), FeatureParams(medians=p.medians))
-    return x.select(S.KEY, *[F.round(c, 6).alias(c) for c in S.NUMERICAL_COLUMNS])
+    return x.select(S.KEY, *[round_half_up(c, 6).alias(c) for c in S.NUMERICAL_COLUMNS])
 
 
 @register
@@ -193,7 +193,7 @@ def encode_for_scoring(spark, sf_dir):
                        F.col("monthly_charges").try_cast("double").alias("monthly_charges"), "total_charges")
     rows = cust.join(bill, S.KEY).withColumn("support_ticket_count", F.lit(0).cast("long"))
     out = encode_raw(rows, churn.feature_params(spark, sf_dir))
-    return out.select(*[F.round(c, 6).alias(c) if c in ("monthly_charges", "total_charges", "tenure_months") else c
+    return out.select(*[round_half_up(c, 6).alias(c) if c in ("monthly_charges", "total_charges", "tenure_months") else c
                         for c in out.columns])
 
 
@@ -269,7 +269,7 @@ NUMERIC_FOR_CORR = ["tenure_months", "monthly_charges", "total_charges", "averag
 
 
 def _r6(df, skip=()):
-    return df.select(*[F.round(f.name, 6).alias(f.name) if f.dataType.simpleString() == "double" and f.name not in skip
+    return df.select(*[round_half_up(f.name, 6).alias(f.name) if f.dataType.simpleString() == "double" and f.name not in skip
                        else F.col(f.name) for f in df.schema.fields])
 
 
@@ -365,7 +365,7 @@ def standardize(spark, sf_dir):
     from ebbflow.operators.split import standardize as op
     st = churn.split_table(spark, sf_dir)
     z = op(st, S.FEATURE_COLUMNS, fit_on=F.col("split") == "train")
-    return z.select(S.KEY, *[F.round(F.col(c).cast("double"), 6).alias(c) for c in S.FEATURE_COLUMNS])
+    return z.select(S.KEY, *[round_half_up(F.col(c).cast("double"), 6).alias(c) for c in S.FEATURE_COLUMNS])
 
 
 @register
@@ -546,7 +546,7 @@ def label_evaluation(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     preds = lab.join(docs, "doc_id").select(
         "target", "lang", F.col("label").cast("int").alias("label"),
-        F.round(F.least(F.col("n_chars") / 20000.0, F.lit(1.0)), 6).alias("probability"))
+        round_half_up(F.least(F.col("n_chars") / 20000.0, F.lit(1.0)), 6).alias("probability"))
     by = ["target", "lang"]
     counts = preds.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n_pos"))
     out = counts.join(roc_auc(preds, by=by), by).join(average_precision(preds, by=by), by)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ebbflow import schemas as S
 from ebbflow.plans.oracle import with_
 
@@ -650,3 +652,33 @@ SELECT target, lang, CAST(sum(pos + neg) AS BIGINT) AS n, CAST(sum(pos) AS BIGIN
   round(sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0), 6) AS roc_auc,
   round(sum(pos * (CAST(tp AS DOUBLE) / (tp + fp))) / nullif(sum(pos), 0), 6) AS avg_precision
 FROM c GROUP BY target, lang"""
+
+
+def _decimal_rounding(sql: str) -> str:
+    """``round(x, d)`` -> ``CAST(round(CAST(x AS DECIMAL(38,12)), d) AS DOUBLE)``: the
+    same half-away-from-zero decimal rounding as ``functions.round_half_up``."""
+    out, i = [], 0
+    pat = re.compile(r"(?<![A-Za-z_])round\(")
+    while True:
+        m = pat.search(sql, i)
+        if not m:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:m.start()])
+        j, depth, last_comma = m.end(), 1, None
+        while depth:
+            ch = sql[j]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                last_comma = j
+            j += 1
+        inner = _decimal_rounding(sql[m.end():last_comma])
+        digits = sql[last_comma + 1:j - 1].strip()
+        out.append(f"CAST(round(CAST({inner} AS DECIMAL(38,12)), {digits}) AS DOUBLE)")
+        i = j
+
+
+ORACLE = {k: _decimal_rounding(v) for k, v in ORACLE.items()}

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ebbflow import schemas as S
-from ebbflow.functions.scalar import risk_level, risk_message
+from ebbflow.functions.scalar import risk_level, risk_message, round_half_up
 from ebbflow.operators.features import FeatureParams, transform
 from ebbflow.operators.quality import scoring_rules, validate
 from ebbflow.operators.scoring import LinearScorer
@@ -28,7 +28,7 @@ def score_frame(rows: DataFrame, params: FeatureParams, scorer: LinearScorer) ->
     p = scorer.probability()
     return checked.select(
         S.KEY, "is_valid", F.array_join("violations", ";").alias("violations"),
-        (p >= 0.5).cast("int").alias("churn_prediction"), F.round(p, 4).alias("churn_probability"),
+        (p >= 0.5).cast("int").alias("churn_prediction"), round_half_up(p, 4).alias("churn_probability"),
         risk_level(p).alias("churn_risk_level"), risk_message((p >= 0.5).cast("int"), batch=True).alias("message"),
     )
 
