@@ -227,7 +227,6 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
     test rows, re-run the folds for the CV mean/std, build and rank the table.
     Returns (ranked table, fitted models by name)."""
     from ebbflow.operators.scoring import score_model
-    from ebbflow.operators.split import with_weights  # noqa: F401
     data = prepare(split_rows).persist()
     try:
         train = data.where(F.col("split") == "train")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbflow import schemas as S
-from ebbflow.functions.scalar import map_with_default, round_half_even, round_half_up
+from ebbflow.functions.scalar import map_with_default, round_half_up
 from ebbflow.operators import explore as EX
 from ebbflow.plans import churn
 

@@ -9,8 +9,6 @@ counts) cross to the driver; every row-level step is a DataFrame plan.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbflow import schemas as S
