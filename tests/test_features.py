@@ -103,3 +103,33 @@ def test_code_table_order_matches_sorted(spark):
     got = {r["value"]: r["code"] for r in spark.read.parquet(path).collect()}
     want = {v: i for i, v in enumerate(sorted(set(vals)))}
     assert got == want
+
+
+def test_hot_customer_skew(spark):
+    """One customer holds a third of all tickets and thousands of distinct payment
+    rows: counts stay exact and tickets are reduced before the shuffle."""
+    n_cust, hot_pay, n_tick = 200, 3000, 30000
+    cust = spark.range(n_cust).select(F.col("id").alias("customer_id"), F.lit("x").alias("name"))
+    pay = spark.range(hot_pay + n_cust).select(
+        F.when(F.col("id") < hot_pay, F.lit(0)).otherwise(F.col("id") - hot_pay).cast("long").alias("customer_id"),
+        F.lit("Yes").alias("paperless_billing"), F.lit("Mailed check").alias("payment_method"),
+        F.when(F.col("id") < hot_pay, F.col("id") + 1000.0).otherwise(F.lit(1.0)).alias("monthly_charges"),
+        F.lit("1").alias("total_charges"))
+    tick = spark.range(n_tick).select(F.col("id").alias("ticket_id"),
+                                      F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % n_cust).cast("long")
+                                      .alias("customer_id"))
+    out = features_base(cust, pay, tick)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    hot = out.where("customer_id = 0")
+    n_hot_tickets = tick.where("customer_id = 0").count()
+    assert hot.count() == hot_pay + 1  # 3000 distinct rows + the customer's own (1.0) row
+    assert {r[0] for r in hot.select("support_ticket_count").distinct().collect()} == {n_hot_tickets}
+    others = {r["customer_id"]: r["support_ticket_count"] for r in out.where("customer_id > 0").collect()}
+    per = {r["customer_id"]: r["count"] for r in tick.groupBy("customer_id").count().collect()}
+    assert all(others[c] == per.get(c, 0) for c in range(1, n_cust))
+
+
+def test_fit_rank_selection_path_equals_direct(spark):
+    df = _frame(spark)
+    assert FE.fit(df, distinct_limit=0) == FE.fit(df)
