@@ -28,15 +28,58 @@ def _score_table(preds: DataFrame, by: Sequence[str], score: str, label: str) ->
     return preds.groupBy(*by, score).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
 
 
-def roc_auc(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label") -> DataFrame:
-    """Exact ROC-AUC with half credit for tied scores:
-    sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N). NULL when a class is absent."""
+def _curve(preds: DataFrame, by: Sequence[str], score: str, label: str) -> DataFrame:
+    """One row per (group, distinct score) with the counts at and above it:
+    ``tp``/``fp`` predict positive at score >= t; ``pos_before`` counts positives
+    strictly above t. One parallel prefix pass feeds AUC, AP, F1 and the curve."""
     by = list(by)
     t = _score_table(preds, by, score, label)
-    c = prefix_sums(t, score, ["neg"], score_bucket(score), partition_cols=by)
-    return c.groupBy(*by).agg(
-        F.try_divide(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)),
-                     F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
+    c = prefix_sums(t, score, ["pos", "neg"], score_bucket(score), partition_cols=by, descending=True)
+    # class totals per group: a small aggregate joined back (a window over all
+    # distinct scores of a group would run in one task)
+    totals = t.groupBy(*by).agg(F.sum("pos").alias("_n_pos"), F.sum("neg").alias("_n_neg"))
+    if by:
+        c = c.join(totals, by)
+    else:
+        tot = totals.first()
+        c = c.withColumn("_n_pos", F.lit(tot["_n_pos"] if tot else 0).cast("long")) \
+             .withColumn("_n_neg", F.lit(tot["_n_neg"] if tot else 0).cast("long"))
+    tp = F.col("pos_before") + F.col("pos")
+    fp = F.col("neg_before") + F.col("neg")
+    prec = tp.cast("double") / (tp + fp)
+    rec = F.when(F.col("_n_pos") == 0, F.lit(1.0)).otherwise(tp.cast("double") / F.col("_n_pos"))
+    c = c.select(*by, F.col(score).alias("threshold"), "pos", "neg", "pos_before", tp.alias("tp"), fp.alias("fp"),
+                 prec.alias("precision"), rec.alias("recall"), F.col("_n_pos").alias("n_pos"),
+                 F.col("_n_neg").alias("n_neg"))
+    return c.withColumn("f1", 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + F1_EPS))
+
+
+def curve_summary(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label") -> DataFrame:
+    """E1 + E7 + E8 in one aggregation over the curve rows:
+
+    * ROC-AUC with half credit for ties = sum_t neg_t * (pos_above_t + pos_t / 2) / (P * N)
+      (NULL when a class is absent);
+    * AP = sum_t (R_t - R_prev) * P_t, where R_t - R_prev = pos_t / P;
+    * best F1 threshold: first maximum in ascending threshold order (the end point
+      only wins when there is no threshold, and then falls back to 0.5)."""
+    by = list(by)
+    c = _curve(preds, by, score, label)
+    g = c.groupBy(*by).agg(
+        F.try_divide(F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2.0)),
+                     F.first("n_pos").cast("double") * F.first("n_neg")).alias("roc_auc"),
+        F.try_divide(F.sum(F.col("pos") * F.col("precision")), F.first("n_pos")).alias("avg_precision"),
+        F.min(F.struct((-F.col("f1")).alias("neg_f1"), F.col("threshold"), F.col("precision"),
+                       F.col("recall"))).alias("b"),
+    )
+    return g.select(*by, "roc_auc", "avg_precision",
+                    F.coalesce(F.col("b.threshold"), F.lit(DEFAULT_THRESHOLD)).alias("best_threshold"),
+                    F.coalesce(-F.col("b.neg_f1"), F.lit(0.0)).alias("best_f1"),
+                    F.col("b.precision").alias("best_precision"), F.col("b.recall").alias("best_recall"))
+
+
+def roc_auc(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label") -> DataFrame:
+    """Exact ROC-AUC with half credit for tied scores."""
+    return curve_summary(preds, by, score, label).select(*by, "roc_auc")
 
 
 def confusion_counts(preds: DataFrame, by: Sequence[str] = (), label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -103,29 +146,16 @@ def pr_curve(preds: DataFrame, by: Sequence[str] = (), score: str = "probability
              end_point: bool = True) -> DataFrame:
     """Precision and recall for every distinct score t (predict positive when
     score >= t), ascending by threshold, plus the end point (precision 1,
-    recall 0, no threshold). Also carries the F1 of E8 and the AP term of E7."""
+    recall 0, no threshold). Carries the F1 of E8 and the per-threshold positives of E7."""
     by = list(by)
-    t = _score_table(preds, by, score, label)
-    c = prefix_sums(t, score, ["pos", "neg"], score_bucket(score), partition_cols=by, descending=True)
-    # positives per group: a small aggregate joined back (a window over all
-    # distinct scores of a group would run in one task)
-    totals = t.groupBy(*by).agg(F.sum("pos").alias("_n_pos"))
-    c = c.join(totals, by) if by else c.withColumn("_n_pos", F.lit(totals.first()["_n_pos"] or 0).cast("long"))
-    tp = F.col("pos_before") + F.col("pos")
-    fp = F.col("neg_before") + F.col("neg")
-    total_pos = F.col("_n_pos")
-    prec = tp.cast("double") / (tp + fp)
-    rec = F.when(total_pos == 0, F.lit(1.0)).otherwise(tp.cast("double") / total_pos)
-    curve = c.select(*by, F.col(score).alias("threshold"), tp.alias("tp"), fp.alias("fp"), prec.alias("precision"),
-                     rec.alias("recall"), F.col("pos"), total_pos.alias("n_pos"))
-    curve = curve.withColumn("f1", 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + F1_EPS))
+    curve = _curve(preds, by, score, label).select(*by, "threshold", "tp", "fp", "precision", "recall", "pos",
+                                                   "n_pos", "f1")
     if not end_point:
         return curve
     ends = preds.groupBy(*by).agg(F.sum(F.col(label).cast("long")).alias("n_pos")).select(
         *by, F.lit(None).cast("double").alias("threshold"), F.lit(None).cast("long").alias("tp"),
         F.lit(None).cast("long").alias("fp"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
-        F.lit(0).cast("long").alias("pos"), "n_pos",
-        F.lit(0.0).alias("f1"))
+        F.lit(0).cast("long").alias("pos"), "n_pos", F.lit(0.0).alias("f1"))
     return curve.unionByName(ends)
 
 
@@ -135,33 +165,25 @@ def threshold_sweep(preds: DataFrame, by: Sequence[str] = (), score: str = "prob
 
 
 def average_precision(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label") -> DataFrame:
-    """AP = sum_n (R_n - R_{n-1}) P_n over thresholds in descending order;
-    R_n - R_{n-1} is the share of positives scored exactly at that threshold."""
-    c = pr_curve(preds, by, score, label, end_point=False)
-    return c.groupBy(*by).agg(F.try_divide(F.sum(F.col("pos") * F.col("precision")), F.first("n_pos")).alias("avg_precision"))
+    """AP = sum_n (R_n - R_{n-1}) P_n over thresholds in descending order."""
+    return curve_summary(preds, by, score, label).select(*by, "avg_precision")
 
 
 def best_threshold(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label") -> DataFrame:
-    """The first maximum of F1 in ascending threshold order (the end point
-    comes last); if the end point wins the threshold falls back to 0.5."""
-    by = list(by)
-    c = pr_curve(preds, by, score, label, end_point=True)
-    best = c.groupBy(*by).agg(F.min(F.struct(
-        (-F.col("f1")).alias("neg_f1"), F.col("threshold").isNull().alias("is_end"), F.col("threshold"),
-        F.col("precision"), F.col("recall"))).alias("b"))
-    return best.select(*by, F.coalesce(F.col("b.threshold"), F.lit(DEFAULT_THRESHOLD)).alias("best_threshold"),
-                       (-F.col("b.neg_f1")).alias("best_f1"), F.col("b.precision").alias("best_precision"),
-                       F.col("b.recall").alias("best_recall"))
+    """Threshold of the first F1 maximum in ascending threshold order."""
+    return curve_summary(preds, by, score, label).select(*by, "best_threshold", "best_f1", "best_precision",
+                                                         "best_recall")
 
 
 def evaluation_report(preds: DataFrame, digits: int = 4, label: str = "label") -> DataFrame:
     """The full one-row report (metrics rounded like the reference's JSON)."""
+    cm = confusion_counts(preds, label=label).withColumn(
+        "test_set_size", F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).withColumn(
+        "churn_rate", (F.col("fn") + F.col("tp")).cast("double") / F.col("test_set_size"))
     parts = [
-        preds.agg(F.count(F.lit(1)).alias("test_set_size"), F.avg(F.col(label).cast("double")).alias("churn_rate")),
-        classification_metrics(preds, label=label),
-        roc_auc(preds, label=label),
-        average_precision(preds, label=label),
-        best_threshold(preds, label=label).select("best_threshold", F.col("best_f1").alias("best_f1_threshold")),
+        metrics_from_counts(cm),
+        curve_summary(preds, label=label).select("roc_auc", "avg_precision", "best_threshold",
+                                                 F.col("best_f1").alias("best_f1_threshold")),
     ]
     # one-row parts -> (metric, value) rows -> a single pivoted row; no joins needed
     long = None
@@ -178,6 +200,6 @@ def evaluation_report(preds: DataFrame, digits: int = 4, label: str = "label") -
 
 def cv_summary(preds: DataFrame, fold: str = "fold", by: Sequence[str] = (), label: str = "label") -> DataFrame:
     """Per-fold ROC-AUC, then mean and population std over folds."""
-    per = roc_auc(preds, by=[*by, fold], label=label)
+    per = roc_auc(preds, by=[*by, fold], label=label)  # all folds (and models) in the same jobs
     return per.groupBy(*by).agg(F.count(F.lit(1)).alias("n_folds"), F.avg("roc_auc").alias("cv_roc_auc_mean"),
                                 F.stddev_pop("roc_auc").alias("cv_roc_auc_std"))

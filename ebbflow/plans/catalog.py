@@ -540,7 +540,7 @@ def train_models(spark, sf_dir):
 def label_evaluation(spark, sf_dir):
     """E1/E7 grouped: a document-length score evaluated against the second binary
     targets (``labels.quality``, ``labels.toxic``) per language, all groups in the same jobs."""
-    from ebbflow.operators.evaluate import average_precision, roc_auc
+    from ebbflow.operators.evaluate import curve_summary
     from ebbflow.sources.tables import read_table
     lab = read_table(spark, sf_dir, "labels").unpivot("doc_id", ["quality", "toxic"], "target", "label")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
@@ -549,5 +549,5 @@ def label_evaluation(spark, sf_dir):
         round_half_up(F.least(F.col("n_chars") / 20000.0, F.lit(1.0)), 6).alias("probability"))
     by = ["target", "lang"]
     counts = preds.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n_pos"))
-    out = counts.join(roc_auc(preds, by=by), by).join(average_precision(preds, by=by), by)
+    out = counts.join(curve_summary(preds, by=by).select(*by, "roc_auc", "avg_precision"), by)
     return _r6(out)
