@@ -34,16 +34,9 @@ def _curve(preds: DataFrame, by: Sequence[str], score: str, label: str) -> DataF
     strictly above t. One parallel prefix pass feeds AUC, AP, F1 and the curve."""
     by = list(by)
     t = _score_table(preds, by, score, label)
-    c = prefix_sums(t, score, ["pos", "neg"], score_bucket(score), partition_cols=by, descending=True)
-    # class totals per group: a small aggregate joined back (a window over all
-    # distinct scores of a group would run in one task)
-    totals = t.groupBy(*by).agg(F.sum("pos").alias("_n_pos"), F.sum("neg").alias("_n_neg"))
-    if by:
-        c = c.join(totals, by)
-    else:
-        tot = totals.first()
-        c = c.withColumn("_n_pos", F.lit(tot["_n_pos"] if tot else 0).cast("long")) \
-             .withColumn("_n_neg", F.lit(tot["_n_neg"] if tot else 0).cast("long"))
+    # class totals come from the small bucket-total table of the same pass
+    c = prefix_sums(t, score, ["pos", "neg"], score_bucket(score), partition_cols=by, descending=True, totals=True)
+    c = c.withColumnRenamed("pos_total", "_n_pos").withColumnRenamed("neg_total", "_n_neg")
     tp = F.col("pos_before") + F.col("pos")
     fp = F.col("neg_before") + F.col("neg")
     prec = tp.cast("double") / (tp + fp)

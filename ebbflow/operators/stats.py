@@ -259,6 +259,7 @@ def prefix_sums(
     partition_cols: Sequence[str] = (),
     descending: bool = False,
     suffix: str = "_before",
+    totals: bool = False,
 ) -> DataFrame:
     """Add ``<c><suffix>``: sum of ``c`` over rows of the same partition that come
     strictly before this row in ``order_col`` order (``descending`` flips it).
@@ -267,19 +268,24 @@ def prefix_sums(
     ``bucket`` a non-decreasing integer function of it, with a bounded range
     (e.g. ``floor(score * 65536)``): the bucket-total table has at most
     partitions x buckets rows and is the only input of the global cumulation.
+    With ``totals`` each row also gets ``<c>_total`` (the partition's sum), taken
+    from the same small bucket table.
     """
     parts = list(partition_cols)
     x = df.withColumn("_bk", bucket)
     tot = x.groupBy(*parts, "_bk").agg(*[F.sum(c).alias(c) for c in sum_cols])
     border = F.col("_bk").desc() if descending else F.col("_bk").asc()
     wb = Window.partitionBy(*parts).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tot.select(*parts, "_bk", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
+    wt = Window.partitionBy(*parts)
+    offsets = tot.select(*parts, "_bk", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
+                         *([F.sum(c).over(wt).alias(f"{c}_total") for c in sum_cols] if totals else []))
     korder = F.col(order_col).desc() if descending else F.col(order_col).asc()
     wi = Window.partitionBy(*parts, "_bk").orderBy(korder).rowsBetween(Window.unboundedPreceding, -1)
     joined = x.join(offsets, [*parts, "_bk"])
     return joined.select(
         *df.columns,
         *[(F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(wi), F.lit(0))).alias(f"{c}{suffix}") for c in sum_cols],
+        *([f"{c}_total" for c in sum_cols] if totals else []),
     )
 
 
