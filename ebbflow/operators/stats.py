@@ -56,9 +56,14 @@ def percentiles(
     distinct_limit: int = DISTINCT_LIMIT,
     final_limit: int = FINAL_LIMIT,
     sizes: dict | None = None,
+    approx: bool = False,
+    accuracy: int = APPROX_ACCURACY,
 ) -> dict:
     """Exact percentiles of each column (NULLs ignored), optionally per group.
 
+    ``approx=True`` opts into ``percentile_approx`` (one pass, bounded sketch,
+    returns actual elements, rank error <= n / accuracy) instead.
+
     ``sizes`` ({column: (non-null count, approx distinct)}) lets a caller that
     already sized the columns in its own pass skip the sizing job.
 
@@ -67,6 +72,11 @@ def percentiles(
     x probs) and is meant to feed literals into a transform.
     """
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
+    if approx:
+        rows = df.groupBy(*by).agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"p_{i}")
+                                     for i, c in enumerate(cols)]).collect()
+        return {(tuple(r[b] for b in by), c): (list(r[f"p_{i}"]) if r[f"p_{i}"] is not None else [None] * len(probs))
+                for r in rows for i, c in enumerate(cols)}
     if sizes is not None and not by:
         sizing = [{**{f"n_{i}": sizes[c][0] for i, c in enumerate(cols)},
                    **{f"d_{i}": sizes[c][1] for i, c in enumerate(cols)}}]

@@ -43,3 +43,8 @@ def test_prefix_sums_brute_force(spark):
         for r in out.collect():
             exp = sum(v for (g, s), v in agg.items() if g == r["g"] and ((s > r["s"]) if desc else (s < r["s"])))
             assert r["v_before"] == exp
+
+
+def test_approx_percentiles_opt_in(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1001)], "x double")
+    assert stats.percentiles(df, ["x"], [0.5], approx=True)[((), "x")] == [500.0]
