@@ -92,3 +92,41 @@ def vote(nbrs: DataFrame, weights: str = "distance") -> DataFrame:
 def knn_classify(train: DataFrame, test: DataFrame, k: int = 11, weights: str = "distance",
                  metric: str = "euclidean", **kw) -> DataFrame:
     return vote(neighbours(train, test, k, metric, **kw), weights)
+
+
+def vote_proba(nbrs: DataFrame, k: int, weights: str = "distance", positive: int = 1) -> DataFrame:
+    """P(positive) per query from its ``k`` nearest (``rank <= k``): the weighted
+    share of positive neighbours (exact matches take all the weight)."""
+    top = nbrs.where(F.col("rank") <= k)
+    if weights == "distance":
+        has_zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy("qid")) == 1
+        w = F.when(has_zero, (F.col("dist") == 0).cast("double")).otherwise(1.0 / F.col("dist"))
+    else:
+        w = F.lit(1.0)
+    top = top.withColumn("w", w)
+    return top.groupBy("qid").agg(
+        (F.sum(F.when(F.col("nlabel") == positive, F.col("w")).otherwise(0.0)) / F.sum("w")).alias("probability"))
+
+
+def knn_grid_cv(train: DataFrame, ks=(5, 7, 11), weights=("uniform", "distance"), metrics=("euclidean", "manhattan"),
+                fold: str = "fold", n_folds: int = 5, **kw) -> DataFrame:
+    """M11 + M12 for the KNN family: per (k, weights, metric) the per-fold
+    predictions of the held-out fold. Neighbours are found once per (fold, metric)
+    at the largest k; every (k, weights) is voted from them."""
+    parts = []
+    kmax = max(ks)
+    for m in metrics:
+        for f in range(n_folds):
+            tr, te = train.where(F.col(fold) != f), train.where(F.col(fold) == f)
+            nb = neighbours(tr, te, k=kmax, metric=m, **kw).persist()
+            labels = te.select(F.col(kw.get("id_col", "vec_id")).cast("long").alias("qid"),
+                               F.col(kw.get("label_col", "label")).cast("int").alias("label"))
+            for k in ks:
+                for w in weights:
+                    p = vote_proba(nb, k, w).join(labels, "qid")
+                    parts.append(p.select(F.lit(f"k={k},weights={w},metric={m}").alias("config"),
+                                          F.lit(f).alias("fold"), "qid", "label", "probability"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -235,6 +235,12 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
         specs = families(total_weight, which=which)
         tests, cvs, params, fitted = [], [], [], {}
         spark = split_rows.sparkSession
+        if which is None or "KNN" in which:
+            kt, kcv, kbest = knn_family(split_rows)
+            tests.append(kt.withColumn("model", F.lit("KNN")))
+            cvs.append(kcv.withColumn("prediction", (F.col("probability") >= 0.5).cast("int"))
+                       .select("id", "label", "probability", "prediction", "fold").withColumn("model", F.lit("KNN")))
+            params.append(("KNN", "{" + ", ".join(f"'{kv.split('=')[0]}': {kv.split('=')[1]}" for kv in kbest.split(",")) + "}"))
         for spec in specs:
             cvm = tune(train, spec, parallelism=parallelism, n_folds=n_folds)
             best = cvm.bestModel
@@ -247,7 +253,7 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
             if fp is not None:
                 cvs.append(fp.withColumn("model", F.lit(spec.name)))
             params.append((spec.name, best_params_text(cvm)))
-        union = lambda xs: xs[0] if len(xs) == 1 else xs[0].unionByName(union(xs[1:]))
+        union = lambda xs: xs[0] if len(xs) == 1 else xs[0].unionByName(union(xs[1:]), allowMissingColumns=True)
         # materialise the small per-model results before the training data is released
         test_preds = _materialise(union(tests))
         cv_preds = _materialise(union(cvs)) if cvs else None
@@ -257,6 +263,32 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
         data.unpersist()
 
 
+def knn_family(split_rows: DataFrame, feature_cols: Sequence[str] = S.FEATURE_COLUMNS, block_rows: int = 4096,
+               **grid) -> tuple[DataFrame, DataFrame, str]:
+    """M11 as a model family: features standardised on the training rows, the
+    reference's grid scored by fold-wise ROC-AUC, the best configuration refit on
+    all training rows and applied to the test rows.
+
+    Returns (test predictions, per-fold CV predictions of the best config, best config)."""
+    from ebbflow.operators.knn import knn_grid_cv, neighbours, vote_proba
+    from ebbflow.operators.split import standardize
+    z = standardize(split_rows, list(feature_cols), fit_on=F.col("split") == "train")
+    vec = z.select(F.col(S.KEY).cast("long").alias("vec_id"),
+                   F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("embedding"),
+                   F.col(S.TARGET).cast("int").alias("label"), "split", "fold")
+    train, test = vec.where(F.col("split") == "train"), vec.where(F.col("split") == "test")
+    cv = _materialise(knn_grid_cv(train, block_rows=block_rows, **grid))
+    scores = EV.roc_auc(cv, by=["config", "fold"]).groupBy("config").agg(F.avg("roc_auc").alias("m"))
+    best = scores.orderBy(F.desc("m"), F.asc("config")).first()["config"]
+    cfg = dict(kv.split("=") for kv in best.split(","))
+    nb = neighbours(train, test, k=int(cfg["k"]), metric=cfg["metric"], block_rows=block_rows)
+    p = vote_proba(nb, int(cfg["k"]), cfg["weights"]).join(test.select(F.col("vec_id").alias("qid"), "label"), "qid")
+    test_preds = p.select(F.col("qid").alias("id"), "label", "probability",
+                          (F.col("probability") >= 0.5).cast("int").alias("prediction"))
+    cv_best = cv.where(F.col("config") == best).select(F.col("qid").alias("id"), "label", "probability", "fold")
+    return test_preds, cv_best, best
+
+
 def _materialise(df: DataFrame) -> DataFrame:
     """Write predictions once to the shared checkpoint folder (lineage cut, survives executor loss)."""
     from ebbflow.session import cut_lineage

@@ -54,3 +54,18 @@ def test_tree_and_margin_families_fit(spark):
     cal = M.calibrate(est.fit(M._weighted(train, svm.weighted)), train)
     p = score_model(train, cal, label="label").agg(F.min("probability"), F.max("probability")).first()
     assert 0.0 <= p[0] <= p[1] <= 1.0
+
+
+def test_knn_family_on_features(spark):
+    st = churn.split_table(spark, SF_SMALL)
+    test_preds, cv_best, best = M.knn_family(st, ks=(3, 5), weights=("uniform", "distance"), metrics=("euclidean",),
+                                             block_rows=64)
+    n_test = st.where(F.col("split") == "test").count()
+    assert test_preds.count() == n_test
+    assert cv_best.select("fold").distinct().count() == 5
+    assert best.startswith("k=") and "metric=euclidean" in best
+    r = test_preds.agg(F.min("probability"), F.max("probability")).first()
+    assert 0.0 <= r[0] <= r[1] <= 1.0
+    table = M.rank_models(M.comparison_table(test_preds.withColumn("model", F.lit("KNN")),
+                                             cv_best.withColumn("model", F.lit("KNN"))))
+    assert table.first()["model"] == "KNN"
