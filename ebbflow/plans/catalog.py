@@ -532,7 +532,8 @@ def stream_score(spark, sf_dir):
 def train_models(spark, sf_dir):
     """M5/M12-M14 with MLlib (logistic regression family; rows-only check)."""
     from ebbflow.operators.models import train_and_compare
-    table, _ = train_and_compare(churn.split_table(spark, sf_dir), which=["Logistic Regression"])
+    par = max(1, min(8, spark.sparkContext.defaultParallelism))
+    table, _ = train_and_compare(churn.split_table(spark, sf_dir), which=["Logistic Regression"], parallelism=par)
     return table
 
 
