@@ -238,7 +238,7 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
         if which is None or "KNN" in which:
             kt, kcv, kbest = knn_family(split_rows)
             tests.append(kt.withColumn("model", F.lit("KNN")))
-            cvs.append(kcv.withColumn("prediction", (F.col("probability") >= 0.5).cast("int"))
+            cvs.append(kcv.withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
                        .select("id", "label", "probability", "prediction", "fold").withColumn("model", F.lit("KNN")))
             params.append(("KNN", "{" + ", ".join(f"'{kv.split('=')[0]}': {kv.split('=')[1]}" for kv in kbest.split(",")) + "}"))
         for spec in specs:
@@ -284,7 +284,7 @@ def knn_family(split_rows: DataFrame, feature_cols: Sequence[str] = S.FEATURE_CO
     nb = neighbours(train, test, k=int(cfg["k"]), metric=cfg["metric"], block_rows=block_rows)
     p = vote_proba(nb, int(cfg["k"]), cfg["weights"]).join(test.select(F.col("vec_id").alias("qid"), "label"), "qid")
     test_preds = p.select(F.col("qid").alias("id"), "label", "probability",
-                          (F.col("probability") >= 0.5).cast("int").alias("prediction"))
+                          (F.col("probability") > 0.5).cast("int").alias("prediction"))
     cv_best = cv.where(F.col("config") == best).select(F.col("qid").alias("id"), "label", "probability", "fold")
     return test_preds, cv_best, best
 

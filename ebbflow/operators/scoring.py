@@ -19,6 +19,8 @@ from ebbflow import schemas as S
 from ebbflow.functions.scalar import risk_level, risk_message, round_half_up
 from ebbflow.operators.stats import prefix_sums
 
+# Class 1 when P(churn) is strictly above 0.5, as the reference's classifiers
+# (decision value > 0) and MLlib (probability > threshold) decide.
 THRESHOLD = 0.5
 
 
@@ -66,7 +68,7 @@ def score(df: DataFrame, scorer: LinearScorer, key: str = S.KEY, label: str | No
     cols = [F.col(key).alias("id")]
     if label and label in df.columns:
         cols.append(F.col(label).cast("int").alias("label"))
-    cols += [p.alias("probability"), (p >= threshold).cast("int").alias("prediction")]
+    cols += [p.alias("probability"), (p > threshold).cast("int").alias("prediction")]
     if "fold" in df.columns:
         cols.append(F.col("fold"))
     return df.select(*cols)

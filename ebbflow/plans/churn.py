@@ -113,14 +113,18 @@ def all_model_predictions(spark: SparkSession, sf_dir: str, split: str = "test",
     for s in scorers:
         prob = F.when(F.col("model") == s.name, s.probability()) if prob is None else prob.when(F.col("model") == s.name, s.probability())
     return tagged.select("model", F.col(S.KEY).alias("id"), F.col(S.TARGET).cast("int").alias("label"),
-                         prob.alias("probability"), (prob >= 0.5).cast("int").alias("prediction"), "fold")
+                         prob.alias("probability"), (prob > 0.5).cast("int").alias("prediction"), "fold")
 
 
 def embedding_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The embeddings table with a stratified (by label) hash split."""
+    """The embeddings table with a stratified (by label) hash split, written once."""
     from ebbflow.operators.split import split_assign
     from ebbflow.sources.tables import read_table
-    return split_assign(read_table(spark, sf_dir, "embeddings"), key="vec_id", label="label")
+    key = _key(spark, sf_dir, "embedding_split")
+    if key not in _TABLES:
+        _TABLES[key] = materialize(split_assign(read_table(spark, sf_dir, "embeddings"), key="vec_id", label="label"),
+                                   "embedding_split")
+    return _TABLES[key]
 
 
 def knn_predictions(spark: SparkSession, sf_dir: str, k: int = 11, weights: str = "distance",

@@ -410,7 +410,7 @@ def _preds(split: str = "test") -> str:
     p = _scorer_sql()
     return f"""
 preds AS (
-  SELECT customer_id AS id, churn_value AS label, {p} AS probability, CAST({p} >= 0.5 AS INTEGER) AS prediction, fold
+  SELECT customer_id AS id, churn_value AS label, {p} AS probability, CAST({p} > 0.5 AS INTEGER) AS prediction, fold
   FROM split_table WHERE split = '{split}')"""
 
 
@@ -567,7 +567,7 @@ def _all_preds() -> str:
     for s in SCORERS:
         p = s.sql()
         parts.append(f"SELECT '{s.name}' AS model, customer_id AS id, churn_value AS label, {p} AS probability, "
-                     f"CAST({p} >= 0.5 AS INTEGER) AS prediction, fold, split FROM split_table")
+                     f"CAST({p} > 0.5 AS INTEGER) AS prediction, fold, split FROM split_table")
     return "allp AS (" + "\nUNION ALL ".join(parts) + ")"
 
 

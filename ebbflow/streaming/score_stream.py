@@ -18,7 +18,7 @@ from ebbflow import schemas as S
 from ebbflow.functions.scalar import risk_level, risk_message, round_half_up
 from ebbflow.operators.features import FeatureParams, transform
 from ebbflow.operators.quality import scoring_rules, validate
-from ebbflow.operators.scoring import LinearScorer
+from ebbflow.operators.scoring import THRESHOLD, LinearScorer
 
 
 def score_frame(rows: DataFrame, params: FeatureParams, scorer: LinearScorer) -> DataFrame:
@@ -28,8 +28,8 @@ def score_frame(rows: DataFrame, params: FeatureParams, scorer: LinearScorer) ->
     p = scorer.probability()
     return checked.select(
         S.KEY, "is_valid", F.array_join("violations", ";").alias("violations"),
-        (p >= 0.5).cast("int").alias("churn_prediction"), round_half_up(p, 4).alias("churn_probability"),
-        risk_level(p).alias("churn_risk_level"), risk_message((p >= 0.5).cast("int"), batch=True).alias("message"),
+        (p > THRESHOLD).cast("int").alias("churn_prediction"), round_half_up(p, 4).alias("churn_probability"),
+        risk_level(p).alias("churn_risk_level"), risk_message((p > THRESHOLD).cast("int"), batch=True).alias("message"),
     )
 
 
