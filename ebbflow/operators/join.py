@@ -16,11 +16,12 @@ a third of all tickets is reduced to one row per task before any shuffle):
     support_ticket_count = coalesce(n_pay, 1) * coalesce(n_tick, 0)
 
 Skew: a customer may own very many *distinct* billing rows. The customer x
-n_pay part is an INNER join (AQE may split a skewed partition when both inputs
-are shuffle stages) with customers -- one row per key -- on the buffered side,
-so a hot key's rows are streamed, never buffered; customers without payments
-come from an anti join against the *distinct* payment keys. The per-customer
-ticket count (one row per key) is joined last, again on the buffered side.
+n_pay join is a left-outer shuffled hash join that *builds* on customers (one
+row per key, so each build partition is bounded by the customers it holds) and
+streams n_pay: a hot key's rows pass through one by one, nothing is buffered
+per key, and customers without payments are emitted from the build side. The
+per-customer ticket count (one row per key) is joined last, again as the
+non-streamed side. One shuffle per input.
 """
 
 from __future__ import annotations
@@ -43,22 +44,13 @@ def features_base(
     billing = list(billing)
     n_pay = payments.groupBy(key, *billing).agg(F.count(F.lit(1)).alias("_n_pay"))
     n_tick = tickets.groupBy(key).agg(F.count("ticket_id").alias("_n_tick"))
-    pay_keys = n_pay.select(key).distinct()
-
-    # customers (one row per key) on the buffered side: a hot key's payment rows stream through
-    matched = n_pay.join(customers, key, "inner").select(*customers.columns, *billing, "_n_pay")
-    unmatched = customers.join(pay_keys, key, "left_anti").select(
-        "*",
-        *[F.lit(None).cast(payments.schema[b].dataType).alias(b) for b in billing],
-        F.lit(1).cast("long").alias("_n_pay"),
-    )
-    rows = matched.unionByName(unmatched)
+    rows = customers.hint("shuffle_hash").join(n_pay, key, "left")
     return (
         rows.join(n_tick, key, "left")
         .select(
             *customers.columns,
             *billing,
-            (F.col("_n_pay") * F.coalesce(F.col("_n_tick"), F.lit(0))).alias(count_col),
+            (F.coalesce(F.col("_n_pay"), F.lit(1)) * F.coalesce(F.col("_n_tick"), F.lit(0))).alias(count_col),
         )
     )
 
