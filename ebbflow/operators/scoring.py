@@ -94,7 +94,8 @@ def row_index(df: DataFrame, order_col: str, index_col: str = "customer_index",
     from pyspark.ml.feature import Bucketizer
     grid = [i / n_buckets for i in range(1, n_buckets)]
     q = df.agg(F.percentile_approx(F.col(order_col).cast("double"), grid, 10 * n_buckets).alias("q")).first()["q"]
-    splits = [-float("inf")] + sorted(set(q or [])) + [float("inf")]
+    inner = sorted(set(q or [])) or [0.0]  # Bucketizer needs at least one inner split
+    splits = [-float("inf")] + inner + [float("inf")]
     x = df.withColumn("_ov", F.col(order_col).cast("double")).withColumn("_one", F.lit(1))
     x = Bucketizer(splits=splits, inputCol="_ov", outputCol="_b").transform(x)
     r = prefix_sums(x.drop("_ov"), order_col, ["_one"], F.col("_b").cast("int"))

@@ -79,3 +79,11 @@ def test_api_fields_to_features(spark):
     assert out.columns == list(S.FEATURE_COLUMNS)
     r = out.first()
     assert r["support_ticket_count"] == 0 and r["tenure_months"] == 24 and r["payment_method"] == 2
+
+
+def test_row_index_dense_and_empty(spark):
+    from ebbflow.operators.scoring import row_index
+    df = spark.createDataFrame([(k,) for k in [5, 100, 3, 7, 1000000, 42]], "id long")
+    got = {r["id"]: r["customer_index"] for r in row_index(df, "id", n_buckets=4).collect()}
+    assert got == {k: i for i, k in enumerate(sorted(got))}
+    assert row_index(df.where("false"), "id").count() == 0
