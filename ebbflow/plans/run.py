@@ -72,3 +72,51 @@ def stream_score(spark: SparkSession, sf_dir: str, n_files: int = 2) -> DataFram
     q.awaitTermination()
     return spark.read.parquet(f"{root}/scored").select(S.KEY, "churn_prediction", "churn_probability",
                                                        "churn_risk_level", "message")
+
+
+def monthly_run(spark: SparkSession, sf_dir: str, out_dir: str, families=("Logistic Regression", "KNN"),
+                run_date: str | None = None) -> dict:
+    """The monthly job as one Spark application: Q1 gate -> F6 feature
+    table (S4) + metadata (S6) -> M12-M14 tuning and ranking (comparison table,
+    best model S8, best-model info S6) -> E10 report of the best model on the test
+    rows (S6) -> A20 summary. Every output is a Spark write under ``out_dir``.
+    Returns the output paths."""
+    from ebbflow.operators.evaluate import evaluation_report
+    from ebbflow.operators.features import feature_metadata
+    from ebbflow.operators.models import train_and_compare
+    from ebbflow.operators.quality import assert_gate, min_row_gate
+    from ebbflow.operators.scoring import score_model
+    from ebbflow.plans.catalog import MIN_ROWS, _tables
+    from ebbflow.sources import io
+
+    paths = {k: f"{out_dir}/{k}" for k in ("features", "metadata", "comparison", "model", "best_model_info",
+                                             "evaluation_report", "run_summary")}
+    assert_gate(min_row_gate(_tables(spark, sf_dir), MIN_ROWS))                      # Q1: abort early
+    ft = churn.feature_table(spark, sf_dir)
+    stamp = F.lit(run_date).cast("date") if run_date else F.current_date()
+    io.write_table(ft.withColumn("run_date", stamp), paths["features"], partition_by=["run_date"])   # S4
+    io.write_json_row(feature_metadata(churn.feature_params(spark, sf_dir), spark), paths["metadata"])  # S6
+    split = churn.split_table(spark, sf_dir)
+    table, fitted = train_and_compare(split, which=list(families),
+                                      parallelism=max(1, min(8, spark.sparkContext.defaultParallelism)))
+    table = table.persist()
+    try:
+        io.write_table(table, paths["comparison"], fmt="csv")
+        best = table.where(F.col("rank") == 0).first()
+        io.write_json_row(table.where(F.col("rank") == 0).drop("rank").withColumnRenamed("model", "best_model"),
+                          paths["best_model_info"])
+        name = best["model"]
+        if name in fitted and hasattr(fitted[name], "write"):
+            io.save_model(fitted[name], paths["model"])                           # S8
+            from ebbflow.operators.models import prepare
+            test = prepare(split).where(F.col("split") == "test")
+            preds = score_model(test, fitted[name], label="label")
+        else:  # a family without an MLlib model (KNN): its test predictions
+            from ebbflow.operators.models import knn_family
+            preds, _, _ = knn_family(split)
+        report = evaluation_report(preds).withColumn("best_model", F.lit(name))
+        io.write_json_row(report, paths["evaluation_report"])
+        io.write_json_row(run_summary(spark, sf_dir), paths["run_summary"])
+    finally:
+        table.unpersist()
+    return paths

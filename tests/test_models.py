@@ -69,3 +69,18 @@ def test_knn_family_on_features(spark):
     table = M.rank_models(M.comparison_table(test_preds.withColumn("model", F.lit("KNN")),
                                              cv_best.withColumn("model", F.lit("KNN"))))
     assert table.first()["model"] == "KNN"
+
+
+def test_monthly_run_writes_every_output(spark):
+    from ebbflow.plans.run import monthly_run
+    from ebbflow.sources import io
+    out = f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+    with pytest.raises(ValueError):  # sf0.001 has fewer than 1,000 customers: the gate aborts the run
+        monthly_run(spark, SF_SMALL, out)
+    paths = monthly_run(spark, "/root/testdata/sf0.01", out, families=("Logistic Regression",), run_date="2026-12-01")
+    assert spark.read.parquet(paths["features"]).where("run_date = DATE'2026-12-01'").count() == 1500
+    assert io.read_json_or_empty(spark, paths["metadata"])["n_features"] == 22
+    assert io.read_json_or_empty(spark, paths["best_model_info"])["best_model"] == "Logistic Regression"
+    rep = io.read_json_or_empty(spark, paths["evaluation_report"])
+    assert rep["test_set_size"] == 300 and rep["tn"] + rep["fp"] + rep["fn"] + rep["tp"] == 300
+    assert io.load_pipeline(paths["model"]) is not None
