@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ebbflow import schemas as S
 from ebbflow.operators.stats import prefix_sums
 
+# Fixed values that must equal the reference: seed, test share, number of folds.
 SEED = 42
 TEST_SIZE = 0.2
 N_FOLDS = 5

@@ -199,6 +199,7 @@ def encode_for_scoring(spark, sf_dir):
 
 # --- A2, Q1-Q7, A10: data quality --------------------------------------------------------
 
+# Fixed values that must equal the reference: minimum rows per source table (Q1).
 MIN_ROWS = {"customers": 1000, "payments": 1000, "support_tickets": 1000}
 
 
