@@ -84,7 +84,8 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
 def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT, persist: bool = True) -> FeatureParams:
     """Fit on a coerced frame (``coerce(drop_columns(features_base))``).
 
-    Four jobs over the (persisted) input: a sizing pass (row count, non-null
+    Four jobs over the input (persisted here unless ``persist=False``, e.g. when
+    it is already a written table): a sizing pass (row count, non-null
     and approximate distinct counts), one exact percentile pass for every
     median and the high-value threshold, a per-column summary of the
     value-count table (distinct count and mode) and one read of the category

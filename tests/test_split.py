@@ -33,3 +33,25 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(i, int(i < 25)) for i in range(100)], "customer_id long, churn_value int")
     w = {r["churn_value"]: r["weight"] for r in class_weights(df).collect()}
     assert w == {0: 100 / (2 * 75), 1: 100 / (2 * 25)}
+
+
+def test_allocation_properties():
+    from hypothesis import given, settings, strategies as st
+    from ebbflow.operators.split import approximate_mode
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.dictionaries(st.integers(0, 9), st.integers(1, 10_000), min_size=1, max_size=6), st.floats(0.01, 0.99))
+    def check(counts, frac):
+        n = sum(counts.values())
+        draws = int(frac * n)
+        got = approximate_mode(counts, draws)
+        assert sum(got.values()) == draws
+        for c in counts:
+            assert abs(got[c] - counts[c] * draws / n) < 1.0 + 1e-9
+            assert 0 <= got[c] <= counts[c]
+        train, test = allocation(counts, frac)
+        import math
+        assert sum(test.values()) == math.ceil(frac * n)
+        assert all(train[c] + test[c] == counts[c] for c in counts)
+
+    check()
