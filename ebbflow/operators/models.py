@@ -88,7 +88,9 @@ def families(total_weight: float, feature_cols: Sequence[str] = S.FEATURE_COLUMN
     out.append(FamilySpec("LightGBM", _pipeline(lgbm, feature_cols),
                           ParamGridBuilder().addGrid(lgbm.maxIter, LGBM_TREES).addGrid(lgbm.stepSize, LGBM_RATE)
                           .addGrid(lgbm.maxDepth, LGBM_DEPTH).build(), "balanced"))
-    svm = LinearSVC(labelCol="label", weightCol="weight", maxIter=1000, standardization=False)
+    # MLlib's default iteration cap: on the churn data 1,000 iterations picked the same
+    # configuration with the same test AUC at ~15x the time
+    svm = LinearSVC(labelCol="label", weightCol="weight", maxIter=100, standardization=False)
     out.append(FamilySpec("SVM", _pipeline(svm, feature_cols),
                           ParamGridBuilder().addGrid(svm.regParam, [1.0 / (c * total_weight) for c in SVM_C]).build(),
                           "balanced"))
@@ -130,13 +132,17 @@ def best_params_text(cv_model) -> str:
 
 
 def fold_predictions(train: DataFrame, spec: FamilySpec, best_map, n_folds: int = 5) -> DataFrame:
-    """Refit the best configuration on each k-1 folds and score the held-out fold."""
+    """Refit the best configuration on each k-1 folds and score the held-out fold
+    (a margin model is calibrated on its own k-1 folds)."""
     from ebbflow.operators.scoring import score_model
     est = spec.estimator.copy(best_map)
     weighted = _weighted(train, spec.weighted)
     parts = []
     for k in range(n_folds):
-        m = est.fit(weighted.where(F.col("fold") != k))
+        fit_rows = weighted.where(F.col("fold") != k)
+        m = est.fit(fit_rows)
+        if needs_calibration(spec):
+            m = calibrate(m, fit_rows)
         parts.append(score_model(weighted.where(F.col("fold") == k), m, label="label"))
     out = parts[0]
     for p in parts[1:]:
@@ -249,9 +255,7 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
             fitted[spec.name] = best
             tests.append(score_model(test, best, label="label").withColumn("model", F.lit(spec.name)))
             best_map = cvm.getEstimatorParamMaps()[max(range(len(cvm.avgMetrics)), key=lambda i: cvm.avgMetrics[i])]
-            fp = fold_predictions(train, spec, best_map, n_folds) if not needs_calibration(spec) else None
-            if fp is not None:
-                cvs.append(fp.withColumn("model", F.lit(spec.name)))
+            cvs.append(fold_predictions(train, spec, best_map, n_folds).withColumn("model", F.lit(spec.name)))
             params.append((spec.name, best_params_text(cvm)))
         union = lambda xs: xs[0] if len(xs) == 1 else xs[0].unionByName(union(xs[1:]), allowMissingColumns=True)
         # materialise the small per-model results before the training data is released

@@ -84,3 +84,11 @@ def test_monthly_run_writes_every_output(spark):
     rep = io.read_json_or_empty(spark, paths["evaluation_report"])
     assert rep["test_set_size"] == 300 and rep["tn"] + rep["fp"] + rep["fn"] + rep["tp"] == 300
     assert io.load_pipeline(paths["model"]) is not None
+
+
+def test_svm_family_end_to_end(spark):
+    st = churn.split_table(spark, SF_SMALL)
+    table, fitted = M.train_and_compare(st, which=["SVM"], parallelism=4)
+    r = table.first()
+    assert r["model"] == "SVM" and r["cv_roc_auc_mean"] is not None and "regParam" in r["best_params"]
+    assert isinstance(fitted["SVM"], M.CalibratedModel)
