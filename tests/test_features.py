@@ -133,3 +133,12 @@ def test_hot_customer_skew(spark):
 def test_fit_rank_selection_path_equals_direct(spark):
     df = _frame(spark)
     assert FE.fit(df, distinct_limit=0) == FE.fit(df)
+
+
+def test_rank_selection_on_real_tables(spark):
+    from ebbflow.plans import churn
+    base = churn.cleaned(spark, "/root/testdata/sf0.01")
+    assert FE.fit(base, distinct_limit=50, persist=False) == FE.fit(base, persist=False)
+    from ebbflow.operators import stats
+    cols, probs = ["monthly_charges", "total_charges", "tenure_months"], [0.25, 0.5, 0.75]
+    assert stats.percentiles(base, cols, probs, distinct_limit=0, final_limit=20) == stats.percentiles(base, cols, probs)
