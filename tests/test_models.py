@@ -88,7 +88,7 @@ def test_monthly_run_writes_every_output(spark):
 
 def test_svm_family_end_to_end(spark):
     st = churn.split_table(spark, SF_SMALL)
-    table, fitted = M.train_and_compare(st, which=["SVM"], parallelism=4)
+    table, fitted = M.train_and_compare(st, which=["SVM"], parallelism=8)
     r = table.first()
     assert r["model"] == "SVM" and r["cv_roc_auc_mean"] is not None and "regParam" in r["best_params"]
     assert isinstance(fitted["SVM"], M.CalibratedModel)
