@@ -7,8 +7,11 @@
   ``approx_count_distinct``; above ``distinct_limit`` the exact value is found
   by rank selection that narrows a value bracket with ``percentile_approx``
   (rank error <= m/accuracy per round) until it holds few rows, then ranks the
-  remaining rows exactly. No step holds more than ``final_limit`` rows or the
-  distinct-value map of a bounded column in one task.
+  remaining rows exactly. Only the first round scans the whole input: after it,
+  the rows inside some bracket are kept (semi join) and persisted. A bracket held
+  by repeated values stops narrowing and is ranked over its distinct values. No
+  step holds more than ``final_limit`` rows or the distinct-value map of a
+  bounded column in one task.
 * ``modes``: most frequent value, lowest on ties, via partially aggregated
   ``(column, value) -> count`` and a ``min(struct(-count, value))``, which is
   itself a partial aggregate: scale-safe for any cardinality.
@@ -165,8 +168,24 @@ def select_ranks(df: DataFrame, by: Sequence[str], targets: Sequence[tuple], fin
         return j.where((F.col("_lo").isNull() | (F.col("_v") > F.col("_lo")))
                        & (F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi"))))
 
+    def shrink(ts):
+        """Rows inside any open bracket (a semi join: each row kept once), persisted
+        for the next round, so only the first round scans the whole input."""
+        tf = target_frame(ts)
+        cond = [F.col(f"l.{b}").eqNullSafe(F.col(f"t.{b}")) for b in by] + [
+            F.col("l._c") == F.col("t._c"),
+            F.col("t._lo").isNull() | (F.col("l._v") > F.col("t._lo")),
+            F.col("t._hi").isNull() | (F.col("l._v") <= F.col("t._hi"))]
+        cond_all = cond[0]
+        for c in cond[1:]:
+            cond_all = cond_all & c
+        return long.alias("l").join(F.broadcast(tf).alias("t"), cond_all, "left_semi").persist()
+
+    kept = []
+
+    stalled: set = set()
     for _ in range(64):
-        open_ts = [t for t in targets if t not in result and state[t]["m"] > final_limit]
+        open_ts = [t for t in targets if t not in result and t not in stalled and state[t]["m"] > final_limit]
         if not open_ts:
             break
         tf = target_frame(open_ts)
@@ -209,7 +228,16 @@ def select_ranks(df: DataFrame, by: Sequence[str], targets: Sequence[tuple], fin
                 continue
             if not lo_ok and not hi_ok:
                 raise RuntimeError("approximate bracket lost the target rank")
+            if (new_lo, new_hi, top - below) == (s["lo"], s["hi"], s["m"]):
+                # no progress: the bracket is held by repeated values; the exact final
+                # step ranks its *distinct* values, which are then few
+                stalled.add(t)
+                continue
             s.update(lo=new_lo, hi=new_hi, r=s["r"] - below, m=top - below)
+        still = [t for t in targets if t not in result]
+        if still:
+            long = shrink(still)
+            kept.append(long)
     rest = [t for t in targets if t not in result]
     if rest:
         tf = target_frame(rest)
@@ -223,6 +251,8 @@ def select_ranks(df: DataFrame, by: Sequence[str], targets: Sequence[tuple], fin
         )
         for row in picked:
             result[rest[row["_t"]]] = row["_v"]
+    for k in kept:
+        k.unpersist()
     return result
 
 
