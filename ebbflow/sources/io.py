@@ -144,3 +144,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
+
+
+# --- S9: table DDL from the fixed schemas ------------------------------------------------------
+
+def ddl(name: str, schema: T.StructType, location: str | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS <name> (<columns>) USING parquet [LOCATION ...]``."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
+                     for f in schema.fields)
+    loc = f" LOCATION '{location}'" if location else ""
+    return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{loc}"
+
+
+def register_tables(spark: SparkSession, location: str, schemas: Mapping[str, T.StructType] | None = None) -> list[str]:
+    """Create the source tables in the session catalog over Parquet folders under ``location``."""
+    from ebbflow import schemas as S
+    schemas = schemas or {"customers": S.CUSTOMERS, "payments": S.PAYMENTS, "support_tickets": S.SUPPORT_TICKETS}
+    for name, schema in schemas.items():
+        spark.sql(ddl(name, schema, f"{location}/{name}"))
+    return list(schemas)

@@ -87,3 +87,16 @@ def test_row_index_dense_and_empty(spark):
     got = {r["id"]: r["customer_index"] for r in row_index(df, "id", n_buckets=4).collect()}
     assert got == {k: i for i, k in enumerate(sorted(got))}
     assert row_index(df.where("false"), "id").count() == 0
+
+
+def test_table_ddl_roundtrip(spark):
+    from ebbflow import schemas as S
+    from ebbflow.plans import churn
+    root = f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
+    assert io.ddl("payments", S.PAYMENTS).startswith("CREATE TABLE IF NOT EXISTS payments (`customer_id` bigint NOT NULL")
+    c, p, t = churn.source_tables(spark, SF_SMALL)
+    io.write_table(p.select(*S.PAYMENTS.fieldNames()), f"{root}/payments")
+    spark.sql("DROP TABLE IF EXISTS payments")
+    io.register_tables(spark, root, {"payments": S.PAYMENTS})
+    assert spark.table("payments").count() == p.count()
+    spark.sql("DROP TABLE IF EXISTS payments")
