@@ -46,7 +46,10 @@ class LinearScorer:
         for c, w in self.weights:
             z = f"({z} + CAST({float(w)!r} AS DOUBLE) * {c})"
         p = f"(1.0 / (1.0 + exp(-{z})))"
-        return f"round({p}, {self.digits})" if self.digits is not None else p
+        if self.digits is None:
+            return p
+        # decimal rounding, as ``functions.round_half_up``
+        return f"CAST(round(CAST({p} AS DECIMAL(38,12)), {self.digits}) AS DOUBLE)"
 
 
 # Deterministic scorers over the 22 features (fixed coefficients, raw feature scale).

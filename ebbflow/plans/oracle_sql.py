@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from ebbflow import schemas as S
 from ebbflow.plans.oracle import with_
 
@@ -97,10 +95,10 @@ ORACLE["average_charges"] = with_("cleaned") + f"SELECT customer_id, tenure_mont
 ORACLE["avg_charges_unguarded"] = with_("cleaned", """
 r AS (SELECT customer_id, CASE WHEN tenure_months = 0 THEN NULL ELSE total_charges / tenure_months END AS a
       FROM cleaned)""") + """
-SELECT customer_id, round(coalesce(a, (SELECT quantile_cont(a, 0.5) FROM r)), 6) AS avg_charges FROM r"""
+SELECT customer_id, CAST(round(CAST(coalesce(a, (SELECT quantile_cont(a, 0.5) FROM r)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_charges FROM r"""
 
 ORACLE["high_value_flag"] = with_("feature_table") + """
-SELECT customer_id, monthly_charges, high_value_customer, round((SELECT thr FROM threshold), 6) AS threshold
+SELECT customer_id, monthly_charges, high_value_customer, CAST(round(CAST((SELECT thr FROM threshold) AS DECIMAL(38,12)), 6) AS DOUBLE) AS threshold
 FROM feature_table"""
 
 
@@ -127,9 +125,9 @@ SELECT '{",".join(S.FEATURE_COLUMNS)}' AS feature_columns, '{S.TARGET}' AS targe
 
 ORACLE["impute_median"] = with_("fit") + """
 SELECT x.customer_id,
-  round(coalesce(CAST(x.tenure_months AS DOUBLE), m.tenure_months), 6) AS tenure_months,
-  round(coalesce(x.monthly_charges, m.monthly_charges), 6) AS monthly_charges,
-  round(coalesce(x.total_charges, m.total_charges), 6) AS total_charges
+  CAST(round(CAST(coalesce(CAST(x.tenure_months AS DOUBLE), m.tenure_months) AS DECIMAL(38,12)), 6) AS DOUBLE) AS tenure_months,
+  CAST(round(CAST(coalesce(x.monthly_charges, m.monthly_charges) AS DECIMAL(38,12)), 6) AS DOUBLE) AS monthly_charges,
+  CAST(round(CAST(coalesce(x.total_charges, m.total_charges) AS DECIMAL(38,12)), 6) AS DOUBLE) AS total_charges
 FROM cleaned x, medians m"""
 
 ORACLE["impute_mode"] = with_("fit") + "SELECT x.customer_id, " + ", ".join(
@@ -142,9 +140,9 @@ def _encode_scoring() -> str:
     expr = {
         "gender": "CASE r.gender WHEN 'Female' THEN 0 WHEN 'Male' THEN 1 END",
         "senior_citizen": "r.senior_citizen",
-        "tenure_months": "round(r.tenure_months, 6)",
-        "monthly_charges": "round(r.monthly_charges, 6)",
-        "total_charges": "round(r.total_charges, 6)",
+        "tenure_months": "CAST(round(CAST(r.tenure_months AS DECIMAL(38,12)), 6) AS DOUBLE)",
+        "monthly_charges": "CAST(round(CAST(r.monthly_charges AS DECIMAL(38,12)), 6) AS DOUBLE)",
+        "total_charges": "CAST(round(CAST(r.total_charges AS DECIMAL(38,12)), 6) AS DOUBLE)",
         "support_ticket_count": "CAST(0 AS BIGINT)",
         "average_charges": ("round_even((CASE WHEN r.tenure_months > 0 THEN r.total_charges / r.tenure_months "
                             "ELSE r.monthly_charges END) * 100, 0) / 100"),
@@ -287,8 +285,8 @@ binned AS (
          AS INTEGER) AS bin, count(*) AS n
   FROM feature_table f JOIN rng r ON f.churn_value = r.churn_value WHERE f.{col} IS NOT NULL GROUP BY ALL)""") + """
 SELECT g.churn_value, g.bin,
-  round(g.mn + g.bin * (CASE WHEN g.mx = g.mn THEN 0.0 ELSE (g.mx - g.mn) / 30 END), 6) AS bin_start,
-  round(CASE WHEN g.mx = g.mn THEN g.mx ELSE g.mn + (g.bin + 1) * ((g.mx - g.mn) / 30) END, 6) AS bin_end,
+  CAST(round(CAST(g.mn + g.bin * (CASE WHEN g.mx = g.mn THEN 0.0 ELSE (g.mx - g.mn) / 30 END) AS DECIMAL(38,12)), 6) AS DOUBLE) AS bin_start,
+  CAST(round(CAST(CASE WHEN g.mx = g.mn THEN g.mx ELSE g.mn + (g.bin + 1) * ((g.mx - g.mn) / 30) END AS DECIMAL(38,12)), 6) AS DOUBLE) AS bin_end,
   coalesce(b.n, 0) AS n
 FROM grid g LEFT JOIN binned b ON g.churn_value = b.churn_value AND g.bin = b.bin"""
 
@@ -302,10 +300,10 @@ def _box(col: str) -> str:
 q AS (SELECT churn_value, quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.5) AS median,
              quantile_cont({col}, 0.75) AS q3 FROM feature_table WHERE {col} IS NOT NULL GROUP BY churn_value),
 f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)""") + f"""
-SELECT f.churn_value, round(f.q1, 6) AS q1, round(f.median, 6) AS median, round(f.q3, 6) AS q3, round(f.iqr, 6) AS iqr,
-  round(f.lower_fence, 6) AS lower_fence, round(f.upper_fence, 6) AS upper_fence,
-  round(min(CASE WHEN x.{col} BETWEEN f.lower_fence AND f.upper_fence THEN x.{col} END), 6) AS whisker_low,
-  round(max(CASE WHEN x.{col} BETWEEN f.lower_fence AND f.upper_fence THEN x.{col} END), 6) AS whisker_high,
+SELECT f.churn_value, CAST(round(CAST(f.q1 AS DECIMAL(38,12)), 6) AS DOUBLE) AS q1, CAST(round(CAST(f.median AS DECIMAL(38,12)), 6) AS DOUBLE) AS median, CAST(round(CAST(f.q3 AS DECIMAL(38,12)), 6) AS DOUBLE) AS q3, CAST(round(CAST(f.iqr AS DECIMAL(38,12)), 6) AS DOUBLE) AS iqr,
+  CAST(round(CAST(f.lower_fence AS DECIMAL(38,12)), 6) AS DOUBLE) AS lower_fence, CAST(round(CAST(f.upper_fence AS DECIMAL(38,12)), 6) AS DOUBLE) AS upper_fence,
+  CAST(round(CAST(min(CASE WHEN x.{col} BETWEEN f.lower_fence AND f.upper_fence THEN x.{col} END) AS DECIMAL(38,12)), 6) AS DOUBLE) AS whisker_low,
+  CAST(round(CAST(max(CASE WHEN x.{col} BETWEEN f.lower_fence AND f.upper_fence THEN x.{col} END) AS DECIMAL(38,12)), 6) AS DOUBLE) AS whisker_high,
   count(*) FILTER (WHERE NOT (x.{col} BETWEEN f.lower_fence AND f.upper_fence)) AS n_outliers, count(*) AS n
 FROM feature_table x JOIN f ON x.churn_value = f.churn_value WHERE x.{col} IS NOT NULL
 GROUP BY f.churn_value, f.q1, f.median, f.q3, f.iqr, f.lower_fence, f.upper_fence"""
@@ -315,10 +313,10 @@ ORACLE["box_tenure"] = _box("tenure_months")
 ORACLE["box_average_charges"] = _box("average_charges")
 
 ORACLE["mean_ci_by_class"] = with_("feature_table") + """
-SELECT churn_value, count(monthly_charges) AS n, round(avg(monthly_charges), 6) AS mean,
-  round(stddev_samp(monthly_charges), 6) AS sd,
-  round(avg(monthly_charges) - 1.96 * stddev_samp(monthly_charges) / sqrt(count(monthly_charges)), 6) AS ci_low,
-  round(avg(monthly_charges) + 1.96 * stddev_samp(monthly_charges) / sqrt(count(monthly_charges)), 6) AS ci_high
+SELECT churn_value, count(monthly_charges) AS n, CAST(round(CAST(avg(monthly_charges) AS DECIMAL(38,12)), 6) AS DOUBLE) AS mean,
+  CAST(round(CAST(stddev_samp(monthly_charges) AS DECIMAL(38,12)), 6) AS DOUBLE) AS sd,
+  CAST(round(CAST(avg(monthly_charges) - 1.96 * stddev_samp(monthly_charges) / sqrt(count(monthly_charges)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS ci_low,
+  CAST(round(CAST(avg(monthly_charges) + 1.96 * stddev_samp(monthly_charges) / sqrt(count(monthly_charges)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS ci_high
 FROM feature_table GROUP BY churn_value"""
 
 ORACLE["density_curve"] = with_("feature_table", """
@@ -335,8 +333,8 @@ contrib AS (
                           - (s.mn + (b.bk + 0.5) * (s.mx - s.mn) / 512)) / s.h, 2)) AS w
   FROM binned b JOIN st2 s ON b.grp = s.grp, (SELECT unnest(range(0, 200)) AS k) k)""") + """
 SELECT grp AS churn_value, CAST(k AS INTEGER) AS k,
-  round(mn - 3.0 * h + k * ((mx + 3.0 * h) - (mn - 3.0 * h)) / 199, 6) AS x,
-  round(sum(w) / (n * h * 2.5066282746310002) * (mx - mn), 6) AS density_scaled
+  CAST(round(CAST(mn - 3.0 * h + k * ((mx + 3.0 * h) - (mn - 3.0 * h)) / 199 AS DECIMAL(38,12)), 6) AS DOUBLE) AS x,
+  CAST(round(CAST(sum(w) / (n * h * 2.5066282746310002) * (mx - mn) AS DECIMAL(38,12)), 6) AS DOUBLE) AS density_scaled
 FROM contrib GROUP BY grp, k, n, h, mn, mx"""
 
 ORACLE["pair_bins"] = with_("feature_table", """
@@ -421,7 +419,7 @@ ORACLE["fold_assign"] = with_("feature_table", SPLIT) + \
 
 def _standardize_sql():
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in S.FEATURE_COLUMNS)
-    sel = ", ".join(f"round((x.{c} - s.m_{c}) / (CASE WHEN s.s_{c} = 0 OR s.s_{c} IS NULL THEN 1.0 ELSE s.s_{c} END), 6) AS {c}"
+    sel = ", ".join(f"CAST(round(CAST((x.{c} - s.m_{c}) / (CASE WHEN s.s_{c} = 0 OR s.s_{c} IS NULL THEN 1.0 ELSE s.s_{c} END) AS DECIMAL(38,12)), 6) AS DOUBLE) AS {c}"
                     for c in S.FEATURE_COLUMNS)
     return with_("feature_table", SPLIT, f"st AS (SELECT {stats} FROM split_table WHERE split = 'train')") + \
         f"SELECT x.customer_id, {sel} FROM split_table x, st s"
@@ -430,7 +428,7 @@ def _standardize_sql():
 ORACLE["standardize"] = _standardize_sql()
 
 ORACLE["class_weights"] = with_("feature_table", SPLIT) + """
-SELECT churn_value, count(*) AS n_class, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
+SELECT churn_value, count(*) AS n_class, CAST(round(CAST(sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS weight
 FROM split_table WHERE split = 'train' GROUP BY churn_value"""
 
 # --- evaluation --------------------------------------------------------------------------
@@ -451,7 +449,7 @@ curve3 AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-8) AS f1
 _EVAL = lambda *extra: with_("feature_table", SPLIT, _preds(), CURVE, *extra)
 
 _AUC = "(SELECT sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) FROM asc_c)"
-ORACLE["roc_auc"] = _EVAL() + f"SELECT round({_AUC}, 6) AS roc_auc"
+ORACLE["roc_auc"] = _EVAL() + f"SELECT CAST(round(CAST({_AUC} AS DECIMAL(38,12)), 6) AS DOUBLE) AS roc_auc"
 
 CM = """
 cm AS (SELECT count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn, count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
@@ -463,8 +461,8 @@ met AS (SELECT *, CAST(tp + tn AS DOUBLE) / nullif(tp + tn + fp + fn, 0) AS accu
                coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0) AS f1_score FROM cm)"""
 
 ORACLE["classification_metrics"] = _EVAL(CM) + """
-SELECT tn, fp, fn, tp, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
-       round(f1_score, 6) AS f1_score FROM met"""
+SELECT tn, fp, fn, tp, CAST(round(CAST(accuracy AS DECIMAL(38,12)), 6) AS DOUBLE) AS accuracy, CAST(round(CAST(precision AS DECIMAL(38,12)), 6) AS DOUBLE) AS precision, CAST(round(CAST(recall AS DECIMAL(38,12)), 6) AS DOUBLE) AS recall,
+       CAST(round(CAST(f1_score AS DECIMAL(38,12)), 6) AS DOUBLE) AS f1_score FROM met"""
 ORACLE["confusion_matrix"] = _EVAL(CM) + "SELECT tn, fp, fn, tp FROM cm"
 
 ORACLE["classification_report"] = _EVAL(CM, """
@@ -472,40 +470,40 @@ pc AS (SELECT coalesce(CAST(tn AS DOUBLE) / nullif(tn + fn, 0), 0.0) AS p0, coal
               coalesce(CAST(2 * tn AS DOUBLE) / nullif(2 * tn + fn + fp, 0), 0.0) AS f0, CAST(tn + fp AS DOUBLE) AS s0,
               precision AS p1, recall AS r1, f1_score AS f1, CAST(tp + fn AS DOUBLE) AS s1,
               CAST(tn + fp + tp + fn AS DOUBLE) AS n, accuracy AS acc FROM met)""") + """
-SELECT 'Not Churned' AS class_name, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1_score, round(s0, 6) AS support FROM pc
-UNION ALL SELECT 'Churned', round(p1, 6), round(r1, 6), round(f1, 6), round(s1, 6) FROM pc
-UNION ALL SELECT 'accuracy', NULL, NULL, round(acc, 6), round(n, 6) FROM pc
-UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), round(n, 6) FROM pc
-UNION ALL SELECT 'weighted avg', round((p0 * s0 + p1 * s1) / n, 6), round((r0 * s0 + r1 * s1) / n, 6),
-                 round((f0 * s0 + f1 * s1) / n, 6), round(n, 6) FROM pc"""
+SELECT 'Not Churned' AS class_name, CAST(round(CAST(p0 AS DECIMAL(38,12)), 6) AS DOUBLE) AS precision, CAST(round(CAST(r0 AS DECIMAL(38,12)), 6) AS DOUBLE) AS recall, CAST(round(CAST(f0 AS DECIMAL(38,12)), 6) AS DOUBLE) AS f1_score, CAST(round(CAST(s0 AS DECIMAL(38,12)), 6) AS DOUBLE) AS support FROM pc
+UNION ALL SELECT 'Churned', CAST(round(CAST(p1 AS DECIMAL(38,12)), 6) AS DOUBLE), CAST(round(CAST(r1 AS DECIMAL(38,12)), 6) AS DOUBLE), CAST(round(CAST(f1 AS DECIMAL(38,12)), 6) AS DOUBLE), CAST(round(CAST(s1 AS DECIMAL(38,12)), 6) AS DOUBLE) FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, CAST(round(CAST(acc AS DECIMAL(38,12)), 6) AS DOUBLE), CAST(round(CAST(n AS DECIMAL(38,12)), 6) AS DOUBLE) FROM pc
+UNION ALL SELECT 'macro avg', CAST(round(CAST((p0 + p1) / 2 AS DECIMAL(38,12)), 6) AS DOUBLE), CAST(round(CAST((r0 + r1) / 2 AS DECIMAL(38,12)), 6) AS DOUBLE), CAST(round(CAST((f0 + f1) / 2 AS DECIMAL(38,12)), 6) AS DOUBLE), CAST(round(CAST(n AS DECIMAL(38,12)), 6) AS DOUBLE) FROM pc
+UNION ALL SELECT 'weighted avg', CAST(round(CAST((p0 * s0 + p1 * s1) / n AS DECIMAL(38,12)), 6) AS DOUBLE), CAST(round(CAST((r0 * s0 + r1 * s1) / n AS DECIMAL(38,12)), 6) AS DOUBLE),
+                 CAST(round(CAST((f0 * s0 + f1 * s1) / n AS DECIMAL(38,12)), 6) AS DOUBLE), CAST(round(CAST(n AS DECIMAL(38,12)), 6) AS DOUBLE) FROM pc"""
 
 ORACLE["pr_curve"] = _EVAL() + """
-SELECT round(threshold, 6) AS threshold, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1
+SELECT CAST(round(CAST(threshold AS DECIMAL(38,12)), 6) AS DOUBLE) AS threshold, tp, fp, CAST(round(CAST(precision AS DECIMAL(38,12)), 6) AS DOUBLE) AS precision, CAST(round(CAST(recall AS DECIMAL(38,12)), 6) AS DOUBLE) AS recall, CAST(round(CAST(f1 AS DECIMAL(38,12)), 6) AS DOUBLE) AS f1
 FROM curve3
 UNION ALL SELECT NULL, NULL, NULL, 1.0, 0.0, 0.0"""
 
 ORACLE["threshold_sweep"] = _EVAL() + """
-SELECT round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1
+SELECT CAST(round(CAST(threshold AS DECIMAL(38,12)), 6) AS DOUBLE) AS threshold, CAST(round(CAST(precision AS DECIMAL(38,12)), 6) AS DOUBLE) AS precision, CAST(round(CAST(recall AS DECIMAL(38,12)), 6) AS DOUBLE) AS recall, CAST(round(CAST(f1 AS DECIMAL(38,12)), 6) AS DOUBLE) AS f1
 FROM curve3"""
 
 _AP = "(SELECT sum(pos * precision) / nullif(max(n_pos), 0) FROM curve3)"
-ORACLE["average_precision"] = _EVAL() + f"SELECT round({_AP}, 6) AS avg_precision"
+ORACLE["average_precision"] = _EVAL() + f"SELECT CAST(round(CAST({_AP} AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_precision"
 
 BEST = """
 allpts AS (SELECT threshold, precision, recall, f1, 0 AS is_end FROM curve3
            UNION ALL SELECT NULL, 1.0, 0.0, 0.0, 1),
 best AS (SELECT * FROM allpts ORDER BY f1 DESC, is_end, threshold LIMIT 1)"""
 ORACLE["best_threshold"] = _EVAL(BEST) + """
-SELECT round(coalesce(threshold, 0.5), 6) AS best_threshold, round(f1, 6) AS best_f1,
-       round(precision, 6) AS best_precision, round(recall, 6) AS best_recall FROM best"""
+SELECT CAST(round(CAST(coalesce(threshold, 0.5) AS DECIMAL(38,12)), 6) AS DOUBLE) AS best_threshold, CAST(round(CAST(f1 AS DECIMAL(38,12)), 6) AS DOUBLE) AS best_f1,
+       CAST(round(CAST(precision AS DECIMAL(38,12)), 6) AS DOUBLE) AS best_precision, CAST(round(CAST(recall AS DECIMAL(38,12)), 6) AS DOUBLE) AS best_recall FROM best"""
 
 ORACLE["evaluation_report"] = _EVAL(CM, BEST) + f"""
 SELECT (SELECT count(*) FROM preds) AS test_set_size, tn, fp, fn, tp,
-  round((SELECT avg(CAST(label AS DOUBLE)) FROM preds), 4) AS churn_rate, round({_AUC}, 4) AS roc_auc,
-  round(accuracy, 4) AS accuracy, round(f1_score, 4) AS f1_score, round(precision, 4) AS precision,
-  round(recall, 4) AS recall, round({_AP}, 4) AS avg_precision,
-  round((SELECT coalesce(threshold, 0.5) FROM best), 4) AS best_threshold,
-  round((SELECT f1 FROM best), 4) AS best_f1_threshold
+  CAST(round(CAST((SELECT avg(CAST(label AS DOUBLE)) FROM preds) AS DECIMAL(38,12)), 4) AS DOUBLE) AS churn_rate, CAST(round(CAST({_AUC} AS DECIMAL(38,12)), 4) AS DOUBLE) AS roc_auc,
+  CAST(round(CAST(accuracy AS DECIMAL(38,12)), 4) AS DOUBLE) AS accuracy, CAST(round(CAST(f1_score AS DECIMAL(38,12)), 4) AS DOUBLE) AS f1_score, CAST(round(CAST(precision AS DECIMAL(38,12)), 4) AS DOUBLE) AS precision,
+  CAST(round(CAST(recall AS DECIMAL(38,12)), 4) AS DOUBLE) AS recall, CAST(round(CAST({_AP} AS DECIMAL(38,12)), 4) AS DOUBLE) AS avg_precision,
+  CAST(round(CAST((SELECT coalesce(threshold, 0.5) FROM best) AS DECIMAL(38,12)), 4) AS DOUBLE) AS best_threshold,
+  CAST(round(CAST((SELECT f1 FROM best) AS DECIMAL(38,12)), 4) AS DOUBLE) AS best_f1_threshold
 FROM met"""
 
 ORACLE["cv_scores"] = with_("feature_table", SPLIT, _preds("train"), """
@@ -515,14 +513,14 @@ fc AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY fold ORDER BY probability
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before FROM fst),
 fa AS (SELECT fold, sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS auc
        FROM fc GROUP BY fold)""") + """
-SELECT count(*) AS n_folds, round(avg(auc), 6) AS cv_roc_auc_mean, round(stddev_pop(auc), 6) AS cv_roc_auc_std FROM fa"""
+SELECT count(*) AS n_folds, CAST(round(CAST(avg(auc) AS DECIMAL(38,12)), 6) AS DOUBLE) AS cv_roc_auc_mean, CAST(round(CAST(stddev_pop(auc) AS DECIMAL(38,12)), 6) AS DOUBLE) AS cv_roc_auc_std FROM fa"""
 
 # --- scoring -----------------------------------------------------------------------------
 
 _RISK = ("CASE WHEN probability >= 0.75 THEN 'High' WHEN probability >= 0.45 THEN 'Medium' ELSE 'Low' END")
 ORACLE["score_batch"] = _EVAL() + f"""
 SELECT id AS customer_id, row_number() OVER (ORDER BY id) - 1 AS customer_index, prediction AS churn_prediction,
-  round(probability, 4) AS churn_probability, {_RISK} AS churn_risk_level,
+  CAST(round(CAST(probability AS DECIMAL(38,12)), 4) AS DOUBLE) AS churn_probability, {_RISK} AS churn_risk_level,
   CASE WHEN prediction = 1 THEN 'Likely to churn.' ELSE 'Likely to stay.' END AS message
 FROM preds"""
 
@@ -534,7 +532,7 @@ FROM preds"""
 ORACLE["batch_summary"] = _EVAL() + """
 SELECT count(*) AS total_customers, CAST(coalesce(sum(prediction), 0) AS BIGINT) AS churned_count,
   count(*) - CAST(coalesce(sum(prediction), 0) AS BIGINT) AS not_churned_count,
-  round(CAST(sum(prediction) AS DOUBLE) / nullif(count(*), 0), 4) AS churn_rate
+  CAST(round(CAST(CAST(sum(prediction) AS DOUBLE) / nullif(count(*), 0) AS DECIMAL(38,12)), 4) AS DOUBLE) AS churn_rate
 FROM preds"""
 
 ORACLE["concat_batches"] = with_("feature_table") + """
@@ -557,7 +555,7 @@ per AS (SELECT qid, nlabel, sum(CASE WHEN has_zero = 1 THEN CASE WHEN dist = 0 T
                count(*) AS votes FROM wz GROUP BY qid, nlabel),
 tot AS (SELECT qid, sum(score) AS total FROM per GROUP BY qid),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, nlabel) AS r FROM per) WHERE r = 1)
-SELECT q.vec_id, q.label, b.nlabel AS predicted, b.votes, round(b.score / t.total, 6) AS vote_share
+SELECT q.vec_id, q.label, b.nlabel AS predicted, b.votes, CAST(round(CAST(b.score / t.total AS DECIMAL(38,12)), 6) AS DOUBLE) AS vote_share
 FROM q JOIN best b ON q.vec_id = b.qid JOIN tot t ON t.qid = q.vec_id"""
 
 
@@ -595,9 +593,9 @@ fa AS (SELECT model, fold, sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum
        FROM fc GROUP BY model, fold),
 cvs AS (SELECT model, avg(auc) AS m, stddev_pop(auc) AS s FROM fa GROUP BY model),
 comparison AS (
-  SELECT a.model, round(a.roc_auc, 4) AS roc_auc, round(m.accuracy, 4) AS accuracy, round(m.f1_score, 4) AS f1_score,
-         round(m.precision, 4) AS precision, round(m.recall, 4) AS recall,
-         round(c.m, 4) AS cv_roc_auc_mean, round(c.s, 4) AS cv_roc_auc_std
+  SELECT a.model, CAST(round(CAST(a.roc_auc AS DECIMAL(38,12)), 4) AS DOUBLE) AS roc_auc, CAST(round(CAST(m.accuracy AS DECIMAL(38,12)), 4) AS DOUBLE) AS accuracy, CAST(round(CAST(m.f1_score AS DECIMAL(38,12)), 4) AS DOUBLE) AS f1_score,
+         CAST(round(CAST(m.precision AS DECIMAL(38,12)), 4) AS DOUBLE) AS precision, CAST(round(CAST(m.recall AS DECIMAL(38,12)), 4) AS DOUBLE) AS recall,
+         CAST(round(CAST(c.m AS DECIMAL(38,12)), 4) AS DOUBLE) AS cv_roc_auc_mean, CAST(round(CAST(c.s AS DECIMAL(38,12)), 4) AS DOUBLE) AS cv_roc_auc_std
   FROM mauc a JOIN mmet m ON a.model = m.model LEFT JOIN cvs c ON a.model = c.model),
 ranked_models AS (SELECT *, CAST(row_number() OVER (ORDER BY roc_auc DESC, accuracy DESC, model) - 1 AS INTEGER) AS rank FROM comparison)"""
 
@@ -632,14 +630,14 @@ FROM gate, fe, trn, ev"""
 ORACLE["run_summary"] = _run_summary_sql()
 
 ORACLE["stream_score"] = _EVAL() + f"""
-SELECT id AS customer_id, prediction AS churn_prediction, round(probability, 4) AS churn_probability,
+SELECT id AS customer_id, prediction AS churn_prediction, CAST(round(CAST(probability AS DECIMAL(38,12)), 4) AS DOUBLE) AS churn_probability,
   {_RISK} AS churn_risk_level, CASE WHEN prediction = 1 THEN 'Likely to churn.' ELSE 'Likely to stay.' END AS message
 FROM preds"""
 
 ORACLE["label_evaluation"] = """
 WITH lab AS (SELECT doc_id, 'quality' AS target, quality AS label FROM labels
              UNION ALL SELECT doc_id, 'toxic', toxic FROM labels),
-preds AS (SELECT l.target, d.lang, l.label, round(least(d.n_chars / 20000.0, 1.0), 6) AS probability
+preds AS (SELECT l.target, d.lang, l.label, CAST(round(CAST(least(d.n_chars / 20000.0, 1.0) AS DECIMAL(38,12)), 6) AS DOUBLE) AS probability
           FROM lab l JOIN documents d ON l.doc_id = d.doc_id),
 st AS (SELECT target, lang, probability, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
        FROM preds GROUP BY ALL),
@@ -649,36 +647,6 @@ c AS (SELECT *,
         sum(neg) OVER (PARTITION BY target, lang ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp
       FROM st)
 SELECT target, lang, CAST(sum(pos + neg) AS BIGINT) AS n, CAST(sum(pos) AS BIGINT) AS n_pos,
-  round(sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0), 6) AS roc_auc,
-  round(sum(pos * (CAST(tp AS DOUBLE) / (tp + fp))) / nullif(sum(pos), 0), 6) AS avg_precision
+  CAST(round(CAST(sum(pos * (neg_before + neg / 2.0)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS DECIMAL(38,12)), 6) AS DOUBLE) AS roc_auc,
+  CAST(round(CAST(sum(pos * (CAST(tp AS DOUBLE) / (tp + fp))) / nullif(sum(pos), 0) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_precision
 FROM c GROUP BY target, lang"""
-
-
-def _decimal_rounding(sql: str) -> str:
-    """``round(x, d)`` -> ``CAST(round(CAST(x AS DECIMAL(38,12)), d) AS DOUBLE)``: the
-    same half-away-from-zero decimal rounding as ``functions.round_half_up``."""
-    out, i = [], 0
-    pat = re.compile(r"(?<![A-Za-z_])round\(")
-    while True:
-        m = pat.search(sql, i)
-        if not m:
-            out.append(sql[i:])
-            return "".join(out)
-        out.append(sql[i:m.start()])
-        j, depth, last_comma = m.end(), 1, None
-        while depth:
-            ch = sql[j]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-            elif ch == "," and depth == 1:
-                last_comma = j
-            j += 1
-        inner = _decimal_rounding(sql[m.end():last_comma])
-        digits = sql[last_comma + 1:j - 1].strip()
-        out.append(f"CAST(round(CAST({inner} AS DECIMAL(38,12)), {digits}) AS DOUBLE)")
-        i = j
-
-
-ORACLE = {k: _decimal_rounding(v) for k, v in ORACLE.items()}
