@@ -28,14 +28,16 @@ def _score_table(preds: DataFrame, by: Sequence[str], score: str, label: str) ->
     return preds.groupBy(*by, score).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
 
 
-def _curve(preds: DataFrame, by: Sequence[str], score: str, label: str) -> DataFrame:
+def _curve(preds: DataFrame, by: Sequence[str], score: str, label: str,
+           score_range: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
     """One row per (group, distinct score) with the counts at and above it:
     ``tp``/``fp`` predict positive at score >= t; ``pos_before`` counts positives
     strictly above t. One parallel prefix pass feeds AUC, AP, F1 and the curve."""
     by = list(by)
     t = _score_table(preds, by, score, label)
     # class totals come from the small bucket-total table of the same pass
-    c = prefix_sums(t, score, ["pos", "neg"], score_bucket(score), partition_cols=by, descending=True, totals=True)
+    c = prefix_sums(t, score, ["pos", "neg"], score_bucket(score, lo=score_range[0], hi=score_range[1]),
+                    partition_cols=by, descending=True, totals=True)
     c = c.withColumnRenamed("pos_total", "_n_pos").withColumnRenamed("neg_total", "_n_neg")
     tp = F.col("pos_before") + F.col("pos")
     fp = F.col("neg_before") + F.col("neg")
@@ -47,16 +49,20 @@ def _curve(preds: DataFrame, by: Sequence[str], score: str, label: str) -> DataF
     return c.withColumn("f1", 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + F1_EPS))
 
 
-def curve_summary(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label") -> DataFrame:
+def curve_summary(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label",
+                  score_range: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
     """E1 + E7 + E8 in one aggregation over the curve rows:
 
     * ROC-AUC with half credit for ties = sum_t neg_t * (pos_above_t + pos_t / 2) / (P * N)
       (NULL when a class is absent);
     * AP = sum_t (R_t - R_prev) * P_t, where R_t - R_prev = pos_t / P;
     * best F1 threshold: first maximum in ascending threshold order (the end point
-      only wins when there is no threshold, and then falls back to 0.5)."""
+      only wins when there is no threshold, and then falls back to 0.5).
+
+    ``score_range`` sets the bucket range of the parallel prefix pass (scores
+    outside it are still exact, only clamped into the end buckets)."""
     by = list(by)
-    c = _curve(preds, by, score, label)
+    c = _curve(preds, by, score, label, score_range)
     g = c.groupBy(*by).agg(
         F.try_divide(F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2.0)),
                      F.first("n_pos").cast("double") * F.first("n_neg")).alias("roc_auc"),
@@ -70,9 +76,10 @@ def curve_summary(preds: DataFrame, by: Sequence[str] = (), score: str = "probab
                     F.col("b.precision").alias("best_precision"), F.col("b.recall").alias("best_recall"))
 
 
-def roc_auc(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label") -> DataFrame:
+def roc_auc(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label",
+            score_range: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
     """Exact ROC-AUC with half credit for tied scores."""
-    return curve_summary(preds, by, score, label).select(*by, "roc_auc")
+    return curve_summary(preds, by, score, label, score_range).select(*by, "roc_auc")
 
 
 def confusion_counts(preds: DataFrame, by: Sequence[str] = (), label: str = "label", prediction: str = "prediction") -> DataFrame:

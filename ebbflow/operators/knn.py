@@ -55,9 +55,11 @@ def _cell_topk(k: int, metric: str, sub: int = 32):
 
 def neighbours(train: DataFrame, test: DataFrame, k: int = 11, metric: str = "euclidean",
                id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-               block_rows: int = 4096) -> DataFrame:
-    """(qid, nid, nlabel, dist, rank) for the k nearest references of every query."""
-    n_train, n_test = train.count(), test.count()
+               block_rows: int = 4096, n_train: int | None = None, n_test: int | None = None) -> DataFrame:
+    """(qid, nid, nlabel, dist, rank) for the k nearest references of every query.
+    ``n_train`` / ``n_test`` (row counts, when known) size the cells without a count job."""
+    n_train = train.count() if n_train is None else n_train
+    n_test = test.count() if n_test is None else n_test
     nb, nc = max(1, math.ceil(n_train / block_rows)), max(1, math.ceil(n_test / block_rows))
     tr = train.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
                       F.col(label_col).cast("int").alias("label"),

@@ -329,7 +329,8 @@ def prefix_sums(
     )
 
 
-def score_bucket(score: str | Column, n_buckets: int = 1 << 16) -> Column:
-    """Bucket of a score in [0, 1] (clamped), non-decreasing in the score."""
+def score_bucket(score: str | Column, n_buckets: int = 1 << 16, lo: float = 0.0, hi: float = 1.0) -> Column:
+    """Bucket of a score in [lo, hi] (clamped), non-decreasing in the score."""
     s = F.col(score) if isinstance(score, str) else score
-    return F.least(F.greatest(F.floor(s * n_buckets), F.lit(0)), F.lit(n_buckets - 1)).cast("int")
+    scaled = (s - F.lit(float(lo))) / F.lit(float(hi - lo)) if (lo, hi) != (0.0, 1.0) else s
+    return F.least(F.greatest(F.floor(scaled * n_buckets), F.lit(0)), F.lit(n_buckets - 1)).cast("int")

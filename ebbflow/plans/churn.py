@@ -132,5 +132,7 @@ def knn_predictions(spark: SparkSession, sf_dir: str, k: int = 11, weights: str
     from ebbflow.operators.knn import knn_classify
     e = embedding_split(spark, sf_dir)
     test = e.where(F.col("split") == "test")
-    pred = knn_classify(e.where(F.col("split") == "train"), test, k=k, weights=weights, metric=metric)
+    sizes = {r["split"]: r["n"] for r in e.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pred = knn_classify(e.where(F.col("split") == "train"), test, k=k, weights=weights, metric=metric,
+                        n_train=sizes.get("train", 0), n_test=sizes.get("test", 0))
     return test.select(F.col("vec_id"), F.col("label")).join(pred.withColumnRenamed("qid", "vec_id"), "vec_id")

@@ -100,3 +100,11 @@ def test_cv_summary(spark):
     aucs = [_auc_pairs([x for x in rows if x[0] % 5 == k]) for k in range(5)]
     assert r["n_folds"] == 5
     assert r["cv_roc_auc_mean"] == pytest.approx(np.mean(aucs)) and r["cv_roc_auc_std"] == pytest.approx(np.std(aucs))
+
+
+def test_auc_on_margins_with_score_range(spark):
+    rows, df = _preds(spark)
+    margins = df.withColumn("probability", (F.col("probability") - 0.5) * 40)  # scores in [-20, 20]
+    a = EV.roc_auc(margins, score_range=(-20.0, 20.0)).first()["roc_auc"]
+    b = EV.roc_auc(margins).first()["roc_auc"]  # clamped buckets: still exact
+    assert a == pytest.approx(_auc_pairs(rows), abs=1e-12) and b == pytest.approx(a, abs=1e-12)
