@@ -21,7 +21,9 @@ row per key, so each build partition is bounded by the customers it holds) and
 streams n_pay: a hot key's rows pass through one by one, nothing is buffered
 per key, and customers without payments are emitted from the build side. The
 per-customer ticket count (one row per key) is joined last, again as the
-non-streamed side. One shuffle per input.
+non-streamed side. One shuffle per input. The build side holds one shuffle
+partition of customers in memory: keep shuffle partitions moderate (AQE's
+advisory size 64-128 MB) or pass ``hash_build_customers=False``.
 """
 
 from __future__ import annotations
@@ -40,11 +42,14 @@ def features_base(
     billing: Sequence[str] = BILLING_COLUMNS,
     key: str = "customer_id",
     count_col: str = "support_ticket_count",
+    hash_build_customers: bool = True,
 ) -> DataFrame:
+    """``hash_build_customers=False`` leaves the join strategy to the planner
+    (sort-merge: the hot key's payment rows are then buffered per key, spillable)."""
     billing = list(billing)
     n_pay = payments.groupBy(key, *billing).agg(F.count(F.lit(1)).alias("_n_pay"))
     n_tick = tickets.groupBy(key).agg(F.count("ticket_id").alias("_n_tick"))
-    rows = customers.hint("shuffle_hash").join(n_pay, key, "left")
+    rows = (customers.hint("shuffle_hash") if hash_build_customers else customers).join(n_pay, key, "left")
     return (
         rows.join(n_tick, key, "left")
         .select(
