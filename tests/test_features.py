@@ -142,3 +142,11 @@ def test_rank_selection_on_real_tables(spark):
     from ebbflow.operators import stats
     cols, probs = ["monthly_charges", "total_charges", "tenure_months"], [0.25, 0.5, 0.75]
     assert stats.percentiles(base, cols, probs, distinct_limit=0, final_limit=200) == stats.percentiles(base, cols, probs)
+
+
+def test_join_strategies_agree(spark):
+    from ebbflow.plans import churn
+    c, p, t = churn.source_tables(spark, "/root/testdata/sf0.01")
+    a = features_base(c, p, t)
+    b = features_base(c, p, t, hash_build_customers=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
