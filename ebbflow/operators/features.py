@@ -38,9 +38,9 @@ GENDER_MAP = {"Female": 0, "Male": 1}
 HIGH_VALUE_PERCENTILE = 0.75
 AVERAGE_DIGITS = 2
 
-# Above this many distinct values a category list is applied with a join
-# instead of a literal array.
-CATEGORY_LITERAL_LIMIT = 10_000
+# Above this many distinct values a category list is applied with a (hash) join
+# instead of a literal array: array_position scans the literal per row.
+CATEGORY_LITERAL_LIMIT = 256
 
 
 @dataclass
