@@ -131,19 +131,24 @@ def best_params_text(cv_model) -> str:
     return "{" + ", ".join(f"'{p.name}': {v}" for p, v in sorted(best.items(), key=lambda kv: kv[0].name)) + "}"
 
 
-def fold_predictions(train: DataFrame, spec: FamilySpec, best_map, n_folds: int = 5) -> DataFrame:
+def fold_predictions(train: DataFrame, spec: FamilySpec, best_map, n_folds: int = 5, parallelism: int = 1) -> DataFrame:
     """Refit the best configuration on each k-1 folds and score the held-out fold
-    (a margin model is calibrated on its own k-1 folds)."""
+    (a margin model is calibrated on its own k-1 folds). Folds are fitted from
+    ``parallelism`` driver threads, as ``CrossValidator`` does."""
+    from concurrent.futures import ThreadPoolExecutor
     from ebbflow.operators.scoring import score_model
     est = spec.estimator.copy(best_map)
     weighted = _weighted(train, spec.weighted)
-    parts = []
-    for k in range(n_folds):
+
+    def one(k: int) -> DataFrame:
         fit_rows = weighted.where(F.col("fold") != k)
-        m = est.fit(fit_rows)
+        m = est.copy().fit(fit_rows)
         if needs_calibration(spec):
             m = calibrate(m, fit_rows)
-        parts.append(score_model(weighted.where(F.col("fold") == k), m, label="label"))
+        return score_model(weighted.where(F.col("fold") == k), m, label="label")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(one, range(n_folds)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -255,7 +260,7 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
             fitted[spec.name] = best
             tests.append(score_model(test, best, label="label").withColumn("model", F.lit(spec.name)))
             best_map = cvm.getEstimatorParamMaps()[max(range(len(cvm.avgMetrics)), key=lambda i: cvm.avgMetrics[i])]
-            cvs.append(fold_predictions(train, spec, best_map, n_folds).withColumn("model", F.lit(spec.name)))
+            cvs.append(fold_predictions(train, spec, best_map, n_folds, parallelism).withColumn("model", F.lit(spec.name)))
             params.append((spec.name, best_params_text(cvm)))
         union = lambda xs: xs[0] if len(xs) == 1 else xs[0].unionByName(union(xs[1:]), allowMissingColumns=True)
         # materialise the small per-model results before the training data is released
