@@ -117,10 +117,14 @@ def knn_grid_cv(train: DataFrame, ks=(5, 7, 11), weights=("uniform", "distance")
     at the largest k; every (k, weights) is voted from them."""
     parts = []
     kmax = max(ks)
+    # fold sizes from one job: they size every cell without per-search counts
+    per_fold = {r[fold]: r["n"] for r in train.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(per_fold.values())
     for m in metrics:
         for f in range(n_folds):
             tr, te = train.where(F.col(fold) != f), train.where(F.col(fold) == f)
-            nb = neighbours(tr, te, k=kmax, metric=m, **kw).persist()
+            nb = neighbours(tr, te, k=kmax, metric=m, n_train=total - per_fold.get(f, 0),
+                            n_test=per_fold.get(f, 0), **kw).persist()
             labels = te.select(F.col(kw.get("id_col", "vec_id")).cast("long").alias("qid"),
                                F.col(kw.get("label_col", "label")).cast("int").alias("label"))
             for k in ks:
