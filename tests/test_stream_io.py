@@ -100,3 +100,12 @@ def test_table_ddl_roundtrip(spark):
     io.register_tables(spark, root, {"payments": S.PAYMENTS})
     assert spark.table("payments").count() == p.count()
     spark.sql("DROP TABLE IF EXISTS payments")
+
+
+def test_cli_list_and_query(spark, capsys):
+    from ebbflow.__main__ import main
+    assert main(["list"]) == 0
+    assert "feature_table" in capsys.readouterr().out.split()
+    out = f"{ensure_checkpoint_dir(spark)}/cli-{uuid.uuid4().hex}"
+    assert main(["query", "churn_kpis", "--sf", SF_SMALL, "--out", out]) == 0
+    assert spark.read.parquet(out).first()["total"] == 150
