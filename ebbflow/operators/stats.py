@@ -32,6 +32,7 @@ DISTINCT_LIMIT = 2_000_000
 FINAL_LIMIT = 200_000
 APPROX_ACCURACY = 10_000
 GRID = 1000
+MAX_GROUPS = 10_000  # results of ``percentiles`` come to the driver; many groups use percentiles_frame
 
 
 # ---------------------------------------------------------------------------
@@ -84,10 +85,13 @@ def percentiles(
         sizing = [{**{f"n_{i}": sizes[c][0] for i, c in enumerate(cols)},
                    **{f"d_{i}": sizes[c][1] for i, c in enumerate(cols)}}]
     else:
-        sizing = df.groupBy(*by).agg(
+        sizing_df = df.groupBy(*by).agg(
             *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
             *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)],
-        ).collect()
+        )
+        sizing = sizing_df.limit(MAX_GROUPS + 1).collect()
+        if len(sizing) > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} groups: use percentiles_frame, which stays distributed")
     out: dict = {}
     direct, hard = [], []
     for row in sizing:
@@ -127,6 +131,14 @@ def percentiles(
     return out
 
 
+def percentiles_frame(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Exact per-group percentiles as a DataFrame (one row per group, one array
+    column ``<col>_pct`` per column), for many groups: nothing reaches the driver.
+    Each group's value->count map is bounded by that group's distinct values."""
+    probs = [float(p) for p in probs]
+    return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), probs).alias(f"{c}_pct") for c in cols])
+
+
 def select_ranks(df: DataFrame, by: Sequence[str], targets: Sequence[tuple], final_limit: int = FINAL_LIMIT,
                  accuracy: int = APPROX_ACCURACY) -> dict:
     """Exact order statistics: value of 0-based rank ``r`` among the non-null

@@ -48,3 +48,10 @@ def test_prefix_sums_brute_force(spark):
 def test_approx_percentiles_opt_in(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1001)], "x double")
     assert stats.percentiles(df, ["x"], [0.5], approx=True)[((), "x")] == [500.0]
+
+
+def test_percentiles_frame_matches_dict(spark):
+    df = spark.createDataFrame([(g, float(v)) for g in range(3) for v in range(g * 10, g * 10 + 7)], "g int, x double")
+    d = stats.percentiles(df, ["x"], [0.25, 0.5], by=["g"])
+    f = {r["g"]: list(r["x_pct"]) for r in stats.percentiles_frame(df, ["x"], [0.25, 0.5], ["g"]).collect()}
+    assert all(d[((g,), "x")] == f[g] for g in range(3))
