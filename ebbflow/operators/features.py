@@ -81,7 +81,8 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if c in have]
 
 
-def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT, persist: bool = True) -> FeatureParams:
+def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT, persist: bool = True,
+        approx: bool = False) -> FeatureParams:
     """Fit on a coerced frame (``coerce(drop_columns(features_base))``).
 
     Four jobs over the input (persisted here unless ``persist=False``, e.g. when
@@ -90,7 +91,8 @@ def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT, persist: bool
     median and the high-value threshold, a per-column summary of the
     value-count table (distinct count and mode) and one read of the category
     lists of the low-cardinality columns. The threshold needs its own pass only
-    when monthly charges have gaps (it is taken on the imputed column)."""
+    when monthly charges have gaps (it is taken on the imputed column).
+    ``approx=True`` opts into ``percentile_approx`` for medians and threshold."""
     numerical = _present(df, S.NUMERICAL_COLUMNS)
     categorical = _present(df, S.BINARY_COLUMNS + S.CATEGORICAL_COLUMNS)
     encode_cols = _present(df, S.CATEGORICAL_COLUMNS)
@@ -104,7 +106,8 @@ def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT, persist: bool
         sizes = {c: (size_row[f"n_{i}"], size_row[f"d_{i}"]) for i, c in enumerate(med_cols)}
         monthly_full = "monthly_charges" in df.columns and sizes["monthly_charges"][0] == n_rows
         probs = [0.5, HIGH_VALUE_PERCENTILE] if monthly_full else [0.5]
-        q = stats.percentiles(cached, med_cols, probs, distinct_limit=distinct_limit, sizes=sizes) if med_cols else {}
+        q = stats.percentiles(cached, med_cols, probs, distinct_limit=distinct_limit, sizes=sizes,
+                              approx=approx) if med_cols else {}
         medians = {c: q[((), c)][0] for c in numerical}
         target_median = q[((), S.TARGET)][0] if S.TARGET in df.columns else None
 
@@ -136,7 +139,7 @@ def fit(df: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT, persist: bool
             filled = cached.select(F.coalesce(F.col("monthly_charges"), F.lit(medians.get("monthly_charges")))
                                    .alias("monthly_charges"))
             threshold = stats.percentiles(filled, ["monthly_charges"], [HIGH_VALUE_PERCENTILE],
-                                          distinct_limit=distinct_limit)[((), "monthly_charges")][0]
+                                          distinct_limit=distinct_limit, approx=approx)[((), "monthly_charges")][0]
     finally:
         if persist:
             cached.unpersist()

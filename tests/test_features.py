@@ -150,3 +150,8 @@ def test_join_strategies_agree(spark):
     a = features_base(c, p, t)
     b = features_base(c, p, t, hash_build_customers=False)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_fit_approx_opt_in(spark):
+    p = FE.fit(_frame(spark), approx=True)
+    assert p.medians["total_charges"] in (250.0, 800.0, 1.0) and p.modes["contract"] == "Two year"
