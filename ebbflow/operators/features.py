@@ -205,13 +205,15 @@ def encode(df: DataFrame, params: FeatureParams) -> DataFrame:
 def _write_code_table(counts: DataFrame, c: str) -> str:
     """High-cardinality code map, written once to the shared checkpoint folder so
     that every later transform (batch or stream) reads the same fitted codes."""
-    path = f"{ensure_checkpoint_dir(counts.sparkSession)}/ebbflow-codes-{c}-{uuid.uuid4().hex}"
-    vals = counts.where(F.col("column") == c).select("value", F.lit(1).alias("_one"))
-    # code = number of smaller distinct values; strings order by their UTF-8 bytes,
-    # so the first two bytes are an order-preserving bucket for the parallel count
-    prefix = F.rpad(F.hex(F.substring(F.col("value").cast("binary"), 1, 2)), 4, "0")
-    coded = stats.prefix_sums(vals, "value", ["_one"], F.conv(prefix, 16, 10).cast("int"))
-    coded.select("value", F.col("_one_before").cast("int").alias("code")).write.mode("overwrite").parquet(path)
+    spark = counts.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/ebbflow-codes-{c}-{uuid.uuid4().hex}"
+    # code = position in sorted order. orderBy range-partitions on sampled split
+    # points (balanced even when values share long prefixes); zipWithIndex counts
+    # each partition and adds the offsets, so the numbering runs in parallel.
+    ordered = counts.where(F.col("column") == c).select("value").orderBy("value")
+    indexed = ordered.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
+    spark.createDataFrame(indexed, "value string, code long").select(
+        "value", F.col("code").cast("int").alias("code")).write.mode("overwrite").parquet(path)
     return path
 
 
