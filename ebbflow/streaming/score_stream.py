@@ -35,7 +35,8 @@ def score_frame(rows: DataFrame, params: FeatureParams, scorer: LinearScorer) ->
 
 def start_scoring_stream(spark: SparkSession, source_dir: str, schema, params: FeatureParams, scorer: LinearScorer,
                          scored_dir: str, rejected_dir: str, checkpoint_dir: str,
-                         available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         processing_time: str = "30 seconds") -> StreamingQuery:
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -53,5 +54,5 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, schema, params: F
             scored.unpersist()
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
