@@ -45,3 +45,20 @@ def test_risk_bands_edges(spark):
 def test_title_names():
     assert title_name("streaming_tv") == "Streaming Tv"
     assert title_name("support_ticket_count") == "Support Ticket Count"
+
+
+def test_round_half_up_matches_decimal_rounding(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+    from hypothesis import given, settings, strategies as st
+    from ebbflow.functions.scalar import round_half_up
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.one_of(st.floats(-1e6, 1e6, allow_nan=False),
+                              st.integers(-10**9, 10**9).map(lambda i: i / 10**5)), min_size=50, max_size=300))
+    def check(xs):
+        df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+        got = [r[0] for r in df.select(round_half_up("x", 4)).collect()]
+        want = [float(Decimal(repr(float(x))).quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP)) for x in xs]
+        assert got == want
+
+    check()
