@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ebbflow.llm import compression_rules, interleave, nnls_packing, pfor_tokens, simhash_tiles
+from ebbflow.llm import (byte_gru, compression_rules, interleave, licences, line_crf, nnls_packing, pfor_tokens,
+                         revisits, simhash_tiles, template_windows)
+from ebbflow.llm.oracle_sql import ORACLE  # noqa: F401 - read beside REGISTRY
 from ebbflow.sources.tables import read_table
 
 REGISTRY: dict = {}
@@ -20,6 +22,12 @@ def op1_compression_bands(spark, sf_dir):
     return compression_rules.score(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op2_template_windows(spark, sf_dir):
+    rows = template_windows.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "item_id", "n_matched", "n_windows", "kind")
+
+
 @register
 def op3_simhash_tiles(spark, sf_dir):
     rows = simhash_tiles.classes(read_table(spark, sf_dir, "documents"))
@@ -32,6 +40,29 @@ def op4_pfor_tokens(spark, sf_dir):
     return pfor_tokens.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register
+def op5_line_crf(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return line_crf.score(docs, line_crf.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+@register
+def op6_revisits(spark, sf_dir):
+    rows = revisits.resolve(revisits.records_of_pages(read_table(spark, sf_dir, "pages")))
+    return rows.select("record_id", "curl", "at", "response_id", "outcome", revisits.header_lines(F.col("headers")).alias("headers"))
+
+
+@register
+def op7_licence_digests(spark, sf_dir):
+    return licences.scan(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_byte_gru(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return byte_gru.predict(docs, byte_gru.fit(docs))
+
+
 @register
 def op9_interleaved_shards(spark, sf_dir):
     rows = interleave.shard(read_table(spark, sf_dir, "documents"), n_shards=40)
@@ -40,5 +71,4 @@ def op9_interleaved_shards(spark, sf_dir):
 
 @register
 def op10_nnls_packing(spark, sf_dir):
-    return nnls_packing.pack(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return nnls_packing.digests(nnls_packing.pack(read_table(spark, sf_dir, "documents")))

@@ -221,3 +221,8 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", kind: str = "byt
 
     kind_of_id = docs.schema["doc_id"].dataType.simpleString()
     return placed.mapInArrow(run, f"doc_id {kind_of_id}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+
+
+def digests(pieces: DataFrame) -> DataFrame:
+    """Pieces with the CRC-32 of their ids in place of the ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
