@@ -65,7 +65,9 @@ def resolve(records: DataFrame) -> DataFrame:
     found = found.withColumn("response_id", F.coalesce("latest", "carried")["record_id"])
     stored = rows.where("status = 200").select(F.col("record_id").alias("s_id"), F.col("headers").alias("stored"))
     stored = stored.groupBy("s_id").agg(F.first("stored").alias("stored"))  # a record may be listed twice
-    joined = found.join(stored, F.col("response_id") == F.col("s_id"), "left")
+    # Unresolved records have no key to join on; together they would meet in one task.
+    lost = found.where("response_id is null").withColumn("stored", F.lit(None).cast("map<string,string>"))
+    joined = found.join(stored, F.col("response_id") == F.col("s_id")).drop("s_id").unionByName(lost)
     new, old = F.col("headers"), F.col("stored")
     by_etag = weak(new["etag"]) == weak(old["etag"])
     by_date = new["last-modified"] == old["last-modified"]
