@@ -20,9 +20,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ebbflow.llm.arrow_text import crc32_of_id, flat_bytes, sliced, text_array
+from ebbflow.llm.sampling import first_by_hash
 
 #: Documents of each language that the network is trained on, and segments of each.
 SAMPLE_PER_LANG = 300
@@ -189,8 +190,7 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, segments: int = SAMPLE
     known = docs.select("doc_id", "lang", "text").where("lang is not null and length(text) > 0")
     known = known.where(F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % FOLDS != HELD_OUT)
     ids = known.select("lang", "doc_id").where("doc_id is not null").distinct()
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = ids.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_lang).select("lang", "doc_id")
+    sample = first_by_hash(ids, "lang", "doc_id", per_lang)
 
     def run(batches):
         for part in sliced(batches):

@@ -22,9 +22,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ebbflow.llm.arrow_text import IS_SPACE, crc32_of_id, flat_bytes, per_row, sliced, text_array, words
+from ebbflow.llm.sampling import first_by_hash
 
 #: Labelled documents of each class that the model is fitted on, and lines of each.
 SAMPLE_PER_CLASS = 1500
@@ -199,9 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, l
     known = (labels.where("doc_id is not null and quality is not null")
              .where(F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT)
              .groupBy("doc_id").agg(F.min("quality").cast("long").alias("quality")))
-    by_hash = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (known.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_class)
-              .select("doc_id", "quality"))
+    sample = first_by_hash(known, "quality", "doc_id", per_class)
 
     def run(batches):
         for part in sliced(batches):
