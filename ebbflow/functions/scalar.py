@@ -21,13 +21,16 @@ def col_of(c: str | Column) -> Column:
 def coerce_numeric(c: str | Column, to: str = "double") -> Column:
     """Unparsable text -> NULL (``' '`` -> NULL, ``' 12.5 '`` -> 12.5, ``'x'`` -> NULL).
 
-    ``try_cast`` instead of ``cast``: ANSI mode raises on bad input."""
-    return col_of(c).try_cast(to)
+    ``try_cast`` instead of ``cast``: ANSI mode raises on bad input. The text ``NaN`` is missing
+    too, so that it is imputed and moves no order statistic."""
+    out = col_of(c).try_cast(to)
+    return F.when(~F.isnan(out), out) if to in ("double", "float") else out
 
 
-def coerce_int(c: str | Column, default: int = 0) -> Column:
-    """Coerce, fill with a default, cast to int (``to_numeric(...).fillna(0).astype(int)``)."""
-    return F.coalesce(col_of(c).try_cast("double"), F.lit(float(default))).cast("int")
+def coerce_int(c: str | Column, default: int = 0, to: str = "long") -> Column:
+    """Coerce, truncate, fill with a default (``to_numeric(...).fillna(0).astype(int)``).
+    Blank, ``NaN``, infinite and out-of-range values give the default; nothing raises."""
+    return F.coalesce(coerce_numeric(c).try_cast(to), F.lit(default).cast(to))
 
 
 def clean_string(c: str | Column) -> Column:

@@ -26,16 +26,16 @@ def build_customers(flat: DataFrame) -> DataFrame:
     return flat.select(
         clean_string("customer_id").alias("customer_id"),
         clean_string("city").alias("city"),
-        coerce_numeric(F.trim("zip_code"), "double").cast("int").alias("zip_code"),
+        coerce_numeric(F.trim("zip_code"), "double").try_cast("int").alias("zip_code"),
         coerce_numeric("latitude").alias("latitude"),
         coerce_numeric("longitude").alias("longitude"),
         clean_string("gender").alias("gender"),
-        coerce_int("senior_citizen").alias("senior_citizen"),
+        coerce_int("senior_citizen", to="int").alias("senior_citizen"),
         clean_string("partner").alias("partner"),
         clean_string("dependents").alias("dependents"),
-        coerce_int("tenure_months").alias("tenure_months"),
+        coerce_int("tenure_months", to="int").alias("tenure_months"),
         *[clean_string(c).alias(c) for c in CUSTOMER_TEXT if c not in ("gender", "partner", "dependents")],
-        coerce_int("churn_value").alias("churn_value"),
+        coerce_int("churn_value", to="int").alias("churn_value"),
     )
 
 

@@ -21,6 +21,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ebbflow.session import materialize
+
 CAND_SCHEMA = "qid long, nid long, nlabel int, dist double"
 
 
@@ -124,7 +126,8 @@ def knn_grid_cv(train: DataFrame, ks=(5, 7, 11), weights=("uniform", "distance")
         for f in range(n_folds):
             tr, te = train.where(F.col(fold) != f), train.where(F.col(fold) == f)
             nb = neighbours(tr, te, k=kmax, metric=m, n_train=total - per_fold.get(f, 0),
-                            n_test=per_fold.get(f, 0), **kw).persist()
+                            n_test=per_fold.get(f, 0), **kw)
+            nb = materialize(nb, "neighbours")  # read once per configuration
             labels = te.select(F.col(kw.get("id_col", "vec_id")).cast("long").alias("qid"),
                                F.col(kw.get("label_col", "label")).cast("int").alias("label"))
             for k in ks:

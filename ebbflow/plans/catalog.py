@@ -73,7 +73,7 @@ def drop_columns(spark, sf_dir):
 
 @register
 def coerce_numeric(spark, sf_dir):
-    """P4 + P6 on text charges (blank strings) and on JSON-extracted event properties."""
+    """P4 + P6 on text charges (blank strings), JSON-extracted event properties and malformed numbers."""
     from ebbflow.functions.scalar import coerce_int, coerce_numeric as num
     from ebbflow.sources import fixtures as FX
     from ebbflow.sources.tables import read_table
@@ -83,7 +83,12 @@ def coerce_numeric(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select(
         F.lit("events").alias("source"), F.col("event_id").alias("row_id"),
         F.get_json_object("props", "$.k").alias("raw"))
-    both = pay.unionByName(ev)
+    # malformed numbers, one of seven kinds per order
+    odd = F.array(*map(F.lit, ("NaN", "Infinity", "-Infinity", "30000000000", " ", "x", "-7.9")))
+    bad = read_table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("source"), F.col("o_orderkey").alias("row_id"),
+        F.get(odd, (F.col("o_orderkey") % 7).cast("int")).alias("raw"))
+    both = pay.unionByName(ev).unionByName(bad)
     return both.select("source", "row_id", "raw", num("raw").alias("value"), coerce_int("raw").alias("value_int"))
 
 
@@ -549,7 +554,7 @@ def label_evaluation(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     preds = lab.join(docs, "doc_id").select(
         "target", "lang", F.col("label").cast("int").alias("label"),
-        round_half_up(F.least(F.col("n_chars") / 20000.0, F.lit(1.0)), 6).alias("probability"))
+        round_half_up(F.col("n_chars") / (F.col("n_chars") + 2000.0), 12).alias("probability"))
     by = ["target", "lang"]
     counts = preds.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n_pos"))
     out = counts.join(curve_summary(preds, by=by).select(*by, "roc_auc", "avg_precision"), by)

@@ -78,11 +78,13 @@ ORACLE["drop_columns"] = with_("features_base") + \
     "SELECT * EXCLUDE (city, zip_code, latitude, longitude) FROM features_base"
 
 ORACLE["coerce_numeric"] = with_("fx") + """
-SELECT source, row_id, raw, TRY_CAST(raw AS DOUBLE) AS value,
-       CAST(trunc(coalesce(TRY_CAST(raw AS DOUBLE), 0)) AS INTEGER) AS value_int
+SELECT source, row_id, raw, CASE WHEN NOT isnan(TRY_CAST(raw AS DOUBLE)) THEN TRY_CAST(raw AS DOUBLE) END AS value,
+       coalesce(TRY_CAST(trunc(TRY_CAST(raw AS DOUBLE)) AS BIGINT), 0) AS value_int
 FROM (SELECT 'payments' AS source, customer_id AS row_id, total_charges AS raw FROM fx_payments
       UNION ALL
-      SELECT 'events', event_id, json_extract_string(props, '$.k') FROM events)"""
+      SELECT 'events', event_id, json_extract_string(props, '$.k') FROM events
+      UNION ALL
+      SELECT 'orders', o_orderkey, (['NaN', 'Infinity', '-Infinity', '30000000000', ' ', 'x', '-7.9'])[1 + o_orderkey % 7] FROM orders)"""
 
 ORACLE["clean_strings"] = with_("fx", RAW_FLAT) + """
 SELECT trim(customer_id) AS customer_id, trim(gender) AS gender, trim(contract) AS contract,
@@ -637,7 +639,7 @@ FROM preds"""
 ORACLE["label_evaluation"] = """
 WITH lab AS (SELECT doc_id, 'quality' AS target, quality AS label FROM labels
              UNION ALL SELECT doc_id, 'toxic', toxic FROM labels),
-preds AS (SELECT l.target, d.lang, l.label, CAST(round(CAST(least(d.n_chars / 20000.0, 1.0) AS DECIMAL(38,12)), 6) AS DOUBLE) AS probability
+preds AS (SELECT l.target, d.lang, l.label, CAST(round(CAST(d.n_chars / (d.n_chars + 2000.0) AS DECIMAL(38,12)), 12) AS DOUBLE) AS probability
           FROM lab l JOIN documents d ON l.doc_id = d.doc_id),
 st AS (SELECT target, lang, probability, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
        FROM preds GROUP BY ALL),

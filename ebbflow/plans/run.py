@@ -56,19 +56,18 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.when(ok, "SUCCESS").otherwise("PARTIAL FAILURE").alias("overall_status"))
 
 
-def stream_score(spark: SparkSession, sf_dir: str, n_files: int = 2) -> DataFrame:
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ebbflow.operators.scoring import BASELINE_SCORER
     from ebbflow.streaming.score_stream import start_scoring_stream
     root = f"{ensure_checkpoint_dir(spark)}/ebbflow-stream-{uuid.uuid4().hex}"
     params = churn.feature_params(spark, sf_dir)
     test_ids = churn.split_table(spark, sf_dir).where(F.col("split") == "test").select(S.KEY)
     landing = churn.cleaned(spark, sf_dir).join(test_ids, S.KEY, "left_semi")
-    # arrivals: several files, as a feed would deliver them
-    landing.repartition(n_files, S.KEY).write.mode("overwrite").parquet(f"{root}/landing")
+    # arrivals: as many files as the input has partitions
+    landing.write.mode("overwrite").parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
     q = start_scoring_stream(spark, f"{root}/landing", schema, params, BASELINE_SCORER,
-                             f"{root}/scored", f"{root}/rejected", f"{root}/checkpoint", available_now=True,
-                             max_files_per_trigger=1)
+                             f"{root}/scored", f"{root}/rejected", f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/scored").select(S.KEY, "churn_prediction", "churn_probability",
                                                        "churn_risk_level", "message")
