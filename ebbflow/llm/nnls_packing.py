@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ebbflow.llm.arrow_text import sliced, text_array
 from ebbflow.llm.store import write_once
-from ebbflow.llm.tokens import PieceEncoder, tokenizer_path
+from ebbflow.llm.tokens import SLICE_BYTES, shared_encoder, tokenizer_path
 
 #: One triple in this many is enumerated; every length keeps dozens of partners.
 TRIPLE_STRIDE = 16
@@ -147,8 +147,8 @@ def tokenised(docs: DataFrame, tokenizer: str, kind: str, end_id: int, window: i
         part, encoder = TaskContext.get().partitionId(), None
         seen = np.zeros(window, np.int64)
         windows = 0
-        for piece in sliced(batches):
-            encoder = encoder or PieceEncoder(vocabulary, kind)
+        for piece in sliced(batches, most=SLICE_BYTES):
+            encoder = encoder or shared_encoder(vocabulary, kind)
             ids, at = encoder.encode(text_array(piece.column("text")))
             n = np.diff(at) + 1
             rest = n % window

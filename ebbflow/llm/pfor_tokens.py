@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ebbflow.llm.arrow_text import sliced, text_array
 from ebbflow.llm.store import fresh_path
-from ebbflow.llm.tokens import PieceEncoder, tokenizer_path
+from ebbflow.llm.tokens import SLICE_BYTES, shared_encoder, tokenizer_path
 
 MAGIC = b"PFR1"
 SEGMENT_IDS = 1 << 16
@@ -159,8 +159,8 @@ def write(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", kind: str = "wo
             segment, done, held, held_docs, held_ids = segment + 1, done + held, 0, [], []
             return pa.RecordBatch.from_pydict(row)
 
-        for part in sliced(batches):
-            encoder = encoder or PieceEncoder(vocabulary, kind)
+        for part in sliced(batches, most=SLICE_BYTES):
+            encoder = encoder or shared_encoder(vocabulary, kind)
             ids, at = encoder.encode(text_array(part.column("text")))
             for doc_id, a, b in zip(part.column("doc_id").to_pylist(), at[:-1], at[1:]):
                 held_docs.append(doc_id)

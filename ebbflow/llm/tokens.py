@@ -14,6 +14,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +32,38 @@ BYTE_PARTS = re.compile(rf"{CONTRACTIONS}| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0
 OTHER_SPACE = (r"[ \n]{3}|[ \n]{2}\z|[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}"
                r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]")
 
-#: Pieces whose ids a task keeps between batches.
-KEPT_PIECES = 300_000
+#: Pieces (and parts of pieces) whose ids a generation of the cache holds; there are two.
+GENERATION = 250_000
+
+#: Text bytes cut and encoded at once.
+SLICE_BYTES = 4 << 20
+
+
+class Recent:
+    """Ids (as bytes of int32) of recently seen strings: when the young generation is full
+    it becomes the old one, and what is looked up again moves back."""
+
+    def __init__(self, make):
+        self.make, self.young, self.old = make, {}, {}
+
+    def get(self, key: str) -> bytes:
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is None:
+                got = self.make(key)
+            if len(self.young) >= GENERATION:
+                self.old, self.young = self.young, {}
+            self.young[key] = got
+        return got
+
+
+def shared_encoder(path: str, kind: str) -> "PieceEncoder":
+    """The encoder of this Python worker, kept (with its cache) for the worker's later tasks."""
+    kept = sys.modules.setdefault("ebbflow_worker_cache", ModuleType("ebbflow_worker_cache")).__dict__
+    if (path, kind) not in kept:
+        kept[path, kind] = PieceEncoder(path, kind)
+    return kept[path, kind]
 
 
 def tokenizer_path(name: str) -> str:
@@ -62,39 +95,23 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         self.kind = kind
         self.alphabet = byte_alphabet()
-        self.pieces: dict[str, list[int]] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts = Recent(self.encode_part)
+        self.pieces = Recent(self.encode_piece)
 
     def full(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def part(self, part: str) -> list[int]:
-        ids = self.parts.get(part)
-        if ids is None:
-            spelled = part.encode().decode("latin-1").translate(self.alphabet)
-            ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-        return ids
+    def encode_part(self, part: str) -> bytes:
+        spelled = part if part.isascii() and part.isalpha() else part.encode().decode("latin-1").translate(self.alphabet)
+        return array("i", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
 
-    def plain(self, piece: str) -> list[int]:
+    def encode_piece(self, piece: str) -> bytes:
+        if not (piece.isascii() and piece.isprintable() or PLAIN.fullmatch(piece)):
+            return array("i", self.full([piece])[0]).tobytes()
         found = WORD_PARTS.findall(piece.lower()) if self.kind == "word" else BYTE_PARTS.findall(piece)
         if len(found) == 1:
-            return self.part(found[0])
-        return [i for p in found for i in self.part(p)]
-
-    def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces.clear()
-        if len(self.parts) > KEPT_PIECES:
-            self.parts.clear()
-        known, odd = self.pieces, []
-        for p in pieces:
-            if p not in known:
-                if PLAIN.fullmatch(p):
-                    known[p] = self.plain(p)
-                else:
-                    odd.append(p)
-        known.update(zip(odd, self.full(odd)))
-        return [known[p] for p in pieces]
+            return self.parts.get(found[0])
+        return b"".join(map(self.parts.get, found))
 
     def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Flat pieces of the texts, and the offsets of the texts in them."""
@@ -119,16 +136,17 @@ class PieceEncoder:
             whole = np.asarray(pc.match_substring_regex(texts, OTHER_SPACE))
         pieces, piece_at = self.cut(texts)
         coded = pieces.dictionary_encode()
-        ids = self.encode_pieces(coded.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))
-        starts = np.cumsum(lengths) - lengths
+        ids = list(map(self.pieces.get, coded.dictionary.to_numpy(zero_copy_only=False)))
+        lengths = np.fromiter(map(len, ids), np.int32, len(ids)) >> 2
+        flat = np.frombuffer(b"".join(ids), np.int32)
+        starts = np.cumsum(lengths, dtype=np.int32) - lengths
         which = coded.indices.to_numpy(zero_copy_only=False)
         long = lengths[which]
-        ends = np.cumsum(long)
-        take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[which] - (ends - long), long)
+        ends = np.cumsum(long, dtype=np.int32)
+        take = np.repeat(starts[which] - (ends - long), long)
+        take += np.arange(len(take), dtype=np.int32)
         out = flat[take]
-        at = np.concatenate([[0], ends])[piece_at]
+        at = np.concatenate([[0], ends]).astype(np.int64)[piece_at]
         if whole.any():
             rows = np.split(out, at[1:-1])
             for k, x in zip(np.flatnonzero(whole), self.full(texts.filter(pa.array(whole)).to_pylist())):
