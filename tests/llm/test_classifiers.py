@@ -50,6 +50,28 @@ def test_quality_of_held_out_documents(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in LC.score(docs, model).collect() if r.predicted}
 
 
+def test_scores_do_not_depend_on_the_batch():
+    rnd = np.random.default_rng(3)
+    texts = ["\n".join("Ab cd 12!" if rnd.random() < 0.5 else "x x | x" for _ in range(n)) for n in (1, 40, 2, 3, 0, 200, 1, 7)]
+    model = LC.Model(np.zeros(LC.N_FEATURES), np.ones(LC.N_FEATURES),
+                     rnd.normal(size=3 * LC.N_FEATURES + 3), rnd.normal(size=(2, 2)))
+    together = LC.document_scores(pa.array(texts), model)
+    assert np.allclose(together, [LC.document_scores(pa.array([t]), model)[0] for t in texts])
+
+
+def test_one_text_of_many_lines_is_not_padded_with_the_rest():
+    import tracemalloc
+
+    model = LC.Model(np.zeros(LC.N_FEATURES), np.ones(LC.N_FEATURES), np.ones(3 * LC.N_FEATURES + 3), np.ones((2, 2)))
+    texts = pa.array(["a\n" * 50_000] + ["a line of words"] * 5_000)
+    tracemalloc.start()
+    scores = LC.document_scores(texts, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Padded together these texts would take 50,000 x 5,001 doubles, 2 GB.
+    assert len(scores) == 5_001 and peak < 200 << 20
+
+
 def test_quality_edges(spark, edge_docs):
     labels = spark.createDataFrame([(1, 1), (5, 0), (5, 0), (6, 1), (None, 0), (8, None)], "doc_id long, quality int")
     for model in (LC.fit(edge_docs, labels), LC.fit(edge_docs, labels.limit(0))):
