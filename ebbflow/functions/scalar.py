@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 __all__ = [
     "col_of", "coerce_numeric", "coerce_int", "clean_string", "round_half_even", "safe_ratio",
     "flag_above", "map_values", "map_with_default", "risk_level", "risk_message",
-    "title_name", "title_names", "snake_names", "round_half_up",
+    "title_name", "title_names", "round_half_up",
 ]
 
 
@@ -108,8 +108,3 @@ def title_name(name: str) -> str:
 def title_names(df: DataFrame, keep: tuple[str, ...] = ("average_charges", "high_value_customer")) -> DataFrame:
     """Project snake_case columns to the reference's titled names (an output view)."""
     return df.toDF(*[c if c in keep else title_name(c) for c in df.columns])
-
-
-def snake_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
-

@@ -36,24 +36,24 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     from ebbflow.operators.stats import value_count_table
     vc = value_count_table(df, cols)
     # per-column totals as a small aggregate joined back (not a window: a column
-    # with many distinct values would land in one task)
+    # with many distinct values would land in one task); one row per name in ``cols``
     totals = vc.groupBy("column").agg(F.sum("n").alias("_total"))
-    return vc.join(totals, "column").select("column", "value", "n", (F.col("n") / F.col("_total")).alias("share"))
+    return vc.join(F.broadcast(totals), "column").select("column", "value", "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
     """Pairwise Pearson (pairwise-complete rows), rounded half-even; a constant
-    column gives NULL instead of a divide-by-zero. All pairs in one aggregation."""
+    column gives NULL instead of a divide-by-zero. All unordered pairs in one aggregation."""
     cols = list(cols)
     aggs = []
     for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
+        for j, b in enumerate(cols[i:], i):
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
             xa, xb = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
             aggs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"c_{i}_{j}"))
     row = df.agg(*aggs)
     stacked = row.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c_{i}_{j}").alias("r"))
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c_{min(i, j)}_{max(i, j)}").alias("r"))
         for i, a in enumerate(cols) for j, b in enumerate(cols)])).alias("e"))
     return stacked.select("e.col_a", "e.col_b", round_half_even(F.col("e.r"), digits).alias("corr"))
 
@@ -80,20 +80,19 @@ def histogram(df: DataFrame, col: str, by: str = S.TARGET, bins: int = 30) -> Da
 def box_stats(df: DataFrame, col: str, by: str = S.TARGET) -> DataFrame:
     """Per group Q1, median, Q3 (exact, interpolated), 1.5*IQR fences, whisker
     ends (most extreme points inside the fences) and the number of outliers."""
-    from ebbflow.operators.stats import percentiles
-    q = percentiles(df, [col], [0.25, 0.5, 0.75], by=[by])
-    rows = [(g[0], *v) for (g, _), v in q.items() if v[0] is not None]
-    spark = df.sparkSession
-    dtype = df.schema[by].dataType.simpleString()
-    qs = spark.createDataFrame(rows, f"{by} {dtype}, q1 double, median double, q3 double")
+    from ebbflow.operators.stats import grouped_counts, percentiles_of_counts
+    counts = grouped_counts(df, col, [by])
+    pct = percentiles_of_counts(counts, [0.25, 0.5, 0.75])
+    qs = pct.select("_g", F.col("_pct")[0].alias("q1"), F.col("_pct")[1].alias("median"), F.col("_pct")[2].alias("q3"))
     qs = qs.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn(
         "lower_fence", F.col("q1") - 1.5 * F.col("iqr")).withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    x = F.col(col)
+    x = F.col("_v")
     inside = (x >= F.col("lower_fence")) & (x <= F.col("upper_fence"))
-    agg = (df.where(x.isNotNull()).join(F.broadcast(qs), by)  # one stats row per group
-           .groupBy(by).agg(F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
-                            F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n")))
-    return qs.join(agg, by)
+    agg = counts.join(qs, "_g").groupBy("_g").agg(
+        F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("n_outliers"), F.sum("_n").alias("n"))
+    out = qs.join(agg, "_g")
+    return out.select(F.col("_g")[by].alias(by), *[c for c in out.columns if c != "_g"])
 
 
 def mean_ci(df: DataFrame, col: str, by: str = S.TARGET, z: float = 1.96) -> DataFrame:

@@ -61,7 +61,7 @@ class FeatureParams:
         return cls(**json.loads(text))
 
     def encoding_map(self) -> dict:
-        return {c: {i: v for i, v in enumerate(vals)} for c, vals in self.categories.items()}
+        return {c: {i: v for i, v in enumerate(vals)} for c, vals in self.categories.items() if vals is not None}
 
 
 def drop_columns(df: DataFrame, drop: Sequence[str] = S.DROP_COLUMNS, keep: Sequence[str] = (S.KEY,)) -> DataFrame:
@@ -207,12 +207,8 @@ def _write_code_table(counts: DataFrame, c: str) -> str:
     that every later transform (batch or stream) reads the same fitted codes."""
     spark = counts.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/ebbflow-codes-{c}-{uuid.uuid4().hex}"
-    # code = position in sorted order. orderBy range-partitions on sampled split
-    # points (balanced even when values share long prefixes); zipWithIndex counts
-    # each partition and adds the offsets, so the numbering runs in parallel.
-    ordered = counts.where(F.col("column") == c).select("value").orderBy("value")
-    indexed = ordered.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
-    spark.createDataFrame(indexed, "value string, code long").select(
+    values = counts.where(F.col("column") == c).select("value")
+    stats.ordered_index(values, ["value"], "code").select(
         "value", F.col("code").cast("int").alias("code")).write.mode("overwrite").parquet(path)
     return path
 
@@ -233,26 +229,41 @@ def transform(df: DataFrame, params: FeatureParams, key: str | None = S.KEY) ->
     return x.select(*cols)
 
 
+def encode_strict(df: DataFrame, params: FeatureParams) -> DataFrame:
+    """The key and 22 features of raw rows without imputing: a missing or absent field
+    stays NULL (a category code -1), so that the scoring rules see it."""
+    have = set(df.columns)
+    raw = [c for c in S.FEATURE_COLUMNS if c not in ("average_charges", "high_value_customer")]
+    text = {"gender", *S.BINARY_COLUMNS, *S.CATEGORICAL_COLUMNS}
+    df = df.withColumns({c: F.lit(None).cast("string" if c in text else "double") for c in raw if c not in have})
+    return encode(engineer(coerce(df), params), params).select(S.KEY, *S.FEATURE_COLUMNS)
+
+
 def category_map(params: FeatureParams, spark: SparkSession) -> DataFrame:
-    """F3 output: (column, code, value) rows of the fitted code maps."""
+    """F3 output: (column, code, value) rows of the fitted code maps, of whatever size."""
     rows = [(c, i, v) for c, vals in params.categories.items() if vals for i, v in enumerate(vals)]
-    return spark.createDataFrame(rows, "column string, code int, value string")
+    out = spark.createDataFrame(rows, "column string, code int, value string")
+    for c, path in params.category_tables.items():
+        out = out.unionByName(spark.read.parquet(path).select(F.lit(c).alias("column"), "code", "value"))
+    return out
 
 
 def feature_metadata(params: FeatureParams, spark: SparkSession, feature_cols: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
-    """one-row metadata frame (names, target, code map, counts)."""
+    """one-row metadata frame (names, target, code map, counts). The codes of a column in
+    ``code_tables`` are the rows of the table named there."""
     numerical = list(S.NUMERICAL_COLUMNS) + ["average_charges"]
     engineered = ["average_charges", "high_value_customer"]
     schema = T.StructType([
         T.StructField("feature_columns", T.ArrayType(T.StringType())),
         T.StructField("target_column", T.StringType()),
         T.StructField("encoding_map", T.MapType(T.StringType(), T.MapType(T.IntegerType(), T.StringType()))),
+        T.StructField("code_tables", T.MapType(T.StringType(), T.StringType())),
         T.StructField("numerical_cols", T.ArrayType(T.StringType())),
         T.StructField("engineered_cols", T.ArrayType(T.StringType())),
         T.StructField("n_rows", T.LongType()),
         T.StructField("n_features", T.IntegerType()),
     ])
-    row = (list(feature_cols), S.TARGET, params.encoding_map(), numerical, engineered, params.n_rows, len(feature_cols))
+    row = (list(feature_cols), S.TARGET, params.encoding_map(), dict(params.category_tables), numerical, engineered, params.n_rows, len(feature_cols))
     return spark.createDataFrame([row], schema)
 
 
@@ -260,11 +271,3 @@ def encode_raw(df: DataFrame, params: FeatureParams) -> DataFrame:
     """encode raw labelled rows at scoring time with the *fitted* params
     (same maps and threshold as training; no re-fit, no hard-coded values)."""
     return transform(coerce(df), params)
-
-
-def fit_transform(base: DataFrame, distinct_limit: int = stats.DISTINCT_LIMIT) -> tuple[DataFrame, FeatureParams]:
-    """drop -> coerce -> fit -> transform."""
-    x = coerce(drop_columns(base))
-    params = fit(x, distinct_limit=distinct_limit)
-    return transform(x, params), params
-

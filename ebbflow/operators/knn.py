@@ -23,54 +23,54 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ebbflow.session import materialize
 
-CAND_SCHEMA = "qid long, nid long, nlabel int, dist double"
+#: Bytes of the difference array (queries x references x dimensions) computed at once in a task.
+CELL_BYTES = 128 << 20
 
 
-def _cell_topk(k: int, metric: str, sub: int = 32):
+def _cell_topk(k: int, metric: str):
     def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "nid": pd.Series([], dtype="int64"),
-                                 "nlabel": pd.Series([], dtype="int32"), "dist": pd.Series([], dtype="float64")})
-        qv = np.stack(q["vec"].to_numpy()).astype(np.float64)
-        tv = np.stack(t["vec"].to_numpy()).astype(np.float64)
-        tid = t["id"].to_numpy().astype(np.int64)
-        tlab = t["label"].to_numpy().astype(np.int32)
-        qid = q["id"].to_numpy().astype(np.int64)
-        out_q, out_n, out_l, out_d = [], [], [], []
-        kk = min(k, len(tv))
-        for s in range(0, len(qv), sub):
-            diff = qv[s:s + sub, None, :] - tv[None, :, :]
-            d = np.sqrt((diff * diff).sum(axis=2)) if metric == "euclidean" else np.abs(diff).sum(axis=2)
-            kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-            for i in range(d.shape[0]):
-                idx = np.nonzero(d[i] <= kth[i])[0]
-                order = np.lexsort((tid[idx], d[i, idx]))[:kk]
-                sel = idx[order]
-                out_q.append(np.full(len(sel), qid[s + i], dtype=np.int64))
-                out_n.append(tid[sel])
-                out_l.append(tlab[sel])
-                out_d.append(d[i, sel])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "nid": np.concatenate(out_n),
-                             "nlabel": np.concatenate(out_l), "dist": np.concatenate(out_d)})
+        found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        if not (q.empty or t.empty):
+            qv = np.stack(q["vec"].to_numpy()).astype(np.float64)
+            tv = np.stack(t["vec"].to_numpy()).astype(np.float64)
+            place = np.unique(t["id"].to_numpy(), return_inverse=True)[1]  # ids in order, of any type
+            kk = min(k, len(tv))
+            sub = max(1, CELL_BYTES // tv.nbytes)
+            for s in range(0, len(qv), sub):
+                diff = qv[s:s + sub, None, :] - tv[None, :, :]
+                d = np.sqrt((diff * diff).sum(axis=2)) if metric == "euclidean" else np.abs(diff).sum(axis=2)
+                kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+                row, col = np.nonzero(d <= kth[:, None])
+                order = np.lexsort((place[col], d[row, col], row))
+                row, col = row[order], col[order]
+                first = np.searchsorted(row, np.arange(len(d)))
+                near = np.arange(len(row)) - first[row] < kk
+                found.append((row[near] + s, col[near], d[row[near], col[near]]))
+        row, col, dist = (np.concatenate(x) for x in zip(*found))
+        return pd.DataFrame({"qid": q["id"].to_numpy()[row], "nid": t["id"].to_numpy()[col],
+                             "nlabel": t["label"].to_numpy()[col].astype(np.int32), "dist": dist})
     return fn
 
 
 def neighbours(train: DataFrame, test: DataFrame, k: int = 11, metric: str = "euclidean",
                id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
                block_rows: int = 4096, n_train: int | None = None, n_test: int | None = None) -> DataFrame:
-    """(qid, nid, nlabel, dist, rank) for the k nearest references of every query.
+    """(qid, nid, nlabel, dist, rank) for the k nearest references of every query. ``id_col``
+    tells rows apart and has any type; equal distances rank by it.
     ``n_train`` / ``n_test`` (row counts, when known) size the cells without a count job."""
     n_train = train.count() if n_train is None else n_train
     n_test = test.count() if n_test is None else n_test
     nb, nc = max(1, math.ceil(n_train / block_rows)), max(1, math.ceil(n_test / block_rows))
-    tr = train.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
+    tr = train.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"),
                       F.col(label_col).cast("int").alias("label"),
                       F.pmod(F.xxhash64(id_col), F.lit(nb)).cast("int").alias("b"))
     tr = tr.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
-    te = test.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
+    te = test.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"),
                      F.pmod(F.xxhash64(id_col), F.lit(nc)).cast("int").alias("c"))
     te = te.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    cand = te.groupBy("c", "b").cogroup(tr.groupBy("c", "b")).applyInPandas(_cell_topk(k, metric), CAND_SCHEMA)
+    kinds = [df.schema["id"].dataType.simpleString() for df in (te, tr)]
+    schema = f"qid {kinds[0]}, nid {kinds[1]}, nlabel int, dist double"
+    cand = te.groupBy("c", "b").cogroup(tr.groupBy("c", "b")).applyInPandas(_cell_topk(k, metric), schema)
     w = Window.partitionBy("qid").orderBy("dist", "nid")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -128,7 +128,7 @@ def knn_grid_cv(train: DataFrame, ks=(5, 7, 11), weights=("uniform", "distance")
             nb = neighbours(tr, te, k=kmax, metric=m, n_train=total - per_fold.get(f, 0),
                             n_test=per_fold.get(f, 0), **kw)
             nb = materialize(nb, "neighbours")  # read once per configuration
-            labels = te.select(F.col(kw.get("id_col", "vec_id")).cast("long").alias("qid"),
+            labels = te.select(F.col(kw.get("id_col", "vec_id")).alias("qid"),
                                F.col(kw.get("label_col", "label")).cast("int").alias("label"))
             for k in ks:
                 for w in weights:

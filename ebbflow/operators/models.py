@@ -33,6 +33,7 @@ XGB_TREES, XGB_RATE, XGB_DEPTH, XGB_SUBSAMPLE, XGB_POS_WEIGHT = [100, 200], [0.0
 LGBM_TREES, LGBM_RATE, LGBM_DEPTH = [100, 200], [0.05, 0.1], [4, 6]
 SVM_C = [0.1, 1, 10]
 KNN_K, KNN_WEIGHTS, KNN_METRIC = [5, 7, 11], ["uniform", "distance"], ["euclidean", "manhattan"]
+FAMILIES = ("Logistic Regression", "Random Forest", "Gradient Boosting", "XGBoost", "LightGBM", "SVM", "KNN")
 SEED = 42
 MAX_DEPTH_NONE = 30  # MLlib's depth limit stands in for "unlimited"
 
@@ -202,30 +203,16 @@ def best_marks(table: DataFrame, metrics: Sequence[str] = ("roc_auc", "accuracy"
     return table.select("model", *[(F.col(m) == F.max(m).over(w)).alias(f"{m}_is_best") for m in metrics])
 
 
-class CalibratedModel:
+def calibrate(model, train: DataFrame):
     """M10 probability for a margin classifier (LinearSVC): a one-feature logistic
-    regression on the training margins (Platt scaling), applied after the model."""
-
-    def __init__(self, model, calibrator):
-        self.model, self.calibrator = model, calibrator
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        from pyspark.ml.functions import vector_to_array
-        from pyspark.ml.feature import VectorAssembler
-        out = self.model.transform(df).withColumn("_margin", vector_to_array("rawPrediction")[1])
-        out = out.drop("rawPrediction", "probability", "prediction")
-        out = VectorAssembler(inputCols=["_margin"], outputCol="_mvec").transform(out)
-        return self.calibrator.transform(out).drop("_mvec", "_margin")
-
-
-def calibrate(model, train: DataFrame) -> CalibratedModel:
+    regression on the training margins (Platt scaling), as one pipeline with the model."""
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    m = model.transform(train).select(vector_to_array("rawPrediction")[1].alias("_margin"), "label")
-    m = VectorAssembler(inputCols=["_margin"], outputCol="_mvec").transform(m)
-    lr = LogisticRegression(featuresCol="_mvec", labelCol="label", regParam=0.0, maxIter=100)
-    return CalibratedModel(model, lr.fit(m))
+    from pyspark.ml.feature import VectorSlicer
+    svm = model.stages[-1].setRawPredictionCol("margins").setPredictionCol("margin_class")
+    stages = [*model.stages[:-1], svm, VectorSlicer(inputCol="margins", outputCol="margin", indices=[1])]
+    lr = LogisticRegression(featuresCol="margin", labelCol="label", regParam=0.0, maxIter=100)
+    return PipelineModel([*stages, lr.fit(PipelineModel(stages).transform(train).select("margin", "label"))])
 
 
 def needs_calibration(spec: FamilySpec) -> bool:
@@ -247,7 +234,7 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
         tests, cvs, params, fitted = [], [], [], {}
         spark = split_rows.sparkSession
         if which is None or "KNN" in which:
-            kt, kcv, kbest = knn_family(split_rows)
+            kt, kcv, kbest, fitted["KNN"] = knn_family(split_rows)
             tests.append(kt.withColumn("model", F.lit("KNN")))
             cvs.append(kcv.withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
                        .select("id", "label", "probability", "prediction", "fold").withColumn("model", F.lit("KNN")))
@@ -272,30 +259,75 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
         data.unpersist()
 
 
+@dataclass
+class KnnModel:
+    """M11 as a fitted model: the standardised training rows, the scaling and the configuration."""
+
+    train: DataFrame
+    scale: list
+    feature_cols: list
+    k: int
+    weights: str
+    metric: str
+    block_rows: int = 4096
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        """id (the row id), label (if present), probability and prediction of every row."""
+        from ebbflow.operators.knn import neighbours, vote_proba
+        vec = _vectors(rows, self.feature_cols, self.scale)
+        p = vote_proba(neighbours(self.train, vec, k=self.k, metric=self.metric, block_rows=self.block_rows), self.k, self.weights)
+        keep = [c for c in ("label",) if c in vec.columns]
+        return p.join(vec.select(F.col("vec_id").alias("qid"), *keep), "qid").select(
+            F.col("qid").alias("id"), *keep, "probability", (F.col("probability") > 0.5).cast("int").alias("prediction"))
+
+    def save(self, path: str) -> None:
+        """The training rows as Parquet, the parameters as one JSON row beside them."""
+        from ebbflow.sources.io import write_json_row
+        self.train.write.mode("overwrite").parquet(f"{path}/train")
+        row = (self.scale, self.feature_cols, self.k, self.weights, self.metric, self.block_rows)
+        write_json_row(self.train.sparkSession.createDataFrame([row], KNN_PARAMS), f"{path}/params")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "KnnModel":
+        p = spark.read.schema(KNN_PARAMS).json(f"{path}/params").first()
+        return cls(spark.read.parquet(f"{path}/train"), [tuple(x) for x in p["scale"]], list(p["feature_cols"]),
+                   p["k"], p["weights"], p["metric"], p["block_rows"])
+
+
+KNN_PARAMS = ("scale array<struct<mean: double, scale: double>>, feature_cols array<string>, k int, "
+              "weights string, metric string, block_rows int")
+
+
+def _vectors(rows: DataFrame, feature_cols: Sequence[str], scale) -> DataFrame:
+    """vec_id (a digest of key and features: a customer may have several rows), embedding, and
+    label, split and fold where present."""
+    label = [F.col(c).cast("int").alias("label") for c in ("label", S.TARGET) if c in rows.columns][:1]
+    return rows.select(
+        F.md5(F.to_json(F.struct(S.KEY, *feature_cols))).alias("vec_id"),
+        F.array(*[(F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in zip(feature_cols, scale)]).alias("embedding"),
+        *label, *[c for c in ("split", "fold") if c in rows.columns])
+
+
 def knn_family(split_rows: DataFrame, feature_cols: Sequence[str] = S.FEATURE_COLUMNS, block_rows: int = 4096,
-               **grid) -> tuple[DataFrame, DataFrame, str]:
+               **grid) -> tuple[DataFrame, DataFrame, str, KnnModel]:
     """M11 as a model family: features standardised on the training rows, the
     reference's grid scored by fold-wise ROC-AUC, the best configuration refit on
     all training rows and applied to the test rows.
 
-    Returns (test predictions, per-fold CV predictions of the best config, best config)."""
-    from ebbflow.operators.knn import knn_grid_cv, neighbours, vote_proba
-    from ebbflow.operators.split import standardize
-    z = standardize(split_rows, list(feature_cols), fit_on=F.col("split") == "train")
-    vec = z.select(F.col(S.KEY).cast("long").alias("vec_id"),
-                   F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("embedding"),
-                   F.col(S.TARGET).cast("int").alias("label"), "split", "fold")
-    train, test = vec.where(F.col("split") == "train"), vec.where(F.col("split") == "test")
+    Returns (test predictions, per-fold CV predictions of the best config, best config, its model)."""
+    from ebbflow.operators.knn import knn_grid_cv
+    from ebbflow.operators.split import scaling
+    train_rows = split_rows.where(F.col("split") == "train")
+    scale = scaling(train_rows, list(feature_cols))
+    train = _vectors(train_rows, feature_cols, scale)
     cv = _materialise(knn_grid_cv(train, block_rows=block_rows, **grid))
     scores = EV.roc_auc(cv, by=["config", "fold"]).groupBy("config").agg(F.avg("roc_auc").alias("m"))
     best = scores.orderBy(F.desc("m"), F.asc("config")).first()["config"]
     cfg = dict(kv.split("=") for kv in best.split(","))
-    nb = neighbours(train, test, k=int(cfg["k"]), metric=cfg["metric"], block_rows=block_rows)
-    p = vote_proba(nb, int(cfg["k"]), cfg["weights"]).join(test.select(F.col("vec_id").alias("qid"), "label"), "qid")
-    test_preds = p.select(F.col("qid").alias("id"), "label", "probability",
-                          (F.col("probability") > 0.5).cast("int").alias("prediction"))
+    model = KnnModel(train.select("vec_id", "embedding", "label"), scale, list(feature_cols), int(cfg["k"]),
+                     cfg["weights"], cfg["metric"], block_rows)
     cv_best = cv.where(F.col("config") == best).select(F.col("qid").alias("id"), "label", "probability", "fold")
-    return test_preds, cv_best, best
+    return model.predict(split_rows.where(F.col("split") == "test")), cv_best, best, model
 
 
 def _materialise(df: DataFrame) -> DataFrame:

@@ -54,11 +54,11 @@ def pk_duplicates(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def fk_orphans(parent: DataFrame, children: Mapping[str, tuple[DataFrame, str]], key: str = "customer_id") -> DataFrame:
-    """Q5: child rows without a parent: (table_name, row_id, customer_id)."""
+    """Q5: child rows without a parent: (table_name, row_id, foreign_key), ids as text."""
     out = None
     for name, (df, row_id) in children.items():
-        o = orphans(df, parent, key).select(F.lit(name).alias("table_name"), F.col(row_id).cast("long").alias("row_id"),
-                                            F.col(key))
+        o = orphans(df, parent, key).select(F.lit(name).alias("table_name"), F.col(row_id).cast("string").alias("row_id"),
+                                            F.col(key).cast("string").alias("foreign_key"))
         out = o if out is None else out.unionByName(o)
     return out
 

@@ -1,23 +1,21 @@
 """Scoring customer rows.
 
 A linear scorer (``LinearScorer``) is a set of coefficients applied as one
-built-in expression, ``p = 1 / (1 + exp(-(b + sum w_i x_i)))``; it is how a
-fitted MLlib ``LogisticRegressionModel`` (coefficients + intercept) is applied
-without a Python UDF, and, with fixed coefficients, the deterministic scorer the
-evaluation queries are checked with. Any MLlib model can score through
+built-in expression, ``p = 1 / (1 + exp(-(b + sum w_i x_i)))``; with fixed coefficients it is the
+deterministic scorer the evaluation queries are checked with. Any MLlib model can score through
 ``score_model`` (``transform`` + ``vector_to_array``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbflow import schemas as S
 from ebbflow.functions.scalar import risk_level, risk_message, round_half_up
-from ebbflow.operators.stats import prefix_sums
+from ebbflow.operators.stats import ordered_index
 
 # Class 1 when P(churn) is strictly above 0.5, as the reference's classifiers
 # (decision value > 0) and MLlib (probability > threshold) decide.
@@ -61,6 +59,8 @@ BASELINE_SCORER = LinearScorer("logistic_fixed", -1.2, (
 TENURE_SCORER = LinearScorer("tenure_only", 0.8, (("tenure_months", -0.04),))
 TICKET_SCORER = LinearScorer("tickets_only", -3.5, (("support_ticket_count", 0.04),))
 CONTRACT_SCORER = LinearScorer("contract_only", 0.2, (("contract", -0.9), ("paperless_billing", 0.2)))
+# Scoring decides and bands on the unrounded probability; only output columns are rounded.
+BATCH_SCORER = replace(BASELINE_SCORER, digits=None)
 SCORERS = (BASELINE_SCORER, TENURE_SCORER, TICKET_SCORER, CONTRACT_SCORER)
 
 
@@ -90,19 +90,9 @@ def score_model(df: DataFrame, model, key: str = S.KEY, label: str | None = S.TA
     return out.select(*cols)
 
 
-def row_index(df: DataFrame, order_col: str, index_col: str = "customer_index", n_buckets: int = 4096) -> DataFrame:
-    """P20: 0-based position of each row in ``order_col`` order (unique values),
-    computed in parallel: approximate quantiles give range buckets, bucket
-    counts are cumulated (a small table), rows are numbered inside buckets."""
-    from pyspark.ml.feature import Bucketizer
-    grid = [i / n_buckets for i in range(1, n_buckets)]
-    q = df.agg(F.percentile_approx(F.col(order_col).cast("double"), grid, 10 * n_buckets).alias("q")).first()["q"]
-    inner = sorted(set(q or [])) or [0.0]  # Bucketizer needs at least one inner split
-    splits = [-float("inf")] + inner + [float("inf")]
-    x = df.withColumn("_ov", F.col(order_col).cast("double")).withColumn("_one", F.lit(1))
-    x = Bucketizer(splits=splits, inputCol="_ov", outputCol="_b").transform(x)
-    r = prefix_sums(x.drop("_ov"), order_col, ["_one"], F.col("_b").cast("int"))
-    return r.withColumnRenamed("_one_before", index_col).drop("_one", "_b")
+def row_index(df: DataFrame, order_cols: str | Sequence[str], index_col: str = "customer_index") -> DataFrame:
+    """P20: 0-based position of each row in ``order_cols`` order (keys of any type)."""
+    return ordered_index(df, [order_cols] if isinstance(order_cols, str) else order_cols, index_col)
 
 
 def score_records(preds: DataFrame, digits: int = 4, batch: bool = True) -> DataFrame:
@@ -133,15 +123,6 @@ def concat_batches(batches: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def scorer_from_lr(model, feature_cols: Sequence[str], name: str = "logistic_regression", digits: int | None = None) -> LinearScorer:
-    """A LinearScorer from a fitted ``LogisticRegressionModel`` over raw ``feature_cols``."""
-    return LinearScorer(name, float(model.intercept), tuple(zip(feature_cols, map(float, model.coefficients))), digits)
-
-
-def weights_of(mapping: Mapping[str, float]) -> tuple[tuple[str, float], ...]:
-    return tuple(mapping.items())
-
-
 def from_api_fields(df: DataFrame, feature_cols: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
     """Rows named like the scoring API's fields (``Senior_Citizen``,
     ``Support_Ticket_Count``, ...) renamed to the feature names and put in the

@@ -23,7 +23,6 @@ from ebbflow.operators.stats import prefix_sums
 SEED = 42
 TEST_SIZE = 0.2
 N_FOLDS = 5
-HASH_BUCKETS = 1 << 16
 
 
 def hash_order(key: str | Column, seed: int = SEED) -> Column:
@@ -55,7 +54,7 @@ def class_ranks(df: DataFrame, key: str = S.KEY, label: str = S.TARGET, seed: in
     """Add ``_rank``: 0-based position of the row inside its class in hash order."""
     h = df.withColumn("_h", hash_order(key, seed)).withColumn("_one", F.lit(1))
     bucket = F.conv(F.substring("_h", 1, 4), 16, 10).cast("int")
-    # hash + key is unique; prefix_sums needs a unique order column
+    # hash + key is unique among distinct keys; prefix_sums needs a unique order column
     h = h.withColumn("_hk", F.concat("_h", F.lit(":"), F.col(key).cast("string")))
     r = prefix_sums(h, "_hk", ["_one"], bucket, partition_cols=[label], suffix="_before")
     return r.withColumnRenamed("_one_before", "_rank").drop("_h", "_one", "_hk")
@@ -65,18 +64,29 @@ def split_assign(df: DataFrame, key: str = S.KEY, label: str = S.TARGET, seed: i
                  test_size: float = TEST_SIZE, n_folds: int = N_FOLDS) -> DataFrame:
     """Add ``split`` ('train'/'test') and ``fold`` (0..n_folds-1 for train rows, NULL for test).
 
-    Train rows of a class are cut into ``n_folds`` consecutive hash-order
+    Keys are assigned, not rows: all rows of one key (a customer with several billing
+    rows) lie on one side and in one fold. Train keys of a class are cut into ``n_folds`` consecutive hash-order
     ranges, so per-class fold sizes differ by at most one."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    keys = df.select(key, label).distinct()
+    counts = {r[label]: r["n"] for r in keys.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return df.withColumn("split", F.lit(None).cast("string")).withColumn("fold", F.lit(None).cast("int"))
     train, test = allocation(counts, test_size)
     n_test = F.create_map(*[x for c in counts for x in (F.lit(c), F.lit(test[c]))])[F.col(label)]
     n_train = F.create_map(*[x for c in counts for x in (F.lit(c), F.lit(train[c]))])[F.col(label)]
-    r = class_ranks(df, key, label, seed)
+    r = class_ranks(keys, key, label, seed)
     is_test = F.col("_rank") < n_test
     fold = F.when(~is_test, F.floor((F.col("_rank") - n_test) * n_folds / n_train).cast("int"))
-    return r.withColumn("split", F.when(is_test, "test").otherwise("train")).withColumn("fold", fold).drop("_rank")
+    r = r.select(F.col(key).alias("_key"), F.col(label).alias("_label"),
+                 F.when(is_test, "test").otherwise("train").alias("split"), fold.alias("fold"))
+    return df.join(r, (F.col(key) == F.col("_key")) & (F.col(label) == F.col("_label"))).drop("_key", "_label")
+
+
+def scaling(src: DataFrame, cols: Sequence[str]) -> list[tuple[float, float]]:
+    """(mean, population std) of each column in one pass; a constant column gets scale 1."""
+    st = src.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
+                 *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
+    return [(st[f"m_{i}"], st[f"s_{i}"] or 1.0) for i in range(len(cols))]
 
 
 def standardize(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None, suffix: str = "") -> DataFrame:
@@ -84,14 +94,7 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None
     ``fit_on`` (the training rows); a constant column gets scale 1, as the
     reference's scaler does. One aggregation pass for all columns."""
     src = df.where(fit_on) if fit_on is not None else df
-    st = src.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
-    out = {}
-    for i, c in enumerate(cols):
-        m, s = st[f"m_{i}"], st[f"s_{i}"]
-        scale = 1.0 if not s else s
-        out[c + suffix] = (F.col(c) - F.lit(m)) / F.lit(scale)
-    return df.withColumns(out)
+    return df.withColumns({c + suffix: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in zip(cols, scaling(src, cols))})
 
 
 def class_weights(df: DataFrame, label: str = S.TARGET) -> DataFrame:

@@ -2,8 +2,8 @@
 
 * ``percentiles``: exact linear-interpolated percentiles (``percentile`` /
   DuckDB ``quantile_cont``). Spark's ``percentile`` keeps a value->count map
-  per group, merged in one task for a global aggregate; that is bounded by the
-  number of *distinct* values. Each (group, column) is first sized with
+  merged in one task; that is bounded by the
+  number of *distinct* values. Each column is first sized with
   ``approx_count_distinct``; above ``distinct_limit`` the exact value is found
   by rank selection that narrows a value bracket with ``percentile_approx``
   (rank error <= m/accuracy per round) until it holds few rows, then ranks the
@@ -11,7 +11,8 @@
   the rows inside some bracket are kept (semi join) and persisted. A bracket held
   by repeated values stops narrowing and is ranked over its distinct values. No
   step holds more than ``final_limit`` rows or the distinct-value map of a
-  bounded column in one task.
+  bounded column in one task. Grouped percentiles go another way for every size:
+  (group, value) counts cumulated in range buckets.
 * ``modes``: most frequent value, lowest on ties, via partially aggregated
   ``(column, value) -> count`` and a ``min(struct(-count, value))``, which is
   itself a partial aggregate: scale-safe for any cardinality.
@@ -28,6 +29,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ebbflow.session import materialize
+
 DISTINCT_LIMIT = 2_000_000
 FINAL_LIMIT = 200_000
 APPROX_ACCURACY = 10_000
@@ -63,7 +66,8 @@ def percentiles(
     approx: bool = False,
     accuracy: int = APPROX_ACCURACY,
 ) -> dict:
-    """Exact percentiles of each column (NULLs ignored), optionally per group.
+    """Exact percentiles of each column (NULLs ignored), optionally per group (then by
+    ``percentiles_frame``, brought to the driver).
 
     ``approx=True`` opts into ``percentile_approx`` (one pass, bounded sketch,
     returns actual elements, rank error <= n / accuracy) instead.
@@ -76,67 +80,101 @@ def percentiles(
     x probs) and is meant to feed literals into a transform.
     """
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
+    if by:
+        if approx:
+            frame = df.groupBy(*by).agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"{c}_pct")
+                                          for c in cols])
+        else:
+            frame = percentiles_frame(df, cols, probs, by)
+        rows = frame.limit(MAX_GROUPS + 1).collect()
+        if len(rows) > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} groups for the driver: use percentiles_frame")
+        return {(tuple(r[b] for b in by), c): list(r[f"{c}_pct"] or [None] * len(probs)) for r in rows for c in cols}
     if approx:
-        rows = df.groupBy(*by).agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"p_{i}")
-                                     for i, c in enumerate(cols)]).collect()
-        return {(tuple(r[b] for b in by), c): (list(r[f"p_{i}"]) if r[f"p_{i}"] is not None else [None] * len(probs))
-                for r in rows for i, c in enumerate(cols)}
-    if sizes is not None and not by:
-        sizing = [{**{f"n_{i}": sizes[c][0] for i, c in enumerate(cols)},
-                   **{f"d_{i}": sizes[c][1] for i, c in enumerate(cols)}}]
-    else:
-        sizing_df = df.groupBy(*by).agg(
-            *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-            *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)],
-        )
-        sizing = sizing_df.limit(MAX_GROUPS + 1).collect()
-        if len(sizing) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups: use percentiles_frame, which stays distributed")
-    out: dict = {}
-    direct, hard = [], []
-    for row in sizing:
-        g = tuple(row[b] for b in by)
-        for i, c in enumerate(cols):
-            n = row[f"n_{i}"]
-            if n == 0:
-                out[(g, c)] = [None] * len(probs)
-            elif row[f"d_{i}"] <= distinct_limit:
-                direct.append((g, i))
-            else:
-                hard.append((g, c, n))
-    direct_cols = sorted({i for _, i in direct})
-    if direct_cols:
-        want = {(g, i) for g, i in direct}
-        rows = df.groupBy(*by).agg(
-            *[F.percentile(F.col(cols[i]).cast("double"), probs).alias(f"p_{i}") for i in direct_cols]
-        ).collect()
-        for row in rows:
-            g = tuple(row[b] for b in by)
-            for i in direct_cols:
-                if (g, i) in want:
-                    out[(g, cols[i])] = list(row[f"p_{i}"])
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"p_{i}")
+                       for i, c in enumerate(cols)]).first()
+        return {((), c): list(row[f"p_{i}"] or [None] * len(probs)) for i, c in enumerate(cols)}
+    if sizes is None:
+        row = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
+                     *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)]).first()
+        sizes = {c: (row[f"n_{i}"], row[f"d_{i}"]) for i, c in enumerate(cols)}
+    direct = [c for c in cols if 0 < sizes[c][0] and sizes[c][1] <= distinct_limit]
+    hard = [(c, sizes[c][0]) for c in cols if sizes[c][1] > distinct_limit]
+    out = {((), c): [None] * len(probs) for c in cols if sizes[c][0] == 0}
+    if direct:
+        row = df.agg(*[F.percentile(F.col(c).cast("double"), probs).alias(f"p_{i}") for i, c in enumerate(direct)]).first()
+        out |= {((), c): list(row[f"p_{i}"]) for i, c in enumerate(direct)}
     if hard:
         targets = []
-        for g, c, n in hard:
+        for c, n in hard:
             for p in probs:
                 lo, hi, _ = _positions(n, p)
-                targets += [(g, c, lo), (g, c, hi)]
+                targets += [((), c, lo), ((), c, hi)]
         vals = select_ranks(df, by, sorted(set(targets)), final_limit)
-        for g, c, n in hard:
+        for c, n in hard:
             res = []
             for p in probs:
                 lo, hi, pos = _positions(n, p)
-                res.append(_interpolate(vals[(g, c, lo)], vals[(g, c, hi)], lo, hi, pos))
-            out[(g, c)] = res
+                res.append(_interpolate(vals[((), c, lo)], vals[((), c, hi)], lo, hi, pos))
+            out[((), c)] = res
     return out
 
 
+def grouped_counts(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
+    """(_g, _v, _n): rows per group and distinct non-null value, written once. ``_g`` is a
+    struct of the group columns, so a NULL group is a group like any other."""
+    rows = df.where(F.col(col).isNotNull()).select(F.struct(*by).alias("_g"), F.col(col).cast("double").alias("_v"))
+    return materialize(rows.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n")), "grouped-counts")
+
+
+def percentiles_of_counts(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(_g, _pct): exact interpolated percentiles of each group of ``grouped_counts``. Values
+    are cumulated in range buckets of all values, so a group of any size is spread over them."""
+    from pyspark.ml.feature import Bucketizer
+    grid = [i / 256 for i in range(1, 256)]
+    q = counts.agg(F.percentile_approx("_v", grid, 2560).alias("q")).first()["q"]
+    inner = sorted({x for x in q or [] if math.isfinite(x)}) or [0.0]
+    rows = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="_v", outputCol="_b",
+                      handleInvalid="keep").transform(counts)
+    rows = prefix_sums(rows, "_v", ["_n"], F.col("_b").cast("int"), partition_cols=["_g"], totals=True)
+    aggs, out = [], []
+    for i, p in enumerate(probs):
+        pos = (F.col("_n_total") - 1) * F.lit(float(p))
+        for name, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            here = (F.col("_n_before") <= rank) & (rank < F.col("_n_before") + F.col("_n"))
+            aggs.append(F.max(F.when(here, F.col("_v"))).alias(f"_{name}_{i}"))
+        lo, hi = F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
+        out.append(F.when(lo == hi, lo).otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi))
+    picked = rows.groupBy("_g").agg(F.max("_n_total").alias("_n_total"), *aggs)
+    return picked.select("_g", F.array(*out).alias("_pct"))
+
+
 def percentiles_frame(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Exact per-group percentiles as a DataFrame (one row per group, one array
-    column ``<col>_pct`` per column), for many groups: nothing reaches the driver.
-    Each group's value->count map is bounded by that group's distinct values."""
-    probs = [float(p) for p in probs]
-    return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), probs).alias(f"{c}_pct") for c in cols])
+    column ``<col>_pct`` per column; NULL for a group without values), for any number
+    and size of groups: nothing reaches the driver or is gathered in one task."""
+    by = list(by)
+    out = df.select(F.struct(*by).alias("_g")).distinct()
+    for c in cols:
+        pct = percentiles_of_counts(grouped_counts(df, c, by), probs).withColumnRenamed("_pct", f"{c}_pct")
+        out = out.join(pct, "_g", "left")
+    return out.select(*[F.col("_g")[b].alias(b) for b in by], *[f"{c}_pct" for c in cols])
+
+
+def ordered_index(df: DataFrame, order_cols: Sequence[str], name: str) -> DataFrame:
+    """Add ``name``: the 0-based position of each row in the order of ``order_cols`` (any
+    types; NULL first; give enough columns to tell rows apart). Rows are range
+    partitioned and written, so the partitions are fixed; each is numbered on its own and
+    offset by the rows of the partitions before it."""
+    order = list(order_cols)
+    parts = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ordered")
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition
+    first = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy("_part").orderBy(*order)
+    return parts.join(F.broadcast(first), "_part").select(
+        *df.columns, (F.col("_first") + F.row_number().over(inside) - 1).alias(name))
 
 
 def select_ranks(df: DataFrame, by: Sequence[str], targets: Sequence[tuple], final_limit: int = FINAL_LIMIT,

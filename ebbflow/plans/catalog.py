@@ -42,11 +42,10 @@ def feature_table(spark, sf_dir):
 @register
 def churn_by_contract(spark, sf_dir):
     """P12 + A4: churn rate per contract label (fitted code map, 'Unknown' default)."""
-    params = churn.feature_params(spark, sf_dir)
-    labels = dict(enumerate(params.categories.get("contract") or []))
     ft = churn.feature_table(spark, sf_dir)
-    return EX.rate_by_group(ft.withColumn("contract_label", map_with_default("contract", labels, "Unknown")),
-                            "contract_label")
+    codes = category_map(spark, sf_dir).where(F.col("column") == "contract").select(F.col("code").alias("_code"), "value")
+    labelled = ft.join(codes, F.col("contract") == F.col("_code"), "left")
+    return EX.rate_by_group(labelled.withColumn("contract_label", F.coalesce("value", F.lit("Unknown"))), "contract_label")
 
 
 # --- S10/S11, P2, P4-P10: seeding and cleaning -------------------------------------------
@@ -163,7 +162,7 @@ def feature_metadata(spark, sf_dir):
         F.array_join("numerical_cols", ",").alias("numerical_cols"),
         F.array_join("engineered_cols", ",").alias("engineered_cols"),
         "n_rows", "n_features",
-        F.size(F.map_keys("encoding_map")).alias("n_encoded_columns"),
+        (F.size(F.map_keys("encoding_map")) + F.size(F.map_keys("code_tables"))).alias("n_encoded_columns"),
     )
 
 
@@ -227,22 +226,34 @@ def min_row_gate(spark, sf_dir):
 
 @register
 def pk_duplicates(spark, sf_dir):
-    """Q4 over the three tables; customers is unioned with its tenure-0 rows so
-    the check has duplicates to find."""
+    """Q4 on the keys of the three tables, and on documents by their text (copies exist)."""
     from ebbflow.operators.quality import pk_duplicates as op
+    from ebbflow.sources.tables import read_table
     t = _tables(spark, sf_dir)
-    cust = t["customers"].unionByName(t["customers"].where(F.col("tenure_months") == 0))
-    return op({"customers": (cust, "customer_id"), "payments": (t["payments"], "customer_id"),
-               "support_tickets": (t["support_tickets"], "ticket_id")})
+    texts = read_table(spark, sf_dir, "documents").select(F.md5("text").alias("text_md5"))
+    return op({"customers": (t["customers"], "customer_id"), "payments": (t["payments"], "payment_id"),
+               "support_tickets": (t["support_tickets"], "ticket_id"), "documents": (texts, "text_md5")})
 
 
 @register
 def fk_orphans(spark, sf_dir):
-    """Q5/J3 against a parent restricted to customers with a known contract."""
+    """Payments and tickets without a customer, and documents without a label."""
     from ebbflow.operators.quality import fk_orphans as op
+    from ebbflow.sources.tables import read_table
     t = _tables(spark, sf_dir)
-    parent = t["customers"].where(F.col("contract").isNotNull())
-    return op(parent, {"payments": (t["payments"], "customer_id"), "support_tickets": (t["support_tickets"], "ticket_id")})
+    children = op(t["customers"], {"payments": (t["payments"], "payment_id"),
+                                   "support_tickets": (t["support_tickets"], "ticket_id")})
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    return children.unionByName(op(read_table(spark, sf_dir, "labels"), {"documents": (docs, "doc_id")}, key="doc_id"))
+
+
+@register
+def valid_children(spark, sf_dir):
+    """The documents that have a label."""
+    from ebbflow.operators.join import valid_children as op
+    from ebbflow.sources.tables import read_table
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return op(docs, read_table(spark, sf_dir, "labels"), "doc_id")
 
 
 @register
@@ -254,11 +265,10 @@ def null_counts(spark, sf_dir):
 @register
 def validate_inputs(spark, sf_dir):
     """Q3 on un-imputed scoring rows (missing and -1 codes break rules)."""
-    from ebbflow.operators.features import encode, engineer
+    from ebbflow.operators.features import encode_strict
     from ebbflow.operators.quality import scoring_rules, validate
-    p = churn.feature_params(spark, sf_dir)
-    rows = encode(engineer(churn.cleaned(spark, sf_dir), p), p)
-    v = validate(rows.select(S.KEY, *S.FEATURE_COLUMNS), scoring_rules(S.FEATURE_COLUMNS))
+    rows = encode_strict(churn.cleaned(spark, sf_dir), churn.feature_params(spark, sf_dir))
+    v = validate(rows, scoring_rules(S.FEATURE_COLUMNS))
     return v.select(S.KEY, "is_valid", F.size("violations").alias("n_violations"),
                     F.array_join("violations", ";").alias("violations"))
 
@@ -316,6 +326,15 @@ def box_tenure(spark, sf_dir):
     return _r6(EX.box_stats(churn.feature_table(spark, sf_dir), "tenure_months"))
 
 
+@register
+def box_by_order(spark, sf_dir):
+    """A13 with as many groups as orders, one of them the NULL group."""
+    from ebbflow.sources.tables import read_table
+    items = read_table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 50 != 0, F.col("l_orderkey")).alias("order_id"), "l_extendedprice")
+    return _r6(EX.box_stats(items, "l_extendedprice", by="order_id"))
+
+
 @register
 def box_average_charges(spark, sf_dir):
     return _r6(EX.box_stats(churn.feature_table(spark, sf_dir), "average_charges"))
@@ -451,8 +470,7 @@ def cv_scores(spark, sf_dir):
 
 def _scored(spark, sf_dir):
     from ebbflow.operators.scoring import row_index, score_records
-    preds = churn.predictions(spark, sf_dir)
-    return score_records(row_index(preds, "id"))
+    return score_records(row_index(churn.scored_rows(spark, sf_dir), "id"))
 
 
 @register
@@ -464,26 +482,49 @@ def score_batch(spark, sf_dir):
 @register
 def risk_bands(spark, sf_dir):
     from ebbflow.functions.scalar import risk_level, risk_message
-    preds = churn.predictions(spark, sf_dir)
-    return preds.select(F.col("id").alias(S.KEY), "probability", risk_level("probability").alias("churn_risk_level"),
+    preds = churn.scored_rows(spark, sf_dir)
+    return preds.select(F.col("id").alias(S.KEY), round_half_up("probability", 6).alias("probability"), risk_level("probability").alias("churn_risk_level"),
                         risk_message("prediction", batch=False).alias("message"))
 
 
 @register
 def batch_summary(spark, sf_dir):
     from ebbflow.operators.scoring import batch_summary as op
-    return op(churn.predictions(spark, sf_dir))
+    return op(churn.scored_rows(spark, sf_dir))
+
+
+def _billing_key():
+    return [S.KEY, "monthly_charges", "total_charges", "payment_method", "paperless_billing"]
+
+
+@register
+def split_multi_billing(spark, sf_dir):
+    """M1/M2 by customer: text keys and several billing rows per customer."""
+    from ebbflow.operators.split import split_assign
+    return split_assign(churn.multi_billing_features(spark, sf_dir)).select(
+        *_billing_key(), "support_ticket_count", S.TARGET, "split", "fold")
+
+
+@register
+def score_multi_billing(spark, sf_dir):
+    """M15/P20 over text keys and several billing rows per customer."""
+    from ebbflow.operators.scoring import BATCH_SCORER, row_index, score_records
+    rows = churn.multi_billing_features(spark, sf_dir)
+    p = BATCH_SCORER.probability()
+    preds = rows.select(*_billing_key(), p.alias("probability"), (p > 0.5).cast("int").alias("prediction"))
+    return score_records(row_index(preds, _billing_key())).select(
+        S.KEY, "monthly_charges", "customer_index", "churn_prediction", "churn_probability", "churn_risk_level", "message")
 
 
 @register
 def concat_batches(spark, sf_dir):
-    """The month's arrivals come as one batch per contract code; concatenated by name."""
+    """Rows with a known contract code and rows without one arrive as two batches."""
     from ebbflow.operators.scoring import concat_batches as op
     ft = churn.feature_table(spark, sf_dir)
-    codes = list(range(len(churn.feature_params(spark, sf_dir).categories.get("contract") or [])))
-    batches = [ft.where(F.col("contract") == c).withColumn("batch", F.lit(c)) for c in codes]
-    batches.append(ft.where(~F.col("contract").isin(codes)).withColumn("batch", F.lit(-1)))
-    return op(batches).select(S.KEY, "batch", "contract", S.TARGET)
+    codes = category_map(spark, sf_dir).where(F.col("column") == "contract").select(F.col("code").alias("contract"))
+    return op([ft.join(codes, "contract", "left_semi").withColumn("batch", F.col("contract")),
+               ft.join(codes, "contract", "left_anti").withColumn("batch", F.lit(-1))]).select(
+        S.KEY, "batch", "contract", S.TARGET)
 
 
 # --- M11, M13-M14, O1-O3, A18, A20, T1: models, ranking, run summary, stream ------------
@@ -513,6 +554,15 @@ def best_model(spark, sf_dir):
     return op(_comparison(spark, sf_dir).drop("rank"))
 
 
+@register
+def sort_by_metric(spark, sf_dir):
+    """O3: the comparison table in ascending accuracy, with each row's position."""
+    from ebbflow.operators.models import sort_by_metric as op
+    rows = op(_comparison(spark, sf_dir).select("model", "roc_auc", "accuracy"), "accuracy").collect()  # one per model
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                                 "position int, model string, roc_auc double, accuracy double")
+
+
 @register
 def best_marks(spark, sf_dir):
     from ebbflow.operators.models import best_marks as op
@@ -528,12 +578,19 @@ def run_summary(spark, sf_dir):
 
 @register
 def stream_score(spark, sf_dir):
-    """The test customers' un-encoded rows land as files; a Structured
-    Streaming query encodes, validates and scores them (equal to score_batch)."""
+    """All customers' raw rows land as files; a Structured Streaming query checks them
+    and scores the valid ones (equal to score_batch on those)."""
     from ebbflow.plans.run import stream_score as op
     return op(spark, sf_dir)
 
 
+@register
+def stream_rejected(spark, sf_dir):
+    """The rows that the stream rejects, with the rules they break."""
+    from ebbflow.plans.run import stream_rejected as op
+    return op(spark, sf_dir)
+
+
 @register
 def train_models(spark, sf_dir):
     """The logistic-regression (MLlib) and KNN families tuned on the
@@ -559,3 +616,6 @@ def label_evaluation(spark, sf_dir):
     counts = preds.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n_pos"))
     out = counts.join(curve_summary(preds, by=by).select(*by, "roc_auc", "avg_precision"), by)
     return _r6(out)
+
+
+from ebbflow.plans import connectors  # noqa: E402,F401 - registers the queries over sources and sinks

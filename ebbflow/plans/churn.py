@@ -96,6 +96,21 @@ def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _TABLES[key]
 
 
+def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature row, scored without rounding."""
+    from ebbflow.operators.scoring import BATCH_SCORER, score
+    return score(feature_table(spark, sf_dir), BATCH_SCORER)
+
+
+def multi_billing_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 over customers with text keys and several billing rows each."""
+    key = _key(spark, sf_dir, "multi-billing")
+    if key not in _TABLES:
+        base = materialize(FE.coerce(FE.drop_columns(_features_base(*FX.multi_billing_tables(spark, sf_dir)))), "multi-cleaned")
+        _TABLES[key] = materialize(FE.transform(base, FE.fit(base, persist=False)), "multi-features")
+    return _TABLES[key]
+
+
 def predictions(spark: SparkSession, sf_dir: str, scorer=None, split: str = "test") -> DataFrame:
     """Scored rows of one split with a (fixed or fitted) linear scorer."""
     from ebbflow.operators.scoring import BASELINE_SCORER, score

@@ -51,7 +51,7 @@ fx_customers AS (
 
 FX_PAYMENTS = """
 fx_payments AS (
-  SELECT o.o_custkey AS customer_id,
+  SELECT o.o_orderkey AS payment_id, o.o_custkey AS customer_id,
     CASE WHEN o.o_orderstatus = 'P' THEN 'Yes' ELSE 'No' END AS paperless_billing,
     o.o_orderpriority AS payment_method,
     o.o_totalprice AS monthly_charges,
@@ -188,6 +188,19 @@ def ctes(upto: str = "feature_table") -> str:
     return ",".join(parts)
 
 
+def with_multi(upto: str, *extra: str) -> str:
+    """``with_`` over text keys and every order as a billing row."""
+    body = with_(upto, *extra)
+    for old, new in (("c.c_custkey AS customer_id", "'C-' || c.c_custkey AS customer_id"),
+                     ("o.o_custkey AS customer_id", "'C-' || o.o_custkey AS customer_id"),
+                     ("user_id AS customer_id", "'C-' || user_id AS customer_id"),
+                     ("  FROM orders o JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders GROUP BY o_custkey) f ON o.o_orderkey = f.k\n",
+                      "  FROM orders o\n")):
+        assert old in body
+        body = body.replace(old, new)
+    return body
+
+
 def with_(upto: str, *extra: str) -> str:
     """``WITH <ctes up to a stage>, <extra ctes>``."""
     body = ctes(upto)

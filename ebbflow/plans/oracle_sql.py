@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ebbflow import schemas as S
-from ebbflow.plans.oracle import with_
+from ebbflow.plans.oracle import with_, with_multi
 
 ORACLE: dict[str, str] = {}
 
@@ -186,20 +186,26 @@ UNION ALL SELECT 'payments', count(*) FROM fx_payments
 UNION ALL SELECT 'support_tickets', count(*) FROM fx_tickets)"""
 
 ORACLE["pk_duplicates"] = with_("fx") + """
-SELECT 'customers' AS table_name, CAST(customer_id AS VARCHAR) AS key_value, count(*) AS n_rows
-FROM (SELECT customer_id FROM fx_customers UNION ALL SELECT customer_id FROM fx_customers WHERE tenure_months = 0)
-GROUP BY customer_id HAVING count(*) > 1
+SELECT 'customers' AS table_name, CAST(customer_id AS VARCHAR) AS key_value, count(*) AS n_rows FROM fx_customers GROUP BY customer_id HAVING count(*) > 1
 UNION ALL
-SELECT 'payments', CAST(customer_id AS VARCHAR), count(*) FROM fx_payments GROUP BY customer_id HAVING count(*) > 1
+SELECT 'payments', CAST(payment_id AS VARCHAR), count(*) FROM fx_payments GROUP BY payment_id HAVING count(*) > 1
 UNION ALL
-SELECT 'support_tickets', CAST(ticket_id AS VARCHAR), count(*) FROM fx_tickets GROUP BY ticket_id HAVING count(*) > 1"""
+SELECT 'support_tickets', CAST(ticket_id AS VARCHAR), count(*) FROM fx_tickets GROUP BY ticket_id HAVING count(*) > 1
+UNION ALL
+SELECT 'documents', md5(text), count(*) FROM documents GROUP BY md5(text) HAVING count(*) > 1"""
 
 ORACLE["fk_orphans"] = with_("fx") + """
-SELECT 'payments' AS table_name, customer_id AS row_id, customer_id FROM fx_payments p
-WHERE NOT EXISTS (SELECT 1 FROM fx_customers c WHERE c.contract IS NOT NULL AND c.customer_id = p.customer_id)
+SELECT 'payments' AS table_name, CAST(payment_id AS VARCHAR) AS row_id, CAST(customer_id AS VARCHAR) AS foreign_key FROM fx_payments p
+WHERE NOT EXISTS (SELECT 1 FROM fx_customers c WHERE c.customer_id = p.customer_id)
+UNION ALL
+SELECT 'support_tickets', CAST(ticket_id AS VARCHAR), CAST(customer_id AS VARCHAR) FROM fx_tickets t
+WHERE NOT EXISTS (SELECT 1 FROM fx_customers c WHERE c.customer_id = t.customer_id)
 UNION ALL
-SELECT 'support_tickets', ticket_id, customer_id FROM fx_tickets t
-WHERE NOT EXISTS (SELECT 1 FROM fx_customers c WHERE c.contract IS NOT NULL AND c.customer_id = t.customer_id)"""
+SELECT 'documents', CAST(doc_id AS VARCHAR), CAST(doc_id AS VARCHAR) FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
+
+ORACLE["valid_children"] = """
+SELECT doc_id, lang, source, n_chars FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
 
 _CLEANED_COLS = ["customer_id", "gender", "senior_citizen", "partner", "dependents", "tenure_months", "phone_service",
                  "multiple_lines", "internet_service", "online_security", "online_backup", "device_protection",
@@ -209,7 +215,7 @@ ORACLE["null_counts"] = with_("cleaned") + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_missing FROM cleaned" for c in _CLEANED_COLS)
 
 
-def _validate_sql() -> str:
+def _checked_ctes() -> str:
     from ebbflow.operators.quality import scoring_rules
     checks = []
     for c, lo, hi, required in scoring_rules(S.FEATURE_COLUMNS):
@@ -233,14 +239,16 @@ def _validate_sql() -> str:
         expr[c] = f"CASE x.{c} WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 WHEN 'No phone service' THEN 0 WHEN 'No internet service' THEN 0 END"
     expr.update(code)
     sel = ", ".join(f"{expr[c]} AS {c}" for c in S.FEATURE_COLUMNS)
-    return with_("imputed", f"raw_rows AS (SELECT x.customer_id, {sel} FROM cleaned x)",
-                 f"checked AS (SELECT customer_id, {arr} AS v FROM raw_rows)") + """
+    return (f"raw_rows AS (SELECT x.customer_id, {sel} FROM cleaned x)",
+            f"checked AS (SELECT customer_id, {arr} AS v FROM raw_rows)")
+
+
+_CHECKED = _checked_ctes()
+ORACLE["validate_inputs"] = with_("imputed", *_CHECKED) + """
 SELECT customer_id, len(v) = 0 AS is_valid, CAST(len(v) AS INTEGER) AS n_violations, array_to_string(v, ';') AS violations
 FROM checked"""
 
 
-ORACLE["validate_inputs"] = _validate_sql()
-
 _VC_COLS = ["gender"] + S.BINARY_COLUMNS + S.CATEGORICAL_COLUMNS
 _VC = f"""
 vc AS (
@@ -297,22 +305,24 @@ ORACLE["hist_tenure"] = _hist("tenure_months")
 ORACLE["hist_monthly"] = _hist("monthly_charges")
 
 
-def _box(col: str) -> str:
-    return with_("feature_table", f"""
-q AS (SELECT churn_value, quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.5) AS median,
-             quantile_cont({col}, 0.75) AS q3 FROM feature_table WHERE {col} IS NOT NULL GROUP BY churn_value),
-f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)""") + f"""
-SELECT f.churn_value, CAST(round(CAST(f.q1 AS DECIMAL(38,12)), 6) AS DOUBLE) AS q1, CAST(round(CAST(f.median AS DECIMAL(38,12)), 6) AS DOUBLE) AS median, CAST(round(CAST(f.q3 AS DECIMAL(38,12)), 6) AS DOUBLE) AS q3, CAST(round(CAST(f.iqr AS DECIMAL(38,12)), 6) AS DOUBLE) AS iqr,
+def _box(col: str, by: str = S.TARGET, source: str = "feature_table", head: str | None = None) -> str:
+    return (head or with_("feature_table").rstrip() + ",") + f"""
+q AS (SELECT {by}, quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.5) AS median,
+             quantile_cont({col}, 0.75) AS q3 FROM {source} WHERE {col} IS NOT NULL GROUP BY {by}),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)""" + f"""
+SELECT f.{by}, CAST(round(CAST(f.q1 AS DECIMAL(38,12)), 6) AS DOUBLE) AS q1, CAST(round(CAST(f.median AS DECIMAL(38,12)), 6) AS DOUBLE) AS median, CAST(round(CAST(f.q3 AS DECIMAL(38,12)), 6) AS DOUBLE) AS q3, CAST(round(CAST(f.iqr AS DECIMAL(38,12)), 6) AS DOUBLE) AS iqr,
   CAST(round(CAST(f.lower_fence AS DECIMAL(38,12)), 6) AS DOUBLE) AS lower_fence, CAST(round(CAST(f.upper_fence AS DECIMAL(38,12)), 6) AS DOUBLE) AS upper_fence,
   CAST(round(CAST(min(CASE WHEN x.{col} BETWEEN f.lower_fence AND f.upper_fence THEN x.{col} END) AS DECIMAL(38,12)), 6) AS DOUBLE) AS whisker_low,
   CAST(round(CAST(max(CASE WHEN x.{col} BETWEEN f.lower_fence AND f.upper_fence THEN x.{col} END) AS DECIMAL(38,12)), 6) AS DOUBLE) AS whisker_high,
   count(*) FILTER (WHERE NOT (x.{col} BETWEEN f.lower_fence AND f.upper_fence)) AS n_outliers, count(*) AS n
-FROM feature_table x JOIN f ON x.churn_value = f.churn_value WHERE x.{col} IS NOT NULL
-GROUP BY f.churn_value, f.q1, f.median, f.q3, f.iqr, f.lower_fence, f.upper_fence"""
+FROM {source} x JOIN f ON x.{by} IS NOT DISTINCT FROM f.{by} WHERE x.{col} IS NOT NULL
+GROUP BY f.{by}, f.q1, f.median, f.q3, f.iqr, f.lower_fence, f.upper_fence"""
 
 
 ORACLE["box_tenure"] = _box("tenure_months")
 ORACLE["box_average_charges"] = _box("average_charges")
+ORACLE["box_by_order"] = _box("l_extendedprice", "order_id", "items", """WITH
+items AS (SELECT CASE WHEN l_orderkey % 50 <> 0 THEN l_orderkey END AS order_id, l_extendedprice FROM lineitem),""")
 
 ORACLE["mean_ci_by_class"] = with_("feature_table") + """
 SELECT churn_value, count(monthly_charges) AS n, CAST(round(CAST(avg(monthly_charges) AS DECIMAL(38,12)), 6) AS DOUBLE) AS mean,
@@ -520,18 +530,29 @@ SELECT count(*) AS n_folds, CAST(round(CAST(avg(auc) AS DECIMAL(38,12)), 6) AS D
 # --- scoring -----------------------------------------------------------------------------
 
 _RISK = ("CASE WHEN probability >= 0.75 THEN 'High' WHEN probability >= 0.45 THEN 'Medium' ELSE 'Low' END")
-ORACLE["score_batch"] = _EVAL() + f"""
+
+
+def _scored_all(key: str = "customer_id AS id", *more: str) -> str:
+    """Every feature row with its unrounded probability."""
+    from ebbflow.operators.scoring import BATCH_SCORER
+    p = BATCH_SCORER.sql()
+    return f"""
+preds AS (SELECT {", ".join([key, *more])}, {p} AS probability, CAST({p} > 0.5 AS INTEGER) AS prediction FROM feature_table)"""
+
+
+_ALL = with_("feature_table", _scored_all())
+ORACLE["score_batch"] = _ALL + f"""
 SELECT id AS customer_id, row_number() OVER (ORDER BY id) - 1 AS customer_index, prediction AS churn_prediction,
   CAST(round(CAST(probability AS DECIMAL(38,12)), 4) AS DOUBLE) AS churn_probability, {_RISK} AS churn_risk_level,
   CASE WHEN prediction = 1 THEN 'Likely to churn.' ELSE 'Likely to stay.' END AS message
 FROM preds"""
 
-ORACLE["risk_bands"] = _EVAL() + f"""
-SELECT id AS customer_id, probability, {_RISK} AS churn_risk_level,
+ORACLE["risk_bands"] = _ALL + f"""
+SELECT id AS customer_id, CAST(round(CAST(probability AS DECIMAL(38,12)), 6) AS DOUBLE) AS probability, {_RISK} AS churn_risk_level,
   CASE WHEN prediction = 1 THEN 'Customer is likely to churn.' ELSE 'Customer is likely to stay.' END AS message
 FROM preds"""
 
-ORACLE["batch_summary"] = _EVAL() + """
+ORACLE["batch_summary"] = _ALL + """
 SELECT count(*) AS total_customers, CAST(coalesce(sum(prediction), 0) AS BIGINT) AS churned_count,
   count(*) - CAST(coalesce(sum(prediction), 0) AS BIGINT) AS not_churned_count,
   CAST(round(CAST(CAST(sum(prediction) AS DOUBLE) / nullif(count(*), 0) AS DECIMAL(38,12)), 4) AS DOUBLE) AS churn_rate
@@ -631,11 +652,60 @@ FROM gate, fe, trn, ev"""
 
 ORACLE["run_summary"] = _run_summary_sql()
 
-ORACLE["stream_score"] = _EVAL() + f"""
+ORACLE["stream_score"] = with_("feature_table", _scored_all(), *_CHECKED) + f"""
 SELECT id AS customer_id, prediction AS churn_prediction, CAST(round(CAST(probability AS DECIMAL(38,12)), 4) AS DOUBLE) AS churn_probability,
   {_RISK} AS churn_risk_level, CASE WHEN prediction = 1 THEN 'Likely to churn.' ELSE 'Likely to stay.' END AS message
+FROM preds WHERE id IN (SELECT customer_id FROM checked WHERE len(v) = 0)"""
+
+ORACLE["stream_rejected"] = with_("imputed", *_CHECKED) + """
+SELECT customer_id, array_to_string(v, ';') AS violations FROM checked WHERE len(v) > 0"""
+
+_BILLING = ["customer_id", "monthly_charges", "total_charges", "payment_method", "paperless_billing"]
+ORACLE["split_multi_billing"] = with_multi(
+    "feature_table", "custs AS (SELECT DISTINCT customer_id, churn_value FROM feature_table)", split_sql("custs")) + f"""
+SELECT {", ".join("f." + c for c in _BILLING)}, f.support_ticket_count, f.churn_value, s.split, s.fold
+FROM feature_table f JOIN split_table s ON f.customer_id = s.customer_id"""
+
+ORACLE["score_multi_billing"] = with_multi("feature_table", _scored_all(*_BILLING)) + f"""
+SELECT customer_id, monthly_charges, row_number() OVER (ORDER BY {", ".join(_BILLING)}) - 1 AS customer_index,
+  prediction AS churn_prediction, CAST(round(CAST(probability AS DECIMAL(38,12)), 4) AS DOUBLE) AS churn_probability,
+  {_RISK} AS churn_risk_level, CASE WHEN prediction = 1 THEN 'Likely to churn.' ELSE 'Likely to stay.' END AS message
 FROM preds"""
 
+ORACLE["sort_by_metric"] = _RANK() + """
+SELECT CAST(row_number() OVER (ORDER BY accuracy, model) - 1 AS INTEGER) AS position, model, roc_auc, accuracy FROM ranked_models"""
+
+# --- sources and sinks -------------------------------------------------------------------
+
+ORACLE["csv_roundtrip"] = ORACLE["feature_table"]
+ORACLE["json_roundtrip"] = ORACLE["evaluation_report"]
+ORACLE["append_counts"] = with_("fx") + """
+SELECT severity, count(*) AS n_rows, count(DISTINCT ticket_id) AS n_tickets FROM fx_tickets GROUP BY severity"""
+
+
+def _ddl_sql() -> str:
+    parts = []
+    for name, view, schema in (("customers", "fx_customers", S.CUSTOMERS), ("payments", "fx_payments", S.PAYMENTS),
+                               ("support_tickets", "fx_tickets", S.SUPPORT_TICKETS)):
+        for f in schema.fields:
+            audit = f.name in ("created_at", "updated_at") and name != "support_tickets"
+            n = "count(NULL)" if audit else f"count({f.name})"
+            parts.append(f"SELECT '{name}' AS table_name, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+                         f"{n} AS n_values FROM {view}")
+    return with_("fx") + " UNION ALL ".join(parts)
+
+
+ORACLE["ddl_tables"] = _ddl_sql()
+ORACLE["fallback_source"] = with_("fx") + """
+SELECT payment_id, CAST(customer_id AS VARCHAR) AS customer_id, paperless_billing, payment_method, monthly_charges, total_charges FROM fx_payments"""
+ORACLE["missing_input"] = """
+SELECT 'events' AS table_name, count(*) AS n_rows FROM events UNION ALL SELECT 'support_tickets', 0"""
+ORACLE["titled_features"] = with_("feature_table") + "SELECT " + ", ".join(
+    f'{c} AS "{c if c in ("average_charges", "high_value_customer") else c.replace("_", " ").title()}"'
+    for c in ["customer_id", *S.FEATURE_COLUMNS, S.TARGET]) + " FROM feature_table"
+ORACLE["api_rows"] = with_("feature_table") + "SELECT customer_id, " + ", ".join(
+    "CAST(0 AS BIGINT) AS support_ticket_count" if c == "support_ticket_count" else c for c in S.FEATURE_COLUMNS) + " FROM feature_table"
+
 ORACLE["label_evaluation"] = """
 WITH lab AS (SELECT doc_id, 'quality' AS target, quality AS label FROM labels
              UNION ALL SELECT doc_id, 'toxic', toxic FROM labels),

@@ -56,33 +56,40 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.when(ok, "SUCCESS").otherwise("PARTIAL FAILURE").alias("overall_status"))
 
 
-def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ebbflow.operators.scoring import BASELINE_SCORER
+def _scoring_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Run the scoring stream over all customers' raw rows; the folder of its sinks."""
+    from ebbflow.operators.scoring import BATCH_SCORER
     from ebbflow.streaming.score_stream import start_scoring_stream
     root = f"{ensure_checkpoint_dir(spark)}/ebbflow-stream-{uuid.uuid4().hex}"
     params = churn.feature_params(spark, sf_dir)
-    test_ids = churn.split_table(spark, sf_dir).where(F.col("split") == "test").select(S.KEY)
-    landing = churn.cleaned(spark, sf_dir).join(test_ids, S.KEY, "left_semi")
     # arrivals: as many files as the input has partitions
-    landing.write.mode("overwrite").parquet(f"{root}/landing")
+    churn.cleaned(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
-    q = start_scoring_stream(spark, f"{root}/landing", schema, params, BASELINE_SCORER,
+    q = start_scoring_stream(spark, f"{root}/landing", schema, params, BATCH_SCORER,
                              f"{root}/scored", f"{root}/rejected", f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/scored").select(S.KEY, "churn_prediction", "churn_probability",
-                                                       "churn_risk_level", "message")
+    return root
+
+
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_scoring_stream(spark, sf_dir)}/scored").select(
+        S.KEY, "churn_prediction", "churn_probability", "churn_risk_level", "message")
+
+
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_scoring_stream(spark, sf_dir)}/rejected").select(S.KEY, "violations")
 
 
-def monthly_run(spark: SparkSession, sf_dir: str, out_dir: str, families=("Logistic Regression", "KNN"),
+def monthly_run(spark: SparkSession, sf_dir: str, out_dir: str, families=None,
                 run_date: str | None = None) -> dict:
     """The monthly job as one Spark application: Q1 gate -> F6 feature
     table (S4) + metadata (S6) -> M12-M14 tuning and ranking (comparison table,
     best model S8, best-model info S6) -> E10 report of the best model on the test
     rows (S6) -> A20 summary. Every output is a Spark write under ``out_dir``.
-    Returns the output paths."""
+    ``families`` defaults to all seven. Returns the output paths."""
     from ebbflow.operators.evaluate import evaluation_report
     from ebbflow.operators.features import feature_metadata
-    from ebbflow.operators.models import train_and_compare
+    from ebbflow.operators.models import FAMILIES, prepare, train_and_compare
     from ebbflow.operators.quality import assert_gate, min_row_gate
     from ebbflow.operators.scoring import score_model
     from ebbflow.plans.catalog import MIN_ROWS, _tables
@@ -96,7 +103,7 @@ def monthly_run(spark: SparkSession, sf_dir: str, out_dir: str, families=("Logis
     io.write_table(ft.withColumn("run_date", stamp), paths["features"], partition_by=["run_date"])   # S4
     io.write_json_row(feature_metadata(churn.feature_params(spark, sf_dir), spark), paths["metadata"])  # S6
     split = churn.split_table(spark, sf_dir)
-    table, fitted = train_and_compare(split, which=list(families),
+    table, fitted = train_and_compare(split, which=list(families or FAMILIES),
                                       parallelism=max(1, min(8, spark.sparkContext.defaultParallelism)))
     table = table.persist()
     try:
@@ -105,14 +112,12 @@ def monthly_run(spark: SparkSession, sf_dir: str, out_dir: str, families=("Logis
         io.write_json_row(table.where(F.col("rank") == 0).drop("rank").withColumnRenamed("model", "best_model"),
                           paths["best_model_info"])
         name = best["model"]
-        if name in fitted and hasattr(fitted[name], "write"):
-            io.save_model(fitted[name], paths["model"])                           # S8
-            from ebbflow.operators.models import prepare
-            test = prepare(split).where(F.col("split") == "test")
-            preds = score_model(test, fitted[name], label="label")
-        else:  # a family without an MLlib model (KNN): its test predictions
-            from ebbflow.operators.models import knn_family
-            preds, _, _ = knn_family(split)
+        if name == "KNN":
+            fitted[name].save(paths["model"])                                      # S8
+            preds = fitted[name].predict(split.where(F.col("split") == "test"))
+        else:
+            io.save_model(fitted[name], paths["model"])                            # S8
+            preds = score_model(prepare(split).where(F.col("split") == "test"), fitted[name], label="label")
         report = evaluation_report(preds).withColumn("best_model", F.lit(name))
         io.write_json_row(report, paths["evaluation_report"])
         io.write_json_row(run_summary(spark, sf_dir), paths["run_summary"])

@@ -1,4 +1,4 @@
-"""Fixed schemas (S9): the three source tables, predictions and the scoring input.
+"""Fixed schemas (S9): the three source tables and predictions.
 
 Spark does not enforce keys; primary / foreign keys become the checks in
 ``operators.quality`` (Q4, Q5).
@@ -7,7 +7,7 @@ Spark does not enforce keys; primary / foreign keys become the checks in
 from pyspark.sql import types as T
 
 CUSTOMERS = T.StructType([
-    T.StructField("customer_id", T.LongType(), False),
+    T.StructField("customer_id", T.StringType(), False),
     T.StructField("city", T.StringType()),
     T.StructField("zip_code", T.IntegerType()),
     T.StructField("latitude", T.DoubleType()),
@@ -28,20 +28,25 @@ CUSTOMERS = T.StructType([
     T.StructField("streaming_movies", T.StringType()),
     T.StructField("contract", T.StringType()),
     T.StructField("churn_value", T.IntegerType()),
+    T.StructField("created_at", T.TimestampType()),
+    T.StructField("updated_at", T.TimestampType()),
 ])
 
 # total_charges is text on the raw read (blank strings occur); coerced later.
 PAYMENTS = T.StructType([
-    T.StructField("customer_id", T.LongType(), False),
+    T.StructField("payment_id", T.LongType(), False),
+    T.StructField("customer_id", T.StringType()),
     T.StructField("paperless_billing", T.StringType()),
     T.StructField("payment_method", T.StringType()),
     T.StructField("monthly_charges", T.DoubleType()),
     T.StructField("total_charges", T.StringType()),
+    T.StructField("created_at", T.TimestampType()),
+    T.StructField("updated_at", T.TimestampType()),
 ])
 
 SUPPORT_TICKETS = T.StructType([
     T.StructField("ticket_id", T.LongType(), False),
-    T.StructField("customer_id", T.LongType()),
+    T.StructField("customer_id", T.StringType()),
     T.StructField("issue_type", T.StringType()),
     T.StructField("severity", T.StringType()),
     T.StructField("resolution_days", T.DoubleType()),
@@ -82,12 +87,3 @@ FEATURE_COLUMNS = [
     "monthly_charges", "total_charges", "payment_method", "paperless_billing",
     "support_ticket_count", "average_charges", "high_value_customer",
 ]
-
-SCORING_INPUT = T.StructType(
-    [T.StructField(KEY, T.LongType(), False)]
-    + [
-        T.StructField(c, T.DoubleType() if c in ("monthly_charges", "total_charges", "average_charges",
-                                                   "tenure_months") else T.IntegerType())
-        for c in FEATURE_COLUMNS
-    ]
-)

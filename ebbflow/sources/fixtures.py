@@ -27,7 +27,7 @@ def _orders_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     return o.groupBy("o_custkey").agg(
         F.max("o_orderdate").alias("last_order"),
-        F.min_by(F.struct("o_orderstatus", "o_orderpriority", "o_totalprice"), F.col("o_orderkey")).alias("first"),
+        F.min_by(F.struct("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"), F.col("o_orderkey")).alias("first"),
     )
 
 
@@ -76,10 +76,15 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment row per customer: the customer's first order (smallest key)."""
     f = _orders_by_customer(spark, sf_dir).select(
-        "o_custkey", F.col("first.o_orderstatus").alias("o_orderstatus"),
+        "o_custkey", F.col("first.o_orderkey").alias("o_orderkey"), F.col("first.o_orderstatus").alias("o_orderstatus"),
         F.col("first.o_orderpriority").alias("o_orderpriority"), F.col("first.o_totalprice").alias("o_totalprice"))
+    return _billing_rows(f)
+
+
+def _billing_rows(orders: DataFrame) -> DataFrame:
     tenure = F.col("o_custkey") % 73
-    return f.select(
+    return orders.select(
+        F.col("o_orderkey").alias("payment_id"),
         F.col("o_custkey").alias("customer_id"),
         F.when(F.col("o_orderstatus") == "P", "Yes").otherwise("No").alias("paperless_billing"),
         F.col("o_orderpriority").alias("payment_method"),
@@ -90,6 +95,15 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def multi_billing_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables with text keys ("C-1") and every order as a billing row."""
+    def text_key(df: DataFrame) -> DataFrame:
+        return df.withColumn("customer_id", F.concat(F.lit("C-"), F.col("customer_id").cast("string")))
+
+    return (text_key(customers(spark, sf_dir)), text_key(_billing_rows(read_table(spark, sf_dir, "orders"))),
+            text_key(support_tickets(spark, sf_dir)))
+
+
 def payments_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order is a payment row; the order status is the only billing column."""
     return read_table(spark, sf_dir, "orders").select(

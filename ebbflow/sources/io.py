@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -110,7 +111,13 @@ def load_pipeline(path: str):
 
 
 def save_params(spark: SparkSession, params, path: str) -> None:
-    """Fitted feature parameters as a one-row JSON table next to the model."""
+    """Fitted feature parameters as a one-row JSON table next to the model; code tables are
+    copied beside it, so the saved parameters do not depend on the run's checkpoint folder."""
+    tables = {}
+    for c, source in params.category_tables.items():
+        tables[c] = f"{path}-codes/{c}"
+        spark.read.parquet(source).write.mode("overwrite").parquet(tables[c])
+    params = replace(params, category_tables=tables)
     write_json_row(spark.createDataFrame([(params.to_json(),)], "params string"), path)
 
 
@@ -156,10 +163,12 @@ def ddl(name: str, schema: T.StructType, location: str | None = None) -> str:
     return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{loc}"
 
 
-def register_tables(spark: SparkSession, location: str, schemas: Mapping[str, T.StructType] | None = None) -> list[str]:
+def register_tables(spark: SparkSession, location: str, schemas: Mapping[str, T.StructType] | None = None,
+                    database: str | None = None) -> list[str]:
     """Create the source tables in the session catalog over Parquet folders under ``location``."""
     from ebbflow import schemas as S
     schemas = schemas or {"customers": S.CUSTOMERS, "payments": S.PAYMENTS, "support_tickets": S.SUPPORT_TICKETS}
+    full = {name: f"{database}.{name}" if database else name for name in schemas}
     for name, schema in schemas.items():
-        spark.sql(ddl(name, schema, f"{location}/{name}"))
-    return list(schemas)
+        spark.sql(ddl(full[name], schema, f"{location}/{name}"))
+    return list(full.values())

@@ -1,7 +1,7 @@
 """Score arriving customer rows with Structured Streaming.
 
-file source (fixed schema) -> F5 encode with the fitted params -> Q3 validate ->
-M15 score -> ``foreachBatch`` appends valid rows to the scored sink and rejected
+file source (fixed schema) -> encode with the fitted params, imputing nothing -> Q3
+validate (a row that lacks a required field is rejected) -> M15 score -> ``foreachBatch`` appends valid rows to the scored sink and rejected
 rows (with their violations) to a second sink. The query is stateless; the
 checkpoint makes the sinks exactly-once across restarts (a batch is re-run
 idempotently by batch id). ``trigger(availableNow=True)`` processes what has
@@ -16,15 +16,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ebbflow import schemas as S
 from ebbflow.functions.scalar import risk_level, risk_message, round_half_up
-from ebbflow.operators.features import FeatureParams, transform
+from ebbflow.operators.features import FeatureParams, encode_strict
 from ebbflow.operators.quality import scoring_rules, validate
 from ebbflow.operators.scoring import THRESHOLD, LinearScorer
 
 
 def score_frame(rows: DataFrame, params: FeatureParams, scorer: LinearScorer) -> DataFrame:
     """The per-batch transform (identical for batch and stream input)."""
-    enc = transform(rows, params)
-    checked = validate(enc, scoring_rules(S.FEATURE_COLUMNS))
+    checked = validate(encode_strict(rows, params), scoring_rules(S.FEATURE_COLUMNS))
     p = scorer.probability()
     return checked.select(
         S.KEY, "is_valid", F.array_join("violations", ";").alias("violations"),

@@ -92,6 +92,17 @@ def test_high_cardinality_codes_by_join(spark, monkeypatch):
     assert p.categories["payment_method"] is None and "payment_method" in p.category_tables
     out = {r["customer_id"]: r["payment_method"] for r in FE.encode(df, p).collect()}
     assert out == {1: 2, 2: 1, 3: 2, 4: 0}
+    codes = {(r["column"], r["code"]): r["value"] for r in FE.category_map(p, spark).collect()}
+    assert [codes[("payment_method", i)] for i in range(3)] == sorted(v for (c, _), v in codes.items() if c == "payment_method")
+    meta = FE.feature_metadata(p, spark).first()
+    assert set(meta["code_tables"]) | set(meta["encoding_map"]) >= {"payment_method", "contract"}
+    from ebbflow.session import ensure_checkpoint_dir
+    from ebbflow.sources import io
+    path = f"{ensure_checkpoint_dir(spark)}/params-many-codes"
+    io.save_params(spark, p, path)
+    loaded = io.load_params(spark, path)
+    assert loaded.category_tables["payment_method"].startswith(path)
+    assert {r["customer_id"]: r["payment_method"] for r in FE.encode(df, loaded).collect()} == out
 
 
 def test_code_table_order_matches_sorted(spark):

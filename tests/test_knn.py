@@ -42,6 +42,14 @@ def test_knn_matches_brute_force(spark):
         assert got == _brute(tr, ytr, te, 7, weights, metric)
 
 
+def test_text_ids_and_ties(spark):
+    pts = [(f"r{i}", [float(i % 3), 0.0], i % 2) for i in range(30)]
+    ref = spark.createDataFrame(pts, "vec_id string, embedding array<double>, label int")
+    got = neighbours(ref, ref, k=4, block_rows=7).where("qid = 'r1'").orderBy("rank").collect()
+    same = sorted(p[0] for p in pts if p[1][0] == 1.0)
+    assert [r["nid"] for r in got] == same[:4] and all(r["dist"] == 0.0 for r in got)
+
+
 def test_neighbours_exactly_k(spark):
     _, _, _, train, test = _data(spark)
     n = neighbours(train, test, k=5, block_rows=50)

@@ -58,7 +58,7 @@ def test_tree_and_margin_families_fit(spark):
 
 def test_knn_family_on_features(spark):
     st = churn.split_table(spark, SF_SMALL)
-    test_preds, cv_best, best = M.knn_family(st, ks=(3, 5), weights=("uniform", "distance"), metrics=("euclidean",),
+    test_preds, cv_best, best, model = M.knn_family(st, ks=(3, 5), weights=("uniform", "distance"), metrics=("euclidean",),
                                              block_rows=64)
     n_test = st.where(F.col("split") == "test").count()
     assert test_preds.count() == n_test
@@ -66,6 +66,10 @@ def test_knn_family_on_features(spark):
     assert best.startswith("k=") and "metric=euclidean" in best
     r = test_preds.agg(F.min("probability"), F.max("probability")).first()
     assert 0.0 <= r[0] <= r[1] <= 1.0
+    path = f"{ensure_checkpoint_dir(spark)}/knn-{uuid.uuid4().hex}"
+    model.save(path)
+    again = M.KnnModel.load(spark, path).predict(st.where(F.col("split") == "test"))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, test_preds.collect()))
     table = M.rank_models(M.comparison_table(test_preds.withColumn("model", F.lit("KNN")),
                                              cv_best.withColumn("model", F.lit("KNN"))))
     assert table.first()["model"] == "KNN"
@@ -86,9 +90,28 @@ def test_monthly_run_writes_every_output(spark):
     assert io.load_pipeline(paths["model"]) is not None
 
 
+def test_boosted_families_fit(spark):
+    from ebbflow.operators.scoring import score_model
+    st = M.prepare(churn.split_table(spark, SF_SMALL))
+    train = st.where(F.col("split") == "train")
+    for spec in M.families(float(train.count()), which=["Gradient Boosting", "XGBoost", "LightGBM"]):
+        est = spec.estimator.copy(spec.grid[0])
+        est.getStages()[-1].setMaxIter(3)
+        p = score_model(train, est.fit(M._weighted(train, spec.weighted)), label="label")
+        low, high, n = p.agg(F.min("probability"), F.max("probability"), F.count("*")).first()
+        assert 0.0 <= low < high <= 1.0 and n == train.count()
+
+
 def test_svm_family_end_to_end(spark):
     st = churn.split_table(spark, SF_SMALL)
     table, fitted = M.train_and_compare(st, which=["SVM"], parallelism=8)
     r = table.first()
     assert r["model"] == "SVM" and r["cv_roc_auc_mean"] is not None and "regParam" in r["best_params"]
-    assert isinstance(fitted["SVM"], M.CalibratedModel)
+    from ebbflow.operators.scoring import score_model
+    from ebbflow.sources import io
+    path = f"{ensure_checkpoint_dir(spark)}/svm-{uuid.uuid4().hex}"
+    io.save_model(fitted["SVM"], path)
+    rows = M.prepare(st)
+    a, b = (sorted(map(tuple, score_model(rows, m, label="label").select("id", "probability").collect()))
+            for m in (fitted["SVM"], io.load_pipeline(path)))
+    assert a == b and len(a) == st.count()

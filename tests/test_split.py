@@ -29,6 +29,16 @@ def test_split_properties(spark):
         sorted(map(tuple, again.select("customer_id", "split", "fold").collect()))
 
 
+def test_split_by_customer(spark):
+    """All rows of a customer lie on one side and in one fold."""
+    rows = [(f"C-{i % 301}", int(i % 301 % 4 == 0), i) for i in range(2000)]
+    s = split_assign(spark.createDataFrame(rows, "customer_id string, churn_value int, amount int"))
+    places = s.groupBy("customer_id").agg(F.countDistinct("split").alias("a"), F.countDistinct("fold").alias("b"))
+    assert s.count() == 2000 and places.where("a <> 1 or b > 1").count() == 0
+    test = s.where("split = 'test'").select("customer_id").distinct().count()
+    assert test == 61  # ceil(0.2 * 301)
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([(i, int(i < 25)) for i in range(100)], "customer_id long, churn_value int")
     w = {r["churn_value"]: r["weight"] for r in class_weights(df).collect()}

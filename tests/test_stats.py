@@ -50,6 +50,15 @@ def test_approx_percentiles_opt_in(spark):
     assert stats.percentiles(df, ["x"], [0.5], approx=True)[((), "x")] == [500.0]
 
 
+def test_grouped_percentiles_of_any_size_and_null_group(spark):
+    """More groups than the driver takes, mixed sizes, a NULL group and a group without values."""
+    rows = [(i // 2, float(i % 7)) for i in range(22_000)] + [(None, float(v)) for v in range(5000)] + [(-1, None)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    got = {r["g"]: r["x_pct"] for r in stats.percentiles_frame(df, ["x"], [0.25, 0.5], ["g"]).collect()}
+    assert len(got) == 11_002 and got[-1] is None and list(got[None]) == [1249.75, 2499.5]
+    assert all(list(got[k]) == list(np.quantile([2 * k % 7, (2 * k + 1) % 7], [0.25, 0.5])) for k in range(0, 11_000, 97))
+
+
 def test_percentiles_frame_matches_dict(spark):
     df = spark.createDataFrame([(g, float(v)) for g in range(3) for v in range(g * 10, g * 10 + 7)], "g int, x double")
     d = stats.percentiles(df, ["x"], [0.25, 0.5], by=["g"])

@@ -16,6 +16,9 @@ def test_stream_equals_batch(spark):
     q = E.queries()
     s = q["stream_score"](spark, SF_SMALL)
     b = q["score_batch"](spark, SF_SMALL).drop("customer_index")
+    rejected = q["stream_rejected"](spark, SF_SMALL)
+    assert rejected.count() > 0 and rejected.where("violations = ''").count() == 0
+    b = b.join(rejected, "customer_id", "left_anti")
     assert sorted(map(tuple, s.select(sorted(s.columns)).collect())) == \
         sorted(map(tuple, b.select(sorted(b.columns)).collect()))
 
@@ -84,18 +87,35 @@ def test_api_fields_to_features(spark):
 def test_row_index_dense_and_empty(spark):
     from ebbflow.operators.scoring import row_index
     df = spark.createDataFrame([(k,) for k in [5, 100, 3, 7, 1000000, 42]], "id long")
-    got = {r["id"]: r["customer_index"] for r in row_index(df, "id", n_buckets=4).collect()}
+    got = {r["id"]: r["customer_index"] for r in row_index(df, "id").collect()}
     assert got == {k: i for i, k in enumerate(sorted(got))}
     assert row_index(df.where("false"), "id").count() == 0
+    texts = spark.createDataFrame([("C-2", 1), ("C-10", 1), ("C-2", 0), (None, 5)], "id string, n int")
+    got = {(r["id"], r["n"]): r["customer_index"] for r in row_index(texts, ["id", "n"]).collect()}
+    assert got == {(None, 5): 0, ("C-10", 1): 1, ("C-2", 0): 2, ("C-2", 1): 3}
+
+
+def test_stream_rejects_a_row_without_fields(spark):
+    """Nothing is imputed before the rules are applied."""
+    from ebbflow import schemas as S
+    from ebbflow.operators.scoring import BATCH_SCORER
+    from ebbflow.plans import churn
+    from ebbflow.streaming.score_stream import score_frame
+    raw = churn.cleaned(spark, SF_SMALL)
+    blank = raw.limit(1).select(S.KEY, *[F.lit(None).cast(f.dataType).alias(f.name) for f in raw.schema.fields if f.name != S.KEY])
+    params = churn.feature_params(spark, SF_SMALL)
+    for rows in (blank, blank.select(S.KEY)):
+        r = score_frame(rows, params, BATCH_SCORER).first()
+        assert not r["is_valid"] and "tenure_months: missing" in r["violations"] and "contract: below 0" in r["violations"]
 
 
 def test_table_ddl_roundtrip(spark):
     from ebbflow import schemas as S
     from ebbflow.plans import churn
     root = f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
-    assert io.ddl("payments", S.PAYMENTS).startswith("CREATE TABLE IF NOT EXISTS payments (`customer_id` bigint NOT NULL")
+    assert io.ddl("payments", S.PAYMENTS).startswith("CREATE TABLE IF NOT EXISTS payments (`payment_id` bigint NOT NULL, `customer_id` string")
     c, p, t = churn.source_tables(spark, SF_SMALL)
-    io.write_table(p.select(*S.PAYMENTS.fieldNames()), f"{root}/payments")
+    io.write_table(io.conform(p, S.PAYMENTS), f"{root}/payments")
     spark.sql("DROP TABLE IF EXISTS payments")
     io.register_tables(spark, root, {"payments": S.PAYMENTS})
     assert spark.table("payments").count() == p.count()
@@ -130,5 +150,5 @@ def test_long_running_stream_picks_up_new_files(spark):
         q.processAllAvailable()
     finally:
         q.stop()
-    scored = spark.read.parquet(f"{root}/scored")
-    assert scored.count() == rows.count() and scored.select(S.KEY).distinct().count() == rows.count()
+    both = spark.read.parquet(f"{root}/scored").select(S.KEY).union(spark.read.parquet(f"{root}/rejected").select(S.KEY))
+    assert both.count() == rows.count() and both.distinct().count() == rows.count()
