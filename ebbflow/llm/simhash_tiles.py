@@ -218,14 +218,16 @@ def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, seed: int = 42)
     best = rows.where("doc_id = component_id").groupBy("doc_id").agg(
         F.min("text_hash").alias("text_hash"), F.count("*").alias("n"))
     gone = rows.join(best, ["doc_id", "text_hash"], "left_anti").select("doc_id", "text_hash").distinct()
-    names = docs.columns
-    # The key columns get names that no column of docs has.
-    key = "k" * (1 + max(map(len, names)))
-    gone = gone.select(F.col("doc_id").alias(key + "d"), F.col("text_hash").alias(key + "t"))
-    again = best.where("n > 1").select(F.col("doc_id").alias(key + "d"))
-    left = docs.join(gone, (F.col("doc_id") == F.col(key + "d")) & (F.xxhash64("text") == F.col(key + "t")), "left_anti")
-    once = left.join(again, F.col("doc_id") == F.col(key + "d"), "left_anti")
-    rest = [n for n in names if n != "doc_id"]
-    many = left.join(again, F.col("doc_id") == F.col(key + "d"), "left_semi")
-    many = many.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias(key)).select("doc_id", *[F.col(key)[n].alias(n) for n in rest])
-    return once.unionByName(many.select(*names))
+    again = best.where("n > 1").select("doc_id", "text_hash")
+    # Both joins use one key, a struct that is never null, so they share one shuffle of docs.
+    key = "k" * (1 + max(map(len, docs.columns)))  # no column of docs has this name
+    named = docs.withColumn(key, F.struct(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t")))
+
+    def keys(df: DataFrame) -> DataFrame:
+        return df.select(F.struct(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).alias(key))
+
+    once = named.join(keys(gone.union(again)), key, "left_anti")
+    rest = [n for n in docs.columns if n != "doc_id"]
+    many = named.join(keys(again), key, "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias(key))
+    many = many.select("doc_id", *[F.col(key)[n].alias(n) for n in rest])
+    return once.select(*docs.columns).unionByName(many.select(*docs.columns))
