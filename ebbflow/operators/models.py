@@ -250,9 +250,10 @@ def train_and_compare(split_rows: DataFrame, which: Sequence[str] | None = None,
             cvs.append(fold_predictions(train, spec, best_map, n_folds, parallelism).withColumn("model", F.lit(spec.name)))
             params.append((spec.name, best_params_text(cvm)))
         union = lambda xs: xs[0] if len(xs) == 1 else xs[0].unionByName(union(xs[1:]), allowMissingColumns=True)
+        text_id = lambda df: df.withColumn("id", F.col("id").cast("string"))  # KNN's row ids are text
         # materialise the small per-model results before the training data is released
-        test_preds = _materialise(union(tests))
-        cv_preds = _materialise(union(cvs)) if cvs else None
+        test_preds = _materialise(union([text_id(t) for t in tests]))
+        cv_preds = _materialise(union([text_id(c) for c in cvs])) if cvs else None
         ptab = spark.createDataFrame(params, "model string, best_params string")
         return rank_models(comparison_table(test_preds, cv_preds, ptab)), fitted
     finally:
