@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ebbflow.functions.scalar import round_half_up
-from ebbflow.operators.stats import prefix_sums, score_bucket
+from ebbflow.operators.stats import prefix_sums, quantile_bucket, score_bucket
 
 # Fixed values that must equal the reference: the F1 epsilon of the best-threshold
 # search, the fallback threshold, the class names of the report.
@@ -29,15 +29,19 @@ def _score_table(preds: DataFrame, by: Sequence[str], score: str, label: str) ->
 
 
 def _curve(preds: DataFrame, by: Sequence[str], score: str, label: str,
-           score_range: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
+           score_range: tuple[float, float] | None = None) -> DataFrame:
     """One row per (group, distinct score) with the counts at and above it:
     ``tp``/``fp`` predict positive at score >= t; ``pos_before`` counts positives
     strictly above t. One parallel prefix pass feeds AUC, AP, F1 and the curve."""
     by = list(by)
     t = _score_table(preds, by, score, label)
     # class totals come from the small bucket-total table of the same pass
-    c = prefix_sums(t, score, ["pos", "neg"], score_bucket(score, lo=score_range[0], hi=score_range[1]),
-                    partition_cols=by, descending=True, totals=True)
+    if score_range is None:
+        t = quantile_bucket(t, score, preds)
+        bucket = F.col("_bucket").cast("int")
+    else:
+        bucket = score_bucket(score, lo=score_range[0], hi=score_range[1])
+    c = prefix_sums(t, score, ["pos", "neg"], bucket, partition_cols=by, descending=True, totals=True)
     c = c.withColumnRenamed("pos_total", "_n_pos").withColumnRenamed("neg_total", "_n_neg")
     tp = F.col("pos_before") + F.col("pos")
     fp = F.col("neg_before") + F.col("neg")
@@ -50,7 +54,7 @@ def _curve(preds: DataFrame, by: Sequence[str], score: str, label: str,
 
 
 def curve_summary(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label",
-                  score_range: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
+                  score_range: tuple[float, float] | None = None) -> DataFrame:
     """E1 + E7 + E8 in one aggregation over the curve rows:
 
     * ROC-AUC with half credit for ties = sum_t neg_t * (pos_above_t + pos_t / 2) / (P * N)
@@ -59,8 +63,9 @@ def curve_summary(preds: DataFrame, by: Sequence[str] = (), score: str = "probab
     * best F1 threshold: first maximum in ascending threshold order (the end point
       only wins when there is no threshold, and then falls back to 0.5).
 
-    ``score_range`` sets the bucket range of the parallel prefix pass (scores
-    outside it are still exact, only clamped into the end buckets)."""
+    The parallel prefix pass works on quantile buckets of the scores; a ``score_range``
+    takes equal-width buckets instead, without the pass that finds the quantiles, for
+    scores known to spread evenly (others stay exact, only clamped into the end buckets)."""
     by = list(by)
     c = _curve(preds, by, score, label, score_range)
     g = c.groupBy(*by).agg(
@@ -77,7 +82,7 @@ def curve_summary(preds: DataFrame, by: Sequence[str] = (), score: str = "probab
 
 
 def roc_auc(preds: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label",
-            score_range: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
+            score_range: tuple[float, float] | None = None) -> DataFrame:
     """Exact ROC-AUC with half credit for tied scores."""
     return curve_summary(preds, by, score, label, score_range).select(*by, "roc_auc")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbflow import schemas as S
 from ebbflow.functions.scalar import round_half_even
+from ebbflow.operators.stats import small_side
 
 
 def rate_by_group(df: DataFrame, key: str, target: str = S.TARGET) -> DataFrame:
@@ -62,11 +63,12 @@ def histogram(df: DataFrame, col: str, by: str = S.TARGET, bins: int = 30) -> Da
     """``bins`` equal-width bins between each group's own min and max; empty
     bins are reported with 0; a constant group gives a single bin."""
     rng = df.where(F.col(col).isNotNull()).groupBy(by).agg(F.min(col).alias("mn"), F.max(col).alias("mx"))
+    rng = small_side(rng)  # so that rows are not shuffled on the few groups
     width = F.col("mx") - F.col("mn")
     nb = F.when(width == 0, F.lit(1)).otherwise(F.lit(bins))
     # one row per (group, bin): groups are few, bins fixed -> a bounded frame
     grid = rng.select(by, "mn", "mx", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
-    x = df.where(F.col(col).isNotNull()).join(rng, by)  # one row per group; AQE broadcasts it when small
+    x = df.where(F.col(col).isNotNull()).join(rng, by)
     binned = x.select(by, F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(col) - F.col("mn")) / width * bins), F.lit(bins - 1))).cast("int").alias("bin"))
     counts = binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
@@ -116,6 +118,7 @@ def density_curve(df: DataFrame, col: str, by: str = S.TARGET, bins: int = 512,
     st = both.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
                                  F.stddev_samp("v").alias("sd"))
     st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).where(F.col("h") > 0)
+    st = small_side(st)
     width = F.col("mx") - F.col("mn")
     binned = (both.join(st, "grp")
               .select("grp", F.least(F.floor((F.col("v") - F.col("mn")) / width * bins), F.lit(bins - 1)).cast("int").alias("b"))

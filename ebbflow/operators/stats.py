@@ -384,3 +384,29 @@ def score_bucket(score: str | Column, n_buckets: int = 1 << 16, lo: float = 0.0,
     s = F.col(score) if isinstance(score, str) else score
     scaled = (s - F.lit(float(lo))) / F.lit(float(hi - lo)) if (lo, hi) != (0.0, 1.0) else s
     return F.least(F.greatest(F.floor(scaled * n_buckets), F.lit(0)), F.lit(n_buckets - 1)).cast("int")
+
+
+def quantile_bucket(df: DataFrame, score: str, values: DataFrame, n_buckets: int = 1024) -> DataFrame:
+    """``df`` with ``_bucket``: the quantile range of ``score`` among the rows of ``values``,
+    so scores that lie close together are spread over as many tasks as even ones. The range
+    limits are one approximate aggregate (a few KB); the sums built on them stay exact."""
+    from pyspark.ml.feature import Bucketizer
+
+    grid = [k / n_buckets for k in range(1, n_buckets)]
+    row = values.agg(F.percentile_approx(F.col(score).cast("double"), grid, 10 * n_buckets)).first()
+    limits = sorted({x for x in row[0] or [] if math.isfinite(x)}) or [0.0]
+    return Bucketizer(splits=[-math.inf, *limits, math.inf], inputCol=score, outputCol="_bucket",
+                      handleInvalid="keep").transform(df)
+
+
+#: Rows up to which a table of one row per group is broadcast.
+SMALL_GROUPS = 10_000
+
+
+def small_side(df: DataFrame, most: int = SMALL_GROUPS) -> DataFrame:
+    """``df`` marked for a broadcast if it has at most ``most`` rows, else ``df`` itself (a
+    shuffled join, whose skewed keys adaptive execution splits). Results are the same."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

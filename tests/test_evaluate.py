@@ -108,3 +108,14 @@ def test_auc_on_margins_with_score_range(spark):
     a = EV.roc_auc(margins, score_range=(-20.0, 20.0)).first()["roc_auc"]
     b = EV.roc_auc(margins).first()["roc_auc"]  # clamped buckets: still exact
     assert a == pytest.approx(_auc_pairs(rows), abs=1e-12) and b == pytest.approx(a, abs=1e-12)
+
+
+def test_curve_of_bunched_scores_equals_even_buckets(spark):
+    rows = [(i % 3 == 0, 0.5 + i * 1e-12) for i in range(500)] + [(True, 0.0), (False, 1.0), (True, 1.0)]
+    df = spark.createDataFrame([(int(y), s) for y, s in rows], "label int, probability double")
+    a, b = EV.curve_summary(df).first().asDict(), EV.curve_summary(df, score_range=(0.0, 1.0)).first().asDict()
+    assert a == pytest.approx(b)
+    from ebbflow.operators.stats import quantile_bucket
+    held = quantile_bucket(df, "probability", df).groupBy("_bucket").count()
+    assert held.count() > 400  # even buckets hold the 500 in one
+    assert EV.curve_summary(df.where("false")).count() <= 1

@@ -1,5 +1,7 @@
 """Exploratory aggregates: FIXTURES.md §4 edge cases."""
 
+import pytest
+
 from ebbflow.operators import explore as EX
 
 
@@ -26,3 +28,17 @@ def test_box_stats_and_kpis(spark):
     assert b["whisker_high"] == 4.0 and b["n_outliers"] == 1
     k = EX.kpis(df.where("false")).first()
     assert k["total"] == 0 and k["churn_rate"] is None
+
+
+def test_histogram_and_density_do_not_depend_on_the_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([(float(v * v % 17), v % 3) for v in range(60)], "x double, churn_value int")
+
+    def both():
+        return sorted(EX.histogram(df, "x", bins=5).collect()), sorted(EX.density_curve(df, "x").collect())
+
+    few = both()
+    monkeypatch.setattr(EX, "small_side", lambda side: side)
+    many = both()
+    assert few[0] == many[0] and len(few[1]) == len(many[1]) == 800
+    for a, b in zip(few[1], many[1]):  # sums in another order
+        assert tuple(a) == pytest.approx(tuple(b), rel=1e-9)
