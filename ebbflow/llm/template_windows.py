@@ -3,11 +3,13 @@
 Words lose their outer punctuation and case; numbers, names and units become typed
 placeholders, so a question with other numbers or names has the same template. Windows of
 ``WINDOW`` template words (the whole template of a shorter item) are hashed and hash-joined
-between documents and benchmark items. Matches on one diagonal (the same distance
-between document and item) are one candidate copy; it counts if it covers ``COVERAGE`` of
-the item's windows and its slots are consistent: equal slot values of the item always stand
-for equal values in the document, and the other way round. All slots equal: a verbatim copy,
-else a re-parameterised one.
+between documents and benchmark items. Matches on neighbouring diagonals (distances between
+document and item, at most ``GAP`` words apart) are one candidate copy, so words put in, left
+out or replaced do not split it. It counts if it covers ``COVERAGE`` of the item's words or
+``RUN`` consecutive ones, and its slots are consistent: equal slot values of the item always
+stand for equal values in the document, and the other way round. A diagonal whose own slots
+contradict each other only counts for ``RUN`` consecutive words with equal slots. All slots
+equal: a verbatim copy, else a re-parameterised one.
 
 Documents are read once. A bitmap of fixed size over the benchmark's window hashes lets
 only windows that may match leave the task, so what is shuffled follows the matches and
@@ -36,6 +38,10 @@ SHORTEST = 4
 #: Plain words that a window must hold (in a shorter item: half of its words).
 MIN_WORDS = 4
 COVERAGE = 0.6
+#: Diagonals at most so many words apart belong to one copy.
+GAP = 5
+#: So many consecutive words of an item are a leak, whatever their share of it.
+RUN = 16
 #: The bitmap over window hashes has 2**BITMAP_BITS bits.
 BITMAP_BITS = 24
 
@@ -132,7 +138,8 @@ def slot_columns(low, kind, first, size) -> tuple[list[str], list[list[str]]]:
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """item_id, n_windows (of the item), pos, hash, kinds, slots of every valid window."""
+    """item_id, n_windows and n_words (of the item; words in no valid window are not counted), size,
+    pos, end, hash, kinds, slots of every valid window."""
     def run(batches):
         for part in sliced(batches):
             for row in range(part.num_rows):
@@ -146,14 +153,16 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
                 if not len(pos):
                     continue
                 kinds, slots = slot_columns(low, kind, first, n)
+                n_words = len(np.unique(pos[:, None] + np.arange(size)))
                 yield pa.RecordBatch.from_pydict({
                     "item_id": pa.concat_arrays([one.column("item_id")] * len(pos)),
-                    "n_windows": pa.array(np.full(len(pos), len(pos)), pa.int32()), "size": pa.array(n, pa.int32()),
-                    "pos": pa.array(pos, pa.int32()), "hash": pa.array(key.view(np.int64)),
+                    "n_windows": pa.array(np.full(len(pos), len(pos)), pa.int32()),
+                    "n_words": pa.array(np.full(len(pos), n_words), pa.int32()), "size": pa.array(n, pa.int32()),
+                    "end": pa.array(pos + n, pa.int32()), "pos": pa.array(pos, pa.int32()), "hash": pa.array(key.view(np.int64)),
                     "kinds": pa.array(kinds, pa.string()), "slots": pa.array(slots, pa.list_(pa.string()))})
 
     kind = items.schema["item_id"].dataType.simpleString()
-    return items.select("item_id", "text").mapInArrow(run, f"item_id {kind}, n_windows int, size int, {WINDOW_SCHEMA}")
+    return items.select("item_id", "text").mapInArrow(run, f"item_id {kind}, n_windows int, n_words int, size int, end int, {WINDOW_SCHEMA}")
 
 
 def bitmap_of(windows: DataFrame) -> np.ndarray:
@@ -187,6 +196,74 @@ def document_windows(docs: DataFrame, sizes: list[int], bitmap: np.ndarray) -> D
     return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, n_bytes int, {WINDOW_SCHEMA}")
 
 
+class Slots:
+    """Slot values of an item and what they stand for in a document, one to one."""
+
+    def __init__(self):
+        self.there, self.back = {}, {}
+
+    def add(self, found: list[dict]) -> bool:
+        """Take in the slots of these matches; nothing is taken if they contradict."""
+        there, back = {}, {}
+        for m in found:
+            for a, b in zip(m["item_slots"], m["slots"]):
+                if self.there.get(a, there.setdefault(a, b)) != b or self.back.get(b, back.setdefault(b, a)) != a:
+                    return False
+                if there[a] != b or back[b] != a:
+                    return False
+        self.there |= there
+        self.back |= back
+        return True
+
+
+def covered(found: list[dict]) -> tuple[int, int]:
+    """Item words that the matches cover, and the most of them in a row."""
+    total = longest = run = 0
+    end = -1
+    for a, b in sorted({(m["item_pos"], m["item_end"]) for m in found}):
+        run = run if a <= end else 0
+        new = max(0, b - max(a, end))
+        total, run, end = total + new, run + new, max(end, b)
+        longest = max(longest, run)
+    return total, longest
+
+
+def best_copy(found: list[dict], n_words: int, coverage: float) -> tuple[int, bool] | None:
+    """(item windows matched, verbatim) of the matches between one document and one item, or
+    None if no copy among them counts."""
+    diagonals: dict[int, list[dict]] = {}
+    for m in found:
+        m["same"] = m["item_slots"] == m["slots"]
+        diagonals.setdefault(m["pos"] - m["item_pos"], []).append(m)
+    at = sorted(diagonals)
+    cuts = [0, *(k for k in range(1, len(at)) if at[k] - at[k - 1] > GAP), len(at)]
+    best = []
+
+    def judge(copy: list[dict], share: float) -> None:
+        total, run = covered(copy)
+        if copy and (total >= share * n_words or run >= RUN):
+            best.append((len({m["item_pos"] for m in copy}), all(m["same"] for m in copy)))
+
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        copy, slots, total = [], Slots(), 0
+        for d in sorted(at[a:b], key=lambda d: (-len(diagonals[d]), d)):
+            if copy and (total == n_words or covered(copy + diagonals[d])[0] == total):
+                if not all(m["same"] for m in copy):  # perhaps a verbatim copy beside another
+                    alone = diagonals[d]
+                    if Slots().add(alone):
+                        judge(alone, coverage)
+                continue
+            if slots.add(diagonals[d]):
+                copy += diagonals[d]
+                total = covered(copy)[0]
+            else:
+                judge([m for m in diagonals[d] if m["same"]], float("inf"))
+                if Slots().add(diagonals[d]):
+                    judge(diagonals[d], coverage)
+        judge(copy, coverage)
+    return (max(n for n, _ in best), any(same for _, same in best)) if best else None
+
+
 def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """One row per document text and benchmark item found in it: doc_id, item_id, n_matched,
     n_windows, kind ("verbatim" or "reparameterised"), text_hash and n_bytes."""
@@ -195,29 +272,25 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
     if not sizes:
         sizes = [WINDOW]
     found = write_once(document_windows(docs, sizes, bitmap_of(bench)).distinct(), "document-windows")
-    pairs = (found.join(bench.select("item_id", "n_windows", "hash", "kinds", F.col("pos").alias("item_pos"),
-                                     F.col("slots").alias("item_slots")), ["hash", "kinds"])
-             .withColumn("diagonal", F.col("pos") - F.col("item_pos")))
-    copy = ["doc_id", "text_hash", "n_bytes", "item_id", "n_windows", "diagonal"]
-    # One row per copy and pair of slot values; copies without slots have one row of nulls.
-    slots = pairs.select(*copy, "item_pos", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("s"))
-    values = slots.groupBy(*copy, F.col("s.item_slots").alias("a"), F.col("s.slots").alias("b")).agg(F.lit(1).alias("one"))
-    one_way = values.groupBy(*copy, "a").agg(F.count("b").alias("n"), F.bool_and(F.col("a").eqNullSafe(F.col("b"))).alias("same"))
-    one_way = one_way.groupBy(*copy).agg(F.max("n").alias("most"), F.bool_and("same").alias("same"))
-    other_way = values.groupBy(*copy, "b").agg(F.count("a").alias("n")).groupBy(*copy).agg(F.max("n").alias("most_back"))
-    size = pairs.groupBy(*copy).agg(F.countDistinct("item_pos").alias("n_matched"))
-
-    def joined(left, right, extra):
-        right = right.select(*[F.col(c).alias("r_" + c) for c in copy], *extra)
-        on = [F.col(c).eqNullSafe(F.col("r_" + c)) for c in copy]
-        return left.join(right, on).drop(*["r_" + c for c in copy])
-
-    copies = joined(joined(size, one_way, ["most", "same"]), other_way, ["most_back"])
-    copies = copies.where((F.col("n_matched") >= coverage * F.col("n_windows")) & (F.col("most") <= 1) & (F.col("most_back") <= 1))
-    return (copies.groupBy("doc_id", "text_hash", "n_bytes", "item_id", "n_windows")
-            .agg(F.max("n_matched").alias("n_matched"), F.max("same").alias("same"))
-            .select("doc_id", "item_id", "n_matched", "n_windows",
-                    F.when(F.col("same"), "verbatim").otherwise("reparameterised").alias("kind"), "text_hash", "n_bytes"))
+    pairs = found.join(bench.select("item_id", "n_windows", "n_words", "hash", "kinds", F.col("pos").alias("item_pos"),
+                                    F.col("end").alias("item_end"), F.col("slots").alias("item_slots")), ["hash", "kinds"])
+    pairs = pairs.groupBy("doc_id", "text_hash", "n_bytes", "item_id", "n_windows", "n_words").agg(
+        F.collect_list(F.struct("pos", "item_pos", "item_end", "item_slots", "slots")).alias("found"))
+
+    def run(batches):
+        for batch in batches:
+            n_words, matches = batch.column("n_words").to_pylist(), batch.column("found")
+            copies = [best_copy(matches[k].as_py(), n, coverage) for k, n in enumerate(n_words)]
+            keep = pa.array([k for k, c in enumerate(copies) if c], pa.int64())
+            copies = [c for c in copies if c]
+            columns = {c: batch.column(c).take(keep) for c in ("doc_id", "item_id", "n_windows", "text_hash", "n_bytes")}
+            columns["n_matched"] = pa.array([n for n, _ in copies], pa.int64())
+            columns["kind"] = pa.array(["verbatim" if same else "reparameterised" for _, same in copies], pa.string())
+            yield pa.RecordBatch.from_pydict({c: columns[c] for c in names})
+
+    names = ["doc_id", "item_id", "n_matched", "n_windows", "kind", "text_hash", "n_bytes"]
+    kinds = {f.name: f.dataType.simpleString() for f in pairs.schema.fields} | {"n_matched": "long", "kind": "string"}
+    return pairs.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in names))
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:

@@ -60,3 +60,16 @@ def test_repeated_rows_and_repeated_passages(spark):
     rows = TW.leaks(spark.createDataFrame([(1, text), (1, text), (2, ITEM)], "doc_id long, text string"),
                     spark.createDataFrame([(9, ITEM), (10, ITEM)], "item_id long, text string")).collect()
     assert sorted((r.doc_id, r.item_id) for r in rows) == [(1, 9), (1, 10), (2, 9), (2, 10)]
+
+
+def test_edited_and_partial_copies(spark):
+    words = ITEM.split()
+    put_in = " ".join(words[:15] + ["quickly"] + words[15:])
+    left_out = " ".join(words[:15] + words[16:])
+    replaced = " ".join([*words[:9], "velocity", *words[10:20], "toward", *words[21:]])
+    most = " ".join(words[:18])
+    run = " ".join(f"{ITEM} Then it was said again in other words. {ITEM}".split()[5:22])
+    got = leaks(spark, list(enumerate([put_in, left_out, replaced, most])), [(9, ITEM)])
+    assert got == {(k, 9): "verbatim" for k in range(4)}
+    long = ITEM + " " + " ".join(f"w{k}x" for k in range(60))
+    assert leaks(spark, [(1, "so " + run), (2, " ".join(words[:12]))], [(9, long)]) == {(1, 9): "verbatim"}
