@@ -1,14 +1,19 @@
 """Benchmark decontamination: template canonicalisation.
 
 Words lose their outer punctuation and case; numbers, names and units become typed
-placeholders, so a question with other numbers or names has the same template. Windows of
+placeholders, so a question with other numbers or names has the same template. A name is a run
+of capitalised words and one placeholder. Case alone does not tell a name from the start of
+a sentence, so documents are read three ways (every capitalised word a name, none, those
+inside sentences) and every capitalised word of an item both ways. Windows of
 ``WINDOW`` template words (the whole template of a shorter item) are hashed and hash-joined
 between documents and benchmark items. Matches on neighbouring diagonals (distances between
 document and item, at most ``GAP`` words apart) are one candidate copy, so words put in, left
 out or replaced do not split it. It counts if it covers ``COVERAGE`` of the item's words or
 ``RUN`` consecutive ones, and its slots are consistent: equal slot values of the item always
 stand for equal values in the document, and the other way round. A diagonal whose own slots
-contradict each other only counts for ``RUN`` consecutive words with equal slots. All slots
+contradict each other only counts for ``RUN`` consecutive words with equal slots; where only
+names contradict, matches with other names are left out, like replaced words. A name at the
+edge of a window may run on in the document, so it is not compared there. All slots
 equal: a verbatim copy, else a re-parameterised one.
 
 Documents are read once. A bitmap of fixed size over the benchmark's window hashes lets
@@ -24,11 +29,12 @@ rows; further columns pass through ``drop_leaks`` untouched.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from xxhash import xxh64_intdigest
 
 from ebbflow.llm.arrow_text import mix64, sliced, text_array, words
 from ebbflow.llm.store import write_once
@@ -61,37 +67,66 @@ PLACEHOLDERS = {NUM: "<number>", UNIT: "<unit>", NAME: "<name>"}
 WINDOW_SCHEMA = "pos int, hash long, kinds string, slots array<string>"
 
 
-def classify(word: str) -> tuple[str, int, bool, bool, bool]:
-    """(bare lower-case word, NUM or WORD, may be a name, may be a unit, ends a sentence)."""
+def classify(word: str) -> tuple[str, int, bool, bool, bool, bool, bool]:
+    """(bare lower-case word, NUM or WORD, may be a name, may be a unit, ends a sentence, has
+    punctuation before it, after it)."""
     bare = word.strip(OUTER)
     low = bare.lower()
     number = bool(NUMBER.fullmatch(low) or (q := QUANTITY.fullmatch(low)) and q[2] in UNITS)
-    name = len(bare) > 1 and bare[0].isupper() and bare[1:].islower()
-    return low, NUM if number else WORD, name, low in UNITS, word.rstrip(")]}»”’'")[-1:] in tuple(STOPS)
+    return (low, NUM if number else WORD, bare[:1].isupper(), low in UNITS, word.rstrip(")]}»”’'")[-1:] in tuple(STOPS),
+            word[:1] in OUTER, word[-1:] in OUTER)
 
 
-def template(texts: pa.Array):
-    """(bare words, kind of each, its hash as a template word, offsets of the texts)."""
+@dataclass
+class Parsed:
+    """Bare words of some texts: kind without names, hash of the plain word, whether it is
+    capitalised, stands at the start of a sentence, continues a run of capitalised words; and
+    the offsets of the texts."""
+
+    low: np.ndarray
+    kind: np.ndarray
+    plain: np.ndarray
+    capital: np.ndarray
+    starts: np.ndarray
+    joined: np.ndarray
+    at: np.ndarray
+
+
+MARKS = np.array([0, *(xxh64_intdigest(PLACEHOLDERS[k].encode()) for k in (NUM, UNIT, NAME))], np.uint64)
+
+
+def parse(texts: pa.Array) -> Parsed:
     flat, at = words(texts)
     coded = flat.dictionary_encode()
     which = coded.indices.to_numpy(zero_copy_only=False)
     looked = [classify(w) for w in coded.dictionary.to_pylist()]
     low = np.array([x[0] for x in looked], object)
-    number, name, unit, stop = (np.array([x[k] for x in looked], bool)[which] if looked else np.zeros(0, bool)
-                                for k in (1, 2, 3, 4))
+    number, capital, unit, stop, before, after = (
+        np.array([x[k] for x in looked], bool)[which] if looked else np.zeros(0, bool) for k in range(1, 7))
     begins = np.zeros(len(which), bool)
     begins[at[:-1][np.diff(at) > 0]] = True
-    after_stop = np.concatenate([[True], stop[:-1]])[: len(which)] | begins
+    starts = np.concatenate([[True], stop[:-1]])[: len(which)] | begins
     after_number = np.concatenate([[False], number[:-1]])[: len(which)] & ~begins
-    kind = np.where(number, NUM, np.where(unit & after_number, UNIT, np.where(name & ~after_stop, NAME, WORD)))
-    from xxhash import xxh64_intdigest
+    kind = np.where(number, NUM, np.where(unit & after_number, UNIT, WORD))
+    capital &= kind == WORD
+    joined = np.concatenate([[False], capital[:-1] & ~after[:-1]])[: len(which)] & capital & ~before & ~begins
     plain = np.array([xxh64_intdigest(w.encode()) for w in low], np.uint64)
-    marks = np.array([0, *(xxh64_intdigest(PLACEHOLDERS[k].encode()) for k in (NUM, UNIT, NAME))], np.uint64)
-    empty = np.array([not w for w in low], bool)[which] if len(low) else np.zeros(0, bool)
-    keep = ~empty  # tokens of punctuation alone
-    before = np.concatenate([[0], np.cumsum(keep)])
-    hashes = np.where(kind == WORD, plain[which] if len(plain) else np.zeros(0, np.uint64), marks[kind])
-    return low[which][keep], kind[keep], hashes[keep], before[at]
+    keep = ~np.array([not w for w in low], bool)[which] if len(low) else np.zeros(0, bool)  # not punctuation alone
+    total = np.concatenate([[0], np.cumsum(keep)])
+    return Parsed(low[which][keep], kind[keep], plain[which][keep] if len(plain) else np.zeros(0, np.uint64),
+                  capital[keep], starts[keep], joined[keep], total[at])
+
+
+def readings(p: Parsed):
+    """Template words of the texts, read three ways: first word of each and the next one's, kind,
+    hash, offsets of the texts."""
+    for name in (np.zeros(len(p.low), bool), p.capital, p.capital & ~p.starts):
+        kind = np.where(name, NAME, p.kind)
+        follows = p.joined & name & np.concatenate([[False], name[:-1]])[: len(name)]
+        first = np.flatnonzero(~follows)
+        kind = kind[first]
+        yield (first, np.append(first[1:], len(name)), kind, np.where(kind == WORD, p.plain[first], MARKS[kind]),
+               np.searchsorted(first, p.at))
 
 
 def window_hashes(hashes: np.ndarray, kind: np.ndarray, size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,30 +146,53 @@ def least_words(size: int) -> int:
     return MIN_WORDS if size >= WINDOW else (size + 1) // 2
 
 
-def windows_of(texts: pa.Array, sizes: list[int], bitmap: np.ndarray | None):
-    """(text, position, size, hash) arrays of the valid windows that ``bitmap`` lets through,
-    and the words and kinds they refer to."""
-    low, kind, hashes, at = template(texts)
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    found = []
-    for size in sizes:
-        key, valid = window_hashes(hashes, kind, size, least_words(size))
-        valid &= owner[: len(key)] == owner[size - 1:]
-        if bitmap is not None:
+def windows_of(texts: pa.Array, sizes: list[int], bitmap: np.ndarray):
+    """(text, position, hash, kinds, slots) of the valid windows that ``bitmap`` lets through;
+    a window that several readings have in common is given once."""
+    p = parse(texts)
+    found = {}
+    for first, after, kind, hashes, at in readings(p):
+        owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        for size in sizes:
+            key, valid = window_hashes(hashes, kind, size, least_words(size))
+            valid &= owner[: len(key)] == owner[size - 1:]
             place = key >> np.uint64(64 - BITMAP_BITS)
             valid &= (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
-        i = np.flatnonzero(valid)
-        found.append((owner[i], i - at[owner[i]], np.full(len(i), size), key[i], i))
-    return [np.concatenate(x) for x in zip(*found)], low, kind
-
-
-def slot_columns(low, kind, first, size) -> tuple[list[str], list[list[str]]]:
-    kinds, slots = [], []
-    for i, n in zip(first.tolist(), size.tolist()):
-        k = kind[i:i + n]
-        kinds.append("".join(map(str, k)))
-        slots.append([w for w, x in zip(low[i:i + n], k) if x != WORD])
-    return kinds, slots
+            for i in np.flatnonzero(valid).tolist():
+                same = int(first[i]), int(key[i])
+                if same not in found:
+                    found[same] = (owner[i], first[i] - p.at[owner[i]], key[i],
+                                   *slots_of(p.low, [(first[k], after[k], kind[k]) for k in range(i, i + size)]))
+    return list(zip(*found.values())) or [()] * 5
+
+
+def slots_of(low, tokens) -> tuple[str, list[str]]:
+    return "".join(str(k) for _, _, k in tokens), [" ".join(low[a:b]) for a, b, k in tokens if k != WORD]
+
+
+def item_windows(p: Parsed):
+    """Every valid window of one item, as its template words (first word, next one's, kind):
+    each capitalised word is read as a plain word, and with the rest of its run as a name."""
+    n = len(p.low)
+    run_end = np.arange(1, n + 1)
+    for i in range(n - 2, -1, -1):
+        if p.joined[i + 1]:
+            run_end[i] = run_end[i + 1]
+    for start in range(n):
+        open_ = [(start, ())]
+        while open_:
+            at, tokens = open_.pop()
+            if len(tokens) == WINDOW or at == n:
+                size, least = len(tokens), least_words(len(tokens))
+                whole = size == WINDOW or start == 0 and size >= SHORTEST
+                if whole and sum(k == WORD for _, _, k in tokens) >= least:
+                    yield tokens
+                continue
+            if sum(k != WORD for _, _, k in tokens) > WINDOW - MIN_WORDS:
+                continue
+            open_.append((at + 1, (*tokens, (at, at + 1, int(p.kind[at])))))
+            if p.capital[at]:
+                open_.append((int(run_end[at]), (*tokens, (at, int(run_end[at]), NAME))))
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
@@ -144,21 +202,22 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
         for part in sliced(batches):
             for row in range(part.num_rows):
                 one = part.slice(row, 1)
-                texts = text_array(one.column("text"))
-                _, at = words(texts)
-                size = min(WINDOW, int(len(template(texts)[0])))
-                if size < SHORTEST:
-                    continue
-                (_, pos, n, key, first), low, kind = windows_of(texts, [size], None)
-                if not len(pos):
+                p = parse(text_array(one.column("text")))
+                found = sorted(item_windows(p), key=len)
+                if not found:
                     continue
-                kinds, slots = slot_columns(low, kind, first, n)
-                n_words = len(np.unique(pos[:, None] + np.arange(size)))
+                key = np.concatenate([
+                    window_hashes(np.array([p.plain[a] if k == WORD else MARKS[k] for a, _, k in w], np.uint64),
+                                  np.array([k for _, _, k in w]), len(w), 0)[0] for w in found])
+                kinds, slots = zip(*(slots_of(p.low, w) for w in found))
+                pos, end = [w[0][0] for w in found], [w[-1][1] for w in found]
+                n_words = covered([{"item_pos": a, "item_end": b} for a, b in zip(pos, end)])[0]
+                n = len(found)
                 yield pa.RecordBatch.from_pydict({
-                    "item_id": pa.concat_arrays([one.column("item_id")] * len(pos)),
-                    "n_windows": pa.array(np.full(len(pos), len(pos)), pa.int32()),
-                    "n_words": pa.array(np.full(len(pos), n_words), pa.int32()), "size": pa.array(n, pa.int32()),
-                    "end": pa.array(pos + n, pa.int32()), "pos": pa.array(pos, pa.int32()), "hash": pa.array(key.view(np.int64)),
+                    "item_id": pa.concat_arrays([one.column("item_id")] * n),
+                    "n_windows": pa.array([len(set(pos))] * n, pa.int32()), "n_words": pa.array([n_words] * n, pa.int32()),
+                    "size": pa.array(map(len, found), pa.int32()), "end": pa.array(end, pa.int32()),
+                    "pos": pa.array(pos, pa.int32()), "hash": pa.array(key.view(np.int64)),
                     "kinds": pa.array(kinds, pa.string()), "slots": pa.array(slots, pa.list_(pa.string()))})
 
     kind = items.schema["item_id"].dataType.simpleString()
@@ -179,15 +238,14 @@ def bitmap_of(windows: DataFrame) -> np.ndarray:
 def document_windows(docs: DataFrame, sizes: list[int], bitmap: np.ndarray) -> DataFrame:
     def run(batches):
         for part in sliced(batches):
-            (row, pos, n, key, first), low, kind = windows_of(text_array(part.column("text")), sizes, bitmap)
-            if not len(row):
+            row, pos, key, kinds, slots = windows_of(text_array(part.column("text")), sizes, bitmap)
+            if not row:
                 continue
-            kinds, slots = slot_columns(low, kind, first, n)
-            row = pa.array(row)
+            row = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part.column("doc_id").take(row), "text_hash": part.column("text_hash").take(row),
                 "n_bytes": part.column("n_bytes").take(row),
-                "pos": pa.array(pos, pa.int32()), "hash": pa.array(key.view(np.int64)),
+                "pos": pa.array(pos, pa.int32()), "hash": pa.array(np.array(key, np.uint64).view(np.int64)),
                 "kinds": pa.array(kinds, pa.string()), "slots": pa.array(slots, pa.list_(pa.string()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -206,7 +264,7 @@ class Slots:
         """Take in the slots of these matches; nothing is taken if they contradict."""
         there, back = {}, {}
         for m in found:
-            for a, b in zip(m["item_slots"], m["slots"]):
+            for a, b in m["fixed"]:
                 if self.there.get(a, there.setdefault(a, b)) != b or self.back.get(b, back.setdefault(b, a)) != a:
                     return False
                 if there[a] != b or back[b] != a:
@@ -228,12 +286,36 @@ def covered(found: list[dict]) -> tuple[int, int]:
     return total, longest
 
 
+def compare(m: dict) -> None:
+    """Add to a match: ``fixed`` (slot pairs to map one to one), ``same`` (all slots equal)
+    and ``same_names``. A name at an edge of the window may run on in the document."""
+    edges = [(r"(?s).*(?<!\w)%s", 0)] * (m["kinds"][0] == str(NAME)) + [(r"(?s)%s(?!\w).*", -1)] * (m["kinds"][-1] == str(NAME))
+    mine, theirs = list(m["item_slots"]), list(m["slots"])
+    soft = set()
+    for pattern, k in edges:
+        soft.add(k % len(mine))
+        if re.fullmatch(pattern.replace("%s", re.escape(mine[k])), theirs[k]):
+            theirs[k] = mine[k]
+    names = [x == str(NAME) for x in m["kinds"] if x != str(WORD)]
+    m["same"] = mine == theirs
+    m["same_names"] = all(a == b for a, b, name in zip(mine, theirs, names) if name)
+    m["fixed"] = [x for k, x in enumerate(zip(mine, theirs)) if k not in soft]
+
+
+def without_contradiction(found: list[dict], slots: Slots) -> list[dict]:
+    """The matches, those with the item's names, or none: the first that fit ``slots``."""
+    for some in (found, [m for m in found if m["same_names"]]):
+        if slots.add(some):
+            return some
+    return []
+
+
 def best_copy(found: list[dict], n_words: int, coverage: float) -> tuple[int, bool] | None:
     """(item windows matched, verbatim) of the matches between one document and one item, or
     None if no copy among them counts."""
     diagonals: dict[int, list[dict]] = {}
     for m in found:
-        m["same"] = m["item_slots"] == m["slots"]
+        compare(m)
         diagonals.setdefault(m["pos"] - m["item_pos"], []).append(m)
     at = sorted(diagonals)
     cuts = [0, *(k for k in range(1, len(at)) if at[k] - at[k - 1] > GAP), len(at)]
@@ -247,19 +329,18 @@ def best_copy(found: list[dict], n_words: int, coverage: float) -> tuple[int, bo
     for a, b in zip(cuts[:-1], cuts[1:]):
         copy, slots, total = [], Slots(), 0
         for d in sorted(at[a:b], key=lambda d: (-len(diagonals[d]), d)):
-            if copy and (total == n_words or covered(copy + diagonals[d])[0] == total):
+            alone = diagonals[d]
+            if copy and (total == n_words or covered(copy + alone)[0] == total):
                 if not all(m["same"] for m in copy):  # perhaps a verbatim copy beside another
-                    alone = diagonals[d]
-                    if Slots().add(alone):
-                        judge(alone, coverage)
+                    judge(without_contradiction(alone, Slots()), coverage)
                 continue
-            if slots.add(diagonals[d]):
-                copy += diagonals[d]
+            fit = without_contradiction(alone, slots)
+            if fit:
+                copy += fit
                 total = covered(copy)[0]
-            else:
-                judge([m for m in diagonals[d] if m["same"]], float("inf"))
-                if Slots().add(diagonals[d]):
-                    judge(diagonals[d], coverage)
+            if len(fit) < len(alone):
+                judge([m for m in alone if m["same"]], float("inf"))
+                judge(without_contradiction(alone, Slots()), coverage)
         judge(copy, coverage)
     return (max(n for n, _ in best), any(same for _, same in best)) if best else None
 
@@ -275,7 +356,7 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
     pairs = found.join(bench.select("item_id", "n_windows", "n_words", "hash", "kinds", F.col("pos").alias("item_pos"),
                                     F.col("end").alias("item_end"), F.col("slots").alias("item_slots")), ["hash", "kinds"])
     pairs = pairs.groupBy("doc_id", "text_hash", "n_bytes", "item_id", "n_windows", "n_words").agg(
-        F.collect_list(F.struct("pos", "item_pos", "item_end", "item_slots", "slots")).alias("found"))
+        F.collect_list(F.struct("pos", "item_pos", "item_end", "kinds", "item_slots", "slots")).alias("found"))
 
     def run(batches):
         for batch in batches:

@@ -73,3 +73,14 @@ def test_edited_and_partial_copies(spark):
     assert got == {(k, 9): "verbatim" for k in range(4)}
     long = ITEM + " " + " ".join(f"w{k}x" for k in range(60))
     assert leaks(spark, [(1, "so " + run), (2, " ".join(words[:12]))], [(9, long)]) == {(1, 9): "verbatim"}
+
+
+def test_names_under_both_readings(spark):
+    item = "Tom has 3 apples. Jerry has 5 apples. How many apples do Tom and Jerry have in New York?"
+    renamed = "Ann has 3 apples. Bob has 5 apples. How many apples do Ann and Bob have in Chicago?"
+    docs = [renamed, "a line without a stop " + renamed, "Question " + item, item.lower(),
+            item.replace(".", "").replace("?", ""), "So the task is this: how many " + " ".join(renamed.split()[9:]),
+            renamed.replace("do Ann", "do Bob").replace("has 3", "has 4").replace("has 5", "has 4")]
+    docs.append("Note " + item[:-1] + "?### More")
+    got = leaks(spark, list(enumerate(docs)), [(9, item)])
+    assert got == {(7, 9): "verbatim", (0, 9): "reparameterised", (1, 9): "reparameterised", (2, 9): "verbatim", (3, 9): "verbatim", (4, 9): "verbatim"}
