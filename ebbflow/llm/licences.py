@@ -1,13 +1,15 @@
 """License scans: canonical digest lookup, with DataFrame functions only.
 
-Texts are reduced to a canonical form: lower case, copyright lines dropped, equivalent
-spellings replaced, punctuation and white space reduced to single spaces. Its SHA-256 is
+Texts are reduced to a canonical form: lower case, copyright lines (with a year, a sign or a
+holder) dropped, equivalent spellings replaced, punctuation and white space reduced to single spaces. Its SHA-256 is
 hash-joined to the digests of known licences. Looked up are the whole text of a document and
-each of its lines (licence notices stand on a line of their own).
+each of its lines (licence notices stand on a line of their own). Known are the full standard texts
+(``licence_texts`` and ``SHORT``) with and without their titles, and with and without what
+follows "END OF TERMS AND CONDITIONS".
 
 A canonical text can only equal a known one if it holds one of the marker words that every
-known text has (checked when the table is made), so only such texts and lines are reduced.
-The table of digests is a few dozen constants and is broadcast.
+known text has (taken from the table, and checked), so only such texts and lines are reduced.
+The table of digests is about a hundred constants and is broadcast.
 
 Defined results: null and empty texts have no licence; repeated rows have equal results; a
 null doc_id is looked up like any other; an empty table gives no rows; other columns are
@@ -16,9 +18,10 @@ ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import re
+from pathlib import Path
 
-MARKERS = ("licen", "permission")
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Spellings that count as equal (first is replaced by second).
 SPELLINGS = (
@@ -30,7 +33,7 @@ SPELLINGS = (
 )
 
 # Public licence texts and notices, by SPDX identifier.
-KNOWN: tuple[tuple[str, str], ...] = (
+SHORT: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the MIT License."),
@@ -98,8 +101,61 @@ software.
 3. This notice may not be removed or altered from any source distribution."""),
 )
 
-#: Lines that state a copyright, whole.
-COPYRIGHT_LINE = r"(?m)^[ \t\W]*(copyright|\(c\)|©|all rights reserved)\b?[^\n]*$"
+# Titles that may stand before a text that has none itself.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "ISC"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)", "0BSD"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "Zlib"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License',
+                     "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License',
+                     "New BSD License", "Modified BSD License"),
+}
+#: Lines with words that are the title of a file in ``licence_texts``.
+TITLE_LINES = {"Apache-2.0": 3, "GPL-2.0-only": 2, "GPL-3.0-only": 2, "LGPL-2.1-only": 2, "LGPL-3.0-only": 2, "MPL-2.0": 1,
+               "CC0-1.0": 2, "CC-BY-SA-4.0": 1}
+FULL = tuple((f.stem, f.read_text("utf-8")) for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")))
+
+
+def variants(name: str, text: str) -> list[str]:
+    """A known text with and without title, what follows its terms, and clause numbers."""
+    out = [text]
+    if len(text) <= 300:  # a notice
+        return out
+    if name in TITLE_LINES:
+        lines = text.splitlines()
+        worded = [k for k, line in enumerate(lines) if re.search(r"\w", line)]
+        out.append("\n".join(lines[worded[TITLE_LINES[name]]:]))
+        out += [cut for x in out for end in re.finditer(r"END OF TERMS AND CONDITIONS", x)
+                for cut in (x[:end.start()], x[:end.end()])]
+    else:
+        if name.startswith("BSD-"):
+            out.append(re.sub(r"(?m)^\d\. ", "", text))
+        out += [f"{title}\n\n{x}" for x in out for title in TITLES[name]]
+    return out
+
+
+KNOWN: tuple[tuple[str, str], ...] = tuple((n, v) for n, t in (*SHORT, *FULL) for v in variants(n, t))
+
+
+def markers_of(known, first=("licen", "permission")) -> tuple[str, ...]:
+    """``first``, and a long word of each known text that holds none of the others."""
+    out = list(first)
+    for _, text in known:
+        if not any(m in text.lower() for m in out):
+            out.append(max(re.findall(r"[a-z]+", text.lower())[:20], key=len))
+    return tuple(out)
+
+
+MARKERS = markers_of(KNOWN)
+
+#: Lines that state a copyright, whole: the word with a year, a sign, a placeholder or a holder, but
+#: not a line of a licence that was wrapped before "copyright holders" or the like.
+COPYRIGHT_LINE = (r"(?m)^[ \t\W]*(copyright\b(?![ \t]+(holders?|owners?|notices?|licen[cs]\w+|laws?|statements?|and|or)\b)"
+                  r"(?=[^\n]*(\b(19|20)\d\d\b|\(c\)|©|[\[<{][ \t]*(yyyy|year|name|owner)|all rights reserved"
+                  r"|\b(authors|contributors|developers|inc|llc|ltd|gmbh|foundation|university)\W*$)|[ \t]+(by|the)\b)"
+                  r"|\(c\)|©|all rights reserved\b)[^\n]*$")
 
 
 def canonical(text: Column) -> Column:

@@ -55,3 +55,30 @@ def test_known_texts_need_a_marker(spark):
 def test_no_python_in_the_plan(corpus, capsys):
     LI.scan(corpus).explain()
     assert "Python" not in (out := capsys.readouterr().out) and "Arrow" not in out
+
+
+def test_full_texts_with_and_without_title(spark):
+    full = dict(LI.FULL)
+    c = "Copyright (c) 2019 Some One\n\n"
+    apache, bsd = full["Apache-2.0"], full["BSD-2-Clause"]
+    isc = next(t for n, t in LI.SHORT if n == "ISC" and "hereby" in t)
+    texts = ["MIT License\n\n" + c + MIT, "The MIT License (MIT)\n" + c + MIT, "ISC License\n\n" + c + isc, "zlib License\n\n" + c + ZLIB,
+             apache, apache[apache.index("TERMS AND CONDITIONS"):apache.index("END OF TERMS")],
+             apache.replace("[yyyy] [name of copyright owner]", "2020 X Inc."), "BSD 2-Clause License\n\n" + c + bsd, c + full["BSD-3-Clause"],
+             full["GPL-3.0-only"], full["GPL-2.0-only"], full["LGPL-3.0-only"], full["MPL-2.0"].split("\n", 2)[2], full["CC-BY-SA-4.0"]]
+    want = ["MIT", "MIT", "ISC", "Zlib", "Apache-2.0", "Apache-2.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0-only",
+            "GPL-2.0-only", "LGPL-3.0-only", "MPL-2.0", "CC-BY-SA-4.0"]
+    assert [x[0] for _, x in sorted(scan(spark, texts).items())] == want
+
+
+def test_only_stated_copyrights_are_dropped(spark):
+    wrapped = " ".join(MIT.split()).replace(" COPYRIGHT HOLDERS", "\nCOPYRIGHT HOLDERS").replace(" copyright notice", "\ncopyright notice")
+    bsd = " ".join(dict(LI.FULL)["BSD-2-Clause"].split()).replace(" COPYRIGHT HOLDERS AND CONTRIBUTORS ", "\nCOPYRIGHT HOLDERS AND CONTRIBUTORS\n")
+    texts = [wrapped, bsd, "Copyright The X Authors\n" + wrapped, "Copyright Example Inc.\n© X\n" + bsd, "copyright 2001-2004 by X\n" + bsd]
+    got = scan(spark, texts)
+    assert [got[k][0] for k in range(5)] == ["MIT", "BSD-2-Clause", "MIT", "BSD-2-Clause", "BSD-2-Clause"]
+
+
+def test_markers_come_from_the_table():
+    assert all(any(m in t.lower() for m in LI.MARKERS) for _, t in LI.KNOWN)
+    assert LI.markers_of([("X", "do as you like")])[-1] in "do as you like"
