@@ -1,6 +1,7 @@
 """Quality rules: compression bands.
 
-A text is compressed whole, and in fixed chunks, with zstandard. Repetitive text
+A text is compressed whole, and in fixed chunks that reach its last byte, with zstandard.
+Repetitive text
 compresses far better than prose, random or encoded text far worse, and both
 depend on the length, so each length band has limits of its own.
 
@@ -14,6 +15,7 @@ rejected; repeated rows are judged one by one; further columns pass through
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -88,17 +90,28 @@ def duplicate_lines(texts: pa.Array) -> np.ndarray:
     return per_row(wordy, offsets) - np.bincount(firsts, minlength=len(texts))
 
 
+def in_band(ratio: float, n_bytes: int, bands: Bands) -> bool:
+    k = bisect_right(bands.upto, n_bytes)
+    return bands.lo[k] <= ratio <= bands.hi[k]
+
+
 def compression(raw: bytes, compressor, bands: Bands) -> tuple[float, int, int]:
-    """(ratio of the whole text, number of full chunks, chunks outside the chunk band)."""
+    """(ratio of the whole text, number of chunks, chunks outside their limits). The last chunk
+    is the last ``chunk`` bytes, so every byte is judged; a shorter text is one chunk with the
+    limits of its length band."""
     if not raw:
         return 0.0, 0, 0
     ratio = len(raw) / len(compressor.compress(raw))
-    n = len(raw) // bands.chunk
+    if len(raw) < bands.chunk:
+        return ratio, 1, int(not in_band(ratio, len(raw), bands))
+    starts = [*range(0, len(raw) - bands.chunk + 1, bands.chunk)]
+    if len(raw) % bands.chunk:
+        starts.append(len(raw) - bands.chunk)
     bad = 0
-    for k in range(n):
-        part = raw[k * bands.chunk:(k + 1) * bands.chunk]
+    for k in starts:
+        part = raw[k:k + bands.chunk]
         bad += not bands.chunk_lo <= bands.chunk / len(compressor.compress(part)) <= bands.chunk_hi
-    return ratio, n, bad
+    return ratio, len(starts), bad
 
 
 def judge(column, bands: Bands) -> dict[str, np.ndarray]:

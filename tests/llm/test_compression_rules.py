@@ -66,3 +66,15 @@ def test_bands_reject_repetition_and_noise(spark, corpus):
     df = spark.createDataFrame([(1, noise), (2, "ab " * 3000), (3, prose)], "doc_id long, text string")
     kept = {r.doc_id: r.kept for r in CR.score(df).collect()}
     assert kept == {1: False, 2: False, 3: True}
+
+
+def test_junk_counts_wherever_it_stands(spark, corpus):
+    import base64
+    import random
+    noise = base64.b64encode(random.Random(5).randbytes(1425)).decode()
+    noise = " ".join(noise[i:i + 7] for i in range(0, len(noise), 7))[:1900]
+    prose = max((r.text for r in corpus.where("doc_id % 10 = 0").collect() if len(set(r.text.split())) > 300), key=len)
+    prose = prose.encode()[:2100].decode(errors="ignore")
+    df = spark.createDataFrame([(1, prose + " " + noise), (2, noise + " " + prose), (3, prose), (4, prose[:900])], "doc_id long, text string")
+    got = {r.doc_id: (r.kept, r.n_chunks, r.n_bad_chunks) for r in CR.score(df).collect()}
+    assert got == {1: (False, 2, 1), 2: (False, 2, 1), 3: (True, 2, 0), 4: (True, 1, 0)}
