@@ -118,3 +118,14 @@ def test_nnls_reaches_the_optimum():
             a[v, c] += v > 0
     gradient = a.T @ (a @ x - target)
     assert (x >= 0).all() and (gradient > -1e-6).all() and abs(gradient @ x) < 1e-5
+
+
+@pytest.mark.parametrize("kind,name", KINDS)
+def test_added_tokens_as_the_library_reads_them(kind, name):
+    from tokenizers import Tokenizer
+    texts = ["hello <|endoftext|> x", "a<|startoftext|>b", "<|endoftext|>", "plain text\nof two lines", "x <|ENDOFTEXT|> y",
+             "<|endoftext|><|startoftext|> It's  two\n\n<|endoftext", "", "hello <|endoftext|> x"]
+    ids, at = TK.PieceEncoder(TK.tokenizer_path(name), kind).encode(pa.array(texts, pa.large_string()))
+    library = Tokenizer.from_file(TK.tokenizer_path(name))
+    for k, text in enumerate(texts):
+        assert ids[at[k]:at[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
