@@ -94,8 +94,9 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
-        #: Added tokens stand in the raw text; one that is looked for after normalising may be in any.
-        self.added = ["" if t.normalized else t.content for t in added]
+        #: Added tokens stand in one piece of the raw text; one that is looked for after normalising,
+        #: or that holds white space, may be in any.
+        self.added = ["" if t.normalized or re.search(r"\s", t.content) else t.content for t in added]
         self.kind = kind
         self.alphabet = byte_alphabet()
         self.parts = Recent(self.encode_part)
@@ -137,8 +138,6 @@ class PieceEncoder:
             whole = np.zeros(len(texts), bool)
         else:
             whole = np.asarray(pc.match_substring_regex(texts, OTHER_SPACE))
-        for token in self.added:
-            whole = whole | np.asarray(pc.match_substring(texts, token))
         pieces, piece_at = self.cut(texts)
         coded = pieces.dictionary_encode()
         ids = list(map(self.pieces.get, coded.dictionary.to_numpy(zero_copy_only=False)))
@@ -146,6 +145,12 @@ class PieceEncoder:
         flat = np.frombuffer(b"".join(ids), np.int32)
         starts = np.cumsum(lengths, dtype=np.int32) - lengths
         which = coded.indices.to_numpy(zero_copy_only=False)
+        holds = np.zeros(len(ids), bool)
+        for token in self.added:
+            holds |= np.asarray(pc.match_substring(coded.dictionary, token))
+        if holds.any():
+            before = np.concatenate([[0], np.cumsum(holds[which])])[piece_at]
+            whole = whole | (before[1:] > before[:-1])
         long = lengths[which]
         ends = np.cumsum(long, dtype=np.int32)
         take = np.repeat(starts[which] - (ends - long), long)
