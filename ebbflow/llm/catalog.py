@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ebbflow.llm import (byte_gru, compression_rules, interleave, licences, line_crf, nnls_packing, pfor_tokens,
-                         revisits, simhash_tiles, template_windows)
+from ebbflow.llm import (balanced_lists, byte_gru, compression_rules, interleave, licences, line_crf, nnls_packing,
+                         pfor_tokens, revisits, simhash_tiles, slot_negatives, template_windows, term_pipeline)
 from ebbflow.llm.oracle_sql import ORACLE  # noqa: F401 - read beside REGISTRY
 from ebbflow.sources.tables import read_table
 
@@ -72,3 +72,20 @@ def op9_interleaved_shards(spark, sf_dir):
 @register
 def op10_nnls_packing(spark, sf_dir):
     return nnls_packing.digests(nnls_packing.pack(read_table(spark, sf_dir, "documents")))
+
+
+@register
+def op11_slot_negatives(spark, sf_dir):
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return slot_negatives.mine(read_table(spark, sf_dir, "embeddings"), anchor=vec_id % 50 == 0,
+                               label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
+@register
+def op12_balanced_lists(spark, sf_dir):
+    return balanced_lists.neighbours(read_table(spark, sf_dir, "embeddings"), query=F.col("vec_id") % 20 == 0)
+
+
+@register
+def op13_term_pipeline(spark, sf_dir):
+    return term_pipeline.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

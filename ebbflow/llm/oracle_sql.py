@@ -103,4 +103,37 @@ SELECT v.record_id, v.curl, v."at", k.response_id, k.outcome,
 FROM k JOIN v USING (record_id) LEFT JOIN f ON f.record_id = k.response_id"""
 
 
-ORACLE = {"op6_revisits": revisits(), "op7_licence_digests": licences(), "op9_interleaved_shards": shards()}
+def slot_negatives() -> str:
+    return """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             (row_number() OVER (PARTITION BY p.a, p.vec_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank
+      FROM p JOIN s USING (a) WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
+def ranked_terms() -> str:
+    terms = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS t FROM documents WHERE text IS NOT NULL),
+docs AS (SELECT r, doc_id, len(t) AS n FROM d WHERE len(t) > 0),
+g AS (SELECT count(*) AS nd, sum(n) AS nt FROM docs),
+q AS (SELECT item_id, term, count(*) AS k FROM (SELECT item_id, unnest({terms}) AS term FROM benchmark) GROUP BY ALL),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+s AS (SELECT q.item_id, p.r, sum(q.k * floor(1000 * ln((2 * nd + 2) / (2 * df + 1)))::BIGINT
+                                 * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // nt)))) AS score
+      FROM q JOIN p USING (term) JOIN f USING (term) JOIN docs USING (r), g GROUP BY ALL),
+k AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score::BIGINT AS score
+      FROM s JOIN docs USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10"""
+
+
+ORACLE = {"op6_revisits": revisits(), "op7_licence_digests": licences(), "op9_interleaved_shards": shards(),
+          "op11_slot_negatives": slot_negatives(), "op13_term_pipeline": ranked_terms()}
