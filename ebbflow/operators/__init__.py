@@ -1 +1,8 @@
 """Operators: each takes and returns DataFrames (or small fitted parameters)."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel by value, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

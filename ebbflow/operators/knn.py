@@ -1,24 +1,33 @@
 """Exact k-nearest-neighbour vote (uniform or 1/distance weights,
-euclidean or manhattan).
-
-Exact KNN has to look at every (query, reference) distance; what must stay
-bounded is the memory of each task and the rows emitted. Work is cut into
-cells of at most ``block_rows`` queries x ``block_rows`` references: queries
-are hashed into C chunks, references into B blocks, and each (chunk, block)
-cell is one ``cogroup`` group evaluated with numpy inside the task (Spark
-partitions and shuffles the cells). A cell emits only each query's local
-top-k (ties at the k-th distance kept), so the merge sees at most B x k
-candidates per query; a window ranks them by (distance, id) and keeps k.
-The cost is quadratic by definition of the exact operator; cells only bound
-it per task.
+euclidean or manhattan), over a metric index.
+
+Pivots are a seeded sample of the references (at most ``PIVOTS``). Each reference is filed
+under its nearest pivot with its distance to it; a pivot's references are cut into rings by
+that distance, and a ring of more than ``block_rows`` into blocks by a hash, so copies of
+one point are spread. The directory (pivot, ring, smallest and largest distance, rows) has at
+most ``PIVOTS`` x ``RINGS`` entries, whatever the number of references.
+
+For every ring the triangle inequality gives a lower bound on the distance of a query to its
+members: from the pivot's distance and the ring's limits, and from the fact that a member is
+no nearer to any other pivot than to its own. A first pass visits the rings with the smallest
+bounds until they hold ``k`` references; the k-th distance found there is an upper limit. A
+second pass visits only the rings whose bound does not exceed it. The result is exact.
+
+A visit is one ``cogroup`` of a block with at most about ``block_rows`` of the queries that
+asked for it; it emits each query's local top-k (ties at the k-th distance kept), and a
+window ranks the candidates by (distance, id). How much is skipped depends on the data:
+clustered or low-dimensional vectors skip most rings, independent coordinates in many
+dimensions none (``visited_share`` tells); then the work is every distance once.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ebbflow.session import materialize
@@ -26,6 +35,12 @@ from ebbflow.session import materialize
 #: Bytes of the difference array (queries x references x dimensions) computed at once in a task.
 CELL_BYTES = 128 << 20
 
+#: Pivots at most, references for which one more pivot is taken, rings of a pivot at most.
+PIVOTS, PIVOT_ROWS, RINGS = 1024, 256, 64
+
+#: Bounds are relaxed by this share, so that rounding never skips a neighbour.
+SLACK = 1e-9
+
 
 def _cell_topk(k: int, metric: str):
     def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
@@ -52,27 +67,174 @@ def _cell_topk(k: int, metric: str):
     return fn
 
 
+def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """All distances of the rows of ``a`` and ``b``."""
+    if metric == "euclidean":
+        return np.sqrt(np.maximum(0, (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)))
+    return np.stack([np.abs(a - x).sum(1) for x in b], axis=1)
+
+
+@dataclass
+class MetricIndex:
+    """Pivots and the directory of their rings: what tasks need to know."""
+
+    pivots: np.ndarray
+    metric: str
+    edges: list[np.ndarray]      # inner limits between a pivot's rings
+    pivot: np.ndarray            # per ring: its pivot, limits, rows, first block and number of blocks
+    low: np.ndarray
+    high: np.ndarray
+    size: np.ndarray
+    first: np.ndarray
+    blocks: np.ndarray
+
+    def ring_of(self, pivot: np.ndarray, dist: np.ndarray) -> np.ndarray:
+        """Position in the directory of the ring that holds a reference."""
+        start = np.searchsorted(self.pivot, np.arange(len(self.pivots)))
+        out = np.empty(len(pivot), np.int64)
+        for p in np.unique(pivot):
+            at = pivot == p
+            out[at] = start[p] + np.searchsorted(self.edges[p], dist[at], side="left")
+        return out
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """A lower bound on the distance of every query to the members of every ring."""
+        if not len(self.pivots):
+            return np.zeros((len(queries), 0))
+        d = distances(queries, self.pivots, self.metric)
+        to = d[:, self.pivot]
+        other = (to - d.min(axis=1, keepdims=True)) / 2
+        bound = np.maximum(np.maximum(self.low - to, to - self.high), other)
+        # distances come from rounded products: allow for the size of the numbers, too
+        scale = np.abs(queries).max(axis=1, initial=0)[:, None] + np.abs(self.pivots).max(initial=0)
+        return bound * (1 - SLACK) - 1e-7 * scale * max(1, queries.shape[1]) ** 0.5
+
+
+def build_index(train: DataFrame, n_train: int, metric: str, block_rows: int, seed: int = 42) -> tuple[MetricIndex, DataFrame]:
+    """Index over ``train`` (id, vec, label), and the filed rows (id, vec, label, pivot, dist)."""
+    want = min(PIVOTS, max(1, math.ceil(n_train / PIVOT_ROWS)))
+    h = F.xxhash64("id", F.lit(seed))
+    share = F.pmod(h, F.lit(1 << 30)) < int(min(1.0, (1.5 * want + 100) / max(1, n_train)) * (1 << 30))
+    sample = [r["vec"] for r in train.where(share).select("id", "vec", h.alias("_h")).orderBy("_h", "id").limit(want).collect()]
+    pivots = np.unique(np.array(sample, np.float64), axis=0) if sample else np.zeros((0, 0))
+
+    def file(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = np.asarray(batch.column("vec").flatten(), np.float64).reshape(batch.num_rows, -1)
+                d = distances(x, pivots, metric)
+                near = d.argmin(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near])],
+                                                 names=[*batch.schema.names, "pivot", "dist"])
+
+    kind = train.schema["id"].dataType.simpleString()
+    rows = materialize(train.select("id", "vec", "label").mapInArrow(file, f"id {kind}, vec array<double>, label int, pivot int, dist double"), "metric-index")
+    cuts = rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(
+        "dist", F.array(*[F.lit(i / RINGS) for i in range(1, RINGS)]), F.lit(10_000)).alias("q")).collect()  # one row a pivot
+    edges = [np.zeros(0)] * len(pivots)
+    for r in cuts:
+        rings = min(RINGS, max(1, math.ceil(r["n"] / block_rows)))
+        edges[r["pivot"]] = np.unique([r["q"][round(i * RINGS / rings) - 1] for i in range(1, rings)])
+    index = MetricIndex(pivots, metric, edges, *[np.zeros(0)] * 6)
+    index.pivot = np.repeat(np.arange(len(pivots)), [len(e) + 1 for e in edges])
+
+    def measure(batches):
+        for batch in batches:
+            d = np.asarray(batch.column("dist"))
+            yield pa.RecordBatch.from_arrays([pa.array(index.ring_of(np.asarray(batch.column("pivot")), d)), pa.array(d)], names=["ring", "dist"])
+
+    found = (rows.select("pivot", "dist").mapInArrow(measure, "ring long, dist double").groupBy("ring")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high")).collect())  # one row a ring
+    n = len(index.pivot)
+    index.low, index.high, index.size = np.full(n, np.inf), np.full(n, -np.inf), np.zeros(n, np.int64)
+    for r in found:
+        index.low[r["ring"]], index.high[r["ring"]], index.size[r["ring"]] = r["low"], r["high"], r["n"]
+    index.blocks = np.maximum(1, -(-index.size // block_rows))
+    index.first = np.cumsum(index.blocks) - index.blocks
+    return index, rows
+
+
+def _visits(index: MetricIndex, rows: DataFrame, queries: DataFrame, k: int, limited: bool, n_queries: int, block_rows: int) -> DataFrame:
+    """The local top-k of every ring that a query visits: the first ones that hold ``k``
+    references, or with ``limited`` all others whose bound is within the query's ``upper``."""
+    groups = max(1, math.ceil(n_queries / block_rows))
+
+    def choose(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.asarray(batch.column("vec").flatten(), np.float64).reshape(batch.num_rows, -1)
+            for start in range(0, len(x), 256):
+                bound = index.bounds(x[start:start + 256])
+                bound[:, index.size == 0] = np.inf
+                order = np.argsort(bound, axis=1, kind="stable")
+                held = np.cumsum(index.size[order], axis=1)
+                first = np.zeros(bound.shape, bool)
+                np.put_along_axis(first, order, (held - index.size[order] < k) & (index.size[order] > 0), axis=1)
+                if limited:
+                    upper = np.asarray(batch.column("upper").slice(start, 256), np.float64)
+                    first = ~first & (bound <= upper[:, None])
+                row, ring = np.nonzero(first)
+                times = index.blocks[ring]
+                row, ring = np.repeat(row, times), np.repeat(ring, times)
+                block = index.first[ring] + np.arange(len(ring)) - np.repeat(np.cumsum(times) - times, times)
+                part = batch.select(["id", "vec"]).slice(start, 256).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(block)], names=["id", "vec", "block"])
+
+    def place(batches):
+        for batch in batches:
+            ring = index.ring_of(np.asarray(batch.column("pivot")), np.asarray(batch.column("dist")))
+            block = index.first[ring] + np.asarray(batch.column("h"), np.int64) % index.blocks[ring]
+            yield pa.RecordBatch.from_arrays([*batch.select(["id", "vec", "label"]).columns, pa.array(block)], names=["id", "vec", "label", "block"])
+
+    kind, own = (df.schema["id"].dataType.simpleString() for df in (queries, rows))
+    group = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("group")
+    te = queries.mapInArrow(choose, f"id {kind}, vec array<double>, block long").select("*", group)
+    tr = (rows.select("id", "vec", "label", "pivot", "dist", F.pmod(F.xxhash64("id"), F.lit(1 << 30)).alias("h"))
+          .mapInArrow(place, f"id {own}, vec array<double>, label int, block long"))
+    # Only the groups that ask for a block get a copy of it.
+    tr = tr.join(te.select("block", "group").distinct(), "block").toDF("block", "id", "vec", "label", "group")
+    return te.groupBy("block", "group").cogroup(tr.groupBy("block", "group")).applyInPandas(
+        _cell_topk(k, index.metric), f"qid {kind}, nid {own}, nlabel int, dist double")
+
+
 def neighbours(train: DataFrame, test: DataFrame, k: int = 11, metric: str = "euclidean",
                id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
                block_rows: int = 4096, n_train: int | None = None, n_test: int | None = None) -> DataFrame:
     """(qid, nid, nlabel, dist, rank) for the k nearest references of every query. ``id_col``
     tells rows apart and has any type; equal distances rank by it.
-    ``n_train`` / ``n_test`` (row counts, when known) size the cells without a count job."""
+    ``n_train`` / ``n_test`` (row counts, when known) size the index without a count job."""
     n_train = train.count() if n_train is None else n_train
     n_test = test.count() if n_test is None else n_test
-    nb, nc = max(1, math.ceil(n_train / block_rows)), max(1, math.ceil(n_test / block_rows))
-    tr = train.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"),
-                      F.col(label_col).cast("int").alias("label"),
-                      F.pmod(F.xxhash64(id_col), F.lit(nb)).cast("int").alias("b"))
-    tr = tr.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
-    te = test.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"),
-                     F.pmod(F.xxhash64(id_col), F.lit(nc)).cast("int").alias("c"))
-    te = te.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    kinds = [df.schema["id"].dataType.simpleString() for df in (te, tr)]
-    schema = f"qid {kinds[0]}, nid {kinds[1]}, nlabel int, dist double"
-    cand = te.groupBy("c", "b").cogroup(tr.groupBy("c", "b")).applyInPandas(_cell_topk(k, metric), schema)
+    vec = F.col(vec_col).cast("array<double>").alias("vec")
+    index, rows = build_index(train.select(F.col(id_col).alias("id"), vec, F.col(label_col).cast("int").alias("label")), n_train, metric, block_rows)
+    queries = test.select(F.col(id_col).alias("id"), vec)
     w = Window.partitionBy("qid").orderBy("dist", "nid")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    near = _visits(index, rows, queries, k, False, n_test, block_rows)
+    near = materialize(near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank"), "nearest-rings")
+    upper = near.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(float("inf")).alias("upper"))
+    queries = queries.join(upper, F.col("id") == F.col("qid")).drop("qid")
+    far = _visits(index, rows, queries, k, True, n_test, block_rows)
+    return near.unionByName(far).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def visited_share(train: DataFrame, test: DataFrame, k: int = 11, metric: str = "euclidean", id_col: str = "vec_id",
+                  vec_col: str = "embedding", label_col: str = "label", block_rows: int = 4096) -> float:
+    """The share of all (query, reference) distances that ``neighbours`` computes."""
+    n_train, n_test = train.count(), test.count()
+    vec = F.col(vec_col).cast("array<double>").alias("vec")
+    index, _ = build_index(train.select(F.col(id_col).alias("id"), vec, F.col(label_col).cast("int").alias("label")), n_train, metric, block_rows)
+    last = neighbours(train, test, k, metric, id_col, vec_col, label_col, block_rows, n_train, n_test).where(F.col("rank") == k)
+    queries = test.select(F.col(id_col).alias("id"), vec).join(last.select(F.col("qid").alias("id"), "dist"), "id", "left")
+
+    def visited(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = np.asarray(batch.column("vec").flatten(), np.float64).reshape(batch.num_rows, -1)
+                upper = np.asarray(batch.column("dist").fill_null(np.inf))
+                yield pa.RecordBatch.from_pydict({"n": [float(((index.bounds(x) <= upper[:, None]) * index.size).sum())]})
+
+    return (queries.mapInArrow(visited, "n double").agg(F.sum("n")).first()[0] or 0.0) / max(1, n_train * n_test)
 
 
 def vote(nbrs: DataFrame, weights: str = "distance") -> DataFrame:

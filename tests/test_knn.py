@@ -54,3 +54,39 @@ def test_neighbours_exactly_k(spark):
     _, _, _, train, test = _data(spark)
     n = neighbours(train, test, k=5, block_rows=50)
     assert {r["count"] for r in n.groupBy("qid").count().collect()} == {5}
+
+
+def _clustered(spark, n, seed=3, d=4):
+    """References and queries around 40 centres; a third of the references is one point."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(40, d)) * 20
+    tr = centres[rng.integers(0, 40, n)] + rng.normal(size=(n, d))
+    tr[::3] = tr[0]
+    te = centres[rng.integers(0, 40, n // 10)] + rng.normal(size=(n // 10, d))
+    frame = lambda x, at: spark.createDataFrame([(at + i, v.tolist(), i % 2) for i, v in enumerate(x)],
+                                                "vec_id long, embedding array<double>, label int")
+    return tr, te, frame(tr, 0), frame(te, 10**6)
+
+
+def test_index_is_exact_with_a_hot_point(spark):
+    tr, te, train, test = _clustered(spark, 1500)
+    for metric in ("euclidean", "manhattan"):
+        got = {}
+        for r in neighbours(train, test, k=6, metric=metric, block_rows=50).orderBy("qid", "rank").collect():
+            got.setdefault(r["qid"], []).append(r["nid"])
+        for i, q in enumerate(te):
+            d = np.sqrt(((tr - q) ** 2).sum(1)) if metric == "euclidean" else np.abs(tr - q).sum(1)
+            assert got[10**6 + i] == np.lexsort((np.arange(len(tr)), d))[:6].tolist()
+
+
+def test_index_skips_most_distances_of_clustered_points(spark):
+    from ebbflow.operators.knn import visited_share
+    shares = [visited_share(*_clustered(spark, n)[2:], k=6, block_rows=50) for n in (1000, 4000)]
+    assert shares[0] < 0.6 and shares[1] < shares[0]  # the work grows below the square
+
+
+def test_fewer_references_than_k_and_none(spark):
+    _, _, train, test = _clustered(spark, 60)
+    few = neighbours(train.where("vec_id < 4"), test, k=6)
+    assert few.count() == 4 * test.count()
+    assert neighbours(train.limit(0), test, k=6).count() == 0 and neighbours(train, test.limit(0), k=6).count() == 0
