@@ -9,7 +9,8 @@ holding a term come from the same records.
 
 Items travel in bundles of about ``BUNDLE``. For each block of documents a bundle starts
 with empty accumulators and goes through the owners in turn: a cogroup meets it with that
-owner's postings of the block and the weights of the bundle's terms there, and adds the
+owner's postings of the block and the weights of the bundle's terms there (broadcast up to
+``BROADCAST_TERMS``, shuffled beyond), and adds the
 integer contributions to its sparse accumulators (only documents with a score are kept). After
 the last owner the ``k`` best of each item and block remain, and a ranked window over the
 blocks gives the answer. A group is one bundle and one block, bounded by BUNDLE x BLOCK
@@ -39,6 +40,8 @@ OWNERS = 4
 #: Documents of a block and postings after which a block is closed; items of a bundle.
 BLOCK, POSTINGS = 4096, 2_000_000
 BUNDLE = 128
+#: Terms of items (a few dozen bytes each) that are broadcast at most.
+BROADCAST_TERMS = 100_000
 
 #: What each byte of a text becomes: separators a space, A-Z lower case, all others themselves.
 FOLD = np.arange(256, dtype=np.uint8)
@@ -204,21 +207,23 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
 
     weight = F.floor(1000 * F.log((2 * F.lit(n_docs) + 2).cast("double") / (2 * F.col("df") + 1))).cast("long")
     bundle = F.pmod(F.xxhash64("item"), F.lit(bundles)).cast("int").alias("bundle")
-    # The bundles' terms go to every copy of their owner, so an owner's postings need not meet in one task.
-    copies = int(spark.conf.get("spark.sql.shuffle.partitions"))
     owner = F.conv(F.hex(F.xxhash64("term")), 16, 10).cast("decimal(20,0)") % OWNERS
     asked = (terms.join(document_frequencies(blocks), "term")
              .select(bundle, owner.cast("int").alias("owner"), F.struct("item", "term", "times", weight.alias("weight")).alias("x"))
              .groupBy("bundle", "owner").agg(F.collect_list("x").alias("asked")))
-    asked = write_once(asked, "bundle-terms").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    asked = write_once(asked, "bundle-terms")
+    small = (asked.agg(F.sum(F.size("asked"))).first()[0] or 0) <= BROADCAST_TERMS
+    # Beyond that bound the terms go to every copy of their owner, so an owner's postings need not meet in one task.
+    copies = 1 if small else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = F.broadcast(asked) if small else asked.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).hint("merge")
 
     none = F.lit(None).cast("binary")
     carried = blocks.where("owner = -1").select(F.explode(F.sequence(F.lit(0), F.lit(bundles - 1))).alias("bundle"), "block", "doc_ids", "lengths",
                                                 none.alias("items"), none.alias("docs"), none.alias("scores"))
     for o in range(OWNERS):
-        postings = blocks.where(F.col("owner") == o).select("block", "terms", "counts", "docs", "tfs",
+        postings = blocks.where(F.col("owner") == o).select("block", "owner", "terms", "counts", "docs", "tfs",
                                                             F.pmod(F.xxhash64("block"), F.lit(copies)).cast("int").alias("copy"))
-        postings = postings.join(asked.where(F.col("owner") == o), "copy").drop("copy", "owner")
+        postings = postings.join(asked, ["owner"] if small else ["owner", "copy"]).drop("copy", "owner")
         postings = postings.toDF(*postings.columns)  # columns of its own beside the accumulators'
         step = stage(n_docs, n_terms, k if o == OWNERS - 1 else None)
         carried = (carried.groupBy("bundle", "block").cogroup(postings.groupBy("bundle", "block"))

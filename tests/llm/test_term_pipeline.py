@@ -48,7 +48,7 @@ def test_whole_tables_equal_the_plain_version(spark, corpus):
 
 @pytest.mark.parametrize("block, bundle, owners", [(4096, 128, 4), (3, 2, 4), (2, 1, 1)])
 def test_edges_in_any_layout(spark, monkeypatch, block, bundle, owners):
-    for name, value in (("BLOCK", block), ("BUNDLE", bundle), ("OWNERS", owners), ("POSTINGS", 5 * block)):
+    for name, value in (("BROADCAST_TERMS", 100 if block > 3 else 0), ("BLOCK", block), ("BUNDLE", bundle), ("OWNERS", owners), ("POSTINGS", 5 * block)):
         monkeypatch.setattr(term_pipeline, name, value)
     docs = [(1, "The cat sat; the CAT ran"), (2, None), (3, ""), (4, " .,;\x7f{}\x00 "), (5, "Ähre ähre 漢字 déjà-vu\x00cat"), (None, "cat alone"),
             (7, "cat " * 30000 + "dog"), (8, "dog cat"), (8, "dog cat"), (9, "dog cat"), (10, "x1 2y"), (11, "nothing asked for")]
