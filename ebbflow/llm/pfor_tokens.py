@@ -53,37 +53,42 @@ SEGMENT_SCHEMA = "shard int, segment int, first_id long, n_ids long, n_docs long
 IDS_SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 
 
+#: Bits needed for each 16-bit value (0 for 0).
+BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def bit_width(values: np.ndarray) -> np.ndarray:
-    """Bits needed for each unsigned value (0 for 0)."""
-    return np.frexp(values.astype(np.float64))[1].astype(np.int64)
+    """Bits needed for each unsigned value of up to 32 bits (0 for 0)."""
+    if values.size and values.max() < 1 << 16:
+        return BITS[values]
+    return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
 
 
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of unsigned values as rows of bytes, ``width`` bits each, low bit first."""
-    if width == 0:
-        return np.zeros((len(values), 0), np.uint8)
-    bits = (values[:, :, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).reshape(len(values), -1), axis=1, bitorder="little")
+    size = 16 if width <= 16 else 32
+    bits = np.unpackbits(values.astype(f"<u{size // 8}").view(np.uint8), axis=1, bitorder="little")
+    return np.packbits(bits.reshape(len(values), -1, size)[:, :, :width].reshape(len(values), -1), axis=1, bitorder="little")
 
 
 def unpack_bits(rows: np.ndarray, width: int, n: int) -> np.ndarray:
-    if width == 0:
-        return np.zeros((len(rows), n), np.uint32)
-    bits = np.unpackbits(rows, axis=1, count=n * width, bitorder="little").reshape(len(rows), n, width)
-    return bits.astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+    size = 16 if width <= 16 else 32
+    bits = np.zeros((len(rows), n, size), np.uint8)
+    bits[:, :, :width] = np.unpackbits(rows, axis=1, count=n * width, bitorder="little").reshape(len(rows), n, width)
+    return np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little").view(f"<u{size // 8}")
 
 
 def widths_of(rest: np.ndarray, percentiles, place: int) -> tuple[np.ndarray, int]:
     """The width of each row of values (its minimum taken off) that makes the block smallest, and
     the bits of all blocks together; ``place`` is the bytes of a position."""
     need = bit_width(rest)
-    n, top = rest.shape[1], need.max(axis=1)
-    value = np.where(top > 16, 32, 16) + 8 * place
-    ordered = np.sort(need, axis=1)
+    n, top = rest.shape[1], int(need.max(initial=0))
+    value = np.where(need.max(axis=1) > 16, 32, 16) + 8 * place
+    within = np.stack([(need <= w).sum(axis=1) for w in range(top + 1)], axis=1)  # values that fit, by width
     best, width = None, None
     for p in percentiles:
-        w = ordered[:, min(n - 1, int(n * p / 100))]
-        cost = w * n + (need > w[:, None]).sum(axis=1) * value
+        w = (within <= min(n - 1, int(n * p / 100))).sum(axis=1)
+        cost = w * n + (n - within[np.arange(len(w)), w]) * value
         better = np.ones(len(w), bool) if best is None else cost < best
         best = cost if best is None else np.where(better, cost, best)
         width = w if width is None else np.where(better, w, width)
@@ -124,17 +129,24 @@ def encode_blocks(values: np.ndarray, block_size: int, percentiles) -> list[byte
 def renamed(ids: np.ndarray, block_size: int, percentiles) -> tuple[np.ndarray, np.ndarray]:
     """The ids' places among the distinct ids, most frequent first, and those ids; or the ids
     themselves and no names, if that is smaller."""
-    names, which, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-count, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    ranked = rank[which]
+    if ids.max(initial=0) < 1 << 16:
+        count = np.bincount(ids)
+        names = np.flatnonzero(count)
+        names = names[np.argsort(-count[names], kind="stable")]
+        rank = np.zeros(len(count), np.int64)
+        rank[names] = np.arange(len(names))
+        ranked = rank[ids]
+    else:
+        names, which, count = np.unique(ids, return_inverse=True, return_counts=True)
+        order = np.argsort(-count, kind="stable")
+        rank = np.argsort(order, kind="stable")
+        names, ranked = names[order], rank[which]
 
     def bits(values):
         return sum(widths_of((t - t.min(axis=1, keepdims=True)).astype(np.uint32), percentiles, 1 if block_size <= 256 else 2)[1]
                    for _, t in tables_of(values, block_size))
 
-    return (ranked, names[order]) if len(ids) and 32 * len(names) + bits(ranked) < bits(ids) else (ids, names[:0])
+    return (ranked, names) if len(ids) and 32 * len(names) + bits(ranked) < bits(ids) else (ids, names[:0])
 
 
 def encode_segment(doc_ids: list, lengths: np.ndarray, ids: np.ndarray,
