@@ -443,6 +443,41 @@ ORACLE["class_weights"] = with_("feature_table", SPLIT) + """
 SELECT churn_value, count(*) AS n_class, CAST(round(CAST(sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS weight
 FROM split_table WHERE split = 'train' GROUP BY churn_value"""
 
+def _logistic_sql(c: float = 10.0, steps: int = 10) -> str:
+    """Newton's method written out step by step: the normal equations of each step are summed
+    over all pairs of columns and solved by Gauss-Jordan elimination on a list of lists."""
+    cols = S.FEATURE_COLUMNS
+    d = len(cols) + 1
+    stats = ", ".join(f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1.0) AS s_{c}" for c in cols)
+    z = ", ".join(f"(x.{c} - s.m_{c}) / s.s_{c}" for c in cols)
+    ctes = [f"st AS (SELECT {stats} FROM split_table WHERE split = 'train')",
+            "cw AS (SELECT churn_value AS lab, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS w FROM split_table WHERE split = 'train' GROUP BY churn_value)",
+            f"""zr AS MATERIALIZED (SELECT [{z}, 1.0]::DOUBLE[] AS z, x.churn_value AS y, cw.w FROM split_table x, st s, cw
+               WHERE x.split = 'train' AND x.churn_value = cw.lab)""",
+            f"ix AS (SELECT unnest(range(1, {d + 1})) AS i)",
+            f"b0 AS (SELECT list_transform(range({d}), lambda ii: 0.0::DOUBLE) AS b)"]
+    k = "kk[1][1]::BIGINT"
+    eliminate = (f"list_transform(mm, lambda rr, ii: CASE WHEN ii = {k} THEN list_transform(rr, lambda vv: vv / rr[{k}]) "
+                 f"ELSE list_transform(rr, lambda vv, jj: vv - rr[{k}] * mm[{k}][jj] / mm[{k}][{k}]) END)")
+    for t in range(1, steps + 1):
+        ctes += [
+            f"p{t} AS MATERIALIZED (SELECT z, y, w, b, 1 / (1 + exp(-list_dot_product(z, b))) AS p FROM zr, b{t - 1})",
+            f"""h{t} AS MATERIALIZED (SELECT a.i, c.i AS j, sum(w * p * (1 - p) * z[a.i] * z[c.i]) + CASE WHEN a.i = c.i AND a.i < {d} THEN 1 / {c} ELSE 0 END AS v
+               FROM p{t}, ix a, ix c GROUP BY a.i, c.i)""",
+            f"g{t} AS (SELECT i, sum(w * (p - y) * z[i]) + CASE WHEN i < {d} THEN any_value(b)[i] / {c} ELSE 0 END AS v FROM p{t}, ix GROUP BY i)",
+            f"r{t} AS (SELECT h.i, list_append(list(h.v ORDER BY j), any_value(g.v)) AS row FROM h{t} h JOIN g{t} g ON h.i = g.i GROUP BY h.i)",
+            f"q{t} AS (SELECT list(row ORDER BY i) AS q FROM r{t})",
+            f"""s{t} AS (SELECT list_reduce(list_prepend(q, list_transform(range(1, {d + 1}), lambda kk: [[kk::DOUBLE]])),
+               lambda mm, kk: {eliminate}) AS m FROM q{t})""",
+            f"b{t} AS MATERIALIZED (SELECT list_transform(b, lambda vv, ii: vv - m[ii][{d + 1}]) AS b FROM b{t - 1}, s{t})"]
+    names = ", ".join(f"'{c}'" for c in [*cols, "intercept"])
+    return with_("feature_table", SPLIT, *ctes) + f"""
+SELECT feature, CAST(round(CAST(coefficient AS DECIMAL(38,12)), 6) AS DOUBLE) AS coefficient
+FROM (SELECT unnest([{names}]) AS feature, unnest(b) AS coefficient FROM b{steps})"""
+
+
+ORACLE["logistic_coefficients"] = _logistic_sql()
+
 # --- evaluation --------------------------------------------------------------------------
 
 CURVE = """
