@@ -212,8 +212,9 @@ def classes(docs: DataFrame, shingle: int = 4, radius: int = 4, seed: int = 42)
 
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
     """One row of each component: that of the smallest doc_id. Among rows with this
-    doc_id the smallest by text hash stays, and one of equal rows. Rows without a doc_id
-    stay, as nothing names them."""
+    doc_id the smallest by text hash stays, and of rows equal in both the first by the JSON form
+    of their other columns, which may have any type (maps too). Rows without a doc_id stay, as
+    nothing names them."""
     rows = write_once(classes(docs, shingle, radius, seed).where("doc_id is not null"), "classes")
     best = rows.where("doc_id = component_id").groupBy("doc_id").agg(
         F.min("text_hash").alias("text_hash"), F.count("*").alias("n"))
@@ -228,6 +229,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, seed: int = 42)
 
     once = named.join(keys(gone.union(again)), key, "left_anti")
     rest = [n for n in docs.columns if n != "doc_id"]
-    many = named.join(keys(again), key, "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias(key))
+    many = named.join(keys(again), key, "left_semi").groupBy("doc_id").agg(
+        F.min_by(F.struct(*rest), F.to_json(F.struct(F.lit(0).alias(key), *[n for n in rest if n != "text"]))).alias(key))
     many = many.select("doc_id", *[F.col(key)[n].alias(n) for n in rest])
     return once.select(*docs.columns).unionByName(many.select(*docs.columns))

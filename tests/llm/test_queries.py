@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -84,3 +85,11 @@ def test_stages_take_nulls_and_other_columns(spark, edge_docs):
         assert out.columns == edge_docs.columns
         out.collect()
     assert corpus_pipeline.STAGES[-1][1](spark, edge_docs, SF_SMALL).count() >= edge_docs.count()
+
+
+def test_stages_take_columns_without_an_order(spark, edge_docs):
+    docs = edge_docs.withColumn("tags", F.create_map(F.lit("a"), F.col("lang")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns
+        out.collect()

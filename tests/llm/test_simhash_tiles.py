@@ -108,3 +108,10 @@ def test_keep_one(corpus, edge_docs):
     assert len(named) == len(set(named)) and few.columns == edge_docs.columns
     assert few.where("doc_id is null").count() == 2
     assert SH.keep_one(edge_docs.limit(0)).count() == 0
+
+
+def test_keep_one_takes_columns_without_an_order(spark, edge_docs):
+    docs = edge_docs.withColumn("tags", F.create_map(F.lit("a"), F.col("lang"))).withColumn("list", F.array(F.create_map(F.lit(1), F.lit(2))))
+    kept, plain = SH.keep_one(docs), SH.keep_one(edge_docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, kept.select(*edge_docs.columns).collect())) == sorted(map(repr, plain.collect()))
