@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ebbflow import schemas as S
 from ebbflow.functions.scalar import round_half_even
@@ -61,20 +62,21 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 2) -> D
 
 def histogram(df: DataFrame, col: str, by: str = S.TARGET, bins: int = 30) -> DataFrame:
     """``bins`` equal-width bins between each group's own min and max; empty
-    bins are reported with 0; a constant group gives a single bin."""
-    rng = df.where(F.col(col).isNotNull()).groupBy(by).agg(F.min(col).alias("mn"), F.max(col).alias("mx"))
+    bins are reported with 0; a constant group gives a single bin. A NULL group is a
+    group of its own, as in ``box_stats``."""
+    x = df.where(F.col(col).isNotNull()).select(F.struct(F.col(by).alias("by")).alias("_g"), F.col(col).alias("_v"))
+    rng = x.groupBy("_g").agg(F.min("_v").alias("mn"), F.max("_v").alias("mx"))
     rng = small_side(rng)  # so that rows are not shuffled on the few groups
     width = F.col("mx") - F.col("mn")
     nb = F.when(width == 0, F.lit(1)).otherwise(F.lit(bins))
     # one row per (group, bin): groups are few, bins fixed -> a bounded frame
-    grid = rng.select(by, "mn", "mx", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
-    x = df.where(F.col(col).isNotNull()).join(rng, by)
-    binned = x.select(by, F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col(col) - F.col("mn")) / width * bins), F.lit(bins - 1))).cast("int").alias("bin"))
-    counts = binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    grid = rng.select("_g", "mn", "mx", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
+    binned = x.join(rng, "_g").select("_g", F.when(width == 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("_v") - F.col("mn")) / width * bins), F.lit(bins - 1))).cast("int").alias("bin"))
+    counts = binned.groupBy("_g", "bin").agg(F.count(F.lit(1)).alias("n"))
     step = F.when(width == 0, F.lit(0.0)).otherwise(width / bins)
-    return grid.join(counts, [by, "bin"], "left").select(
-        by, "bin", (F.col("mn") + F.col("bin") * step).alias("bin_start"),
+    return grid.join(counts, ["_g", "bin"], "left").select(
+        F.col("_g.by").alias(by), "bin", (F.col("mn") + F.col("bin") * step).alias("bin_start"),
         F.when(width == 0, F.col("mx")).otherwise(F.col("mn") + (F.col("bin") + 1) * step).alias("bin_end"),
         F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -105,6 +107,68 @@ def mean_ci(df: DataFrame, col: str, by: str = S.TARGET, z: float = 1.96) -> Dat
     return g.select(by, "n", "mean", "sd", (F.col("mean") - z * se).alias("ci_low"), (F.col("mean") + z * se).alias("ci_high"))
 
 
+#: Replicates of the bootstrap, and the Poisson(1) probabilities of up to 0, 1, 2, ... draws, as
+#: whole numbers of 2**32.
+REPLICATES = 200
+POISSON_LIMITS = [math.floor(sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) * 2**32) for k in range(9)]
+
+
+def bootstrap_mean_ci(df: DataFrame, col: str, key: str, by: str = S.TARGET, replicates: int = REPLICATES,
+                      level: float = 0.95, seed: int = 42) -> DataFrame:
+    """Mean and percentile interval of the bootstrapped mean per group, in one pass.
+
+    In replicate r a row counts as often as a Poisson(1) draw says, taken from 32 bits of
+    md5(key-seed-r): the draws follow from the row, so retries and other partitionings give the
+    same interval. Partial sums of all replicates are columns of one aggregate, combined map-side;
+    what is shuffled is one row per (task, group). Limits are interpolated order statistics of
+    the replicate means, with md5 giving four replicates at a time. Rows with a NULL value or key
+    take no part; a NULL group is a group of its own; a replicate that draws no row is left out."""
+    x = df.where(F.col(col).isNotNull() & F.col(key).isNotNull()).select(
+        F.struct(F.col(by).alias("by")).alias("_g"), F.col(key).cast("string").alias("_k"), F.col(col).cast("double").alias("_v"))
+    blocks = math.ceil(replicates / 4)
+    digests = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: F.md5(F.concat("_k", F.lit(f"-{seed}-"), b.cast("string"))))
+    bits = F.flatten(F.transform(digests, lambda d: F.array(*[F.conv(F.substring(d, 8 * i + 1, 8), 16, 10).cast("long") for i in range(4)])))
+    draws = F.transform(bits, lambda u: sum((u >= F.lit(p)).cast("int") for p in POISSON_LIMITS))
+    x = x.select("_g", "_v", draws.alias("_d"))
+    sums = x.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"), *[
+        F.struct(F.sum(F.col("_d")[r] * F.col("_v")).alias("s"), F.sum(F.col("_d")[r]).alias("n")).alias(f"_r{r}") for r in range(replicates)])
+    means = F.array(*[F.try_divide(F.col(f"_r{r}.s"), F.col(f"_r{r}.n")) for r in range(replicates)])
+    means = F.array_sort(F.filter(means, lambda m: m.isNotNull()))
+    sums = sums.select(F.col("_g.by").alias(by), "n", "mean", means.alias("_m"))
+
+    def at(q: float):
+        place = (F.size("_m") - 1) * F.lit(q)
+        low = F.floor(place).cast("int")
+        first, second = F.get("_m", low), F.get("_m", F.least(low + 1, F.size("_m") - 1))
+        return first + (second - first) * (place - low)
+
+    return sums.select(by, "n", "mean", at((1 - level) / 2).alias("ci_low"), at((1 + level) / 2).alias("ci_high"))
+
+
+def point_sample(df: DataFrame, x: str, y: str, key: str, by: str = S.TARGET, most: int = 100, seed: int = 42) -> DataFrame:
+    """The raw points of a scatter plot: the ``most`` rows of each class with the smallest
+    md5(key-seed), all if fewer, each with the number of rows it stands for.
+
+    The k-th smallest digest of a class is found on a table of counts by digest prefix, so no
+    task ranks a whole class: prefixes below the one that holds the k-th row are kept whole, and
+    only that one's few rows are ranked. The sample of a union is the smallest of both samples, and
+    it does not depend on partitioning. Rows with a NULL coordinate or key take no part; rows that
+    share a key rank by their coordinates; a NULL class is a class of its own."""
+    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(key).isNotNull()).select(
+        F.struct(F.col(by).alias("by")).alias("_g"), F.col(key).alias("_k"), F.col(x).alias("_x"), F.col(y).alias("_y"),
+        F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}"))).alias("_h"))
+    rows = rows.withColumn("_p", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    counts = rows.groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_n"))  # at most 65,536 prefixes a class
+    before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    places = counts.select("_g", "_p", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                           F.sum("_n").over(Window.partitionBy("_g")).alias("_total")).where(F.col("_before") < most)
+    near = rows.join(small_side(places), ["_g", "_p"])
+    order = Window.partitionBy("_g", "_p").orderBy("_h", "_k", "_x", "_y")
+    kept = near.withColumn("_r", F.row_number().over(order) + F.col("_before")).where(F.col("_r") <= most)
+    return kept.select(F.col("_g.by").alias(by), F.col("_k").alias(key), F.col("_x").alias(x), F.col("_y").alias(y),
+                       (F.col("_total") / F.least(F.col("_total"), F.lit(most))).alias("weight"))
+
+
 def density_curve(df: DataFrame, col: str, by: str = S.TARGET, bins: int = 512, grid: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density per group (and overall, group -1), Scott's
     bandwidth ``sd * n^(-1/5)``, on ``grid`` points from min - cut*h to max + cut*h.

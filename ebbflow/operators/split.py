@@ -27,7 +27,7 @@ N_FOLDS = 5
 
 def hash_order(key: str | Column, seed: int = SEED) -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(k.cast("string"), F.lit(f"-{seed}")))
+    return F.md5(F.concat(F.coalesce(k.cast("string"), F.lit("")), F.lit(f"-{seed}")))
 
 
 def approximate_mode(counts: dict, n_draws: int) -> dict:
@@ -37,7 +37,7 @@ def approximate_mode(counts: dict, n_draws: int) -> dict:
     cont = {c: counts[c] * n_draws / total for c in counts}
     fl = {c: math.floor(v) for c, v in cont.items()}
     need = n_draws - sum(fl.values())
-    for c in sorted(counts, key=lambda c: (-(cont[c] - fl[c]), c))[:max(need, 0)]:
+    for c in sorted(counts, key=lambda c: (-(cont[c] - fl[c]), c is not None, c or 0))[:max(need, 0)]:
         fl[c] += 1
     return fl
 
@@ -55,7 +55,7 @@ def class_ranks(df: DataFrame, key: str = S.KEY, label: str = S.TARGET, seed: in
     h = df.withColumn("_h", hash_order(key, seed)).withColumn("_one", F.lit(1))
     bucket = F.conv(F.substring("_h", 1, 4), 16, 10).cast("int")
     # hash + key is unique among distinct keys; prefix_sums needs a unique order column
-    h = h.withColumn("_hk", F.concat("_h", F.lit(":"), F.col(key).cast("string")))
+    h = h.withColumn("_hk", F.concat("_h", F.lit(":"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     r = prefix_sums(h, "_hk", ["_one"], bucket, partition_cols=[label], suffix="_before")
     return r.withColumnRenamed("_one_before", "_rank").drop("_h", "_one", "_hk")
 
@@ -65,21 +65,25 @@ def split_assign(df: DataFrame, key: str = S.KEY, label: str = S.TARGET, seed: i
     """Add ``split`` ('train'/'test') and ``fold`` (0..n_folds-1 for train rows, NULL for test).
 
     Keys are assigned, not rows: all rows of one key (a customer with several billing
-    rows) lie on one side and in one fold. Train keys of a class are cut into ``n_folds`` consecutive hash-order
+    rows) lie on one side and in one fold. NULL labels are a class of their own, NULL keys one key. Train keys of a class are cut into ``n_folds`` consecutive hash-order
     ranges, so per-class fold sizes differ by at most one."""
     keys = df.select(key, label).distinct()
     counts = {r[label]: r["n"] for r in keys.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return df.withColumn("split", F.lit(None).cast("string")).withColumn("fold", F.lit(None).cast("int"))
     train, test = allocation(counts, test_size)
-    n_test = F.create_map(*[x for c in counts for x in (F.lit(c), F.lit(test[c]))])[F.col(label)]
-    n_train = F.create_map(*[x for c in counts for x in (F.lit(c), F.lit(train[c]))])[F.col(label)]
+    def of_class(sizes: dict):
+        known = {c: n for c, n in sizes.items() if c is not None}
+        found = F.create_map(*[x for c, n in known.items() for x in (F.lit(c), F.lit(n))])[F.col(label)] if known else F.lit(None).cast("int")
+        return F.when(F.col(label).isNull(), F.lit(sizes.get(None, 0))).otherwise(found)
+
+    n_test, n_train = of_class(test), of_class(train)
     r = class_ranks(keys, key, label, seed)
     is_test = F.col("_rank") < n_test
     fold = F.when(~is_test, F.floor((F.col("_rank") - n_test) * n_folds / n_train).cast("int"))
     r = r.select(F.col(key).alias("_key"), F.col(label).alias("_label"),
                  F.when(is_test, "test").otherwise("train").alias("split"), fold.alias("fold"))
-    return df.join(r, (F.col(key) == F.col("_key")) & (F.col(label) == F.col("_label"))).drop("_key", "_label")
+    return df.join(r, F.col(key).eqNullSafe(F.col("_key")) & F.col(label).eqNullSafe(F.col("_label"))).drop("_key", "_label")
 
 
 def scaling(src: DataFrame, cols: Sequence[str]) -> list[tuple[float, float]]:

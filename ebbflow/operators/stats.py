@@ -354,6 +354,8 @@ def prefix_sums(
     """Add ``<c><suffix>``: sum of ``c`` over rows of the same partition that come
     strictly before this row in ``order_col`` order (``descending`` flips it).
 
+    A NULL partition value is a partition of its own.
+
     ``order_col`` must be unique within a partition (aggregate first) and
     ``bucket`` a non-decreasing integer function of it, with a bounded range
     (e.g. ``floor(score * 65536)``): the bucket-total table has at most
@@ -361,8 +363,9 @@ def prefix_sums(
     With ``totals`` each row also gets ``<c>_total`` (the partition's sum), taken
     from the same small bucket table.
     """
-    parts = list(partition_cols)
-    x = df.withColumn("_bk", bucket)
+    # one struct key: it is never NULL, so a NULL partition value joins like any other
+    parts = ["_part"]
+    x = df.withColumn("_bk", bucket).withColumn("_part", F.struct(F.lit(0).alias("_"), *partition_cols))
     tot = x.groupBy(*parts, "_bk").agg(*[F.sum(c).alias(c) for c in sum_cols])
     border = F.col("_bk").desc() if descending else F.col("_bk").asc()
     wb = Window.partitionBy(*parts).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)

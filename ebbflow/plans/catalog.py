@@ -348,7 +348,20 @@ def mean_ci_by_class(spark, sf_dir):
 @register
 def density_curve(spark, sf_dir):
     d = EX.density_curve(churn.feature_table(spark, sf_dir), "average_charges")
-    return _r6(d.drop("density"))
+    fine = F.round(F.col("density").cast("decimal(38,18)"), 12).cast("double")  # a density per unit of money is small
+    return _r6(d.withColumn("density", fine), skip=("density",))
+
+
+@register
+def bootstrap_ci_by_class(spark, sf_dir):
+    """A14 as the reference draws it: the bootstrapped mean's interval, 200 replicates."""
+    return _r6(EX.bootstrap_mean_ci(churn.feature_table(spark, sf_dir), "monthly_charges", S.KEY))
+
+
+@register
+def scatter_sample(spark, sf_dir):
+    """Raw points of the scatter plot, 100 a class, with their weight."""
+    return _r6(EX.point_sample(churn.feature_table(spark, sf_dir), "average_charges", "monthly_charges", S.KEY))
 
 
 @register

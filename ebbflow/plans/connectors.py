@@ -4,14 +4,16 @@ folder, or names an absent input, and returns what is read back."""
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ebbflow import schemas as S
 from ebbflow.plans import churn
 from ebbflow.plans.catalog import _tables, evaluation_report, register
 from ebbflow.session import ensure_checkpoint_dir
 from ebbflow.sources import io
+from ebbflow.sources.managed import ManagedTable
 
 TABLE_SCHEMAS = {"customers": S.CUSTOMERS, "payments": S.PAYMENTS, "support_tickets": S.SUPPORT_TICKETS}
 
@@ -49,6 +51,37 @@ def append_counts(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("ticket_id").alias("n_tickets"))
 
 
+@register
+def repeatable_append(spark, sf_dir):
+    """The tickets put in a batch per severity. One batch first fails before its manifest
+    row, and one is put twice; each counts once."""
+    tickets = _tables(spark, sf_dir)["support_tickets"]
+    table = ManagedTable(spark, _folder(spark), tickets.schema)
+    table.stage(tickets.where(F.col("severity") == "High"))
+    for severity in ("Low", "Medium", "High", "Medium"):
+        table.put(severity, tickets.where(F.col("severity") == severity))
+    return table.read().groupBy("severity").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("ticket_id").alias("n_tickets"))
+
+
+@register
+def upsert_customers(spark, sf_dir):
+    """Two thirds of the customers arrive without a churn value, all of them a month later,
+    some moved; the second batch is run again another month later. Defaults, audit stamps and
+    a generated key as the database's schema asks for."""
+    schema = T.StructType([T.StructField("row_no", T.LongType()), *S.CUSTOMERS.fields])
+    table = ManagedTable(spark, _folder(spark), schema, key=S.KEY, surrogate="row_no",
+                         defaults={"senior_citizen": 0, "churn_value": 0}, n_parts=16)
+    rows = _tables(spark, sf_dir)["customers"]
+    number = F.col(S.KEY).cast("long")
+    table.upsert(rows.where(number % 3 != 0).drop("churn_value"), datetime(2026, 1, 1))
+    later = rows.withColumn("city", F.when(number % 5 == 0, "Moved").otherwise(F.col("city")))
+    table.upsert(later, datetime(2026, 2, 1))
+    table.upsert(later, datetime(2026, 3, 1))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return table.read().select("row_no", S.KEY, "city", "churn_value", text("created_at"), text("updated_at"))
+
+
 @register
 def ddl_tables(spark, sf_dir):
     """The three tables created by their DDL in a database of their own; the type and

@@ -331,6 +331,31 @@ SELECT churn_value, count(monthly_charges) AS n, CAST(round(CAST(avg(monthly_cha
   CAST(round(CAST(avg(monthly_charges) + 1.96 * stddev_samp(monthly_charges) / sqrt(count(monthly_charges)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS ci_high
 FROM feature_table GROUP BY churn_value"""
 
+def _bootstrap_sql() -> str:
+    from ebbflow.operators.explore import POISSON_LIMITS
+    r6 = lambda x: f"CAST(round(CAST({x} AS DECIMAL(38,12)), 6) AS DOUBLE)"
+    times = " + ".join(f"(u >= {p})::INTEGER" for p in POISSON_LIMITS)
+    return with_("feature_table", f"""
+x AS (SELECT churn_value AS g, customer_id AS k, monthly_charges::DOUBLE AS v FROM feature_table WHERE monthly_charges IS NOT NULL),
+u AS (SELECT g, v, b * 4 + i AS r, ('0x' || substr(md5(k::VARCHAR || '-42-' || b), 8 * i + 1, 8))::BIGINT AS u
+      FROM x, (SELECT unnest(range(50)) AS b), (SELECT unnest(range(4)) AS i)),
+m AS (SELECT g, r, sum(v * ({times})) / nullif(sum({times}), 0) AS m FROM u GROUP BY g, r),
+q AS (SELECT g, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM m GROUP BY g)""") + f"""
+SELECT x.g AS churn_value, count(*) AS n, {r6('avg(v)')} AS mean, {r6('any_value(lo)')} AS ci_low, {r6('any_value(hi)')} AS ci_high
+FROM x JOIN q ON x.g = q.g GROUP BY x.g"""
+
+
+ORACLE["bootstrap_ci_by_class"] = _bootstrap_sql()
+
+ORACLE["scatter_sample"] = with_("feature_table", """
+ranked AS (SELECT churn_value, customer_id, average_charges, monthly_charges, count(*) OVER (PARTITION BY churn_value) AS total,
+                  row_number() OVER (PARTITION BY churn_value ORDER BY md5(customer_id::VARCHAR || '-42'), customer_id, average_charges, monthly_charges) AS r
+           FROM feature_table WHERE average_charges IS NOT NULL AND monthly_charges IS NOT NULL)""") + """
+SELECT churn_value, customer_id, CAST(round(CAST(average_charges AS DECIMAL(38,12)), 6) AS DOUBLE) AS average_charges,
+  CAST(round(CAST(monthly_charges AS DECIMAL(38,12)), 6) AS DOUBLE) AS monthly_charges,
+  CAST(round(CAST(total / least(total, 100) AS DECIMAL(38,12)), 6) AS DOUBLE) AS weight
+FROM ranked WHERE r <= 100"""
+
 ORACLE["density_curve"] = with_("feature_table", """
 base AS (SELECT CAST(churn_value AS INTEGER) AS grp, average_charges AS v FROM feature_table WHERE average_charges IS NOT NULL
          UNION ALL SELECT -1, average_charges FROM feature_table WHERE average_charges IS NOT NULL),
@@ -346,6 +371,7 @@ contrib AS (
   FROM binned b JOIN st2 s ON b.grp = s.grp, (SELECT unnest(range(0, 200)) AS k) k)""") + """
 SELECT grp AS churn_value, CAST(k AS INTEGER) AS k,
   CAST(round(CAST(mn - 3.0 * h + k * ((mx + 3.0 * h) - (mn - 3.0 * h)) / 199 AS DECIMAL(38,12)), 6) AS DOUBLE) AS x,
+  CAST(round(CAST(sum(w) / (n * h * 2.5066282746310002) AS DECIMAL(38,18)), 12) AS DOUBLE) AS density,
   CAST(round(CAST(sum(w) / (n * h * 2.5066282746310002) * (mx - mn) AS DECIMAL(38,12)), 6) AS DOUBLE) AS density_scaled
 FROM contrib GROUP BY grp, k, n, h, mn, mx"""
 
@@ -718,6 +744,20 @@ ORACLE["append_counts"] = with_("fx") + """
 SELECT severity, count(*) AS n_rows, count(DISTINCT ticket_id) AS n_tickets FROM fx_tickets GROUP BY severity"""
 
 
+ORACLE["repeatable_append"] = ORACLE["append_counts"]
+
+ORACLE["upsert_customers"] = with_("fx", """
+x AS (SELECT customer_id, city, CASE WHEN customer_id % 5 = 0 THEN 'Moved' ELSE city END AS city2,
+             coalesce(churn_value, 0) AS churn_value, customer_id % 3 <> 0 AS first FROM fx_customers),
+y AS (SELECT *, first AND (city2 <> city OR churn_value <> 0) AS changed,
+             row_number() OVER (PARTITION BY first ORDER BY customer_id::VARCHAR) + CASE WHEN first THEN 0 ELSE (SELECT count(*) FROM x WHERE first) END AS n
+      FROM x)""") + """
+SELECT n AS row_no, customer_id::VARCHAR AS customer_id, city2 AS city, churn_value::INTEGER AS churn_value,
+  CASE WHEN first THEN '2026-01-01 00:00:00' ELSE '2026-02-01 00:00:00' END AS created_at,
+  CASE WHEN first AND NOT changed THEN '2026-01-01 00:00:00' ELSE '2026-02-01 00:00:00' END AS updated_at
+FROM y"""
+
+
 def _ddl_sql() -> str:
     parts = []
     for name, view, schema in (("customers", "fx_customers", S.CUSTOMERS), ("payments", "fx_payments", S.PAYMENTS),

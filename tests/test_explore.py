@@ -42,3 +42,55 @@ def test_histogram_and_density_do_not_depend_on_the_broadcast(spark, monkeypatch
     assert few[0] == many[0] and len(few[1]) == len(many[1]) == 800
     for a, b in zip(few[1], many[1]):  # sums in another order
         assert tuple(a) == pytest.approx(tuple(b), rel=1e-9)
+
+
+def _points(spark):
+    rows = [(i, None if i % 7 == 0 else i % 2, None if i % 11 == 0 else float(i % 50), float(i)) for i in range(700)]
+    return spark.createDataFrame(rows, "id long, g int, x double, y double")
+
+
+def test_bootstrap_equals_plain_draws_and_keeps_the_null_group(spark):
+    import hashlib
+
+    import numpy as np
+    from ebbflow.operators.explore import POISSON_LIMITS, bootstrap_mean_ci
+    df = _points(spark)
+    got = {r["g"]: r for r in bootstrap_mean_ci(df.repartition(5), "x", "id", by="g", replicates=30).collect()}
+    assert set(got) == {None, 0, 1}
+    rows = df.collect()
+    for g, r in got.items():
+        own = [x for x in rows if x["g"] == g and x["x"] is not None]
+        v = np.array([x["x"] for x in own])
+        means = []
+        for k in range(30):
+            u = [int(hashlib.md5(f"{x['id']}-42-{k // 4}".encode()).hexdigest()[8 * (k % 4):8 * (k % 4) + 8], 16) for x in own]
+            n = np.searchsorted(POISSON_LIMITS, u, side="right")
+            means.append((n * v).sum() / n.sum())
+        assert abs(r["mean"] - v.mean()) < 1e-9 and r["n"] == len(own)
+        assert np.allclose([r["ci_low"], r["ci_high"]], np.quantile(means, [0.025, 0.975]))
+        half = 1.96 * v.std(ddof=1) / len(v) ** 0.5
+        assert 0.5 * half < (r["ci_high"] - r["ci_low"]) / 2 < 1.5 * half
+    assert bootstrap_mean_ci(df.limit(0), "x", "id", by="g").count() == 0
+
+
+def test_point_sample_is_the_smallest_digests(spark):
+    import hashlib
+
+    from ebbflow.operators.explore import point_sample
+    df = _points(spark)
+    got = {}
+    for r in point_sample(df.repartition(4), "x", "y", "id", by="g", most=40).collect():
+        got.setdefault(r["g"], {})[r["id"]] = r["weight"]
+    rows = [r for r in df.collect() if r["x"] is not None]
+    for g in (None, 0, 1):
+        own = sorted((r["id"] for r in rows if r["g"] == g), key=lambda i: hashlib.md5(f"{i}-42".encode()).hexdigest())
+        assert set(got[g]) == set(own[:40]) and abs(sum(got[g].values()) - len(own)) < 1e-6
+    assert point_sample(df, "x", "y", "id", by="g", most=1000).count() == len(rows)
+    assert point_sample(df.limit(0), "x", "y", "id", by="g").count() == 0
+
+
+def test_histogram_keeps_the_null_group(spark):
+    from ebbflow.operators.explore import histogram
+    df = _points(spark)
+    sums = {r["g"]: r["n"] for r in histogram(df, "x", by="g").groupBy("g").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
+    assert sums == {r["g"]: r["count"] for r in df.where("x is not null").groupBy("g").count().collect()} and None in sums

@@ -65,3 +65,25 @@ def test_allocation_properties():
         assert all(train[c] + test[c] == counts[c] for c in counts)
 
     check()
+
+
+def test_null_labels_and_keys_are_kept(spark):
+    from ebbflow.operators.split import split_assign
+    rows = [(i, None if i % 10 == 0 else i % 2) for i in range(200)] + [(None, 1), (None, 1), (None, None)]
+    got = split_assign(spark.createDataFrame(rows, "k long, y int"), key="k", label="y").collect()
+    assert len(got) == len(rows) and all(r["split"] for r in got)
+    for y in (None, 0, 1):
+        own = [r for r in got if r["y"] == y]
+        assert 0.15 < sum(r["split"] == "test" for r in own) / len(own) < 0.3
+        assert {r["fold"] for r in own if r["split"] == "train"} == set(range(5))
+
+
+def test_null_groups_in_prefix_sums(spark):
+    from ebbflow.operators.evaluate import roc_auc
+    rows = [(i, None if i % 4 == 0 else "a", i % 2 if i % 3 else 1, i / 100) for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, g string, label int, probability double")
+    got = {r["g"]: r["roc_auc"] for r in roc_auc(df, by=["g"]).collect()}
+    assert set(got) == {None, "a"}
+    own = [(r[2], r[3]) for r in rows if r[1] is None]
+    pos, neg = [p for y, p in own if y], [p for y, p in own if not y]
+    assert abs(got[None] - sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))) < 1e-9
