@@ -22,8 +22,10 @@ streams n_pay: a hot key's rows pass through one by one, nothing is buffered
 per key, and customers without payments are emitted from the build side. The
 per-customer ticket count (one row per key) is joined last, again as the
 non-streamed side. One shuffle per input. The build side holds one shuffle
-partition of customers in memory: keep shuffle partitions moderate (AQE's
-advisory size 64-128 MB) or pass ``hash_build_customers=False``.
+partition of customers in memory and cannot spill, so the hash join is asked for
+only if the planner's size of customers, spread over the shuffle partitions, is at
+most ``HASH_BUILD_BYTES`` each; beyond that the planner chooses (sort-merge, which
+spills).
 """
 
 from __future__ import annotations
@@ -32,9 +34,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+#: Bytes of customers that one task of the hash join may hold.
+HASH_BUILD_BYTES = 64 << 20
+
 BILLING_COLUMNS = ("monthly_charges", "total_charges", "payment_method", "paperless_billing")
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a frame's size; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def small_per_task(df: DataFrame, most: int | None = None) -> bool:
+    """Whether a shuffle partition of ``df`` is planned to hold at most ``most`` bytes."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return planned_bytes(df) <= (HASH_BUILD_BYTES if most is None else most) * partitions
+
+
 def features_base(
     customers: DataFrame,
     payments: DataFrame,
@@ -42,10 +58,13 @@ def features_base(
     billing: Sequence[str] = BILLING_COLUMNS,
     key: str = "customer_id",
     count_col: str = "support_ticket_count",
-    hash_build_customers: bool = True,
+    hash_build_customers: bool | None = None,
 ) -> DataFrame:
     """``hash_build_customers=False`` leaves the join strategy to the planner
-    (sort-merge: the hot key's payment rows are then buffered per key, spillable)."""
+    (sort-merge: the hot key's payment rows are then buffered per key, spillable);
+    by default customers are sized first."""
+    if hash_build_customers is None:
+        hash_build_customers = small_per_task(customers)
     billing = list(billing)
     n_pay = payments.groupBy(key, *billing).agg(F.count(F.lit(1)).alias("_n_pay"))
     n_tick = tickets.groupBy(key).agg(F.count("ticket_id").alias("_n_tick"))

@@ -615,6 +615,57 @@ def stream_rejected(spark, sf_dir):
     return op(spark, sf_dir)
 
 
+@register
+def model_input(spark, sf_dir):
+    """The feature columns that models read, in model order, with label, split and fold."""
+    from ebbflow.operators.models import prepare
+    return _r6(prepare(churn.split_table(spark, sf_dir)))
+
+
+@register
+def saved_model_scores(spark, sf_dir):
+    """The logistic model fitted, saved, loaded, and applied to the test rows."""
+    import uuid
+    from ebbflow.operators import compare, linear
+    from ebbflow.session import ensure_checkpoint_dir
+    split, cols = churn.split_table(spark, sf_dir), list(S.FEATURE_COLUMNS)
+    blocks = linear.blocks_of(compare.rows_of(split, cols), cols)
+    fit, = linear.make_fits([("logistic", 10.0)], [None], blocks, len(cols))
+    linear.newton(blocks, [fit])
+    path = f"{ensure_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    linear.LinearModel(cols, fit).save(spark, path)
+    rows = linear.LinearModel.load(spark, path).predict(split.where(F.col("split") == "test"), S.KEY)
+    return _r6(rows.select(F.col("id").alias(S.KEY), "probability", "prediction"))
+
+
+@register
+def dated_features(spark, sf_dir):
+    """The feature table written under its run date (the last event's day) and read back."""
+    import uuid
+    from ebbflow.session import ensure_checkpoint_dir
+    from ebbflow.sources import io
+    from ebbflow.sources.tables import read_table
+    day = read_table(spark, sf_dir, "events").agg(F.to_date(F.max("ts"))).first()[0]
+    path = f"{ensure_checkpoint_dir(spark)}/features-{uuid.uuid4().hex}"
+    io.write_table(churn.feature_table(spark, sf_dir).withColumn("run_date", F.lit(day)), path, partition_by=["run_date"])
+    return spark.read.parquet(path).where(F.col("run_date") == F.lit(day)).select(S.KEY, S.TARGET, "run_date")
+
+
+@register
+def batch_gate(spark, sf_dir):
+    """Q6: the tickets of each severity as a batch, and a batch without rows, which is refused."""
+    from ebbflow.operators.quality import assert_not_empty
+    tickets, out = _tables(spark, sf_dir)["support_tickets"], []
+    for severity in ("Low", "Medium", "High", "Urgent"):
+        batch = tickets.where(F.col("severity") == severity)
+        try:
+            assert_not_empty(batch)
+            out.append((severity, batch.count(), "accepted"))
+        except ValueError as e:
+            out.append((severity, 0, str(e)))
+    return spark.createDataFrame(out, "severity string, n_rows long, status string")
+
+
 @register
 def train_models(spark, sf_dir):
     """All seven families at their published best configurations, on five folds and on all

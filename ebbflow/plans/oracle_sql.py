@@ -469,7 +469,7 @@ ORACLE["class_weights"] = with_("feature_table", SPLIT) + """
 SELECT churn_value, count(*) AS n_class, CAST(round(CAST(sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS weight
 FROM split_table WHERE split = 'train' GROUP BY churn_value"""
 
-def _logistic_sql(c: float = 10.0, steps: int = 10) -> str:
+def _logistic_sql(c: float = 10.0, steps: int = 10, scores: bool = False) -> str:
     """Newton's method written out step by step: the normal equations of each step are summed
     over all pairs of columns and solved by Gauss-Jordan elimination on a list of lists."""
     cols = S.FEATURE_COLUMNS
@@ -496,6 +496,10 @@ def _logistic_sql(c: float = 10.0, steps: int = 10) -> str:
             f"""s{t} AS (SELECT list_reduce(list_prepend(q, list_transform(range(1, {d + 1}), lambda kk: [[kk::DOUBLE]])),
                lambda mm, kk: {eliminate}) AS m FROM q{t})""",
             f"b{t} AS MATERIALIZED (SELECT list_transform(b, lambda vv, ii: vv - m[ii][{d + 1}]) AS b FROM b{t - 1}, s{t})"]
+    if scores:
+        return with_("feature_table", SPLIT, *ctes) + f"""
+SELECT customer_id, CAST(round(CAST(p AS DECIMAL(38,12)), 6) AS DOUBLE) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction
+FROM (SELECT x.customer_id, 1 / (1 + exp(-list_dot_product([{z}, 1.0]::DOUBLE[], b))) AS p FROM split_table x, st s, b{steps} WHERE x.split = 'test')"""
     names = ", ".join(f"'{c}'" for c in [*cols, "intercept"])
     return with_("feature_table", SPLIT, *ctes) + f"""
 SELECT feature, CAST(round(CAST(coefficient AS DECIMAL(38,12)), 6) AS DOUBLE) AS coefficient
@@ -503,6 +507,14 @@ FROM (SELECT unnest([{names}]) AS feature, unnest(b) AS coefficient FROM b{steps
 
 
 ORACLE["logistic_coefficients"] = _logistic_sql()
+ORACLE["saved_model_scores"] = _logistic_sql(scores=True)
+_DOUBLES = ", ".join(f"CAST(round(CAST({c} AS DECIMAL(38,12)), 6) AS DOUBLE) AS {c}" for c in S.FEATURE_COLUMNS)
+ORACLE["model_input"] = with_("feature_table", SPLIT) + f"SELECT customer_id, {_DOUBLES}, churn_value::DOUBLE AS label, split, fold FROM split_table"
+ORACLE["dated_features"] = with_("feature_table") + \
+    "SELECT customer_id, churn_value, (SELECT CAST(max(ts) AS DATE) FROM events) AS run_date FROM feature_table"
+ORACLE["batch_gate"] = with_("fx") + """
+SELECT v.severity, count(t.ticket_id) AS n_rows, CASE WHEN count(t.ticket_id) = 0 THEN 'No customers provided.' ELSE 'accepted' END AS status
+FROM (VALUES ('Low'), ('Medium'), ('High'), ('Urgent')) v(severity) LEFT JOIN fx_tickets t ON t.severity = v.severity GROUP BY v.severity"""
 
 # --- evaluation --------------------------------------------------------------------------
 

@@ -57,7 +57,10 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scoring_stream(spark: SparkSession, sf_dir: str) -> str:
-    """Run the scoring stream over all customers' raw rows; the folder of its sinks."""
+    """Run the scoring stream over all customers' raw rows, once per run and input; the folder of its sinks."""
+    key = churn._key(spark, sf_dir, "stream")
+    if key in churn._TABLES:
+        return churn._TABLES[key]
     from ebbflow.operators.scoring import BATCH_SCORER
     from ebbflow.streaming.score_stream import start_scoring_stream
     root = f"{ensure_checkpoint_dir(spark)}/ebbflow-stream-{uuid.uuid4().hex}"
@@ -68,6 +71,7 @@ def _scoring_stream(spark: SparkSession, sf_dir: str) -> str:
     q = start_scoring_stream(spark, f"{root}/landing", schema, params, BATCH_SCORER,
                              f"{root}/scored", f"{root}/rejected", f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
+    churn._TABLES[key] = root
     return root
 
 

@@ -42,3 +42,13 @@ def test_auc_has_no_global_sort(cluster_like):
     # single-partition steps: the bucket-total window (small table) and the final global aggregate
     assert plan.count("Exchange SinglePartition") <= 2
     assert "rangepartitioning" not in plan
+
+
+def test_hash_build_is_sized_first(spark, monkeypatch):
+    from ebbflow.operators import join
+    from ebbflow.plans import churn
+    tables = churn.source_tables(spark, SF_MID)
+    plan = lambda: join.features_base(*tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert join.small_per_task(tables[0]) and "strategy=shuffle_hash" in plan()
+    monkeypatch.setattr(join, "HASH_BUILD_BYTES", 10)
+    assert not join.small_per_task(tables[0]) and "shuffle_hash" not in plan()
