@@ -1,10 +1,11 @@
 """Packing: non-negative least squares over a histogram of lengths.
 
 Every document's ids are cut into full windows and a rest shorter than the window.
-For the rests, shallow combinations of lengths that exactly fill a window (pairs, and a
-fixed selection of triples) are enumerated, and repeat counts x >= 0 minimise
-|A x - histogram|^2. The counts are rounded, largest first, within what the histogram
-still holds. What remains is packed greedily: rests laid end to end, longest first,
+For the rests, all combinations of two or three lengths that exactly fill a window are
+enumerated, and repeat counts x >= 0 minimise |A x - histogram|^2. An active-set solver
+ends on the optimality conditions with at most one positive count for each length, so
+rounding keeps nearly all of them. The counts are rounded, largest first, within what the
+histogram still holds. What remains is packed greedily: rests laid end to end, longest first,
 into open windows and cut where a window ends. Only the last window is padded.
 
 The driver sees the histogram (one number per length below the window) and the plan
@@ -29,52 +30,81 @@ from ebbflow.llm.arrow_text import sliced, text_array
 from ebbflow.llm.store import write_once
 from ebbflow.llm.tokens import SLICE_BYTES, shared_encoder, tokenizer_path
 
-#: One triple in this many is enumerated; every length keeps dozens of partners.
-TRIPLE_STRIDE = 16
-NNLS_ROUNDS = 600
+#: Combinations that enter the active set together at most.
+TOGETHER = 128
+#: A combination's gradient below this share of the largest count is zero.
+ZERO = 1e-9
 
 
 def combinations_filling(window: int, present: np.ndarray) -> np.ndarray:
-    """Pairs and selected triples of present lengths that sum to ``window``; unused places are 0."""
+    """Pairs and triples of present lengths that sum to ``window``; unused places are 0."""
     a = np.arange(1, window // 2 + 1)
     pairs = np.column_stack([np.zeros_like(a), a, window - a])
     x, y = np.meshgrid(np.arange(1, window), np.arange(1, window), indexing="ij")
     z = window - x - y
-    fit = (x <= y) & (y <= z) & ((x + 3 * y) % TRIPLE_STRIDE == 0)
+    fit = (x <= y) & (y <= z)
     rows = np.concatenate([pairs, np.column_stack([x[fit], y[fit], z[fit]])])
     known = present.copy()
     known[0] = True
     return rows[known[rows].all(axis=1)]
 
 
-def nnls(rows: np.ndarray, target: np.ndarray, rounds: int = NNLS_ROUNDS) -> np.ndarray:
+def nnls(rows: np.ndarray, target: np.ndarray) -> np.ndarray:
     """x >= 0 that minimises |A x - target|^2, where column c of A counts the lengths of
-    ``rows[c]`` (place 0 is no length): accelerated projected gradient."""
-    used = np.where(rows > 0, 1.0, 0.0)
+    ``rows[c]`` (place 0 is no length).
 
-    def times(x):
-        return np.bincount(rows.ravel(), (used * x[:, None]).ravel(), minlength=len(target))
-
-    def back(r):
-        return (r[rows] * used).sum(axis=1)
-
-    x = np.zeros(len(rows))
-    if not len(rows):
-        return x
-    v = np.ones(len(rows))
-    for _ in range(30):  # largest eigenvalue of A'A bounds the step
-        w = back(times(v))
-        v = w / np.linalg.norm(w)
-    step = 0.95 / np.linalg.norm(back(times(v)))
-    y, t = x, 1.0
-    for _ in range(rounds):
-        new = np.maximum(0.0, y - step * back(times(y) - target))
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        if (y - new) @ (new - x) > 0:  # restart when momentum points uphill
-            t_new = 1.0
-        y = new + (t - 1) / t_new * (new - x)
-        x, t = new, t_new
-    return x
+    Active set: the combinations with the steepest gradients that share no length join the
+    set, the least squares problem on the set is solved, and combinations that come out
+    without a positive count leave it. While that lowers the residual several join at once;
+    in the end one at a time, with steps that stay feasible, until no gradient is positive."""
+    n = len(target)
+    used = np.where(rows > 0, 1.0, 0.0)
+    target = np.where(np.arange(n) > 0, target, 0.0)
+
+    def columns(chosen: np.ndarray) -> np.ndarray:
+        a = np.zeros((n, len(chosen)))
+        for place in range(rows.shape[1]):
+            np.add.at(a, (rows[chosen, place], np.arange(len(chosen))), used[chosen, place])
+        return a
+
+    def solved(chosen: np.ndarray) -> np.ndarray:
+        a = columns(chosen)
+        return np.linalg.solve(a.T @ a + 1e-10 * np.eye(len(chosen)), a.T @ target)
+
+    chosen, x, rest, together = np.zeros(0, np.int64), np.zeros(0), target, TOGETHER
+    while together and len(rows):
+        gradient = (rest[rows] * used).sum(axis=1)
+        gradient[chosen] = -np.inf
+        free, new = np.ones(n, bool), []
+        steep = np.flatnonzero(gradient > ZERO * target.max())
+        for c in steep[np.argsort(-gradient[steep], kind="stable")]:
+            lengths = rows[c][rows[c] > 0]
+            if free[lengths].all():
+                free[lengths] = False
+                new.append(c)
+                if len(new) == together:
+                    break
+        if not new:
+            break
+        trial, y = np.concatenate([chosen, new]).astype(np.int64), np.concatenate([x, np.zeros(len(new))])
+        while True:
+            z = solved(trial)
+            bad = z <= 0
+            if not bad.any():
+                y = z
+                break
+            if together == 1:  # as far as the first count that reaches zero
+                y = y + np.min(y[bad] / np.maximum(y[bad] - z[bad], 1e-300)) * (z - y)
+                bad &= y <= 1e-12
+            trial, y = trial[~bad], y[~bad]
+        left = target - columns(trial) @ y
+        if np.linalg.norm(left) < np.linalg.norm(rest) * (1 - 1e-12):
+            chosen, x, rest = trial, y, left
+        else:
+            together = together // 4 or int(together > 1)
+    out = np.zeros(len(rows))
+    out[chosen] = x
+    return out
 
 
 @dataclass
@@ -138,9 +168,15 @@ def make_plan(histogram: np.ndarray, window: int) -> Plan:
                 planned, after, n_pattern, -(-int(sizes.sum()) // window))
 
 
+def id_bytes(encoder) -> int:
+    """Bytes of an id in the written table."""
+    return 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
+
+
 def tokenised(docs: DataFrame, tokenizer: str, kind: str, end_id: int, window: int) -> DataFrame:
     """doc_id, part, n_tokens, rest, rank (of the rest among those of its length in the
-    partition), windows_before (full windows before it there) and ids, 16 or 32 bits each."""
+    partition), windows_before (full windows before it there) and ids, 16 bits each if the
+    vocabulary allows it, else 32."""
     vocabulary = tokenizer_path(tokenizer)
 
     def run(batches):
@@ -161,7 +197,10 @@ def tokenised(docs: DataFrame, tokenizer: str, kind: str, end_id: int, window: i
             full = n // window
             before = windows + np.cumsum(full) - full
             windows += int(full.sum())
-            raw = [np.append(ids[a:b], end_id).astype("<u4").tobytes() for a, b in zip(at[:-1], at[1:])]
+            size = id_bytes(encoder)
+            flat = np.asarray(ids).astype(f"<u{size}").tobytes()
+            end = int(end_id).to_bytes(size, "little")
+            raw = [flat[size * a:size * b] + end for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": piece.column("doc_id"), "part": pa.array(np.full(len(n), part, np.int32)),
                 "n_tokens": pa.array(n), "rest": pa.array(rest.astype(np.int32)), "rank": pa.array(rank),
@@ -191,8 +230,11 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", kind: str = "byt
     parts = counts.groupBy("part").agg(F.sum("full").alias("full"))  # one row per written partition
     parts = parts.select("part", F.coalesce(F.sum("full").over(earlier), F.lit(0)).alias("full_before"))
     shifts = counts.select("part", "rest", F.coalesce(F.sum("n").over(by_rest), F.lit(0)).alias("rank_before"))
-    placed = table.join(shifts.join(parts, "part"), ["part", "rest"]).select(
-        "doc_id", "n_tokens", "rest", (F.col("rank") + F.col("rank_before")).alias("rank"),
+    # One row per written partition, with an array of its shifts by length.
+    shifts = shifts.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("rest", "rank_before"))).alias("by_rest"))
+    shifts = shifts.select("part", F.transform(F.sequence(F.lit(0), F.lit(window - 1)), lambda i: F.coalesce(F.try_element_at("by_rest", i), F.lit(0))).alias("shift"))
+    placed = table.join(shifts.join(parts, "part"), "part").select(
+        "doc_id", "n_tokens", "rest", (F.col("rank") + F.element_at("shift", F.col("rest") + 1)).alias("rank"),
         (F.col("windows_before") + F.col("full_before") + first_full).alias("first_window"), "ids")
 
     def run(batches):
@@ -203,6 +245,8 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", kind: str = "byt
             for k, raw in enumerate(batch.column("ids")):
                 raw = raw.as_buffer().to_pybytes()
                 n, rest = cols["n_tokens"][k], cols["rest"][k]
+                if len(raw) == 2 * n:
+                    raw = np.frombuffer(raw, "<u2").astype("<u4").tobytes()
                 pieces = [(j * window, window, cols["first_window"][k] + j, 0) for j in range(n // window)]
                 if rest:
                     pieces += [(n - rest + s, m, q, o) for s, m, q, o in plan.place(rest, cols["rank"][k])]

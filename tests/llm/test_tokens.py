@@ -111,7 +111,7 @@ def test_plan_uses_patterns_and_places_every_rest_once():
 def test_nnls_reaches_the_optimum():
     rows = np.array([[0, 1, 3], [0, 2, 2], [1, 1, 2]])
     target = np.array([0, 5.0, 4.0, 3.0])
-    x = NP.nnls(rows, target, rounds=3000)
+    x = NP.nnls(rows, target)
     a = np.zeros((4, 3))
     for c, row in enumerate(rows):
         for v in row:
@@ -129,3 +129,26 @@ def test_added_tokens_as_the_library_reads_them(kind, name):
     library = Tokenizer.from_file(TK.tokenizer_path(name))
     for k, text in enumerate(texts):
         assert ids[at[k]:at[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_counts_meet_the_optimality_conditions():
+    """Of all two- and three-part fills: no gradient is positive, and that of a counted fill is zero."""
+    rnd = np.random.default_rng(4)
+    for window, n in ((12, 40), (40, 300), (64, 50), (200, 3000)):
+        histogram = np.bincount(rnd.integers(1, window, n), minlength=window)
+        histogram[rnd.integers(1, window)] += n  # one length holds half of all rests
+        rows = NP.combinations_filling(window, histogram > 0)
+        every = [(a, b, window - a - b) for a in range(window) for b in range(a, window) if b and b <= window - a - b]
+        assert sorted(map(tuple, rows)) == sorted(t for t in every if all(v == 0 or histogram[v] for v in t))
+        x = NP.nnls(rows, histogram.astype(float))
+        rest = histogram - np.array([sum(x[c] * (rows[c] == v).sum() for c in range(len(rows)) if v in rows[c]) if v else 0 for v in range(window)])
+        gradient = np.array([sum(rest[v] for v in r if v) for r in rows])
+        assert (x >= 0).all() and gradient.max(initial=-1) < 1e-6 * histogram.max() and np.abs(gradient[x > 0]).max(initial=0) < 1e-5
+        assert (x > 0).sum() < window
+    assert NP.nnls(NP.combinations_filling(8, np.zeros(8, bool)), np.zeros(8)).tolist() == []
+
+
+def test_most_rests_are_planned():
+    histogram = np.bincount(np.random.default_rng(5).integers(1, 1024, 10_000), minlength=1024)
+    plan = NP.make_plan(histogram, 1024)
+    assert plan.planned.sum() > 0.9 * histogram.sum()
