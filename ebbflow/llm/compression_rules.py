@@ -45,6 +45,11 @@ class Bands:
     chunk: int = 2048
     chunk_lo: float = 1.4
     chunk_hi: float = 3.2
+    # Texts under ``chunk`` bytes but of ``short_from`` are cut finer, with limits of their own.
+    short_from: int = 1024
+    short_chunk: int = 512
+    short_lo: float = 1.25
+    short_hi: float = 2.7
     bad_chunk_share: float = 0.1
     level: int = 3
     min_words: int = 10
@@ -96,21 +101,21 @@ def in_band(ratio: float, n_bytes: int, bands: Bands) -> bool:
 
 
 def compression(raw: bytes, compressor, bands: Bands) -> tuple[float, int, int]:
-    """(ratio of the whole text, number of chunks, chunks outside their limits). The last chunk
-    is the last ``chunk`` bytes, so every byte is judged; a shorter text is one chunk with the
-    limits of its length band."""
+    """(ratio of the whole text, number of chunks, chunks outside their limits). Texts are cut
+    into chunks of ``chunk`` bytes, shorter ones of ``short_chunk``; the last chunk is the last
+    bytes of the text, so every byte is judged. A text under ``short_from`` is one chunk with
+    the limits of its length band."""
     if not raw:
         return 0.0, 0, 0
     ratio = len(raw) / len(compressor.compress(raw))
-    if len(raw) < bands.chunk:
+    if len(raw) < min(bands.short_from, bands.chunk):
         return ratio, 1, int(not in_band(ratio, len(raw), bands))
-    starts = [*range(0, len(raw) - bands.chunk + 1, bands.chunk)]
-    if len(raw) % bands.chunk:
-        starts.append(len(raw) - bands.chunk)
-    bad = 0
-    for k in starts:
-        part = raw[k:k + bands.chunk]
-        bad += not bands.chunk_lo <= bands.chunk / len(compressor.compress(part)) <= bands.chunk_hi
+    long = len(raw) >= bands.chunk
+    size, lo, hi = (bands.chunk, bands.chunk_lo, bands.chunk_hi) if long else (bands.short_chunk, bands.short_lo, bands.short_hi)
+    starts = [*range(0, len(raw) - size + 1, size)]
+    if len(raw) % size:
+        starts.append(len(raw) - size)
+    bad = sum(not lo <= size / len(compressor.compress(raw[k:k + size])) <= hi for k in starts)
     return ratio, len(starts), bad
 
 

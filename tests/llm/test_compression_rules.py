@@ -25,6 +25,9 @@ def plain(text, bands=CR.Bands()):
     ratio = len(raw) / len(z.compress(raw)) if raw else 0.0
     parts = [raw[i:i + bands.chunk] for i in range(0, len(raw) - bands.chunk + 1, bands.chunk)]
     bad = sum(not bands.chunk_lo <= len(p) / len(z.compress(p)) <= bands.chunk_hi for p in parts)
+    if 1024 <= len(raw) < bands.chunk:
+        parts = [raw[i:i + 512] for i in range(0, len(raw) - 511, 512)] + [raw[-512:]] * (len(raw) % 512 > 0)
+        bad = sum(not 1.25 <= 512 / len(z.compress(p)) <= 2.7 for p in parts)
     band = sum(len(raw) >= b for b in bands.upto)
     failed = len(words) < 10 or 100 * len(inside) > 20 * len(words)
     kept = not failed and bands.lo[band] <= ratio <= bands.hi[band] and bad <= bands.bad_chunk_share * len(parts)
@@ -78,3 +81,17 @@ def test_junk_counts_wherever_it_stands(spark, corpus):
     df = spark.createDataFrame([(1, prose + " " + noise), (2, noise + " " + prose), (3, prose), (4, prose[:900])], "doc_id long, text string")
     got = {r.doc_id: (r.kept, r.n_chunks, r.n_bad_chunks) for r in CR.score(df).collect()}
     assert got == {1: (False, 2, 1), 2: (False, 2, 1), 3: (True, 2, 0), 4: (True, 1, 0)}
+
+
+def test_mixtures_in_short_texts(spark, corpus):
+    import base64
+    import random
+    prose = max((r.text for r in corpus.where("doc_id % 10 = 0").collect() if len(set(r.text.split())) > 300), key=len)
+    rows = []
+    for k, (n, m) in enumerate([(700, 1200), (900, 900), (1000, 900), (1900, 0), (1100, 0)]):
+        noise = base64.b64encode(random.Random(k).randbytes(m)).decode()
+        noise = " ".join(noise[i:i + 7] for i in range(0, len(noise), 7))[:m]
+        good = prose.encode()[:n].decode(errors="ignore")
+        rows += [(2 * k, good + " " + noise), (2 * k + 1, noise + " " + good)]
+    kept = {r.doc_id: r.kept for r in CR.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {k: k >= 6 for k in range(10)}
