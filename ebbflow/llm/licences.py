@@ -3,7 +3,8 @@
 Texts are reduced to a canonical form: lower case, copyright lines (with a year, a sign or a
 holder) dropped, equivalent spellings replaced, punctuation and white space reduced to single spaces. Its SHA-256 is
 hash-joined to the digests of known licences. Looked up are the whole text of a document and
-each of its lines (licence notices stand on a line of their own). Known are the full standard texts
+each of its lines (licence notices stand on a line of their own). A text that holds copyright
+lines of its own (the GNU family does) is known with its lines as published; any other may be wrapped anew. Known are the full standard texts
 (``licence_texts`` and ``SHORT``) with and without their titles, and with and without what
 follows "END OF TERMS AND CONDITIONS".
 
@@ -150,17 +151,21 @@ def markers_of(known, first=("licen", "permission")) -> tuple[str, ...]:
 
 MARKERS = markers_of(KNOWN)
 
-#: Lines that state a copyright, whole: the word with a year, a sign, a placeholder or a holder, but
-#: not a line of a licence that was wrapped before "copyright holders" or the like.
-COPYRIGHT_LINE = (r"(?m)^[ \t\W]*(copyright\b(?![ \t]+(holders?|owners?|notices?|licen[cs]\w+|laws?|statements?|and|or)\b)"
-                  r"(?=[^\n]*(\b(19|20)\d\d\b|\(c\)|©|[\[<{][ \t]*(yyyy|year|name|owner)|all rights reserved"
-                  r"|\b(authors|contributors|developers|inc|llc|ltd|gmbh|foundation|university)\W*$)|[ \t]+(by|the)\b)"
-                  r"|\(c\)|©|all rights reserved\b)[^\n]*$")
+#: "copyright" before these words does not state one; it is set aside while copyright lines are dropped.
+NOT_STATED = r"\bcopyright([ \t]+(holders?|owners?|notices?|licen[cs]\w+|laws?|statements?|and|or)\b)"
+ASIDE = "copyrightaside"
+#: Lines that state a copyright, whole: the word with a year, a sign, a placeholder, an address or a
+#: holder, or those alone. No pattern looks ahead, so other engines read it the same way.
+COPYRIGHT_LINE = (r"(?m)^[ \t\W]*(copyright\b([^\n]*(\b(19|20)\d\d\b|\(c\)|©|[\[<{][ \t]*(yyyy|year|name|owner)|all rights reserved"
+                  r"|[^ \t\n]@[^ \t\n])[^\n]*|[^\n]*\b(authors|contributors|developers|inc|llc|ltd|gmbh|foundation|university)\W*"
+                  r"|[ \t]+by\b[^\n]*)|\(c\)[^\n]*|©[^\n]*|all rights reserved\b[^\n]*)$")
 
 
 def canonical(text: Column) -> Column:
     """Canonical form of a text column; see the module text."""
-    t = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
+    t = F.regexp_replace(F.regexp_replace(F.lower(text), "\r", ""), NOT_STATED, ASIDE + "$1")
+    t = F.regexp_replace(t, COPYRIGHT_LINE, " ")
+    t = F.replace(t, F.lit(ASIDE), F.lit("copyright"))
     t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
     for was, now in SPELLINGS:
         plain = now.replace("/", " ")
@@ -183,15 +188,19 @@ def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
         F.min("licence").alias("licence"))
 
 
+#: What stands for a text in the join: two texts of one length with one hash are not expected in any corpus.
+KEY = ["text_hash", "n_bytes"]
+
+
 def scan(docs: DataFrame, known=KNOWN) -> DataFrame:
     """doc_id, whole_licence (of the entire text, or null) and notices (licences named by
     whole lines, sorted and joined by commas, or null) of every row."""
     digests = F.broadcast(known_digests(docs.sparkSession, known))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"),
                        F.when(holds_marker(F.col("text")), F.sha2(canonical(F.col("text")), 256)).alias("digest"),
                        F.when(holds_marker(F.col("text")), F.col("text")).alias("text"))
-    whole = rows.drop("text").join(digests, "digest", "left").select("doc_id", "text_hash", F.col("licence").alias("whole_licence"))
-    lines = rows.where("text is not null").select("text_hash", F.explode(F.split("text", "\n")).alias("line")).where(holds_marker(F.col("line")))
-    notices = (lines.select("text_hash", F.sha2(canonical(F.col("line")), 256).alias("digest")).join(digests, "digest")
-               .groupBy("text_hash").agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("notices")))
-    return whole.join(notices, "text_hash", "left").select("doc_id", "whole_licence", "notices")
+    whole = rows.drop("text").join(digests, "digest", "left").select("doc_id", *KEY, F.col("licence").alias("whole_licence"))
+    lines = rows.where("text is not null").select(*KEY, F.explode(F.split("text", "\n")).alias("line")).where(holds_marker(F.col("line")))
+    notices = (lines.select(*KEY, F.sha2(canonical(F.col("line")), 256).alias("digest")).join(digests, "digest")
+               .groupBy(*KEY).agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("notices")))
+    return whole.join(notices, KEY, "left").select("doc_id", "whole_licence", "notices")

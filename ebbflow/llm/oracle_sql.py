@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ebbflow.llm.licences import KNOWN, MARKERS, SPELLINGS
+from ebbflow.llm.licences import ASIDE, COPYRIGHT_LINE, KNOWN, MARKERS, NOT_STATED, SPELLINGS
 from ebbflow.llm.revisits import MERGED
 
 
@@ -11,7 +11,8 @@ def quoted(text: str) -> str:
 
 
 def canonical_licence(text: str) -> str:
-    t = (f"regexp_replace(lower({text}), '(?m)^[ \\t\\W]*(copyright|\\(c\\)|©|all rights reserved)\\b?[^\\n]*$', ' ', 'g')")
+    t = f"regexp_replace(replace(lower({text}), chr(13), ''), {quoted(NOT_STATED)}, {quoted(ASIDE + chr(92) + '1')}, 'g')"
+    t = f"replace(regexp_replace({t}, {quoted(COPYRIGHT_LINE)}, ' ', 'g'), {quoted(ASIDE)}, 'copyright')"
     t = f"trim(regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     for was, now in SPELLINGS:
         plain = now.replace("/", " ")

@@ -1,5 +1,7 @@
 """Licence lookup on variants of known texts."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +84,31 @@ def test_only_stated_copyrights_are_dropped(spark):
 def test_markers_come_from_the_table():
     assert all(any(m in t.lower() for m in LI.MARKERS) for _, t in LI.KNOWN)
     assert LI.markers_of([("X", "do as you like")])[-1] in "do as you like"
+
+
+def test_holders_without_a_year(spark):
+    texts = ["Copyright Jane Doe <j@x.org>\n\n" + MIT, "MIT License\n\nCopyright (c) Jane Doe\n\n" + MIT, "copyright by Jane\n" + MIT, "Copyright law is hard.\n" + MIT]
+    assert [scan(spark, texts)[k][0] for k in range(4)] == ["MIT", "MIT", "MIT", None]
+
+
+def test_sql_and_operator_agree_on_full_texts(spark):
+    """Every known text, plain, re-wrapped, with CRLF, commented, and under a copyright line."""
+    import textwrap
+
+    import duckdb
+    from ebbflow.llm.oracle_sql import licences
+    rows = []
+    own = re.compile(LI.COPYRIGHT_LINE)
+    for n, t in LI.KNOWN:
+        wrapped = ["\n".join(textwrap.wrap(t, width)) for width in (57, 72)]
+        # no line of its own that reads like a copyright line, wherever lines end
+        wrapped = [t if any(own.search(re.sub(LI.NOT_STATED, LI.ASIDE, x.lower())) for x in (t, w)) else w for w in wrapped]
+        rows += [t, wrapped[0], t.replace("\n", "\r\n"), "\n".join("# " + line for line in t.splitlines()),
+                 "Copyright (c) 2020-2021 A. Holder\nAll rights reserved.\n\n" + t, "Copyright The X Authors\n" + wrapped[1], t + " also"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = sorted(map(tuple, LI.scan(df).collect()))
+    c = duckdb.connect()
+    documents = df.toPandas()  # noqa: F841 - read by the SQL
+    assert sorted(c.execute(licences()).fetchall()) == got
+    whole = [w for _, w, _ in got]
+    assert all(w for k, w in enumerate(whole) if k % 7 != 6) and not any(w for k, w in enumerate(whole) if k % 7 == 6)
