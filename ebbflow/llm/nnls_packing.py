@@ -231,8 +231,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", kind: str = "byt
     parts = parts.select("part", F.coalesce(F.sum("full").over(earlier), F.lit(0)).alias("full_before"))
     shifts = counts.select("part", "rest", F.coalesce(F.sum("n").over(by_rest), F.lit(0)).alias("rank_before"))
     # One row per written partition, with an array of its shifts by length.
-    shifts = shifts.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("rest", "rank_before"))).alias("by_rest"))
-    shifts = shifts.select("part", F.transform(F.sequence(F.lit(0), F.lit(window - 1)), lambda i: F.coalesce(F.try_element_at("by_rest", i), F.lit(0))).alias("shift"))
+    shifts = shifts.groupBy("part").agg(F.collect_list(F.struct("rest", "rank_before")).alias("known")).mapInArrow(dense(window), "part int, shift array<long>")
     placed = table.join(shifts.join(parts, "part"), "part").select(
         "doc_id", "n_tokens", "rest", (F.col("rank") + F.element_at("shift", F.col("rest") + 1)).alias("rank"),
         (F.col("windows_before") + F.col("full_before") + first_full).alias("first_window"), "ids")
@@ -267,6 +266,21 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", kind: str = "byt
     return placed.mapInArrow(run, f"doc_id {kind_of_id}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
+def dense(window: int):
+    """Task: (length, value) pairs of a row as an array over all lengths, 0 where there is none."""
+    def run(batches):
+        for batch in batches:
+            known = batch.column("known")
+            pairs = known.flatten()
+            table = np.zeros((batch.num_rows, window), np.int64)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(known.offsets)))
+            table[row, np.asarray(pairs.field("rest"))] = np.asarray(pairs.field("rank_before"))
+            offsets = pa.array(np.arange(batch.num_rows + 1) * window, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.ListArray.from_arrays(offsets, pa.array(table.ravel()))], names=["part", "shift"])
+
+    return run
+
+
 def digests(pieces: DataFrame) -> DataFrame:
     """Pieces with the CRC-32 of their ids in place of the ids."""
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
