@@ -8,11 +8,10 @@ largest norm M (0 for a query), turns it into the smallest distance.
 * The centroids form an in-memory graph: each is linked to its nearest ones, both ways. A
   search walks the graph from a few entry points and goes on wherever a centroid is within the
   wanted distance ratio of the nearest one found, or among the ``BEAM`` nearest.
-* Each row goes to the list of its nearest centroid, and a boundary row also to lists within
-  ``BOUNDARY`` times that distance (at most ``COPIES``, none that is closer to a list already
-  taken than to the row).
+* Each row goes to the list of its nearest centroid, and a boundary row also to the next lists
+  within ``BOUNDARY`` times that distance (``COPIES`` lists at most).
 * A query reads the lists whose centroid is within ``ratio`` times its nearest centroid's
-  distance. ``fit`` takes the smallest ratio that finds ``recall`` of the sample's true
+  distance, and more if those cannot hold its neighbours. ``fit`` takes the smallest ratio that finds ``recall`` of the sample's true
   neighbours.
 * Lists are stored by segment of about ``SEGMENT`` rows: several small lists, or a part of a
   large one, so a list that a hot vector fills is spread over many. Queries meet the segments
@@ -46,7 +45,7 @@ SAMPLE, SAMPLE_MB = 65_536, 32
 LIST_ROWS, LISTS = 256, 4096
 #: Graph: links of a centroid, entry points, candidates kept open at least.
 LINKS, ENTRIES, BEAM = 16, 16, 8
-BOUNDARY, COPIES = 1.06, 3
+BOUNDARY, COPIES = 1.015, 2
 SEGMENT, QUERIES = 65_536, 4096
 #: Queries of the sample that set the ratio.
 TRIALS = 256
@@ -73,16 +72,17 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(0, (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1))
 
 
-def split(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10) -> np.ndarray:
+def split(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 16) -> np.ndarray:
     """A class for each row: ``k`` classes of similar size, by k-means whose distances carry a
-    price that rises for classes above the mean size and falls for those below."""
+    price that rises for classes above the mean size and falls for those below. Prices move by
+    a part of what tells the classes apart, less in each round."""
     centres = x[rng.choice(len(x), k, replace=False)]
     price, to = np.zeros(k), np.zeros(len(x), np.int64)
-    for _ in range(rounds):
+    for n in range(rounds):
         d = squared(x, centres)
         to = np.argmin(d + price, axis=1)
         size = np.bincount(to, minlength=k)
-        price += 0.5 * d.min(axis=1).mean() * (size * k / len(x) - 1) * 0.5
+        price += (d.mean(axis=1) - d.min(axis=1)).mean() * (size * k / len(x) - 1) / (2 + n)
         for j in np.flatnonzero(size):
             centres[j] = x[to == j].mean(axis=0)
     return to
@@ -148,24 +148,22 @@ class Index:
         """(row, list) for every list that a row goes to."""
         row, at, d = self.search(self.lifted(x), BOUNDARY)
         order = np.lexsort((at, d, row))
-        row, at, d = row[order], at[order], d[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        taken, keep = np.full((len(x), COPIES), -1), np.zeros(len(row), bool)
-        count = np.zeros(len(x), np.int64)
-        for r in range(rank.max(initial=-1) + 1):
-            i = np.flatnonzero((rank == r) & (count[row] < COPIES))
-            gap = np.linalg.norm(self.centroids[at[i]][:, None] - self.centroids[taken[row[i]]], axis=2)
-            far = np.where(taken[row[i]] < 0, np.inf, gap).min(axis=1)
-            i = i[far >= d[i]]
-            keep[i] = True
-            taken[row[i], count[row[i]]] = at[i]
-            count[row[i]] += 1
-        return row[keep], at[keep]
-
-    def lists_for(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, list) for every list that a query reads."""
-        row, at, _ = self.search(np.hstack([x, np.zeros((len(x), 1))]), self.ratio)
-        return row, at
+        row, at = row[order], at[order]
+        near = np.arange(len(row)) - np.searchsorted(row, row) < COPIES
+        return row[near], at[near]
+
+    def lists_for(self, x: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, list) for every list that a query reads: those within the ratio, and while they
+        hold fewer than ``least`` entries the next nearest ones."""
+        x = np.hstack([x, np.zeros((len(x), 1))])
+        row, at, _ = self.search(x, self.ratio)
+        held = np.bincount(row, sizes[at], minlength=len(x))
+        few = np.flatnonzero(held < least)
+        order = np.argsort(squared(x[few], self.centroids), axis=1, kind="stable")
+        before = np.cumsum(sizes[order], axis=1) - sizes[order]
+        more, place = np.nonzero(before < least)
+        keep = ~np.isin(row, few)
+        return np.concatenate([row[keep], few[more]]), np.concatenate([at[keep], order[more, place]])
 
 
 def graph(centroids: np.ndarray) -> np.ndarray:
@@ -285,11 +283,13 @@ def neighbours(embeddings: DataFrame, query: Column, k: int = 20, recall: float
     layout = segments(sizes, max(1, min(SEGMENT, max(math.ceil(total / (2 * cores)), 4 * LIST_ROWS))))
     place = spark.createDataFrame([(name, *where) for name, where in layout.items()], "list int, segment int, parts int")
 
+    held = np.array([sizes.get(c, 0) for c in range(len(index.centroids))])
+
     def choose(batches):
         for batch in batches:
             for a in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(a, CHUNK)
-                row, at = index.lists_for(matrix(part.column("vec"), "<f8", length))
+                row, at = index.lists_for(matrix(part.column("vec"), "<f8", length), held, (k + 1) * COPIES)
                 wanted = [(r, s, c) for r, c in zip(row.tolist(), at.tolist()) if c in layout
                           for s in range(layout[c][0], sum(layout[c]))]
                 by = {}
