@@ -5,8 +5,9 @@ placeholders, so a question with other numbers or names has the same template. A
 of capitalised words and one placeholder. Case alone does not tell a name from the start of
 a sentence, so documents are read three ways (every capitalised word a name, none, those
 inside sentences) and every capitalised word of an item both ways. Windows of
-``WINDOW`` template words (the whole template of a shorter item) are hashed and hash-joined
-between documents and benchmark items. Matches on neighbouring diagonals (distances between
+``WINDOW`` template words (``SHORT_WINDOW`` in items of less than ``LONG_ITEM`` words, the whole
+template of a still shorter one) are hashed and hash-joined between documents and benchmark
+items. Matches on neighbouring diagonals (distances between
 document and item, at most ``GAP`` words apart) are one candidate copy, so words put in, left
 out or replaced do not split it. It counts if it covers ``COVERAGE`` of the item's words or
 ``RUN`` consecutive ones, and its slots are consistent: equal slot values of the item always
@@ -40,6 +41,8 @@ from ebbflow.llm.arrow_text import mix64, sliced, text_array, words
 from ebbflow.llm.store import write_once
 
 WINDOW = 8
+#: A few edits leave no window of 8 words of a short item, so those have smaller ones.
+SHORT_WINDOW, LONG_ITEM = 5, 40
 SHORTEST = 4
 #: Plain words that a window must hold (in a shorter item: half of its words).
 MIN_WORDS = 4
@@ -174,6 +177,7 @@ def item_windows(p: Parsed):
     """Every valid window of one item, as its template words (first word, next one's, kind):
     each capitalised word is read as a plain word, and with the rest of its run as a name."""
     n = len(p.low)
+    window = WINDOW if n >= LONG_ITEM else SHORT_WINDOW
     run_end = np.arange(1, n + 1)
     for i in range(n - 2, -1, -1):
         if p.joined[i + 1]:
@@ -182,13 +186,13 @@ def item_windows(p: Parsed):
         open_ = [(start, ())]
         while open_:
             at, tokens = open_.pop()
-            if len(tokens) == WINDOW or at == n:
+            if len(tokens) == window or at == n:
                 size, least = len(tokens), least_words(len(tokens))
-                whole = size == WINDOW or start == 0 and size >= SHORTEST
+                whole = size == window or start == 0 and size >= SHORTEST
                 if whole and sum(k == WORD for _, _, k in tokens) >= least:
                     yield tokens
                 continue
-            if sum(k != WORD for _, _, k in tokens) > WINDOW - MIN_WORDS:
+            if sum(k != WORD for _, _, k in tokens) > window - least_words(window):
                 continue
             open_.append((at + 1, (*tokens, (at, at + 1, int(p.kind[at])))))
             if p.capital[at]:
