@@ -3,8 +3,8 @@ euclidean or manhattan), over a metric index.
 
 Pivots are a seeded sample of the references (at most ``PIVOTS``). Each reference is filed
 under its nearest pivot with its distance to it; a pivot's references are cut into rings by
-that distance, and a ring of more than ``block_rows`` into blocks by a hash, so copies of
-one point are spread. The directory (pivot, ring, smallest and largest distance, rows) has at
+that distance. Rows lie in blocks of at most about ``block_rows``: a larger ring is cut by a
+hash, so copies of one point are spread; smaller rings of near pivots share a block. The directory (pivot, ring, smallest and largest distance, rows) has at
 most ``PIVOTS`` x ``RINGS`` entries, whatever the number of references.
 
 For every ring the triangle inequality gives a lower bound on the distance of a query to its
@@ -13,9 +13,11 @@ no nearer to any other pivot than to its own. A first pass visits the rings with
 bounds until they hold ``k`` references; the k-th distance found there is an upper limit. A
 second pass visits only the rings whose bound does not exceed it. The result is exact.
 
-A visit is one ``cogroup`` of a block with at most about ``block_rows`` of the queries that
-asked for it; it emits each query's local top-k (ties at the k-th distance kept), and a
-window ranks the candidates by (distance, id). How much is skipped depends on the data:
+A query goes once to each block that holds a ring it visits, so it is copied at most as often
+as there are blocks, and a reference as often as there are groups of queries.
+A visit is one ``cogroup`` of a block with a group of the queries that asked for it. Squared
+euclidean distances come from one matrix product; those that its rounding error leaves in
+question are computed exactly. It emits each query's local top-k within its limit, and a window ranks the candidates by (distance, id). How much is skipped depends on the data:
 clustered or low-dimensional vectors skip most rings, independent coordinates in many
 dimensions none (``visited_share`` tells); then the work is every distance once.
 """
@@ -38,10 +40,52 @@ CELL_BYTES = 128 << 20
 #: Pivots at most, references for which one more pivot is taken, rings of a pivot at most.
 PIVOTS, PIVOT_ROWS, RINGS = 1024, 256, 64
 
+#: References of a block: as many as make ``BLOCKS`` blocks, within these limits, and its bytes at most. Queries of a group at most.
+BLOCKS, BLOCK_LIMITS, BLOCK_BYTES, GROUP_ROWS = 32, (4096, 32_768), 64 << 20, 32_768
+
 #: Bounds are relaxed by this share, so that rounding never skips a neighbour.
 SLACK = 1e-9
 
 
+def _exact(a: np.ndarray, b: np.ndarray, row: np.ndarray, col: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of pairs of rows."""
+    out, step = np.empty(len(row)), max(1, CELL_BYTES // (8 * max(1, a.shape[1])))
+    for s in range(0, len(row), step):
+        diff = a[row[s:s + step]] - b[col[s:s + step]]
+        out[s:s + step] = np.sqrt((diff * diff).sum(axis=1)) if metric == "euclidean" else np.abs(diff).sum(axis=1)
+    return out
+
+
+def _near(qv: np.ndarray, tv: np.ndarray, upper: np.ndarray | None, k: int, metric: str):
+    """For some queries at a time, the references that may be among the ``k`` nearest and within ``upper``:
+    all that are, and those that rounding leaves in question."""
+    flat, d = metric == "euclidean", qv.shape[1]
+    qq, tt = (qv * qv).sum(axis=1), (tv * tv).sum(axis=1)
+    step = max(1, CELL_BYTES // (8 * len(tv) * (1 if flat else max(1, d))))
+    for s in range(0, len(qv), step):
+        rows = slice(s, min(s + step, len(qv)))
+        # Squared distances (or the distances), and how far rounding may take them.
+        if flat:
+            far = qv[rows] @ tv.T
+            far *= -2
+            far += qq[rows, None]
+            far += tt
+            slack = 1e-14 * (d + 8) * (qq[rows] + tt.max())
+        else:
+            far = np.abs(qv[rows, None, :] - tv[None, :, :]).sum(axis=2)
+            slack = 1e-14 * (d + 8) * far.max(axis=1)
+        if upper is None:
+            limit = np.partition(far, k - 1, axis=1)[:, k - 1]
+        else:
+            limit = upper[rows] ** 2 * (1 + SLACK) if flat else upper[rows] * (1 + SLACK)
+        near = far <= (limit + 2 * slack)[:, None]
+        if upper is not None:
+            many = np.flatnonzero(near.sum(axis=1) > 4 * k)
+            if len(many):
+                near[many] &= far[many] <= (np.partition(far[many], k - 1, axis=1)[:, k - 1] + 2 * slack[many])[:, None]
+        yield rows, near
+
+
 def _cell_topk(k: int, metric: str):
     def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
@@ -49,18 +93,14 @@ def _cell_topk(k: int, metric: str):
             qv = np.stack(q["vec"].to_numpy()).astype(np.float64)
             tv = np.stack(t["vec"].to_numpy()).astype(np.float64)
             place = np.unique(t["id"].to_numpy(), return_inverse=True)[1]  # ids in order, of any type
-            kk = min(k, len(tv))
-            sub = max(1, CELL_BYTES // tv.nbytes)
-            for s in range(0, len(qv), sub):
-                diff = qv[s:s + sub, None, :] - tv[None, :, :]
-                d = np.sqrt((diff * diff).sum(axis=2)) if metric == "euclidean" else np.abs(diff).sum(axis=2)
-                kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-                row, col = np.nonzero(d <= kth[:, None])
-                order = np.lexsort((place[col], d[row, col], row))
-                row, col = row[order], col[order]
-                first = np.searchsorted(row, np.arange(len(d)))
-                near = np.arange(len(row)) - first[row] < kk
-                found.append((row[near] + s, col[near], d[row[near], col[near]]))
+            for rows, near in _near(qv, tv, q["upper"].to_numpy(float) if "upper" in q else None, min(k, len(tv)), metric):
+                row, col = np.nonzero(near)
+                d = _exact(qv, tv, row + rows.start, col, metric)
+                order = np.lexsort((place[col], d, row))
+                row, col, d = row[order], col[order], d[order]
+                first = np.searchsorted(row, np.arange(len(near)))
+                keep = np.arange(len(row)) - first[row] < k
+                found.append((row[keep] + rows.start, col[keep], d[keep]))
         row, col, dist = (np.concatenate(x) for x in zip(*found))
         return pd.DataFrame({"qid": q["id"].to_numpy()[row], "nid": t["id"].to_numpy()[col],
                              "nlabel": t["label"].to_numpy()[col].astype(np.int32), "dist": dist})
@@ -97,6 +137,29 @@ class MetricIndex:
             out[at] = start[p] + np.searchsorted(self.edges[p], dist[at], side="left")
         return out
 
+    def pack(self, block_rows: int) -> None:
+        """Give the rings their blocks: rings of near pivots share one until it is full."""
+        rank = np.empty(len(self.pivots), np.int64)
+        rank[spatial_order(self.pivots)] = np.arange(len(self.pivots))
+        self.first, self.blocks = np.zeros(len(self.size), np.int64), np.maximum(1, -(-self.size // block_rows))
+        block, held = 0, 0
+        for r in np.argsort(rank[self.pivot], kind="stable"):
+            if held and held + self.size[r] > block_rows:
+                block, held = block + 1, 0
+            self.first[r] = block
+            held += self.size[r]
+            if held > block_rows:
+                block, held = block + self.blocks[r], 0
+
+    def blocks_of(self, rings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, block) of the blocks that hold the rings marked in each row, each once."""
+        row, ring = np.nonzero(rings & (self.size > 0))
+        times = self.blocks[ring]
+        row, ring = np.repeat(row, times), np.repeat(ring, times)
+        block = self.first[ring] + np.arange(len(ring)) - np.repeat(np.cumsum(times) - times, times)
+        width = int((self.first + self.blocks).max(initial=1))
+        return np.divmod(np.unique(row * width + block), width)
+
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """A lower bound on the distance of every query to the members of every ring."""
         if not len(self.pivots):
@@ -110,13 +173,28 @@ class MetricIndex:
         return bound * (1 - SLACK) - 1e-7 * scale * max(1, queries.shape[1]) ** 0.5
 
 
-def build_index(train: DataFrame, n_train: int, metric: str, block_rows: int, seed: int = 42) -> tuple[MetricIndex, DataFrame]:
+def spatial_order(points: np.ndarray) -> np.ndarray:
+    """Positions of points such that near ones follow each other: halves by the widest coordinate."""
+    out, todo = [], [np.arange(len(points))]
+    while todo:
+        own = todo.pop()
+        if len(own) < 3:
+            out.extend(own)
+            continue
+        x = points[own]
+        own = own[np.argsort(x[:, np.ptp(x, axis=0).argmax()], kind="stable")] if x.shape[1] else own
+        todo += [own[len(own) // 2:], own[:len(own) // 2]]
+    return np.array(out, np.int64)
+
+
+def build_index(train: DataFrame, n_train: int, metric: str, block_rows: int | None, seed: int = 42) -> tuple[MetricIndex, DataFrame]:
     """Index over ``train`` (id, vec, label), and the filed rows (id, vec, label, pivot, dist)."""
     want = min(PIVOTS, max(1, math.ceil(n_train / PIVOT_ROWS)))
     h = F.xxhash64("id", F.lit(seed))
     share = F.pmod(h, F.lit(1 << 30)) < int(min(1.0, (1.5 * want + 100) / max(1, n_train)) * (1 << 30))
     sample = [r["vec"] for r in train.where(share).select("id", "vec", h.alias("_h")).orderBy("_h", "id").limit(want).collect()]
     pivots = np.unique(np.array(sample, np.float64), axis=0) if sample else np.zeros((0, 0))
+    block_rows = block_rows or max(1, min(max(BLOCK_LIMITS[0], min(BLOCK_LIMITS[1], n_train // BLOCKS)), BLOCK_BYTES // (8 * max(1, pivots.shape[1]))))
 
     def file(batches):
         for batch in batches:
@@ -149,15 +227,15 @@ def build_index(train: DataFrame, n_train: int, metric: str, block_rows: int, se
     index.low, index.high, index.size = np.full(n, np.inf), np.full(n, -np.inf), np.zeros(n, np.int64)
     for r in found:
         index.low[r["ring"]], index.high[r["ring"]], index.size[r["ring"]] = r["low"], r["high"], r["n"]
-    index.blocks = np.maximum(1, -(-index.size // block_rows))
-    index.first = np.cumsum(index.blocks) - index.blocks
+    index.pack(block_rows)
     return index, rows
 
 
-def _visits(index: MetricIndex, rows: DataFrame, queries: DataFrame, k: int, limited: bool, n_queries: int, block_rows: int) -> DataFrame:
-    """The local top-k of every ring that a query visits: the first ones that hold ``k``
-    references, or with ``limited`` all others whose bound is within the query's ``upper``."""
-    groups = max(1, math.ceil(n_queries / block_rows))
+def _visits(index: MetricIndex, rows: DataFrame, queries: DataFrame, k: int, limited: bool, n_queries: int, block_rows: int | None) -> DataFrame:
+    """The local top-k of every block that a query visits: those of the first rings that hold ``k``
+    references, or with ``limited`` all others with a ring whose bound is within the query's ``upper``."""
+    groups = max(1, math.ceil(n_queries / (block_rows or GROUP_ROWS)))
+    limit = ["upper"] * limited
 
     def choose(batches):
         for batch in batches:
@@ -171,15 +249,15 @@ def _visits(index: MetricIndex, rows: DataFrame, queries: DataFrame, k: int, lim
                 held = np.cumsum(index.size[order], axis=1)
                 first = np.zeros(bound.shape, bool)
                 np.put_along_axis(first, order, (held - index.size[order] < k) & (index.size[order] > 0), axis=1)
+                row, block = index.blocks_of(first)
                 if limited:
                     upper = np.asarray(batch.column("upper").slice(start, 256), np.float64)
-                    first = ~first & (bound <= upper[:, None])
-                row, ring = np.nonzero(first)
-                times = index.blocks[ring]
-                row, ring = np.repeat(row, times), np.repeat(ring, times)
-                block = index.first[ring] + np.arange(len(ring)) - np.repeat(np.cumsum(times) - times, times)
-                part = batch.select(["id", "vec"]).slice(start, 256).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(block)], names=["id", "vec", "block"])
+                    seen = row, block
+                    row, block = index.blocks_of(bound <= upper[:, None])
+                    new = ~np.isin(row * (1 << 40) + block, seen[0] * (1 << 40) + seen[1])
+                    row, block = row[new], block[new]
+                part = batch.select(["id", "vec", *limit]).slice(start, 256).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(block)], names=["id", "vec", *limit, "block"])
 
     def place(batches):
         for batch in batches:
@@ -189,7 +267,7 @@ def _visits(index: MetricIndex, rows: DataFrame, queries: DataFrame, k: int, lim
 
     kind, own = (df.schema["id"].dataType.simpleString() for df in (queries, rows))
     group = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("group")
-    te = queries.mapInArrow(choose, f"id {kind}, vec array<double>, block long").select("*", group)
+    te = queries.mapInArrow(choose, f"id {kind}, vec array<double>, {'upper double, ' * limited}block long").select("*", group)
     tr = (rows.select("id", "vec", "label", "pivot", "dist", F.pmod(F.xxhash64("id"), F.lit(1 << 30)).alias("h"))
           .mapInArrow(place, f"id {own}, vec array<double>, label int, block long"))
     # Only the groups that ask for a block get a copy of it.
@@ -200,9 +278,10 @@ def _visits(index: MetricIndex, rows: DataFrame, queries: DataFrame, k: int, lim
 
 def neighbours(train: DataFrame, test: DataFrame, k: int = 11, metric: str = "euclidean",
                id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-               block_rows: int = 4096, n_train: int | None = None, n_test: int | None = None) -> DataFrame:
+               block_rows: int | None = None, n_train: int | None = None, n_test: int | None = None) -> DataFrame:
     """(qid, nid, nlabel, dist, rank) for the k nearest references of every query. ``id_col``
     tells rows apart and has any type; equal distances rank by it.
+    ``block_rows`` (by default as many as suit the table) bounds the rows of a block and of a group of queries.
     ``n_train`` / ``n_test`` (row counts, when known) size the index without a count job."""
     n_train = train.count() if n_train is None else n_train
     n_test = test.count() if n_test is None else n_test
@@ -219,7 +298,7 @@ def neighbours(train: DataFrame, test: DataFrame, k: int = 11, metric: str = "eu
 
 
 def visited_share(train: DataFrame, test: DataFrame, k: int = 11, metric: str = "euclidean", id_col: str = "vec_id",
-                  vec_col: str = "embedding", label_col: str = "label", block_rows: int = 4096) -> float:
+                  vec_col: str = "embedding", label_col: str = "label", block_rows: int | None = None) -> float:
     """The share of all (query, reference) distances that ``neighbours`` computes."""
     n_train, n_test = train.count(), test.count()
     vec = F.col(vec_col).cast("array<double>").alias("vec")
@@ -227,12 +306,16 @@ def visited_share(train: DataFrame, test: DataFrame, k: int = 11, metric: str =
     last = neighbours(train, test, k, metric, id_col, vec_col, label_col, block_rows, n_train, n_test).where(F.col("rank") == k)
     queries = test.select(F.col(id_col).alias("id"), vec).join(last.select(F.col("qid").alias("id"), "dist"), "id", "left")
 
+    inside = np.zeros(int((index.first + index.blocks).max(initial=0)))  # rows of the blocks
+    for first, times, size in zip(index.first, index.blocks, index.size):
+        inside[first:first + times] += size / times
+
     def visited(batches):
         for batch in batches:
             if batch.num_rows:
                 x = np.asarray(batch.column("vec").flatten(), np.float64).reshape(batch.num_rows, -1)
                 upper = np.asarray(batch.column("dist").fill_null(np.inf))
-                yield pa.RecordBatch.from_pydict({"n": [float(((index.bounds(x) <= upper[:, None]) * index.size).sum())]})
+                yield pa.RecordBatch.from_pydict({"n": [float(inside[index.blocks_of(index.bounds(x) <= upper[:, None])[1]].sum())]})
 
     return (queries.mapInArrow(visited, "n double").agg(F.sum("n")).first()[0] or 0.0) / max(1, n_train * n_test)
 

@@ -270,7 +270,7 @@ class KnnModel:
     k: int
     weights: str
     metric: str
-    block_rows: int = 4096
+    block_rows: int | None = None
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """id (the row id), label (if present), probability and prediction of every row."""
@@ -309,7 +309,7 @@ def _vectors(rows: DataFrame, feature_cols: Sequence[str], scale) -> DataFrame:
         *label, *[c for c in ("split", "fold") if c in rows.columns])
 
 
-def knn_family(split_rows: DataFrame, feature_cols: Sequence[str] = S.FEATURE_COLUMNS, block_rows: int = 4096,
+def knn_family(split_rows: DataFrame, feature_cols: Sequence[str] = S.FEATURE_COLUMNS, block_rows: int | None = None,
                **grid) -> tuple[DataFrame, DataFrame, str, KnnModel]:
     """M11 as a model family: features standardised on the training rows, the
     reference's grid scored by fold-wise ROC-AUC, the best configuration refit on

@@ -1,8 +1,10 @@
 """Exact KNN vote against numpy brute force (with duplicate points and exact matches)."""
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
 
-from ebbflow.operators.knn import knn_classify, neighbours
+from ebbflow.operators.knn import _cell_topk, knn_classify, neighbours
 
 
 def _data(spark, n_train=300, n_test=60, d=8, seed=1):
@@ -90,3 +92,29 @@ def test_fewer_references_than_k_and_none(spark):
     few = neighbours(train.where("vec_id < 4"), test, k=6)
     assert few.count() == 4 * test.count()
     assert neighbours(train.limit(0), test, k=6).count() == 0 and neighbours(train, test.limit(0), k=6).count() == 0
+
+
+def test_rings_of_near_pivots_share_a_block(spark):
+    from ebbflow.operators.knn import build_index
+    _, _, _, train, _ = _data(spark, n_train=3000)
+    index, _ = build_index(train.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label"), 3000, "euclidean", 4096)
+    assert len(index.pivots) > 10 and set(index.first) == {0} and set(index.blocks) == {1}  # a query is sent once
+
+
+def test_cell_is_exact_far_from_the_origin_and_within_the_limit():
+    rng = np.random.default_rng(5)
+    q, t = rng.normal(size=(40, 6)) * 1e-3 + 1e4, rng.normal(size=(500, 6)) * 1e-3 + 1e4
+    t[::5] = t[0]
+    q[0] = t[0]
+    frame = lambda x, **more: pd.DataFrame({"id": np.arange(len(x)), "vec": list(x), **more})
+    for metric in ("euclidean", "manhattan"):
+        diff = q[:, None] - t[None]
+        d = np.sqrt((diff * diff).sum(2)) if metric == "euclidean" else np.abs(diff).sum(2)
+        upper = np.sort(d, axis=1)[:, 3]
+        for limit in (None, upper):
+            got = _cell_topk(7, metric)(frame(q, **({} if limit is None else {"upper": limit})), frame(t, label=0))
+            for i in range(len(q)):
+                mine = got[got.qid == i].sort_values(["dist", "nid"])
+                want = [j for j in np.lexsort((np.arange(len(t)), d[i]))[:7] if limit is None or d[i, j] <= limit[i]]
+                assert mine.nid.tolist()[:len(want)] == want and (mine.dist.to_numpy()[:len(want)] == d[i, want]).all()
+                assert limit is None or len(mine) <= 7
