@@ -107,7 +107,9 @@ def blocks_of(rows: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
                     "ids": pa.array([part.column("id").to_pylist()], pa.list_(pa.string())), "labels": [np.asarray(part.column("label"), np.int8).tobytes()],
                     "folds": [np.asarray(part.column("fold"), np.int8).tobytes()], "x": [x[keep].tobytes()]})
 
-    return materialize(wide.coalesce(max(1, math.ceil(wide.count() / BLOCK_ROWS))).mapInArrow(pack, BLOCK), "linear-blocks")
+    n = wide.count()
+    wide = wide.coalesce(1) if n <= BLOCK_ROWS else wide.repartition(math.ceil(n / BLOCK_ROWS))
+    return materialize(wide.mapInArrow(pack, BLOCK), "linear-blocks")
 
 
 def read_blocks(batches):

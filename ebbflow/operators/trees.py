@@ -17,8 +17,12 @@ Fits do not wait for each other: each is at its own tree and depth.
   which gives the tree that one split at a time would give.
 * Row subsampling, Poisson bagging and the features tried in a node are hashes of the row (its
   content), the tree and the node, so a retried task draws the same rows.
-* Forest: trees are independent and take part as the node budget allows; a node is not split
-  below ``min_split`` rows, depth is unbounded if the configuration says so.
+* Forest: trees are independent; a node is not split below ``min_split`` rows, depth is unbounded
+  if the configuration says so. Only nodes of more than ``SUBTREE`` rows (of small tables none) are
+  split by passes. The rows of a smaller one go to one group, which grows the whole subtree and
+  also takes the held-out rows that fall into it. A forest has about as many nodes as rows times
+  trees, so its trees stay in a written table, and what they give each held-out row is added up
+  there (in the order of the trees). The driver reads the trees only when a model is used.
 
 A block's margins follow from the trees alone. A task keeps them in the Python worker between
 passes and applies only trees that it has not seen; a worker that never saw the block starts
@@ -47,8 +51,13 @@ from ebbflow.session import materialize
 
 #: Bins of a feature and rows of a block at most, nodes whose histograms one pass makes.
 BINS, BLOCK_ROWS, NODES = 128, 16_384, 1500
+#: Rows of a block at least, where smaller blocks would keep more cores busy.
+LEAST_ROWS = 4096
 #: Gains within this share of the best are equal; the first feature and bin win.
 EQUAL = 1e-9
+#: Rows of a forest's node from which one group grows the rest, (row, tree) pairs shuffled at once,
+#: and cells of the histograms made at once.
+SUBTREE, WAVE, CELLS = 1 << 17, 200_000_000, 1 << 19
 
 
 @dataclass(frozen=True)
@@ -98,6 +107,38 @@ class Trees:
         return out
 
 
+class StoredTrees:
+    """The trees of a forest's fit in a written table: read by the first use of an array."""
+
+    def __init__(self, table: DataFrame, fit: int, tops: list):
+        self.source = table, fit, tops
+
+    def __getattr__(self, name: str):
+        if name not in Trees.__dataclass_fields__:
+            raise AttributeError(name)
+        table, fit, tops = self.source
+        found: dict[int, list] = {}
+        for r in table.where((F.col("fit") == fit) & (F.col("block") < 0)).orderBy("tree", "root").toArrow().to_pylist():
+            found.setdefault(r["tree"], []).append(r)
+        whole = Trees()
+        for k, top in enumerate(tops):
+            columns = [np.array(c) for c in top]
+            for r in found.get(k, []):
+                below = [np.frombuffer(r[n], t) for n, t in (("feature", np.int16), ("bin", np.int16), ("left", np.int32), ("value", float))]
+                below[2] = np.where(below[0] >= 0, below[2] + len(columns[0]) - 1, 0)  # its root takes a place that is there
+                for c, x in zip(columns, below):
+                    c[r["root"]] = x[0]
+                columns = [np.concatenate([c, x[1:]]) for c, x in zip(columns, below)]
+            whole.add(*columns)
+        self.__dict__.update(whole.__dict__)
+        return self.__dict__[name]
+
+    def __reduce__(self):
+        return Trees, tuple(getattr(self, n) for n in Trees.__dataclass_fields__)
+
+    sums = Trees.sums
+
+
 def leaf_of(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Node without a split that each row reaches; the children of a node are left, left + 1."""
     node = np.zeros(len(bins), np.int64)
@@ -139,12 +180,20 @@ def drawn(spec: TreeSpec, fit: int, tree: int, row_hash: np.ndarray) -> np.ndarr
 
 
 def tried(spec: TreeSpec, fit: int, tree: int, node: int, n: int) -> np.ndarray:
-    """Features that a node looks at."""
+    """Features that a node looks at (see ``tried_by`` for many nodes)."""
     if not spec.max_features or spec.max_features >= n:
         return np.arange(n)
     return np.sort(np.argsort(mix(np.arange(n), fit, tree, node), kind="stable")[:spec.max_features])
 
 
+def tried_by(spec: TreeSpec, fit: int, tree: int, root: int, nodes: np.ndarray, n: int) -> np.ndarray:
+    """Features that each node looks at, numbered from the ``root`` of its subtree."""
+    if not spec.max_features or spec.max_features >= n:
+        return np.tile(np.arange(n), (len(nodes), 1))
+    salts = (fit, tree, nodes[:, None]) if root == 0 else (fit, tree, root, nodes[:, None])
+    return np.sort(np.argsort(mix(np.arange(n), *salts), axis=1, kind="stable")[:, :spec.max_features], axis=1)
+
+
 # --- rows as binned blocks ---------------------------------------------------------------------
 
 def cuts_of(rows: DataFrame, feature_cols: Sequence[str], bins: int = BINS) -> list[list[float]]:
@@ -199,8 +248,10 @@ def blocks_of(rows: DataFrame, feature_cols: Sequence[str], cuts: list[list[floa
         if n:
             yield flush()
 
-    # Small tables fill few blocks: no more partitions than blocks.
-    table = wide.coalesce(max(1, math.ceil(wide.count() / BLOCK_ROWS))).mapInArrow(pack, BLOCK)
+    # Small tables fill few blocks: no more partitions than blocks, and rows dealt evenly to them.
+    n, cores = wide.count(), rows.sparkSession.sparkContext.defaultParallelism
+    wide = wide.coalesce(1) if n <= BLOCK_ROWS else wide.repartition(max(math.ceil(n / BLOCK_ROWS), min(cores, n // LEAST_ROWS)))
+    table = wide.mapInArrow(pack, BLOCK)
     return materialize(table.withColumn("block", F.monotonically_increasing_id()), "tree-blocks")
 
 
@@ -232,7 +283,9 @@ class Fit:
     fold: int | None
     prior: float = 0.5
     weight: tuple[float, float] = (1.0, 1.0)
-    done: Trees = field(default_factory=Trees)
+    done: Trees | StoredTrees = field(default_factory=Trees)
+    size: int = 0
+    held: DataFrame | None = None  # a forest's table: with what its trees give to held-out rows
 
     @property
     def start(self) -> float:
@@ -263,6 +316,7 @@ class Growing:
     gain: list = field(default_factory=lambda: [0.0])
     known: list = field(default_factory=lambda: [False])
     open: list = field(default_factory=lambda: [0])
+    small: list = field(default_factory=list)  # a forest's nodes whose subtrees are grown by groups
 
 
 def worker_margins(run: str) -> dict:
@@ -466,19 +520,26 @@ def prepare_fits(specs: Sequence[TreeSpec], folds: Sequence[int | None], blocks:
             weight = (1.0, float(spec.weights or 1.0))
         mass = [a * b for a, b in zip(n, weight)]
         prior = mass[1] / sum(mass) if sum(mass) else 0.5
-        out.append(Fit(len(out), spec, fold, prior, weight))
+        out.append(Fit(len(out), spec, fold, prior, weight, size=sum(n)))
     return out
 
 
 def grow(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> int:
     """Grow all trees of all fits (in place); returns the number of passes."""
+    forests = [f for f in fits if f.spec.forest and 0 < f.prior < 1 and f.spec.trees]
+    return _grow(blocks, widths, [f for f in fits if not f.spec.forest])[0] + (_forests(blocks, widths, forests) if forests else 0)
+
+
+def _grow(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> tuple[int, dict]:
+    """Grow by passes; forests only until their nodes are small, as (fit, tree) -> ``Growing``."""
     run, widths = uuid.uuid4().hex, np.asarray(widths, np.int64)
+    blocks = blocks.select("block", "labels", "folds", "hashes", "bins")  # a pass does not need the ids
     parts = max(1, min(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * blocks.sparkSession.sparkContext.defaultParallelism))
     single = blocks.limit(2).count() < 2  # then there is nothing to add up
     of = {f.number: f for f in fits}
     active = [Growing(f.number, 0) for f in fits if not f.spec.forest and 0 < f.prior < 1 and f.spec.trees]
-    waiting = [(f.number, k) for f in fits if f.spec.forest and 0 < f.prior < 1 for k in range(f.spec.trees)]
-    done: dict[tuple[int, int], tuple] = {}
+    waiting = [(f.number, k) for f in fits if f.spec.forest for k in range(f.spec.trees)]
+    tops: dict[tuple[int, int], Growing] = {}
     passes = 0
     while active or waiting:
         nodes = sum(len(t.open) for t in active)
@@ -486,7 +547,7 @@ def grow(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> int:
             active.append(Growing(*waiting.pop(0)))
             nodes += 1
         chosen, nodes = [], 0
-        for t in sorted(active, key=lambda t: of[t.fit].spec.forest):  # boosting first: its trees wait for each other
+        for t in active:
             if not chosen or nodes + len(t.open) <= 2 * NODES:
                 chosen.append(t)
                 nodes += len(t.open)
@@ -494,7 +555,7 @@ def grow(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> int:
         sent = [Growing(t.fit, t.tree, t.feature, t.bin, t.left, [], [], [], [], t.open) for t in chosen]
         sums = blocks.mapInArrow(local_histograms(run, needed, sent, widths), "tree int, node int, sums binary")
         if not single:
-            sums = sums.repartition(parts, "tree", "node")
+            sums = sums.repartition(max(1, min(parts, nodes // 16)), "tree", "node")
         light = {k: replace(f, done=Trees()) for k, f in needed.items()}
         found: dict[int, list] = {}
         for r in sums.mapInArrow(best_splits(light, sent, widths), SPLITS).toArrow().to_pylist():
@@ -503,23 +564,242 @@ def grow(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> int:
         for k, t in enumerate(chosen):
             fit = of[t.fit]
             extend(t, fit.spec, found.get(k, []))
+            if fit.spec.forest and fit.spec.leaves is None:
+                t.small += [n for n in t.open if t.sums[n][2] <= SUBTREE]
+                t.open = [n for n in t.open if t.sums[n][2] > SUBTREE]
             if t.open:
                 continue
             active.remove(t)
             if fit.spec.forest:
-                done[t.fit, t.tree] = finished(t, fit.spec)
+                tops[t.fit, t.tree] = t
             else:
                 fit.done.add(*finished(t, fit.spec))
                 if t.tree + 1 < fit.spec.trees:
                     active.append(Growing(t.fit, t.tree + 1))
-    for (number, _), tree in sorted(done.items()):
-        of[number].done.add(*tree)
+    return passes, tops
+
+
+# --- subtrees of forests -----------------------------------------------------------------------
+
+def _forests(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> int:
+    """Grow all trees of forests: ``done`` and ``held`` of the fits read a written table."""
+    widths = np.asarray(widths, np.int64)
+    passes, tops = _grow(blocks, widths, [f for f in fits if f.size > SUBTREE or f.spec.leaves is not None])
+    for f in fits:
+        for k in range(f.spec.trees):
+            tops.setdefault((f.number, k), Growing(f.number, k, open=[], small=[0]))
+    of = {f.number: replace(f, done=Trees(), held=None) for f in fits}
+    light = {key: (finished(t, of[t.fit].spec), {n: t.level[n] for n in t.small}) for key, t in sorted(tops.items())}
+    waves, pairs = [[]], 0
+    for key in light:
+        if waves[-1] and pairs + of[key[0]].size > WAVE:
+            waves.append([])
+            pairs = 0
+        waves[-1].append(key)
+        pairs += of[key[0]].size
+    table = None
+    for keys in waves:
+        own = {key: light[key] for key in keys}
+        groups = sum(max(1, len(small)) for _, small in own.values())
+        parts = max(1, min(groups, 16 * blocks.sparkSession.sparkContext.defaultParallelism))
+        rows = blocks.select("block", "labels", "folds", "hashes", "bins").mapInArrow(subtree_rows(of, own), SUBTREE_ROWS).repartition(parts, "fit", "tree", "root")
+        grown = rows.groupBy("fit", "tree", "root").applyInArrow(subtree_of(of, {key: x[1] for key, x in own.items()}, widths), GROWN)
+        grown = materialize(grown, "forest")
+        table = grown if table is None else table.unionByName(grown)
+    for f in fits:
+        f.done = StoredTrees(table, f.number, [light[f.number, k][0] for k in range(f.spec.trees)])
+        f.held = table
     return passes
 
 
+SUBTREE_ROWS = "fit int, tree int, root int, block long, labels binary, times binary, bins binary, held binary, held_bins binary, value binary"
+GROWN = "fit int, tree int, root int, block long, feature binary, bin binary, left binary, value binary, held binary"
+
+
+def subtree_rows(fits: dict[int, Fit], trees: dict[tuple[int, int], tuple]):
+    """Task: the rows of each block that a subtree grows from, and the held-out ones that fall into
+    it. What falls into a leaf that is finished has its value already, and a group of its block."""
+    def task(batches):
+        for block in read_blocks(batches):
+            for (number, k), ((feature, cut, left, value), small) in trees.items():
+                fit = fits[number]
+                rows = np.flatnonzero(fit.rows(block.folds))
+                times = np.minimum(drawn(fit.spec, number, k, block.hashes[rows]), 255).astype(np.uint8)
+                rows, times = rows[times > 0], times[times > 0]
+                held = np.flatnonzero(block.folds == (-1 if fit.fold is None else fit.fold)).astype(np.int32)
+                arrays = np.array(feature), np.array(cut), np.array(left)
+                at, held_at = leaf_of(block.bins[rows], *arrays), leaf_of(block.bins[held], *arrays)
+                out = []
+                for root in small:
+                    own, mine = at == root, held[held_at == root]
+                    if own.any() or len(mine):
+                        out.append((root, block.labels[rows[own]].tobytes(), times[own].tobytes(), block.bins[rows[own]].tobytes(), mine.tobytes(),
+                                    block.bins[mine].tobytes(), b""))
+                rest = ~np.isin(held_at, np.array(list(small), np.int64))
+                if rest.any():
+                    out.append((-1 - block.number % (1 << 30), b"", b"", b"", held[rest].tobytes(), b"", np.array(value, float)[held_at[rest]].tobytes()))
+                if out:
+                    root, *data = zip(*out)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([number] * len(out), pa.int32()), pa.array([k] * len(out), pa.int32()), pa.array(root, pa.int32()),
+                         pa.array([block.number] * len(out), pa.int64()), *[pa.array(x, pa.binary()) for x in data]], names=SUBTREE_NAMES)
+
+    return task
+
+
+SUBTREE_NAMES = [c.split()[0] for c in SUBTREE_ROWS.split(", ")]
+
+
+def subtree_of(fits: dict[int, Fit], small: dict[tuple[int, int], dict[int, int]], widths: np.ndarray):
+    """Group: the subtree of a small node (block -1), and its values for each block's held-out rows."""
+    def grown(key, table):
+        number, k, root = (x.as_py() for x in key)
+        rows = sorted(table.to_pylist(), key=lambda r: r["block"])  # in order: the sums are the same, whatever came first
+        out = {n: [] for n in ("block", "feature", "bin", "left", "value", "held")}
+
+        def add(block, value, held=b"", feature=b"", cut=b"", left=b""):
+            for n, x in zip(out, (block, feature, cut, left, value, held)):
+                out[n].append(x)
+
+        if root < 0:
+            for r in rows:
+                add(r["block"], r["value"], r["held"])
+        else:
+            fit, d = fits[number], len(widths)
+            part = lambda n, t: np.frombuffer(b"".join(r[n] for r in rows), t)
+            bins, labels, times = part("bins", np.uint8), part("labels", np.int8), part("times", np.uint8).astype(float)
+            feature, cut, left, value = subtree(fit, k, root, small[number, k][root], bins.reshape(len(labels), d), labels, times, widths)
+            add(-1, value.tobytes(), b"", feature.tobytes(), cut.tobytes(), left.tobytes())
+            for r in rows:
+                if r["held"]:
+                    x = np.frombuffer(r["held_bins"], np.uint8).reshape(len(r["held"]) // 4, d)
+                    add(r["block"], value[leaf_of(x, feature, cut, left)].tobytes(), r["held"])
+        n = len(out["block"])
+        return pa.table([pa.array([number] * n, pa.int32()), pa.array([k] * n, pa.int32()), pa.array([root] * n, pa.int32()), pa.array(out["block"], pa.int64()),
+                         *[pa.array(out[c], pa.binary()) for c in ("feature", "bin", "left", "value", "held")]], names=[c.split()[0] for c in GROWN.split(", ")])
+
+    return grown
+
+
+def subtree(fit: Fit, tree: int, root: int, level: int, bins: np.ndarray, labels: np.ndarray, times: np.ndarray, widths: np.ndarray):
+    """Node arrays of the tree below a node that holds the given rows, grown level by level as
+    passes would: all open nodes of a level are split at once."""
+    spec = fit.spec
+    least, y = max(spec.min_split, 2 * spec.min_rows), labels.astype(float)
+    w = np.where(y > 0, fit.weight[1], fit.weight[0])
+    x = np.stack([w * y * times, w * times, times])
+    feature, cut, left, sums = np.array([-1]), np.array([0]), np.array([0]), x.sum(axis=1)[None]
+    rows, at, opened = np.arange(len(y)), np.zeros(len(y), np.int64), np.array([0])
+    while len(opened) and len(rows):
+        order = np.argsort(at, kind="stable")
+        rows, at = rows[order], at[order]
+        f = tried_by(spec, fit.number, tree, root, opened, len(widths))
+        step = max(1, CELLS // int(widths[f].sum(axis=1).max()))
+        parts = []
+        for a in range(0, len(opened), step):
+            own = slice(*np.searchsorted(at, [opened[a], opened[min(a + step, len(opened)) - 1] + 1]))
+            place = np.searchsorted(opened[a:a + step], at[own])
+            parts.append(best_splits_of(spec, x[:, rows[own]], bins[rows[own]], place, f[a:a + step], widths))
+        best, where, lower, whole = (np.concatenate(p) for p in zip(*parts))
+        sums[opened] = whole
+        ok = best >= 0
+        split = opened[ok]
+        feature[split], cut[split], left[split] = best[ok], where[ok], len(feature) + 2 * np.arange(len(split))
+        children = np.stack([lower[ok], whole[ok] - lower[ok]], axis=1).reshape(-1, 3)
+        first = len(feature)
+        feature, cut, left = (np.concatenate([c, np.full(len(children), v)]) for c, v in ((feature, -1), (cut, 0), (left, 0)))
+        sums = np.concatenate([sums, children])
+        level += 1
+        opened = first + np.flatnonzero(children[:, 2] >= least) if spec.depth is None or level < spec.depth else opened[:0]
+        stay = feature[at] >= 0
+        rows, at = rows[stay], at[stay]
+        at = left[at] + (bins[rows, feature[at]] > cut[at])
+        stay = np.isin(at, opened)
+        rows, at = rows[stay], at[stay]
+    value = np.divide(sums[:, 0], sums[:, 1], out=np.zeros(len(sums)), where=sums[:, 1] > 1e-12)
+    return feature.astype(np.int16), cut.astype(np.int16), left.astype(np.int32), value
+
+
+def best_splits_of(spec: TreeSpec, x: np.ndarray, bins: np.ndarray, place: np.ndarray, features: np.ndarray, widths: np.ndarray):
+    """``best_split`` of many nodes at once: ``x`` are the gradient, hessian and count of rows that
+    lie in the nodes ``place``. Returns feature (-1: none), bin and the sums of the left child and of the node."""
+    n, q = features.shape
+    wide = widths[features]
+    starts = np.cumsum(wide, axis=1) - wide
+    size = int(wide.sum(axis=1).max())
+    cell = (place[:, None] * size + starts[place] + np.take_along_axis(bins, features[place], axis=1)).ravel()
+    hist = np.stack([np.bincount(cell, np.repeat(c, q), n * size).reshape(n, size) for c in x])
+    whole = np.zeros((3, n))
+    for v in np.unique(wide[:, 0]):
+        own = wide[:, 0] == v
+        whole[:, own] = np.ascontiguousarray(hist[:, own, :v]).sum(axis=2)
+    run = np.cumsum(hist, axis=2)
+    spans = np.column_stack([wide, size - wide.sum(axis=1)])  # the last one is not a feature's
+    before = np.concatenate([np.zeros((3, n, 1)), run], axis=2)
+    before = np.take_along_axis(before, np.broadcast_to(np.column_stack([starts, np.full(n, size)]), (3, n, q + 1)), axis=2)
+    left = run - np.repeat(before.reshape(3, -1), spans.ravel(), axis=1).reshape(3, n, size)
+    right = whole[:, :, None] - left
+    d = 1 if spec.by_hessian else 2
+
+    def score(s):
+        return np.divide(s[0] ** 2, s[d] + spec.l2, out=np.zeros_like(s[0]), where=s[d] + spec.l2 > 1e-12)
+
+    all_of = score(whole)
+    gain = score(left) + score(right) - all_of[:, None]
+    least = max(1, spec.min_rows)
+    valid = (left[2] >= least) & (right[2] >= least) & (left[1] >= spec.min_hessian) & (right[1] >= spec.min_hessian)
+    np.put_along_axis(valid, starts + wide - 1, False, axis=1)
+    valid &= np.arange(size) < wide.sum(axis=1)[:, None]
+    gain = np.where(valid, gain, -np.inf)
+    best = gain.max(axis=1)
+    at = np.argmax(gain >= (best * (1 - EQUAL))[:, None], axis=1)
+    f = (starts <= at[:, None]).sum(axis=1) - 1
+    some = (whole[2] >= spec.min_split) & (best > 1e-10 * np.maximum(1.0, all_of))
+    k = np.arange(n)
+    return np.where(some, features[k, f], -1), np.where(some, at - starts[k, f], 0), left[:, k, at].T, whole.T
+
+
+def forest_predictions(blocks: DataFrame, fits: list[Fit]) -> DataFrame:
+    """``predictions`` of forests, from what their trees gave to the held-out rows."""
+    of = {f.number: replace(f, done=Trees(), held=None) for f in fits}
+
+    def add(key, table):
+        fit, block = (x.as_py() for x in key)
+        got = sorted(table.to_pylist(), key=lambda r: r["tree"])
+        names = np.unique(np.concatenate([np.frombuffer(r["held"], np.int32) for r in got]))
+        total = np.zeros(len(names))
+        for r in got:
+            total[np.searchsorted(names, np.frombuffer(r["held"], np.int32))] += np.frombuffer(r["value"])
+        return pa.table({"fit": pa.array([fit], pa.int32()), "block": pa.array([block], pa.int64()), "held": pa.array([names.astype(np.int32).tobytes()], pa.binary()),
+                         "total": pa.array([total.tobytes()], pa.binary())})
+
+    def task(batches):
+        for batch in batches:
+            ids = batch.column("ids")
+            for k, r in enumerate(batch.select(["labels", "fit", "held", "total"]).to_pylist()):
+                fit, rows = of[r["fit"]], np.frombuffer(r["held"], np.int32)
+                whole = lambda v: pa.array(np.full(len(rows), v, np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [ids[k].values.take(pa.array(rows)), pa.array(np.frombuffer(r["labels"], np.int8)[rows].astype(np.int32)), whole(fit.number),
+                     whole(-1 if fit.fold is None else fit.fold), pa.array(np.frombuffer(r["total"]) / fit.spec.trees)], names=["id", "label", "fit", "fold", "probability"])
+
+    sums = (fits[0].held.where((F.col("block") >= 0) & F.col("fit").isin([f.number for f in fits])).select("fit", "tree", "block", "held", "value")
+            .groupBy("fit", "block").applyInArrow(add, "fit int, block long, held binary, total binary"))
+    return blocks.select("block", "ids", "labels").join(sums, "block").mapInArrow(task, PREDICTED)
+
+
+PREDICTED = "id string, label int, fit int, fold int, probability double"
+
+
 def predictions(blocks: DataFrame, fits: list[Fit]) -> DataFrame:
     """(id, label, fit, fold, probability) of the rows held out of each fit: the fold that it
     left out, or the rows of no fold for a fit on all."""
+    stored: dict[int, list[Fit]] = {}
+    for f in fits:
+        if f.held is not None:
+            stored.setdefault(id(f.held), []).append(f)
+    fits = [f for f in fits if f.held is None]
+
     def task(batches):
         for batch in batches:
             ids = batch.column("ids")
@@ -533,7 +813,10 @@ def predictions(blocks: DataFrame, fits: list[Fit]) -> DataFrame:
                          pa.array(np.full(len(rows), -1 if fit.fold is None else fit.fold, np.int32)), pa.array(p)],
                         names=["id", "label", "fit", "fold", "probability"])
 
-    return blocks.mapInArrow(task, "id string, label int, fit int, fold int, probability double")
+    out = blocks.mapInArrow(task, PREDICTED)
+    for own in stored.values():
+        out = out.unionByName(forest_predictions(blocks, own))
+    return out
 
 
 @dataclass
@@ -546,7 +829,7 @@ class TreeModel:
 
     def predict(self, rows: DataFrame, key: str, keep: Sequence[str] = ()) -> DataFrame:
         names = [f"f{i}" for i in range(len(self.feature_cols))]
-        cuts, fit, keep = self.cuts, self.fit, list(keep)
+        cuts, fit, keep = self.cuts, replace(self.fit, held=None), list(keep)
         wide = rows.select(F.col(key).alias("id"), *keep, *[F.col(c).cast("double").alias(n) for c, n in zip(self.feature_cols, names)])
 
         def task(batches):

@@ -210,3 +210,36 @@ def test_saved_model_scores_the_same(spark, tmp_path):
         got = {r.id: r.probability for r in T.TreeModel.load(spark, f"{tmp_path}/m{fit.number}").predict(rows.where("fold is null"), "id", ["label"]).collect()}
         want = held_out(blocks, [fit])[fit.number]
         assert got.keys() == want.keys() and np.allclose([got[i] for i in want], list(want.values()))
+
+
+def test_subtrees_of_forests_grow_in_groups(spark, monkeypatch):
+    x, y, fold = data(400, seed=7)
+    names = [f"x{j}" for j in range(x.shape[1])]
+    rows = frame(spark, x, y, fold)
+    specs = [T.TreeSpec("deep", 3, forest=True, min_split=3, weights="balanced"), SPECS[5]]
+    results = []
+    for subtree, block_rows in ((1 << 17, 16_384), (60, 16_384), (60, 90)):
+        monkeypatch.setattr(T, "SUBTREE", subtree)
+        monkeypatch.setattr(T, "BLOCK_ROWS", block_rows)
+        cuts = T.cuts_of(rows.where("fold is not null"), names)
+        blocks = T.blocks_of(rows, names, cuts)
+        fits = T.prepare_fits(specs, [0, None], blocks)
+        passes = T.grow(blocks, [len(c) + 1 for c in cuts], fits)
+        assert passes == 0 if subtree > 400 else 0 < passes < 20  # small tables need none, whatever the depth
+        results.append((held_out(blocks, fits), [sorted(np.diff([*f.done.first, len(f.done.feature)])) for f in fits]))
+        for f in fits[1::2]:  # the trees in the table are those that gave the predictions
+            got = {r.id: r.probability for r in T.TreeModel(names, cuts, f).predict(rows.where("fold is null"), "id").collect()}
+            assert got.keys() == results[-1][0][f.number].keys() and np.allclose([got[i] for i in got], [results[-1][0][f.number][i] for i in got])
+    for other in results[1:]:
+        assert other[1] == results[0][1]
+        for k in other[0]:
+            assert other[0][k].keys() == results[0][0][k].keys() and np.allclose([other[0][k][i] for i in other[0][k]], [results[0][0][k][i] for i in other[0][k]], atol=1e-9)
+
+
+def test_rows_of_a_large_partition_are_dealt_to_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(T, "BLOCK_ROWS", 50)
+    x, y, fold = data(400, seed=8)
+    names = [f"x{j}" for j in range(x.shape[1])]
+    rows = frame(spark, x, y, fold).coalesce(1)
+    blocks = T.blocks_of(rows, names, T.cuts_of(rows, names))
+    assert blocks.select(F.input_file_name()).distinct().count() == 8  # one file before, and so one task in every pass
