@@ -8,6 +8,10 @@ added, and each node's best split is found where its histogram lies. Only the be
 few numbers a node, at most ``NODES`` nodes a pass) reach the driver, which extends the trees.
 Fits do not wait for each other: each is at its own tree and depth.
 
+A boosted fit has its trees one after the other, some hundreds of passes. Up to ``ALONE`` rows these
+cost more than the sums do: then a task takes a copy of all blocks and grows the whole fit, and
+all fits are one job. Forests up to ``SUBTREE`` rows join it, some trees of a fit in each task.
+
 * Boosting: gradients and hessians of the logistic loss at the margin of the trees so far. The
   gain is G^2 / (D + l2) summed over the children minus the parent, D being the hessian
   (Newton gain) or the row count (squared error on residuals); a leaf's value is the Newton
@@ -18,7 +22,7 @@ Fits do not wait for each other: each is at its own tree and depth.
 * Row subsampling, Poisson bagging and the features tried in a node are hashes of the row (its
   content), the tree and the node, so a retried task draws the same rows.
 * Forest: trees are independent; a node is not split below ``min_split`` rows, depth is unbounded
-  if the configuration says so. Only nodes of more than ``SUBTREE`` rows (of small tables none) are
+  if the configuration says so. Only nodes of more than ``SUBTREE`` rows (of smaller tables none) are
   split by passes. The rows of a smaller one go to one group, which grows the whole subtree and
   also takes the held-out rows that fall into it. A forest has about as many nodes as rows times
   trees, so its trees stay in a written table, and what they give each held-out row is added up
@@ -57,7 +61,10 @@ LEAST_ROWS = 4096
 EQUAL = 1e-9
 #: Rows of a forest's node from which one group grows the rest, (row, tree) pairs shuffled at once,
 #: and cells of the histograms made at once.
-SUBTREE, WAVE, CELLS = 1 << 17, 200_000_000, 1 << 19
+SUBTREE, WAVE, CELLS = 1 << 20, 200_000_000, 1 << 19
+#: Rows up to which one task grows a boosted fit, cells at most that features of few bins share, and
+#: tasks a core over which the trees of forests are dealt.
+ALONE, JOINT, DEALT = 1 << 20, 512, 8
 
 
 @dataclass(frozen=True)
@@ -124,7 +131,7 @@ class StoredTrees:
         for k, top in enumerate(tops):
             columns = [np.array(c) for c in top]
             for r in found.get(k, []):
-                below = [np.frombuffer(r[n], t) for n, t in (("feature", np.int16), ("bin", np.int16), ("left", np.int32), ("value", float))]
+                below = arrays_of(r)
                 below[2] = np.where(below[0] >= 0, below[2] + len(columns[0]) - 1, 0)  # its root takes a place that is there
                 for c, x in zip(columns, below):
                     c[r["root"]] = x[0]
@@ -191,7 +198,7 @@ def tried_by(spec: TreeSpec, fit: int, tree: int, root: int, nodes: np.ndarray,
     if not spec.max_features or spec.max_features >= n:
         return np.tile(np.arange(n), (len(nodes), 1))
     salts = (fit, tree, nodes[:, None]) if root == 0 else (fit, tree, root, nodes[:, None])
-    return np.sort(np.argsort(mix(np.arange(n), *salts), axis=1, kind="stable")[:, :spec.max_features], axis=1)
+    return np.sort(np.argpartition(mix(np.arange(n), *salts), spec.max_features - 1, axis=1)[:, :spec.max_features], axis=1)
 
 
 # --- rows as binned blocks ---------------------------------------------------------------------
@@ -487,6 +494,11 @@ def extend(t: Growing, spec: TreeSpec, found: list[dict]) -> None:
 
 def finished(t: Growing, spec: TreeSpec) -> tuple[list, list, list, list]:
     """Node arrays of a grown tree, numbered anew without the splits that best-first left out."""
+    return numbered(t, spec)[:4]
+
+
+def numbered(t: Growing, spec: TreeSpec) -> tuple[list, list, list, list, list]:
+    """``finished``, and the growing tree's number of each node."""
     split = set(reached(t, spec.leaves))
     feature, cut, left, value = [], [], [], []
     queue = [0]
@@ -500,7 +512,7 @@ def finished(t: Growing, spec: TreeSpec) -> tuple[list, list, list, list]:
         s = t.sums[n] if t.sums[n] is not None else np.zeros(3)
         d = s[1] + (0 if spec.forest else spec.l2)
         value.append((s[0] / d if d > 1e-12 else 0.0) * (1 if spec.forest else spec.rate))
-    return feature, cut, left, value
+    return feature, cut, left, value, queue
 
 
 def prepare_fits(specs: Sequence[TreeSpec], folds: Sequence[int | None], blocks: DataFrame) -> list[Fit]:
@@ -526,8 +538,13 @@ def prepare_fits(specs: Sequence[TreeSpec], folds: Sequence[int | None], blocks:
 
 def grow(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> int:
     """Grow all trees of all fits (in place); returns the number of passes."""
-    forests = [f for f in fits if f.spec.forest and 0 < f.prior < 1 and f.spec.trees]
-    return _grow(blocks, widths, [f for f in fits if not f.spec.forest])[0] + (_forests(blocks, widths, forests) if forests else 0)
+    fits = [f for f in fits if 0 < f.prior < 1 and f.spec.trees]
+    alone = [f for f in fits if (f.size <= SUBTREE and f.spec.leaves is None if f.spec.forest else f.size <= ALONE)]
+    if alone:
+        _alone(blocks, np.asarray(widths, np.int64), alone)
+    others = [f for f in fits if f not in alone]
+    boosted, forests = ([f for f in others if f.spec.forest == kind] for kind in (False, True))
+    return (_grow(blocks, widths, boosted)[0] if boosted else 0) + (_forests(blocks, widths, forests) if forests else 0)
 
 
 def _grow(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> tuple[int, dict]:
@@ -579,6 +596,154 @@ def _grow(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> tuple[in
     return passes, tops
 
 
+# --- fits of few rows --------------------------------------------------------------------------
+
+def _alone(blocks: DataFrame, widths: np.ndarray, fits: list[Fit]) -> None:
+    """Grow fits in one job: a task takes all blocks and grows a boosted fit, or some trees of a forest."""
+    forests, boosted = [f for f in fits if f.spec.forest], [f for f in fits if not f.spec.forest]
+    work = lambda f: f.spec.trees * min(f.spec.leaves or 1 << 30, 1 << min(f.spec.depth or 30, 30))
+    units = [(f.number, 0, f.spec.trees) for f in sorted(boosted, key=work, reverse=True)]  # the longest first
+    step = max(1, math.ceil(sum(f.spec.trees for f in forests) / (DEALT * blocks.sparkSession.sparkContext.defaultParallelism)))
+    units += [(f.number, k, min(step, f.spec.trees - k)) for f in forests for k in range(0, f.spec.trees, step)]
+    of = {f.number: replace(f, done=Trees(), held=None) for f in fits}
+    copies = blocks.select("block", "labels", "folds", "hashes", "bins", F.explode(F.sequence(F.lit(0), F.lit(len(units) - 1))).alias("unit"))
+    grown = materialize(copies.repartitionById(len(units), F.col("unit")).mapInArrow(unit_trees(of, units, widths), GROWN), "trees")
+    found: dict[int, Trees] = {f.number: Trees() for f in boosted}
+    for r in grown.where(F.col("fit").isin([*found])).orderBy("fit", "tree").toArrow().to_pylist() if found else []:
+        found[r["fit"]].add(*arrays_of(r))
+    for f in boosted:
+        while len(found[f.number].first) < f.spec.trees:  # there is no block
+            found[f.number].add(*finished(Growing(f.number, 0), f.spec))
+        f.done = found[f.number]
+    for f in forests:
+        f.done, f.held = StoredTrees(grown, f.number, [finished(Growing(f.number, k), f.spec) for k in range(f.spec.trees)]), grown
+
+
+def arrays_of(r: dict) -> list[np.ndarray]:
+    """Node arrays of a row of ``GROWN``."""
+    return [np.frombuffer(r[n], t) for n, t in (("feature", np.int16), ("bin", np.int16), ("left", np.int32), ("value", float))]
+
+
+def unit_trees(fits: dict[int, Fit], units: list[tuple[int, int, int]], widths: np.ndarray):
+    """Task: the trees (fit, first, number) of a unit from all blocks, and for a forest what they give
+    the held-out rows of each block, added up in the order of the trees."""
+    def task(batches):
+        found: dict[int, list[Block]] = {}
+        for batch in batches:
+            for unit, block in zip(batch.column("unit").to_pylist(), read_blocks([batch])):
+                found.setdefault(unit, []).append(block)
+        for unit, own in found.items():
+            number, first, trees = units[unit]
+            fit = fits[number]
+            own.sort(key=lambda b: b.number)  # in order: the sums are the same, whatever came first
+            whole = [np.concatenate([getattr(b, n)[fit.rows(b.folds)] for b in own]) for n in ("bins", "labels", "hashes")]
+            out = {n: [] for n in ("tree", "block", "feature", "bin", "left", "value", "held")}
+
+            def add(tree, block, feature, cut, left, value, held=b""):
+                for n, x in zip(out, (tree, block, feature, cut, left, value, held)):
+                    out[n].append(x)
+
+            if fit.spec.forest:
+                held = [np.flatnonzero(b.folds == (-1 if fit.fold is None else fit.fold)).astype(np.int32) for b in own]
+                held_bins = np.concatenate([b.bins[rows] for b, rows in zip(own, held)])
+                total = np.zeros(len(held_bins))
+                for k in range(first, first + trees):
+                    times = np.minimum(drawn(fit.spec, number, k, whole[2]), 255)
+                    rows = np.flatnonzero(times > 0)
+                    tree = subtree(fit, k, 0, 0, whole[0][rows], whole[1][rows], times[rows], widths)
+                    add(k, -1, *(x.tobytes() for x in tree))
+                    total += tree[3][leaf_of(held_bins, *tree[:3])]
+                ends = np.cumsum([len(rows) for rows in held])
+                for b, rows, values in zip(own, held, np.split(total, ends[:-1])):
+                    if len(rows):
+                        add(first, b.number, b"", b"", b"", values.tobytes(), rows.tobytes())
+            else:
+                for k, tree in enumerate(boosted_trees(fit, *whole, widths)):
+                    add(k, -1, *(np.asarray(x, t).tobytes() for x, t in zip(tree, (np.int16, np.int16, np.int32, float))))
+            n = len(out["tree"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number] * n, pa.int32()), pa.array(out["tree"], pa.int32()), pa.array([0] * n, pa.int32()), pa.array(out["block"], pa.int64()),
+                 *[pa.array(out[c], pa.binary()) for c in ("feature", "bin", "left", "value", "held")]], names=GROWN_NAMES)
+
+    return task
+
+
+class JointBins:
+    """Bins of all rows, made for histograms: features of few bins share a code of at most ``JOINT``
+    values, so that a row is added up once for all of them; their own sums are taken from the code's."""
+
+    def __init__(self, bins: np.ndarray, widths: np.ndarray):
+        self.total, offsets = int(widths.sum()), np.concatenate([[0], np.cumsum(widths)])
+        groups: list[list[int]] = []
+        for f in np.argsort(widths, kind="stable"):
+            if groups and math.prod(int(widths[k]) for k in groups[-1]) * int(widths[f]) <= JOINT:
+                groups[-1].append(int(f))
+            else:
+                groups.append([int(f)])
+        self.codes, self.sizes, self.columns, self.parts = [], [], [], []
+        for group in groups:
+            code, size = np.zeros(len(bins), np.intp), 1
+            for f in group:
+                code += bins[:, f].astype(np.intp) * size
+                size *= int(widths[f])
+            self.codes.append(code)
+            self.sizes.append(size)
+            self.columns.append(np.concatenate([np.arange(offsets[f], offsets[f + 1]) for f in group]))
+            values, parts, below = np.arange(size), [], 1
+            for f in group:
+                parts.append((values // below % widths[f])[:, None] == np.arange(widths[f]))
+                below *= int(widths[f])
+            self.parts.append(np.concatenate(parts, axis=1).astype(float) if len(group) > 1 else None)
+
+    def sums(self, place: np.ndarray, n: int, weights: list[np.ndarray | None]) -> np.ndarray:
+        """Sums of each weight (None: 1) by (node, weight, bin) over the rows in the nodes ``place`` < n."""
+        out = np.empty((n, len(weights), self.total))
+        for code, size, columns, part in zip(self.codes, self.sizes, self.columns, self.parts):
+            at = place * size
+            at += code
+            for k, w in enumerate(weights):
+                found = np.bincount(at, w, (n + 1) * size)[:n * size].reshape(n, size)
+                out[:, k, columns] = found if part is None else found @ part
+        return out
+
+
+def boosted_trees(fit: Fit, bins: np.ndarray, labels: np.ndarray, hashes: np.ndarray, widths: np.ndarray):
+    """The trees of a boosted fit on the given rows, as passes would grow them."""
+    spec, joint, offsets = fit.spec, JointBins(bins, widths), np.concatenate([[0], np.cumsum(widths)])
+    y = labels.astype(float)
+    w = np.where(y > 0, fit.weight[1], fit.weight[0])
+    total = np.zeros(len(y))
+    for k in range(spec.trees):
+        p = 1 / (1 + np.exp(-(fit.start + total)))
+        g, h, times = w * (y - p), w * p * (1 - p), None
+        if spec.subsample < 1:
+            times = drawn(spec, fit.number, k, hashes)
+            g, h = g * times, h * times
+        t, node = Growing(fit.number, k), np.zeros(len(y), np.int32)
+        while t.open:
+            place = np.full(len(t.feature), len(t.open))
+            place[t.open] = np.arange(len(t.open))
+            sums, found = joint.sums(place[node], len(t.open), [g, h, times]), []
+            for x, name in zip(sums, t.open):
+                if x[2, :widths[0]].any():
+                    features = tried(spec, t.fit, t.tree, name, len(widths))
+                    mine = x if len(features) == len(widths) else x[:, columns_of(spec, t, name, offsets)]
+                    found.append({"node": name, **best_split(spec, mine, features, widths[features])})
+            extend(t, spec, found)
+            feature = np.array(t.feature)
+            rows = np.flatnonzero((feature >= 0)[node])
+            at = node[rows]
+            node[rows] = np.array(t.left)[at] + (bins[rows, feature[at]] > np.array(t.bin)[at])
+        *tree, kept = numbered(t, spec)
+        value = np.full(len(t.feature), np.nan)
+        value[kept] = tree[3]
+        for n in range(len(value)):  # splits that best-first left out: their rows stay above
+            if t.feature[n] >= 0 and np.isnan(value[t.left[n]]):
+                value[t.left[n]:t.left[n] + 2] = value[n]
+        total = total + value[node]
+        yield tree
+
+
 # --- subtrees of forests -----------------------------------------------------------------------
 
 def _forests(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> int:
@@ -614,6 +779,7 @@ def _forests(blocks: DataFrame, widths: Sequence[int], fits: list[Fit]) -> int:
 
 SUBTREE_ROWS = "fit int, tree int, root int, block long, labels binary, times binary, bins binary, held binary, held_bins binary, value binary"
 GROWN = "fit int, tree int, root int, block long, feature binary, bin binary, left binary, value binary, held binary"
+GROWN_NAMES = [c.split()[0] for c in GROWN.split(", ")]
 
 
 def subtree_rows(fits: dict[int, Fit], trees: dict[tuple[int, int], tuple]):
@@ -676,87 +842,99 @@ def subtree_of(fits: dict[int, Fit], small: dict[tuple[int, int], dict[int, int]
                     add(r["block"], value[leaf_of(x, feature, cut, left)].tobytes(), r["held"])
         n = len(out["block"])
         return pa.table([pa.array([number] * n, pa.int32()), pa.array([k] * n, pa.int32()), pa.array([root] * n, pa.int32()), pa.array(out["block"], pa.int64()),
-                         *[pa.array(out[c], pa.binary()) for c in ("feature", "bin", "left", "value", "held")]], names=[c.split()[0] for c in GROWN.split(", ")])
+                         *[pa.array(out[c], pa.binary()) for c in ("feature", "bin", "left", "value", "held")]], names=GROWN_NAMES)
 
     return grown
 
 
 def subtree(fit: Fit, tree: int, root: int, level: int, bins: np.ndarray, labels: np.ndarray, times: np.ndarray, widths: np.ndarray):
     """Node arrays of the tree below a node that holds the given rows, grown level by level as
-    passes would: all open nodes of a level are split at once."""
-    spec = fit.spec
-    least, y = max(spec.min_split, 2 * spec.min_rows), labels.astype(float)
-    w = np.where(y > 0, fit.weight[1], fit.weight[0])
-    x = np.stack([w * y * times, w * times, times])
+    passes would: all open nodes of a level are split at once. What is added up are whole numbers:
+    how often rows of label 1, and all rows, were drawn. A node of one label gains nothing by a split."""
+    spec, d = fit.spec, len(widths)
+    least, flat = max(spec.min_split, 2 * spec.min_rows), np.ascontiguousarray(bins).ravel()
+    x = np.stack([(labels > 0) * times, times]).astype(float)
     feature, cut, left, sums = np.array([-1]), np.array([0]), np.array([0]), x.sum(axis=1)[None]
-    rows, at, opened = np.arange(len(y)), np.zeros(len(y), np.int64), np.array([0])
+    rows, opened = np.arange(len(labels)), np.array([0])
+    place, first = np.zeros(len(labels), np.int64), np.array([0])  # rows lie in the order of the open nodes
     while len(opened) and len(rows):
-        order = np.argsort(at, kind="stable")
-        rows, at = rows[order], at[order]
-        f = tried_by(spec, fit.number, tree, root, opened, len(widths))
-        step = max(1, CELLS // int(widths[f].sum(axis=1).max()))
-        parts = []
-        for a in range(0, len(opened), step):
-            own = slice(*np.searchsorted(at, [opened[a], opened[min(a + step, len(opened)) - 1] + 1]))
-            place = np.searchsorted(opened[a:a + step], at[own])
-            parts.append(best_splits_of(spec, x[:, rows[own]], bins[rows[own]], place, f[a:a + step], widths))
-        best, where, lower, whole = (np.concatenate(p) for p in zip(*parts))
-        sums[opened] = whole
+        f = tried_by(spec, fit.number, tree, root, opened, d)
+        cells, parts, a = np.cumsum(widths[f].sum(axis=1)), [], 0
+        while a < len(opened):
+            b = max(a + 1, int(np.searchsorted(cells, (cells[a - 1] if a else 0) + CELLS)))
+            own = slice(first[a], first[b] if b < len(opened) else len(rows))
+            at = place[own] - a
+            bin_ = flat[(rows[own] * d)[:, None] + f[a:b][at]]
+            parts.append(best_splits_of(spec, fit.weight, x[:, rows[own]], bin_, at, f[a:b], widths))
+            a = b
+        best, where, lower = (np.concatenate(p) for p in zip(*parts))
         ok = best >= 0
         split = opened[ok]
         feature[split], cut[split], left[split] = best[ok], where[ok], len(feature) + 2 * np.arange(len(split))
-        children = np.stack([lower[ok], whole[ok] - lower[ok]], axis=1).reshape(-1, 3)
-        first = len(feature)
+        children = np.stack([lower[ok], sums[split] - lower[ok]], axis=1).reshape(-1, 2)
+        start = len(feature)
         feature, cut, left = (np.concatenate([c, np.full(len(children), v)]) for c, v in ((feature, -1), (cut, 0), (left, 0)))
         sums = np.concatenate([sums, children])
         level += 1
-        opened = first + np.flatnonzero(children[:, 2] >= least) if spec.depth is None or level < spec.depth else opened[:0]
-        stay = feature[at] >= 0
-        rows, at = rows[stay], at[stay]
-        at = left[at] + (bins[rows, feature[at]] > cut[at])
-        stay = np.isin(at, opened)
-        rows, at = rows[stay], at[stay]
-    value = np.divide(sums[:, 0], sums[:, 1], out=np.zeros(len(sums)), where=sums[:, 1] > 1e-12)
+        more = (children[:, 1] >= least) & (children[:, 0] > 0) & (children[:, 0] < children[:, 1])
+        if spec.depth is not None and level >= spec.depth:
+            more[:] = False
+        child = np.where(ok, 2 * np.cumsum(ok) - 2, -1)[place]
+        stay = child >= 0
+        rows, place, child = rows[stay], place[stay], child[stay]
+        child += flat[rows * d + best[place]] > where[place]
+        opened, number = start + np.flatnonzero(more), np.cumsum(more) - 1
+        stay = more[child]
+        rows, place = rows[stay], number[child[stay]]
+        order = np.argsort(place.astype(np.uint16) if len(opened) < 1 << 16 else place, kind="stable")
+        rows, place = rows[order], place[order]
+        first = np.searchsorted(place, np.arange(len(opened)))
+    mass = fit.weight[1] * sums[:, 0], fit.weight[0] * (sums[:, 1] - sums[:, 0])
+    value = np.divide(mass[0], mass[0] + mass[1], out=np.zeros(len(sums)), where=mass[0] + mass[1] > 1e-12)
     return feature.astype(np.int16), cut.astype(np.int16), left.astype(np.int32), value
 
 
-def best_splits_of(spec: TreeSpec, x: np.ndarray, bins: np.ndarray, place: np.ndarray, features: np.ndarray, widths: np.ndarray):
-    """``best_split`` of many nodes at once: ``x`` are the gradient, hessian and count of rows that
-    lie in the nodes ``place``. Returns feature (-1: none), bin and the sums of the left child and of the node."""
+def best_splits_of(spec: TreeSpec, weight: tuple[float, float], x: np.ndarray, bins: np.ndarray, place: np.ndarray, features: np.ndarray, widths: np.ndarray):
+    """``best_split`` of many nodes of a forest at once: ``x`` are the draws of label 1 and all draws of rows
+    that lie in the nodes ``place`` (each has some), ``bins`` those of the node's ``features``. Only bins
+    that hold rows are looked at: a cut at another one is that of the bin before it.
+    Returns feature (-1: none), bin and the two numbers of the left child."""
     n, q = features.shape
-    wide = widths[features]
-    starts = np.cumsum(wide, axis=1) - wide
-    size = int(wide.sum(axis=1).max())
-    cell = (place[:, None] * size + starts[place] + np.take_along_axis(bins, features[place], axis=1)).ravel()
-    hist = np.stack([np.bincount(cell, np.repeat(c, q), n * size).reshape(n, size) for c in x])
-    whole = np.zeros((3, n))
-    for v in np.unique(wide[:, 0]):
-        own = wide[:, 0] == v
-        whole[:, own] = np.ascontiguousarray(hist[:, own, :v]).sum(axis=2)
-    run = np.cumsum(hist, axis=2)
-    spans = np.column_stack([wide, size - wide.sum(axis=1)])  # the last one is not a feature's
-    before = np.concatenate([np.zeros((3, n, 1)), run], axis=2)
-    before = np.take_along_axis(before, np.broadcast_to(np.column_stack([starts, np.full(n, size)]), (3, n, q + 1)), axis=2)
-    left = run - np.repeat(before.reshape(3, -1), spans.ravel(), axis=1).reshape(3, n, size)
-    right = whole[:, :, None] - left
+    ends = np.cumsum(widths[features])
+    starts = ends - widths[features].ravel()
+    cell = (starts.reshape(n, q)[place] + bins).ravel()
+    whole = float(1 << 26)  # both numbers in one sum: a node has fewer draws
+    hist = np.bincount(cell, np.repeat(x[0] * whole + x[1], q), int(ends[-1]))
+    used = np.flatnonzero(hist)
+    ones = np.floor(hist[used] / whole)
+    run = np.cumsum(np.stack([ones, hist[used] - ones * whole]), axis=1)
+    first = np.searchsorted(used, starts)  # of each feature of a node; each holds some rows
+    size = np.diff(first, append=len(used))
+    before = np.concatenate([np.zeros((2, 1)), run], axis=1)[:, first]
+    left = run - np.repeat(before, size, axis=1)
+    all_of = (run[:, first + size - 1] - before)[:, ::q]
+    node = np.repeat(np.arange(n), size.reshape(n, q).sum(axis=1))
+    right = all_of[:, node] - left
+
+    def masses(s):
+        ones = weight[1] * s[0]
+        return ones, ones + weight[0] * (s[1] - s[0]), s[1]
+
     d = 1 if spec.by_hessian else 2
 
     def score(s):
         return np.divide(s[0] ** 2, s[d] + spec.l2, out=np.zeros_like(s[0]), where=s[d] + spec.l2 > 1e-12)
 
-    all_of = score(whole)
-    gain = score(left) + score(right) - all_of[:, None]
+    lower, upper, both = masses(left), masses(right), score(masses(all_of))
+    gain = score(lower) + score(upper) - both[node]
     least = max(1, spec.min_rows)
-    valid = (left[2] >= least) & (right[2] >= least) & (left[1] >= spec.min_hessian) & (right[1] >= spec.min_hessian)
-    np.put_along_axis(valid, starts + wide - 1, False, axis=1)
-    valid &= np.arange(size) < wide.sum(axis=1)[:, None]
-    gain = np.where(valid, gain, -np.inf)
-    best = gain.max(axis=1)
-    at = np.argmax(gain >= (best * (1 - EQUAL))[:, None], axis=1)
-    f = (starts <= at[:, None]).sum(axis=1) - 1
-    some = (whole[2] >= spec.min_split) & (best > 1e-10 * np.maximum(1.0, all_of))
-    k = np.arange(n)
-    return np.where(some, features[k, f], -1), np.where(some, at - starts[k, f], 0), left[:, k, at].T, whole.T
+    gain[(lower[2] < least) | (upper[2] < least) | (lower[1] < spec.min_hessian) | (upper[1] < spec.min_hessian)] = -np.inf
+    best = np.maximum.reduceat(gain, first[::q])
+    near = np.flatnonzero(gain >= (best * (1 - EQUAL))[node])
+    some = (all_of[1] >= spec.min_split) & (best > 1e-10 * np.maximum(1.0, both))
+    at = np.where(some, np.append(near, 0)[np.searchsorted(near, first[::q])], 0)
+    part = np.searchsorted(first, at, side="right") - 1
+    return np.where(some, features.ravel()[part], -1), np.where(some, used[at] - starts[part], 0), left[:, at].T
 
 
 def forest_predictions(blocks: DataFrame, fits: list[Fit]) -> DataFrame:

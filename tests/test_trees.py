@@ -243,3 +243,40 @@ def test_rows_of_a_large_partition_are_dealt_to_many_blocks(spark, monkeypatch):
     rows = frame(spark, x, y, fold).coalesce(1)
     blocks = T.blocks_of(rows, names, T.cuts_of(rows, names))
     assert blocks.select(F.input_file_name()).distinct().count() == 8  # one file before, and so one task in every pass
+
+
+def test_boosted_fits_of_few_rows_need_no_passes(spark, monkeypatch):
+    x, y, fold = data(400, seed=9)
+    names = [f"x{j}" for j in range(x.shape[1])]
+    rows = frame(spark, x, y, fold)
+    specs = [*SPECS[:4], T.TreeSpec("few features", 3, depth=3, max_features=2)]
+    results = []
+    for alone, block_rows in ((1 << 20, 16_384), (1 << 20, 60), (0, 60)):
+        monkeypatch.setattr(T, "ALONE", alone)
+        monkeypatch.setattr(T, "BLOCK_ROWS", block_rows)
+        cuts = T.cuts_of(rows.where("fold is not null"), names)
+        blocks = T.blocks_of(rows, names, cuts)
+        fits = T.prepare_fits(specs, [0, None], blocks)
+        passes = T.grow(blocks, [len(c) + 1 for c in cuts], fits)
+        assert passes == 0 if alone else passes >= 12  # one after the other, whatever the rows
+        results.append((held_out(blocks, fits), [np.diff([*f.done.first, len(f.done.feature)]).tolist() for f in fits]))
+    for other in results[1:]:
+        assert other[1] == results[0][1]
+        for k in other[0]:
+            assert other[0][k].keys() == results[0][0][k].keys() and np.allclose([other[0][k][i] for i in other[0][k]], [results[0][0][k][i] for i in other[0][k]], atol=1e-9)
+
+
+def test_splits_of_many_nodes_are_those_of_each():
+    rng = np.random.default_rng(3)
+    widths, spec, weight = np.array([2, 9, 40, 3]), T.TreeSpec("f", 1, forest=True, min_split=4), (0.7, 2.5)
+    bins = np.stack([rng.integers(0, w, 500) for w in widths], axis=1).astype(np.uint8)
+    labels, times, place = rng.integers(0, 2, 500), rng.integers(1, 4, 500), np.append(np.arange(60), rng.integers(0, 60, 440))
+    features = np.array([np.sort(rng.permutation(4)[:2]) for _ in range(60)])
+    got = T.best_splits_of(spec, weight, np.stack([labels * times, times]).astype(float), bins[np.arange(500)[:, None], features[place]], place, features, widths)
+    for n in range(60):
+        own = np.flatnonzero(place == n)
+        x = np.stack([labels * weight[1] * times, np.where(labels, weight[1], weight[0]) * times, times])[:, own]
+        hist = np.concatenate([[np.bincount(bins[own, f], c, widths[f]) for c in x] for f in features[n]], axis=1)
+        want = T.best_split(spec, hist, features[n], widths[features[n]])
+        assert (got[0][n], got[1][n]) == (want["feature"], want["bin"])
+        assert want["feature"] < 0 or np.isclose(got[2][n][1], want["sums"][2])
