@@ -1,7 +1,7 @@
 """All seven model families in shared passes over packed rows.
 
 The tree families (``trees``) grow together, the linear ones (``linear``) take their Newton
-steps together, KNN searches its index (``knn``). Every configuration is a fit on each fold and
+steps together, KNN searches its index (``knn``); the three kinds run at the same time. Every configuration is a fit on each fold and
 is scored on the fold it left out by exact ROC-AUC; the best of a family is fitted on all
 training rows and scored on the test rows. With one configuration a family, its fit on all rows
 joins the first passes.
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbflow import schemas as S
 from ebbflow.operators import evaluate as EV, linear as L, models as M, trees as T
-from ebbflow.session import materialize
+from ebbflow.session import at_once, dealt, materialize
 
 N_FOLDS = 5
 
@@ -128,11 +128,10 @@ def compare(split_rows: DataFrame, configs: dict[str, list[dict]] | None = None,
     ones by default), and the fitted models by name."""
     configs = configs or PUBLISHED
     spark, cols = split_rows.sparkSession, list(feature_cols)
+    split_rows = dealt(split_rows, "compared")
     rows = rows_of(split_rows, cols)
-    cvs, tests, params, models = [], [], {}, {}
 
-    numbered = {k: x for k, x in enumerate((fam, p) for fam in TREES for p in configs.get(fam, []))}
-    if numbered:
+    def trees(numbered):
         cuts = T.cuts_of(rows.where(F.col("fold").isNotNull()), cols)
         blocks = T.blocks_of(rows, cols, cuts).persist()
         widths = [len(c) + 1 for c in cuts]
@@ -142,14 +141,11 @@ def compare(split_rows: DataFrame, configs: dict[str, list[dict]] | None = None,
             return {k: fits[i * len(folds):(i + 1) * len(folds)] for i, k in enumerate(chosen)}
 
         cv, test, best, final = _family_fits(make, lambda fits: T.grow(blocks, widths, fits), lambda fits: T.predictions(blocks, fits), numbered)
-        cvs.append(cv)
-        tests.append(materialize(test, "tree-tests"))
+        test = materialize(test, "tree-tests")
         blocks.unpersist()
-        params |= best
-        models |= {fam: T.TreeModel(cols, cuts, f) for fam, f in final.items()}
+        return cv, test, best, {fam: T.TreeModel(cols, cuts, f) for fam, f in final.items()}
 
-    numbered = {k: x for k, x in enumerate((fam, p) for fam in LINEAR for p in configs.get(fam, []))}
-    if numbered:
+    def linear(numbered):
         dense = L.blocks_of(rows, cols).persist()
 
         def make_linear(chosen, folds):
@@ -161,21 +157,23 @@ def compare(split_rows: DataFrame, configs: dict[str, list[dict]] | None = None,
                 L.cross_fit(dense, folds, final)
 
         cv, test, best, final = _family_fits(make_linear, lambda fits: L.newton(dense, fits), lambda fits: L.predictions(dense, fits), numbered, finish)
-        cvs.append(cv)
-        tests.append(materialize(test, "linear-tests"))
+        test = materialize(test, "linear-tests")
         dense.unpersist()
-        params |= best
-        models |= {fam: L.LinearModel(cols, f) for fam, f in final.items()}
+        return cv, test, best, {fam: L.LinearModel(cols, f) for fam, f in final.items()}
 
-    if configs.get("KNN"):
-        each = lambda n: tuple(dict.fromkeys(p[n] for p in configs["KNN"]))
-        test, cv, best, models["KNN"] = M.knn_family(split_rows, cols, ks=each("n_neighbors"), weights=each("weights"), metrics=each("metric"))
+    def knn(chosen):
+        each = lambda n: tuple(dict.fromkeys(p[n] for p in chosen))
+        test, cv, best, model = M.knn_family(split_rows, cols, ks=each("n_neighbors"), weights=each("weights"), metrics=each("metric"))
         tag = lambda df, *more: df.withColumn("prediction", (F.col("probability") > 0.5).cast("int")).select(
             F.col("id").cast("string").alias("id"), "label", "probability", "prediction", F.lit("KNN").alias("model"), *more)
-        cvs.append(tag(cv, "fold"))
-        tests.append(materialize(tag(test), "knn-tests"))
         found = dict(x.split("=") for x in best.split(","))
-        params["KNN"] = {"metric": found["metric"], "n_neighbors": int(found["k"]), "weights": found["weights"]}
+        return tag(cv, "fold"), materialize(tag(test), "knn-tests"), {"KNN": {
+            "metric": found["metric"], "n_neighbors": int(found["k"]), "weights": found["weights"]}}, {"KNN": model}
+
+    numbered = lambda families: dict(enumerate((fam, p) for fam in families for p in configs.get(fam, [])))
+    kinds = [(trees, numbered(TREES)), (linear, numbered(LINEAR)), (knn, configs.get("KNN"))]
+    cvs, tests, best, final = zip(*at_once(spark, [lambda kind=kind, chosen=chosen: kind(chosen) for kind, chosen in kinds if chosen]))
+    params, models = ({fam: x for found in several for fam, x in found.items()} for several in (best, final))
 
     union = lambda xs: xs[0] if len(xs) == 1 else xs[0].unionByName(union(xs[1:]))
     told = spark.createDataFrame([(fam, params_text(p)) for fam, p in params.items()], "model string, best_params string")

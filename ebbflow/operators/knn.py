@@ -32,11 +32,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ebbflow.session import materialize
+from ebbflow.session import at_once, materialize
 
 #: Bytes of the difference array (queries x references x dimensions) computed at once in a task.
 CELL_BYTES = 128 << 20
 
+#: Bytes of a product of queries and references, which stays in a core's cache; pairs ranked at once.
+PRODUCT_BYTES, PAIRS = 2 << 20, 1 << 18
+
 #: Pivots at most, references for which one more pivot is taken, rings of a pivot at most.
 PIVOTS, PIVOT_ROWS, RINGS = 1024, 256, 64
 
@@ -57,19 +60,18 @@ def _exact(a: np.ndarray, b: np.ndarray, row: np.ndarray, col: np.ndarray, metri
 
 
 def _near(qv: np.ndarray, tv: np.ndarray, upper: np.ndarray | None, k: int, metric: str):
-    """For some queries at a time, the references that may be among the ``k`` nearest and within ``upper``:
-    all that are, and those that rounding leaves in question."""
+    """For some queries at a time, the (query, reference) pairs that may be among the ``k`` nearest and within
+    ``upper``: all that are, and those that rounding leaves in question."""
     flat, d = metric == "euclidean", qv.shape[1]
     qq, tt = (qv * qv).sum(axis=1), (tv * tv).sum(axis=1)
-    step = max(1, CELL_BYTES // (8 * len(tv) * (1 if flat else max(1, d))))
+    if flat:  # one product gives the squared distances
+        qa, ta = np.column_stack([-2 * qv, qq, np.ones(len(qv))]), np.column_stack([tv, np.ones(len(tv)), tt]).T
+    step = max(1, PRODUCT_BYTES // (8 * len(tv)) if flat else CELL_BYTES // (8 * len(tv) * max(1, d)))
     for s in range(0, len(qv), step):
         rows = slice(s, min(s + step, len(qv)))
         # Squared distances (or the distances), and how far rounding may take them.
         if flat:
-            far = qv[rows] @ tv.T
-            far *= -2
-            far += qq[rows, None]
-            far += tt
+            far = qa[rows] @ ta
             slack = 1e-14 * (d + 8) * (qq[rows] + tt.max())
         else:
             far = np.abs(qv[rows, None, :] - tv[None, :, :]).sum(axis=2)
@@ -78,12 +80,14 @@ def _near(qv: np.ndarray, tv: np.ndarray, upper: np.ndarray | None, k: int, metr
             limit = np.partition(far, k - 1, axis=1)[:, k - 1]
         else:
             limit = upper[rows] ** 2 * (1 + SLACK) if flat else upper[rows] * (1 + SLACK)
-        near = far <= (limit + 2 * slack)[:, None]
+        row, col = np.divmod(np.flatnonzero(far <= (limit + 2 * slack)[:, None]), len(tv))
         if upper is not None:
-            many = np.flatnonzero(near.sum(axis=1) > 4 * k)
+            many = np.flatnonzero(np.bincount(row, minlength=len(far)) > 4 * k)
             if len(many):
-                near[many] &= far[many] <= (np.partition(far[many], k - 1, axis=1)[:, k - 1] + 2 * slack[many])[:, None]
-        yield rows, near
+                limit[many] = np.minimum(limit[many], np.partition(far[many], k - 1, axis=1)[:, k - 1])
+                near = far[row, col] <= (limit + 2 * slack)[row]
+                row, col = row[near], col[near]
+        yield row + s, col
 
 
 def _cell_topk(k: int, metric: str):
@@ -93,14 +97,25 @@ def _cell_topk(k: int, metric: str):
             qv = np.stack(q["vec"].to_numpy()).astype(np.float64)
             tv = np.stack(t["vec"].to_numpy()).astype(np.float64)
             place = np.unique(t["id"].to_numpy(), return_inverse=True)[1]  # ids in order, of any type
-            for rows, near in _near(qv, tv, q["upper"].to_numpy(float) if "upper" in q else None, min(k, len(tv)), metric):
-                row, col = np.nonzero(near)
-                d = _exact(qv, tv, row + rows.start, col, metric)
+            held, n = [], 0
+
+            def rank():
+                row, col = (np.concatenate(x) for x in zip(*held))
+                held.clear()
+                d = _exact(qv, tv, row, col, metric)
                 order = np.lexsort((place[col], d, row))
                 row, col, d = row[order], col[order], d[order]
-                first = np.searchsorted(row, np.arange(len(near)))
-                keep = np.arange(len(row)) - first[row] < k
-                found.append((row[keep] + rows.start, col[keep], d[keep]))
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+                found.append((row[keep], col[keep], d[keep]))
+
+            for pairs in _near(qv, tv, q["upper"].to_numpy(float) if "upper" in q else None, min(k, len(tv)), metric):
+                held.append(pairs)
+                n += len(pairs[0])
+                if n > PAIRS:
+                    rank()
+                    n = 0
+            if held:
+                rank()
         row, col, dist = (np.concatenate(x) for x in zip(*found))
         return pd.DataFrame({"qid": q["id"].to_numpy()[row], "nid": t["id"].to_numpy()[col],
                              "nlabel": t["label"].to_numpy()[col].astype(np.int32), "dist": dist})
@@ -362,24 +377,24 @@ def knn_grid_cv(train: DataFrame, ks=(5, 7, 11), weights=("uniform", "distance")
     """M11 + M12 for the KNN family: per (k, weights, metric) the per-fold
     predictions of the held-out fold. Neighbours are found once per (fold, metric)
     at the largest k; every (k, weights) is voted from them."""
-    parts = []
     kmax = max(ks)
     # fold sizes from one job: they size every cell without per-search counts
     per_fold = {r[fold]: r["n"] for r in train.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(per_fold.values())
-    for m in metrics:
-        for f in range(n_folds):
-            tr, te = train.where(F.col(fold) != f), train.where(F.col(fold) == f)
-            nb = neighbours(tr, te, k=kmax, metric=m, n_train=total - per_fold.get(f, 0),
-                            n_test=per_fold.get(f, 0), **kw)
-            nb = materialize(nb, "neighbours")  # read once per configuration
-            labels = te.select(F.col(kw.get("id_col", "vec_id")).alias("qid"),
-                               F.col(kw.get("label_col", "label")).cast("int").alias("label"))
-            for k in ks:
-                for w in weights:
-                    p = vote_proba(nb, k, w).join(labels, "qid")
-                    parts.append(p.select(F.lit(f"k={k},weights={w},metric={m}").alias("config"),
-                                          F.lit(f).alias("fold"), "qid", "label", "probability"))
+
+    def search(m, f):
+        tr, te = train.where(F.col(fold) != f), train.where(F.col(fold) == f)
+        nb = neighbours(tr, te, k=kmax, metric=m, n_train=total - per_fold.get(f, 0),
+                        n_test=per_fold.get(f, 0), **kw)
+        nb = materialize(nb, "neighbours")  # read once per configuration
+        labels = te.select(F.col(kw.get("id_col", "vec_id")).alias("qid"),
+                           F.col(kw.get("label_col", "label")).cast("int").alias("label"))
+        return [vote_proba(nb, k, w).join(labels, "qid").select(
+            F.lit(f"k={k},weights={w},metric={m}").alias("config"), F.lit(f).alias("fold"), "qid", "label", "probability")
+            for k in ks for w in weights]
+
+    # the folds' searches do not need each other: their small jobs fill the cores together
+    parts = [p for m in metrics for found in at_once(train.sparkSession, [lambda m=m, f=f: search(m, f) for f in range(n_folds)]) for p in found]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -7,7 +7,8 @@ loss, the gradient and the matrix X'WX: (d + 1)^2 numbers a fit, added up by Spa
 the number of rows. The driver solves the small system; the next pass looks at the full step
 and, for the hinge, at shorter ones beside it, and the best becomes the new point. All fits
 (configurations and folds) share the passes and stop on their own, when the step is below a
-fixed tolerance or lowers the objective by less than a fixed share.
+fixed tolerance or lowers the objective by less than a fixed share. Fits of at most ``ALONE`` values
+(rows x features) need no passes: all are one job, and a task takes all blocks and the steps of one fit.
 
 Each fit standardises with the mean and population deviation of its own training rows, which
 follow from the sums of each fold. The margin classifier's hinge is rounded quadratically
@@ -39,6 +40,8 @@ GAIN = 1e-12
 ROUNDS = (4.0, 1.0, 0.25, 0.05)
 #: Shares of the Newton step that a pass tries.
 TRIALS = {"logistic": (1.0, 0.25), "hinge": (1.0, 0.6, 0.3, 0.1, 0.02)}
+#: Rows x features up to which one task takes all steps of a fit.
+ALONE = 1 << 23
 
 BLOCK = "ids array<string>, labels binary, folds binary, x binary"
 
@@ -60,6 +63,7 @@ class LinearFit:
     steps: int = 0
     platt: tuple[float, float] | None = None
     rounding: float = ROUNDS[-1]
+    size: int = 0                  # training rows
 
     def rows(self, folds: np.ndarray) -> np.ndarray:
         return (folds >= 0) & (folds != (-1 if self.fold is None else self.fold))
@@ -168,59 +172,100 @@ def make_fits(configs: Sequence[tuple[str, float | None]], folds: Sequence[int |
         if not standardise:
             mean, scale = np.zeros(d), np.ones(d)
         weight = (n / (2 * (n - pos)), n / (2 * pos)) if balanced and 0 < pos < n else (1.0, 1.0)
-        out.append(LinearFit(len(out), loss, c, fold, weight, (0.0, 1.0), mean, scale, np.zeros(d + 1), pos / n if n else 0.0))  # no rows, nothing to fit
+        out.append(LinearFit(len(out), loss, c, fold, weight, (0.0, 1.0), mean, scale, np.zeros(d + 1), pos / n if n else 0.0, size=int(n)))  # no rows, nothing to fit
     return out
 
 
+class Search:
+    """A fit between two steps: the best objective so far and the points to look at, the first of
+    them the full step. There are none when it has ended."""
+
+    def __init__(self, fit: LinearFit, tolerance: float):
+        fit.rounding = ROUNDS[0]
+        self.fit, self.tolerance, self.best, self.points = fit, tolerance, np.inf, [fit.beta]
+        self.ridge = np.append(np.full(len(fit.beta) - 1, 1 / fit.c if fit.c else 0.0), 0.0)
+
+    def step(self, values: Sequence[float], derivatives) -> None:
+        """``values`` are the losses at the points; ``derivatives`` gives the loss's first and second ones at the point of a number."""
+        f, d = self.fit, len(self.fit.beta)
+        f.steps += 1
+        objective = [v + (self.ridge * p**2).sum() / 2 for v, p in zip(values, self.points)]
+        at = int(np.argmin(objective))
+        if objective[at] >= self.best:  # no trial is better: look nearer, until that is within the tolerance
+            self.points = [f.beta + (p - f.beta) / 50 for p in self.points]
+            ended = max(np.abs(p - f.beta).max() for p in self.points) < self.tolerance
+        else:
+            self.best, f.beta = objective[at], self.points[at]
+            first, second = derivatives(at)
+            gradient, hessian = first + self.ridge * f.beta, second.reshape(d, d) + np.diag(self.ridge)
+            step = -np.linalg.lstsq(hessian + 1e-12 * np.trace(hessian) / d * np.eye(d), gradient, rcond=None)[0]
+            self.points = [f.beta + t * step for t in TRIALS[f.loss]]
+            ended = np.abs(step).max() < self.tolerance or -(gradient @ step) < GAIN * abs(self.best)
+            if ended and f.loss == "logistic":
+                f.beta = f.beta + step  # within the tolerance, and nearer
+        if ended and f.loss == "hinge" and f.rounding > ROUNDS[-1]:
+            f.rounding = ROUNDS[ROUNDS.index(f.rounding) + 1]
+            self.best, self.points = np.inf, [f.beta]
+        elif ended:
+            self.points = []
+
+
+def scaled(f: LinearFit, y: np.ndarray, folds: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Standardised features with a one for the intercept, labels and weights of a block's rows in a fit."""
+    rows = f.rows(folds)
+    return np.column_stack([(x[rows] - f.mean) / f.scale, np.ones(rows.sum())]), y[rows], np.where(y[rows] > 0, f.weight[1], f.weight[0])
+
+
 def newton(blocks: DataFrame, fits: list[LinearFit], tolerance: float = TOLERANCE) -> None:
     """Fit in place: all fits that have not ended take one step in each pass."""
-    d = len(fits[0].beta) if fits else 0
-    ridge = {f.number: np.append(np.full(d - 1, 1 / f.c if f.c else 0.0), 0.0) for f in fits}
-    of = {f.number: f for f in fits if 0 < f.share < 1}
-    for f in of.values():
-        f.rounding = ROUNDS[0]
-    # The best objective so far and the points to look at, the first of them the full step.
-    best = {k: np.inf for k in of}
-    points = {k: [f.beta] for k, f in of.items()}
-    alone = bool(points) and blocks.limit(2).count() < 2
-    while points:
-        active = [(of[k], p) for k, p in points.items()]
+    fits = [f for f in fits if 0 < f.share < 1]
+    small = [f for f in fits if 0 < f.size * len(f.mean) <= ALONE]
+    if small:
+        _alone(blocks, small, tolerance)
+    searches = {f.number: Search(f, tolerance) for f in fits if not 0 < f.size * len(f.mean) <= ALONE}
+    alone = bool(searches) and blocks.limit(2).count() < 2
+    while searches:
+        active = [(s.fit, s.points) for s in searches.values()]
 
         def task(_, y, folds, x, active=active):
             for f, at in active:
-                rows = f.rows(folds)
-                z = np.column_stack([(x[rows] - f.mean) / f.scale, np.ones(rows.sum())])
-                w = np.where(y[rows] > 0, f.weight[1], f.weight[0])
+                z, own, w = scaled(f, y, folds, x)
                 found = []
                 for beta in at:
-                    value, first, second = pieces(f.loss, z @ beta, y[rows], f.target, f.rounding)
+                    value, first, second = pieces(f.loss, z @ beta, own, f.target, f.rounding)
                     found += [[w @ value], (w * first) @ z, (z.T @ (z * (w * second)[:, None])).ravel()]
                 yield f.number, np.concatenate(found)
 
         for k, sums in added(blocks, task, alone).items():
-            f = of[k]
-            f.steps += 1
-            sums = sums.reshape(len(points[k]), -1)
-            objective = [x[0] + (ridge[k] * p**2).sum() / 2 for x, p in zip(sums, points[k])]
-            at = int(np.argmin(objective))
-            if objective[at] >= best[k]:  # no trial is better: look nearer, until that is within the tolerance
-                points[k] = [f.beta + (p - f.beta) / 50 for p in points[k]]
-                ended = max(np.abs(p - f.beta).max() for p in points[k]) < tolerance
-            else:
-                best[k], f.beta = objective[at], points[k][at]
-                x = sums[at]
-                gradient = x[1:d + 1] + ridge[k] * f.beta
-                hessian = x[d + 1:].reshape(d, d) + np.diag(ridge[k])
-                step = -np.linalg.lstsq(hessian + 1e-12 * np.trace(hessian) / d * np.eye(d), gradient, rcond=None)[0]
-                points[k] = [f.beta + t * step for t in TRIALS[f.loss]]
-                ended = np.abs(step).max() < tolerance or -(gradient @ step) < GAIN * abs(best[k])
-                if ended and f.loss == "logistic":
-                    f.beta = f.beta + step  # within the tolerance, and nearer
-            if ended and f.loss == "hinge" and f.rounding > ROUNDS[-1]:
-                f.rounding = ROUNDS[ROUNDS.index(f.rounding) + 1]
-                best[k], points[k] = np.inf, [f.beta]
-            elif ended:
-                del points[k], best[k]
+            search, d = searches[k], len(searches[k].fit.beta)
+            sums = sums.reshape(len(search.points), -1)
+            search.step(sums[:, 0], lambda at: (sums[at, 1:d + 1], sums[at, d + 1:]))
+            if not search.points:
+                del searches[k]
+
+
+def _alone(blocks: DataFrame, fits: list[LinearFit], tolerance: float) -> None:
+    """The steps of each fit in one task, which takes all blocks."""
+    def task(batches):
+        found: dict[int, list] = {}
+        for batch in batches:
+            for unit, (_, *block) in zip(batch.column("unit").to_pylist(), read_blocks([batch])):
+                found.setdefault(unit, []).append(block)
+        for unit, own in found.items():
+            f = fits[unit]
+            own.sort(key=lambda b: b[2].tobytes())  # in order: the sums are the same, whatever came first
+            parts = [scaled(f, *own.pop(0)) for _ in range(len(own))]
+            search = Search(f, tolerance)
+            while search.points:
+                at = [[(w, z, *pieces(f.loss, z @ beta, y, f.target, f.rounding)) for z, y, w in parts] for beta in search.points]
+                search.step([sum(w @ value for w, _, value, *_ in x) for x in at], lambda k: (
+                    sum((w * first) @ z for w, z, _, first, _ in at[k]), sum(z.T @ (z * (w * second)[:, None]) for w, z, *_, second in at[k])))
+            yield pa.RecordBatch.from_arrays([pa.array([unit], pa.int32()), pa.array([np.append(f.beta, [f.steps, f.rounding]).tobytes()], pa.binary())], names=["k", "x"])
+
+    copies = blocks.withColumn("ids", F.array().cast("array<string>")).withColumn("unit", F.explode(F.sequence(F.lit(0), F.lit(len(fits) - 1))))
+    for r in copies.repartitionById(len(fits), F.col("unit")).mapInArrow(task, "k int, x binary").toArrow().to_pylist():
+        x, f = np.frombuffer(r["x"]), fits[r["k"]]
+        f.beta, f.steps, f.rounding = x[:-2].copy(), int(x[-2]), float(x[-1])
 
 
 def predictions(blocks: DataFrame, fits: list[LinearFit]) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ebbflow import schemas as S
 from ebbflow.functions.scalar import round_half_up
 from ebbflow.operators import evaluate as EV
+from ebbflow.session import at_once, materialize
 
 # Fixed values that must equal the reference: the grids of the seven model
 # families (C, trees, depth, min split, learning rate, subsample, neighbours).
@@ -165,13 +166,14 @@ def comparison_table(test_preds: DataFrame, cv_preds: DataFrame | None = None, p
                      digits: int = 4) -> DataFrame:
     """One row per ``model``: test metrics and CV mean/std, rounded like the
     reference's table. All models in the same grouped jobs."""
-    auc = EV.roc_auc(test_preds, by=["model"])
-    met = EV.classification_metrics(test_preds, by=["model"])
+    calls = [lambda: EV.roc_auc(test_preds, by=["model"]), lambda: EV.classification_metrics(test_preds, by=["model"])]
+    if cv_preds is not None:
+        calls.append(lambda: EV.cv_summary(cv_preds, by=["model"]))
+    auc, met, *summary = at_once(test_preds.sparkSession, calls)
     t = met.join(auc, "model")
     cols = [F.col("model"), *[round_half_up(m, digits).alias(m) for m in METRICS]]
     if cv_preds is not None:
-        cv = EV.cv_summary(cv_preds, by=["model"])
-        t = t.join(cv, "model", "left")
+        t = t.join(summary[0], "model", "left")
         cols += [round_half_up("cv_roc_auc_mean", digits).alias("cv_roc_auc_mean"),
                  round_half_up("cv_roc_auc_std", digits).alias("cv_roc_auc_std")]
     if params is not None:
@@ -275,7 +277,7 @@ class KnnModel:
     def predict(self, rows: DataFrame) -> DataFrame:
         """id (the row id), label (if present), probability and prediction of every row."""
         from ebbflow.operators.knn import neighbours, vote_proba
-        vec = _vectors(rows, self.feature_cols, self.scale)
+        vec = materialize(_vectors(rows, self.feature_cols, self.scale), "knn-queries")
         p = vote_proba(neighbours(self.train, vec, k=self.k, metric=self.metric, block_rows=self.block_rows), self.k, self.weights)
         keep = [c for c in ("label",) if c in vec.columns]
         return p.join(vec.select(F.col("vec_id").alias("qid"), *keep), "qid").select(
@@ -320,15 +322,26 @@ def knn_family(split_rows: DataFrame, feature_cols: Sequence[str] = S.FEATURE_CO
     from ebbflow.operators.split import scaling
     train_rows = split_rows.where(F.col("split") == "train")
     scale = scaling(train_rows, list(feature_cols))
-    train = _vectors(train_rows, feature_cols, scale)
-    cv = _materialise(knn_grid_cv(train, block_rows=block_rows, **grid))
-    scores = EV.roc_auc(cv, by=["config", "fold"]).groupBy("config").agg(F.avg("roc_auc").alias("m"))
-    best = scores.orderBy(F.desc("m"), F.asc("config")).first()["config"]
-    cfg = dict(kv.split("=") for kv in best.split(","))
-    model = KnnModel(train.select("vec_id", "embedding", "label"), scale, list(feature_cols), int(cfg["k"]),
-                     cfg["weights"], cfg["metric"], block_rows)
+    train = materialize(_vectors(train_rows, feature_cols, scale), "knn-rows")  # every search reads it several times
+
+    def model_of(config: str) -> KnnModel:
+        cfg = dict(kv.split("=") for kv in config.split(","))
+        return KnnModel(train.select("vec_id", "embedding", "label"), scale, list(feature_cols), int(cfg["k"]),
+                        cfg["weights"], cfg["metric"], block_rows)
+
+    test = lambda model: model.predict(split_rows.where(F.col("split") == "test"))
+    search = lambda: _materialise(knn_grid_cv(train, block_rows=block_rows, **grid))
+    only = [f"k={k},weights={w},metric={m}" for k in grid.get("ks", ()) for w in grid.get("weights", ()) for m in grid.get("metrics", ())]
+    if len(only) == 1:  # the best one is known: its test rows are searched beside the folds
+        cv, tested = at_once(train.sparkSession, [search, lambda: _materialise(test(model_of(only[0])))])
+        best = only[0]
+    else:
+        cv = search()
+        scores = EV.roc_auc(cv, by=["config", "fold"]).groupBy("config").agg(F.avg("roc_auc").alias("m"))
+        best = scores.orderBy(F.desc("m"), F.asc("config")).first()["config"]
+        tested = test(model_of(best))
     cv_best = cv.where(F.col("config") == best).select(F.col("qid").alias("id"), "label", "probability", "fold")
-    return model.predict(split_rows.where(F.col("split") == "test")), cv_best, best, model
+    return tested, cv_best, best, model_of(best)
 
 
 def _materialise(df: DataFrame) -> DataFrame:
