@@ -1,7 +1,7 @@
 """All seven model families in shared passes over packed rows.
 
 The tree families (``trees``) grow together, the linear ones (``linear``) take their Newton
-steps together, KNN searches its index (``knn``); the three kinds run at the same time. Every configuration is a fit on each fold and
+steps together, KNN searches its index (``knn``) beside them. Every configuration is a fit on each fold and
 is scored on the fold it left out by exact ROC-AUC; the best of a family is fitted on all
 training rows and scored on the test rows. With one configuration a family, its fit on all rows
 joins the first passes.
@@ -171,8 +171,9 @@ def compare(split_rows: DataFrame, configs: dict[str, list[dict]] | None = None,
             "metric": found["metric"], "n_neighbors": int(found["k"]), "weights": found["weights"]}}, {"KNN": model}
 
     numbered = lambda families: dict(enumerate((fam, p) for fam in families for p in configs.get(fam, [])))
-    kinds = [(trees, numbered(TREES)), (linear, numbered(LINEAR)), (knn, configs.get("KNN"))]
-    cvs, tests, best, final = zip(*at_once(spark, [lambda kind=kind, chosen=chosen: kind(chosen) for kind, chosen in kinds if chosen]))
+    fitted = lambda *kinds: [kind(chosen) for kind, chosen in kinds if chosen]
+    found = at_once(spark, [lambda: fitted((trees, numbered(TREES)), (linear, numbered(LINEAR))), lambda: fitted((knn, configs.get("KNN")))])
+    cvs, tests, best, final = zip(*itertools.chain(*found))
     params, models = ({fam: x for found in several for fam, x in found.items()} for several in (best, final))
 
     union = lambda xs: xs[0] if len(xs) == 1 else xs[0].unionByName(union(xs[1:]))
